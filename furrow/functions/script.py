@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, occurrences
+from .text import col, let, occurrences
 
 # Language, script, first and last code point, and the languages
 # that share the script and cannot be told apart by it.
@@ -65,22 +65,30 @@ def detect(c: Column | str, settings, scripts=SCRIPTS) -> Column:
     those blocks, so Latin text pays for one search.
     """
     text = F.regexp_replace(F.coalesce(col(c), F.lit("")), NEUTRAL, "")
-    n_letters = letters(text)
     any_script = _span(min(s[2] for s in scripts), max(s[3] for s in scripts))
-    top = F.when(text.rlike(f"[{any_script}]"), F.array_max(script_counts(text, scripts)))
-    n = F.coalesce(top["n"], F.lit(0))
+
+    def measured(t):
+        top = F.when(t.rlike(f"[{any_script}]"), F.array_max(script_counts(t, scripts)))
+        return F.struct(letters(t).alias("letters"), top.alias("top"))
+
+    return let(text, lambda t: let(measured(t), lambda m: _reading(m, settings)))
+
+
+def _reading(measured: Column, settings) -> Column:
+    """The verdict on one text, from its letter count and strongest script."""
+    n_letters, top = measured["letters"], measured["top"]
     # Without letters the script count is not looked at.
-    n = F.when(n_letters > 0, n).otherwise(0)
+    n = F.when(n_letters > 0, F.coalesce(top["n"], F.lit(0))).otherwise(0)
     ratio = F.when(n_letters > 0, n / n_letters).otherwise(F.lit(0.0))
-    accepted = (n >= settings.lang_min_chars) & (ratio >= settings.lang_min_ratio) & (n_letters > 0)
+    accepted = (n_letters > 0) & (n >= settings.lang_min_chars) & (ratio >= settings.lang_min_ratio)
     siblings = F.when(accepted, top["siblings"]).otherwise(F.array().cast("array<string>"))
     reason = (
         F.when(n_letters == 0, F.lit("no letters"))
         .when(n == 0, F.lit("no Indic script present"))
         .when(n < settings.lang_min_chars,
-              F.format_string(f"%s present but below {settings.lang_min_chars}-char floor", top["script"]))
+              F.concat(top["script"], F.lit(f" present but below {settings.lang_min_chars}-char floor")))
         .when(ratio < settings.lang_min_ratio,
-              F.format_string(f"%s present but below {settings.lang_min_ratio:.0%}% share", top["script"]))
+              F.concat(top["script"], F.lit(f" present but below {settings.lang_min_ratio:.0%} share")))
         .otherwise(F.concat(F.lit("dominant script is "), top["script"]))
     )
     return F.struct(
@@ -117,13 +125,13 @@ def marker_hits(c: Column | str, markers=HINDI_MARKERS) -> Column:
 
 def encoding(chars: Column, hits: Column, healthy_per_1k: float = HEALTHY_PER_1K) -> Column:
     """EncodingReading from (possibly aggregated) character and marker counts."""
-    per_1k = F.when(chars > 0, F.lit(1000.0) * hits / chars).otherwise(F.lit(0.0))
-    return F.struct(
-        chars.alias("script_chars"),
-        hits.alias("marker_hits"),
-        per_1k.alias("markers_per_1k"),
-        ((chars == 0) | (per_1k >= healthy_per_1k)).alias("healthy"),
-    )
+    def reading(v):
+        per_1k = F.when(v["chars"] > 0, F.lit(1000.0) * v["hits"] / v["chars"]).otherwise(F.lit(0.0))
+        return F.struct(
+            v["chars"].alias("script_chars"), v["hits"].alias("marker_hits"), per_1k.alias("markers_per_1k"),
+            ((v["chars"] == 0) | (per_1k >= healthy_per_1k)).alias("healthy"))
+
+    return let(F.struct(chars.alias("chars"), hits.alias("hits")), reading)
 
 
 def repair_glyphs(c: Column | str, swapped=SWAPPED, matra: str = "ि",

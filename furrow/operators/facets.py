@@ -58,10 +58,11 @@ def passages(pages: DataFrame, lexicon: Lexicon, settings: Settings,
     `session.settle`); it holds the segmented pages.
     """
     state = F.col("state_code")
-    blocked = with_blocks(pages, lexicon, settings).select(
-        "document", "page", "state_code", F.col("ocr").alias("from_ocr"), "blocks",
+    headed = pages.select(
+        "document", "page", "state_code", F.col("ocr").alias("from_ocr"), "text",
         sections.page_heading(F.col("text"), state, lexicon, rule).alias("_page_heading"),
-    ).withColumn(
+    )
+    blocked = with_blocks(headed, lexicon, settings).drop("text"    ).withColumn(
         "_heads", F.transform("blocks", lambda b: sections.heading_areas(b, state, lexicon, rule))
     ).withColumn(
         "_leaves_with", F.coalesce(sections.last_heading(F.col("_heads")), F.col("_page_heading"))

@@ -41,14 +41,18 @@ def heading_name(text: Column, rule: HeadingRule) -> Column:
 def heading_areas(text: Column, state: Column, lexicon: Lexicon, rule: HeadingRule) -> Column:
     """Codes of the districts named by the first heading in `text`, in order of
     the heading's parts, each once. Empty when there is none."""
-    name = heading_name(text, rule)
     matcher = Matcher(lexicon.aliases("district"))
-    per_part = F.transform(
-        F.split(name, rule.separator),
-        lambda part: districts_of(matcher.mentions(strip(part)), state, lexicon),
-    )
-    empty = F.array().cast("array<string>")
-    return F.when(name != "", F.array_distinct(F.flatten(per_part))).otherwise(empty)
+
+    def named(name):
+        by_part = F.transform(
+            F.split(name, rule.separator),
+            lambda part: let(matcher.mentions(strip(part)), lambda hits: districts_of(hits, state, lexicon)),
+        )
+        return F.when(name != "", F.array_distinct(F.flatten(by_part)))
+
+    # Most texts hold no heading, and one search settles that.
+    areas = F.when(text.rlike(rule.pattern), let(heading_name(text, rule), named))
+    return F.coalesce(areas, F.array().cast("array<string>"))
 
 
 def page_heading(text: Column, state: Column, lexicon: Lexicon, rule: HeadingRule) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,15 +103,22 @@ def split_page(text: str, crops_by_line, least: int, most: int) -> list[str]:
     return _merge(pieces, least, most)
 
 
-def splitter(least: int, most: int):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series, crops: pd.Series) -> pd.Series:
-        return pd.Series([split_page(t or "", c, least, most) for t, c in zip(texts, crops)])
-
-    return split
-
-
 def with_blocks(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
-    """Add `blocks`, the passages of each page in order."""
-    split = splitter(settings.min_passage_chars, settings.max_passage_chars)
-    return pages.withColumn("blocks", split(F.col("text"), line_crops(F.col("text"), lexicon)))
+    """Add `blocks`, the passages of each page in order.
+
+    `mapInArrow` and not a UDF column: Spark does not extract a Python UDF whose
+    argument holds lambdas. Other columns pass through as Arrow arrays.
+    """
+    least, most = settings.min_passage_chars, settings.max_passage_chars
+    staged = pages.withColumn("_crops", line_crops(F.col("text"), lexicon))
+    schema = T.StructType(list(pages.schema.fields) + [T.StructField("blocks", T.ArrayType(T.StringType()))])
+    kept = pages.columns
+
+    def fold(batches):
+        for batch in batches:
+            rows = zip(batch.column("text").to_pylist(), batch.column("_crops").to_pylist())
+            blocks = [split_page(text or "", crops, least, most) for text, crops in rows]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + [pa.array(blocks, pa.list_(pa.string()))], kept + ["blocks"])
+
+    return staged.mapInArrow(fold, schema)

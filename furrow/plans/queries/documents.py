@@ -1 +1,223 @@
-QUERIES = {}
+"""Page gates, ordered operations and table-level checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ...functions.text import stripped_length
+from ...operators import discover as dc, pages as pg, vector_index as vi
+from ...operators.facets import choose_area
+from ...operators.ordered import first_per, running
+from .. import corpus
+from ..corpus import SETTINGS, table
+from . import sql
+
+
+def line_pages(spark, sf):
+    """Lines of a source as its pages, for the page gates."""
+    return table(spark, sf, "documents").select(
+        F.col("source").alias("document"), F.posexplode(F.split("text", "\n")).alias("page", "text"),
+        (F.col("doc_id") % 7 == 0).alias("ocr"))
+
+
+LINE_PAGES = """lp as (select source as document, doc_id % 7 = 0 as ocr, unnest(string_split(text, chr(10))) as text from documents),
+n as (select *, length(trim(text)) as n from lp)"""
+
+
+def scan_gate(spark, sf):
+    return pg.scan_gate(line_pages(spark, sf), SETTINGS).withColumn("usable_ratio", F.round("usable_ratio", 9))
+
+
+GATE_SQL = f"""with {LINE_PAGES}, g as (select document, count(*) as pages, count(*) filter (n >= 40) as usable_pages from n group by 1)
+select *, round(usable_pages / pages, 9) as usable_ratio, usable_pages > 0 and usable_pages / pages >= 0.5 as readable from g"""
+
+
+def thin_pages(spark, sf):
+    return pg.thin_report(line_pages(spark, sf), SETTINGS)
+
+
+THIN_SQL = f"""with {LINE_PAGES}, g as (select document, count(*) as pages, cast(sum(length(text)) as bigint) as char_count,
+ count(*) filter (ocr) as ocr_pages, count(*) filter (not ocr and n >= 40 and n < 150) as thin_pages,
+ count(*) filter (n < 40) as empty_pages from n group by 1)
+select *, thin_pages + empty_pages as unread_pages,
+ thin_pages + empty_pages > 0 and (thin_pages + empty_pages) / pages >= 0.4 as thin_warning from g"""
+
+
+def picture_pages(spark, sf):
+    text = F.regexp_extract("html", r"<title>([^<]*)", 1)
+    image = F.col("html").contains('class="ad"')
+    return table(spark, sf, "pages").select(
+        "page_id", pg.is_picture(text, image, SETTINGS).alias("picture"), stripped_length(text).alias("chars"))
+
+
+PICTURE_SQL = f"""with t as (select page_id, html, length({sql.strip("regexp_extract(html, '<title>([^<]*)', 1)")}) as n from pages)
+select page_id, contains(html, 'class="ad"') and n < 150 as picture, cast(n as integer) as chars from t"""
+
+
+def state_detection(spark, sf):
+    return pg.state_of(corpus.pages(spark, sf), corpus.LEXICON)
+
+
+STATE_SQL = f"with {sql.PAGES}, {sql.STATE} select document, state_code from states_"
+
+
+def line_ordinals(spark, sf):
+    """Running number of the kept lines of a source, over all its pages."""
+    per_page = table(spark, sf, "documents").select(
+        "source", "doc_id", F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 80).alias("kept"))
+    counted = per_page.withColumn("n", F.size("kept").cast("long"))
+    placed = running(counted, "source", "doc_id", chunk=SETTINGS.page_chunk, totals={"n": "before"})
+    return placed.select("source", "doc_id", "before", F.posexplode("kept").alias("i", "line")).select(
+        "source", "doc_id", (F.col("before") + F.col("i")).alias("ordinal"), F.length("line").alias("chars"))
+
+
+ORDINAL_SQL = """with l as (select source, doc_id, unnest(string_split(text, chr(10))) as line,
+  unnest(range(len(string_split(text, chr(10))))) as i from documents)
+select source, doc_id, row_number() over (partition by source order by doc_id, i) - 1 as ordinal,
+  cast(length(line) as integer) as chars from l where length(line) >= 80"""
+
+
+def section_fill(spark, sf):
+    """The last heading page of each source, carried to later pages."""
+    head = F.when(F.col("text").rlike("^(The|Que|Und|A) "), F.col("doc_id"))
+    rows = table(spark, sf, "documents").select("source", "doc_id", head.alias("heading"))
+    return running(rows, "source", "doc_id", chunk=SETTINGS.page_chunk, fill={"heading": "section"}).select(
+        "source", "doc_id", "section")
+
+
+FILL_SQL = """with d as (select source, doc_id, case when regexp_matches(text, '^(The|Que|Und|A) ') then doc_id end as h from documents)
+select source, doc_id, last_value(h ignore nulls) over (partition by source order by doc_id
+  rows between unbounded preceding and current row) as section from d"""
+
+
+def conversation_sections(spark, sf):
+    rows = table(spark, sf, "conversations").withColumn("head", F.when(F.col("role") == "user", F.col("turn")))
+    return running(rows, "conv_id", "turn", chunk=SETTINGS.page_chunk, fill={"head": "asked"},
+                   totals={"turn": "before"}).select("conv_id", "turn", "asked", "before")
+
+
+CONVERSATION_SQL = """select conv_id, turn,
+ last_value(case when role = 'user' then turn end ignore nulls) over w as asked,
+ cast(coalesce(sum(turn) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as bigint) as before
+from conversations window w as (partition by conv_id order by turn rows between unbounded preceding and current row)"""
+
+
+def first_per_role(spark, sf):
+    rows = first_per(table(spark, sf, "conversations"), ["conv_id", "role"], [F.col("turn")])
+    return rows.select("conv_id", "role", "turn", F.length("text").alias("chars"))
+
+
+FIRST_SQL = """select conv_id, role, turn, cast(length(text) as integer) as chars from conversations
+qualify row_number() over (partition by conv_id, role order by turn) = 1"""
+
+
+def area_choice(spark, sf):
+    """Primary area and further coverage of customers, from lists of nation codes."""
+    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    code = lambda k: F.concat(F.lit("N"), k.cast("string"))
+    section = F.when(F.col("c_custkey") % 3 == 0, F.array(code(F.col("c_nationkey")), code(F.col("c_custkey") % 5)))
+    named = F.when(F.col("c_custkey") % 2 == 0, F.array(code(F.col("c_custkey") % 7))).otherwise(
+        F.array(code(F.col("c_custkey") % 5), code(F.col("c_custkey") % 5 + 10)))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    state = F.concat(F.lit("R"), F.col("n_regionkey").cast("string"))
+    primary, rest = choose_area(section, named, state)
+    return rows.select("c_custkey", primary.alias("area"), F.array_join(rest, ",").alias("also"))
+
+
+AREA_SQL = """with r as (select c_custkey, 'R' || n_regionkey as state,
+  case when c_custkey % 3 = 0 then ['N' || c_nationkey, 'N' || (c_custkey % 5)] else [] end as section,
+  case when c_custkey % 2 = 0 then ['N' || (c_custkey % 7)] else ['N' || (c_custkey % 5), 'N' || (c_custkey % 5 + 10)] end as named
+  from customer join nation on c_nationkey = n_nationkey),
+p as (select *, case when len(section) > 0 then section[1] when len(named) = 1 then named[1] else state end as area,
+  case when len(section) > 0 then list_concat(section[2:], named) when len(named) = 1 then [] else named end as also0 from r)
+select c_custkey, area, array_to_string(list_filter(also0, lambda x, i: x <> area and list_position(also0, x) = i), ',') as also from p"""
+
+
+def closed_vocabulary(spark, sf):
+    """Events of a type outside the closed list."""
+    allowed = spark.createDataFrame([("click",), ("view",), ("purchase",)], "event_type string")
+    return table(spark, sf, "events").join(allowed, "event_type", "left_anti").select("event_id", "event_type")
+
+
+VOCABULARY_SQL = """select event_id, event_type from events where event_type not in ('click', 'view', 'purchase')"""
+
+
+def undeclared_types(spark, sf):
+    """Part types a brand carries without declaring them; the first three are declared."""
+    present = F.array_sort(F.collect_set("p_type"))
+    declared = F.array(F.lit("ECONOMY"), F.lit("SMALL"), F.lit("PROMO"))
+    return table(spark, sf, "part").groupBy("p_brand").agg(present.alias("present")).select(
+        "p_brand", F.array_join(F.array_except("present", declared), ",").alias("undeclared"))
+
+
+UNDECLARED_SQL = """select p_brand, coalesce(string_agg(distinct p_type, ',' order by p_type)
+ filter (p_type not in ('ECONOMY', 'SMALL', 'PROMO')), '') as undeclared from part group by 1"""
+
+
+def directive_anti_join(spark, sf):
+    """Customers without a recent order: catalogues without a directive."""
+    orders = table(spark, sf, "orders").where("o_orderdate >= date '2000-01-01'").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, sf, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
+
+
+DIRECTIVE_SQL = """select c_custkey, c_mktsegment from customer where c_custkey not in (select o_custkey from orders where o_orderdate >= date '2000-01-01')"""
+
+
+def duplicate_ids(spark, sf):
+    """Texts that stand more than once in one source. Grouped by digest, so the
+    shuffle carries no text."""
+    rows = table(spark, sf, "documents").select("source", F.sha2("text", 256).alias("digest"))
+    return rows.groupBy("source", "digest").agg(F.count("*").alias("n")).where("n > 1")
+
+
+DUPLICATE_SQL = "select source, sha256(text) as digest, count(*) as n from documents group by 1, 2 having count(*) > 1"
+
+
+def round_trip(spark, sf):
+    """Orders against a copy that lost some and changed others."""
+    o = table(spark, sf, "orders")
+    held = o.where("o_orderkey % 11 <> 0").withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") % 13 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    return dc.round_trip(o, held, "o_orderkey", "o_orderstatus")
+
+
+TRIP_SQL = """select o_orderkey, case when o_orderkey % 11 = 0 then 'not held' else 'differs' end as problem
+from orders where o_orderkey % 11 = 0 or o_orderkey % 13 = 0"""
+
+
+def text_probe(spark, sf):
+    return dc.contains_text(table(spark, sf, "documents"), "Apache").select("doc_id", "source")
+
+
+PROBE_SQL = "select doc_id, source from documents where contains(lower(text), 'apache')"
+
+
+def upsert_events(spark, sf):
+    """Later events of a user and type replace the state that earlier ones left."""
+    e = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
+    order = [F.desc("event_id")]
+    held = first_per(e.where("event_id % 2 = 0"), ["user_id", "event_type"], order)
+    return vi.upsert(held, e.where("event_id % 2 = 1"), ["user_id", "event_type"], order)
+
+
+UPSERT_SQL = """select user_id, event_type, event_id, value from events
+qualify row_number() over (partition by user_id, event_type order by event_id % 2 desc, event_id desc) = 1"""
+
+QUERIES = {
+    "scan_gate": (scan_gate, GATE_SQL),
+    "thin_page_report": (thin_pages, THIN_SQL),
+    "picture_page_predicate": (picture_pages, PICTURE_SQL),
+    "state_detection": (state_detection, STATE_SQL),
+    "line_ordinals": (line_ordinals, ORDINAL_SQL),
+    "section_forward_fill": (section_fill, FILL_SQL),
+    "section_on_conversations": (conversation_sections, CONVERSATION_SQL),
+    "first_per_code": (first_per_role, FIRST_SQL),
+    "area_choice": (area_choice, AREA_SQL),
+    "closed_vocabulary": (closed_vocabulary, VOCABULARY_SQL),
+    "undeclared_types": (undeclared_types, UNDECLARED_SQL),
+    "directive_anti_join": (directive_anti_join, DIRECTIVE_SQL),
+    "duplicate_ids": (duplicate_ids, DUPLICATE_SQL),
+    "round_trip_diff": (round_trip, TRIP_SQL),
+    "contains_text_probe": (text_probe, PROBE_SQL),
+    "upsert_latest_wins": (upsert_events, UPSERT_SQL),
+}
