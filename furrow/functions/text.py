@@ -136,7 +136,8 @@ def capability_of(type_name: Column | str) -> Column:
 
 
 def wire_time(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """UTC, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def token_count(c: Column | str) -> Column:

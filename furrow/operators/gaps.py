@@ -48,7 +48,7 @@ class GapRules:
         # A run of 64 letters or more is no term, so chunks are bounded; that
         # keeps backtracking bounded on junk lines.
         names = "|".join(s.replace("-", "\\-") for s in self.stages)
-        return (r"(?i)((?:[A-Z][a-z]{1,63}[ /-]{0,2}){1,3})\s*[\(\-–—:]?\s*(?:" + names + r")\b")
+        return (r"(?i)((?:[A-Z][a-z]{1,63}[ /-]{0,2}){1,3})\s*[\(\-–—:]?\s*(?:" + names + r")(?![\p{L}\p{N}_])")
 
     @property
     def stage_words(self) -> tuple[str, ...]:

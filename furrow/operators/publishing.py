@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import Settings
-from .ordered import first_per
+from .ordered import first_per, running
 from .vector_index import prune, upsert
 
 
@@ -80,15 +80,13 @@ def resource_claims(resources: DataFrame, *keys: str) -> DataFrame:
     return claims_hash(resources, body, *keys)
 
 
-def mark_changes(ledger: DataFrame, target: str | None = None, value: str = "claims_hash",
-                 order: str = "seq") -> DataFrame:
-    """Did each entry differ from the one before it? Null for the first.
-
-    A ledger is bounded by its retention, per target.
-    """
-    w = Window.partitionBy(target).orderBy(order) if target else Window.orderBy(order)
-    before = F.lag(value).over(w)
-    return ledger.withColumn("changed_since_previous", F.col(value) != before)
+def mark_changes(ledger: DataFrame, target: str, value: str = "claims_hash", order: str = "seq",
+                 chunk: int = 1024) -> DataFrame:
+    """Did each entry differ from the one before it of the same target? Null for
+    the first. (target, order) is unique and order is integral; a target of any
+    length is spread over tasks."""
+    seen = running(ledger, target, order, chunk=chunk, fill={value: "_before"}, inclusive=False)
+    return seen.withColumn("changed_since_previous", F.col(value) != F.col("_before")).drop("_before")
 
 
 def retain(ledger: DataFrame, settings: Settings, order: str = "seq") -> DataFrame:

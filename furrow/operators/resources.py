@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import capability_of, catalog_id, schema_context, schema_context_ref, subject_code
+from ..functions.text import capability_of, catalog_id, schema_context, schema_context_ref, subject_code, wire_time
 from ..settings import Settings
 from .lexicon import Lexicon
 
@@ -242,9 +242,8 @@ def catalogs(resources: DataFrame, lexicon: Lexicon, settings: Settings, now: Co
                 ).alias("provider"),
                 F.lit(True).alias("isActive"),
                 F.struct(
-                    F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("startDate"),
-                    F.date_format(now + F.make_dt_interval(F.lit(settings.validity_days)),
-                                  "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("endDate"),
+                    wire_time(now).alias("startDate"),
+                    wire_time(now + F.make_dt_interval(F.lit(settings.validity_days))).alias("endDate"),
                 ).alias("validity"),
                 F.transform("_members", lambda m: m["r"]).alias("resources"),
             ).alias("catalog"),
@@ -269,7 +268,7 @@ def envelope(catalog_rows: DataFrame, settings: Settings, *, transaction_id: str
             F.lit(settings.domain).alias("domain"), F.lit("publish").alias("action"),
             F.lit(settings.envelope_version).alias("version"),
             F.lit(transaction_id).alias("transactionId"), F.lit(message_id).alias("messageId"),
-            F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+            wire_time(now).alias("timestamp"),
             F.col("_refs").alias("schemaContext"),
         ).alias("context"),
         F.struct(

@@ -1 +1,320 @@
-QUERIES = {}
+"""Resources, catalogues, validation, publishing and the ledger."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ...functions.text import capability_of
+from ...operators import discover as dc, facets, publishing as pb, resources as res, validate as va
+from ...operators import report as rp
+from ...session import settle
+from .. import onboard
+from ..corpus import LEXICON, SETTINGS, table
+from . import passages as psg, sql
+
+
+def document_passages(spark, sf):
+    """Each document row as one passage of its source, in its own language."""
+    state = F.element_at(F.array(F.lit("XA"), F.lit("XB"), F.lit("XC")), (F.col("doc_id") % 3 + 1).cast("int"))
+    rows = table(spark, sf, "documents").select(
+        F.col("source").alias("document"), F.col("doc_id").alias("page"), F.col("doc_id").alias("ordinal"), "text",
+        state.alias("state_code"), F.lit(None).cast("array<string>").alias("section"), F.lit(False).alias("from_ocr"), "lang")
+    kept = facets.resolve(rows.drop("lang"), LEXICON, SETTINGS)
+    langs = rows.select("document", "ordinal", F.col("lang").alias("language"))
+    return kept.drop("language").join(langs, ["document", "ordinal"])
+
+
+ROWS = f"""{sql.lexicon()},
+rows_ as (select source as document, doc_id as page, doc_id as ordinal, text, ['XA', 'XB', 'XC'][doc_id % 3 + 1] as state_code,
+  cast([] as varchar[]) as section, lang from documents),
+{sql.facets().replace("'en' as language", "lang as language")}, {sql.NAMES}"""
+
+KIND = "case when x in ('herd', 'flock') then 'Livestock' else 'Crop' end"
+ROLLUP = f"""g as (select resource_id, category, area_code, min_by(state_code, (document, ordinal)) as state_code, count(*) as passage_count,
+  min(page) as page_min, max(page) as page_max from facets_ group by 1, 2, 3),
+lang_ as (select resource_id, string_agg(language, ',' order by n desc, f) as languages from
+  (select resource_id, language, count(*) as n, min((document, ordinal)) as f from facets_ group by 1, 2) group by 1),
+u_ as (select resource_id, 's' as t, unnest(subjects) as x from facets_ union all select resource_id, 't', unnest(topics) from facets_
+  union all select resource_id, 'w', unnest(weather) from facets_ union all select resource_id, 'a', unnest(also) from facets_),
+v_ as (select resource_id, list(distinct x order by x) filter (t = 's') as subjects, list(distinct x order by x) filter (t = 't') as topics,
+  list(distinct x order by x) filter (t = 'w') as weather, list(distinct x order by x) filter (t = 'a') as also,
+  list(distinct {KIND}) filter (t = 's') as kinds from u_ group by 1),
+r_ as (select g.*, languages, coalesce(subjects, []) as subjects, coalesce(topics, []) as topics, coalesce(weather, []) as weather,
+  list_concat([area_code], list_filter(coalesce(also, []), lambda c: c <> area_code)) as coverage,
+  list_sort(list_distinct(list_concat(coalesce(kinds, []), case category when 'Horticulture' then ['Crop', 'Horticulture'] else [category] end))) as categories,
+  category || 'AdvisoryCapability' as capability, 'cat-corpus-field-notes-' || lower(state_code) as catalog_id,
+  a.name as area_name, a.level as area_level
+  from g join lang_ using (resource_id) left join v_ using (resource_id) join areas_ a on a.code = area_code)"""
+
+
+def flat(resources):
+    j = lambda c: F.array_join(c, ",").alias(c)
+    return resources.select(
+        "resource_id", "category", "area_code", "passage_count", "page_min", "page_max", "capability", "catalog_id",
+        j("languages"), j("subject_slugs"), j("topics"), j("weather_parameters"), j("coverage_codes"), j("subject_categories"))
+
+
+FLAT = f"""select resource_id, category, area_code, passage_count, page_min, page_max, capability, catalog_id, languages,
+ {sql.joined('subjects')} as subject_slugs, {sql.joined('topics')} as topics, {sql.joined('weather')} as weather_parameters,
+ {sql.joined('coverage')} as coverage_codes, {sql.joined('categories')} as subject_categories from r_"""
+
+
+def rollup(spark, sf):
+    return flat(res.rollup(document_passages(spark, sf), LEXICON, SETTINGS))
+
+
+ROLLUP_SQL = f"with {ROWS}, {ROLLUP} {FLAT}"
+
+
+def corpus_resources(spark, sf):
+    """Segmented passages of the whole corpus rolled up: the full path."""
+    return flat(res.rollup(psg.extraction(spark, sf).passages, LEXICON, SETTINGS))
+
+
+CORPUS_SQL = f"{psg.FULL}, {ROLLUP} {FLAT}"
+
+
+def resource_documents(spark, sf):
+    return res.resource_documents(document_passages(spark, sf))
+
+
+DOCUMENTS_SQL = f"with {ROWS} select resource_id, document, count(*) as passages from facets_ group by 1, 2"
+
+
+def resources(spark, sf):
+    found = settle(document_passages(spark, sf), "passages")
+    rolled = res.rollup(found, LEXICON, SETTINGS)
+    return res.attributes(rolled, res.resource_documents(found), LEXICON, SETTINGS)
+
+
+def descriptors(spark, sf):
+    return resources(spark, sf).select(
+        "resource_id", "descriptor.*",
+        F.array_join("attributes.evidence.sourceDocuments", ",").alias("sources"))
+
+
+DESCRIPTOR_SQL = f"""with {ROWS}, {ROLLUP},
+d as (select resource_id, string_agg(distinct document, ',' order by document) as sources from facets_ group by 1)
+select resource_id, upper(category) || '-' || area_code as code, category || ' advisory, ' || area_name as name,
+ case category when 'Weather' then 'Weather forecast and warnings' else category || ' advisory' end || ' at ' || lower(area_level)
+   || ' granularity for ' || area_name as "shortDesc",
+ category || ' advisory capability covering ' || area_name || ', standing on ' ||
+   case when passage_count = 1 then '1 indexed passage' else passage_count || ' indexed passages' end || ' (source ' ||
+   case when page_min = page_max then 'page ' || page_min else 'pages ' || page_min || '-' || page_max end ||
+   '). Advisory text itself is served by the provider node on direct request, not through this catalogue.' as "longDesc", sources
+from r_ join d using (resource_id)"""
+
+
+def capability_counts(spark, sf):
+    rolled = res.rollup(document_passages(spark, sf), LEXICON, SETTINGS)
+    return res.capability_counts(rolled).withColumn("type", capability_of(F.concat(F.lit("adv:"), F.col("capability"))))
+
+
+CAPABILITY_SQL = f"with {ROWS}, {ROLLUP} select capability, count(*) as resources, capability as type from r_ group by 1"
+
+
+def schema_contexts(spark, sf):
+    return res.schema_contexts(res.rollup(document_passages(spark, sf), LEXICON, SETTINGS), SETTINGS)
+
+
+CONTEXT_SQL = f"""with {ROWS}, {ROLLUP} select distinct 'https://schemas.example.org/schema/' || capability
+ || '/v0.1/context.jsonld#adv:' || capability as schema_context from r_"""
+
+
+def catalogue_json(spark, sf):
+    """Catalogues as they go on the wire, read back from the JSON."""
+    cats = res.catalogs(resources(spark, sf), LEXICON, SETTINGS, F.timestamp_seconds(F.lit(1767225600)))
+    body = cats.select("catalog_id", F.to_json("catalog").alias("j"))
+    ids = F.from_json(F.get_json_object("j", "$.resources[*].id"), "array<string>")
+    return body.select(
+        "catalog_id", F.get_json_object("j", "$.provider.id").alias("provider"),
+        F.get_json_object("j", "$.validity.endDate").alias("valid_to"), F.array_join(ids, ",").alias("resource_ids"))
+
+
+JSON_SQL = f"""with {ROWS}, {ROLLUP} select catalog_id, 'prov-corpus' as provider, '2027-01-01T00:00:00Z' as valid_to,
+ string_agg(resource_id, ',' order by area_code, category) as resource_ids from r_ group by 1"""
+
+
+def envelope_shape(spark, sf):
+    now = F.timestamp_seconds(F.lit(1767225600))
+    cats = res.catalogs(resources(spark, sf), LEXICON, SETTINGS, now)
+    env = res.envelope(cats, SETTINGS, transaction_id="t-1", message_id="m-1", now=now)
+    return env.select(
+        F.col("context.version").alias("version"), F.col("context.timestamp").alias("timestamp"),
+        F.size("message.catalogs").alias("catalogs"),
+        F.array_join("message.publishDirectives.catalogId", ",").alias("directives"),
+        F.array_join("context.schemaContext", ",").alias("contexts"))
+
+
+ENVELOPE_SQL = f"""with {ROWS}, {ROLLUP}, c as (select string_agg(x, ',' order by x) as contexts from (select distinct
+ 'https://schemas.example.org/schema/' || capability || '/v0.1/context.jsonld#adv:' || capability as x from r_))
+select '2.0.0' as version, '2026-01-01T00:00:00Z' as timestamp, cast(count(distinct catalog_id) as integer) as catalogs,
+ string_agg(distinct catalog_id, ',' order by catalog_id) as directives, (select contexts from c) as contexts from r_"""
+
+
+def published(spark, sf):
+    return pb.published_rows(settle(resources(spark, sf), "resources"), SETTINGS)
+
+
+def facet_index(spark, sf):
+    return dc.facet_index(published(spark, sf))
+
+
+INDEX_SQL = f"""with {ROWS}, {ROLLUP}
+select count(*) as resources, (select count(distinct x) from (select unnest(subjects) as x, category from r_) where category <> 'Weather') as subject_uris,
+ (select count(distinct x) from (select unnest(coverage) as x from r_)) as area_codes,
+ (select count(distinct x) from (select unnest(topics) as x from r_)) as topics,
+ (select count(distinct x) from (select unnest(categories) as x from r_)) as subject_categories,
+ (select count(distinct x) from (select unnest(weather) as x from r_)) as weather_parameters,
+ (select count(distinct x) from (select unnest(string_split(languages, ',')) as x from r_)) as languages from r_"""
+
+
+def discover(spark, sf):
+    hits = dc.discover(published(spark, sf), area_code="XC-ERTH", language="en", limit=7)
+    return hits.select("resource_id", "catalog_id", "provider_id", "score", F.array_join("matched_on", ",").alias("matched_on"),
+                       F.array_join("languages", ",").alias("languages"), F.array_join("area_codes", ",").alias("area_codes"))
+
+
+DISCOVER_SQL = f"""with {ROWS}, {ROLLUP} select resource_id, catalog_id, 'prov-corpus' as provider_id,
+ cast(3 + (area_level = 'District')::integer as integer) as score, 'area,language' as matched_on, languages,
+ {sql.joined('coverage')} as area_codes from r_ where list_contains(coverage, 'XC-ERTH') and list_contains(string_split(languages, ','), 'en')
+order by score desc, resource_id limit 7"""
+
+
+def discover_subject(spark, sf):
+    uri = f"{SETTINGS.taxonomy_base}/crop/thin"
+    return dc.discover(published(spark, sf), subject_uri=uri, capability="HorticultureAdvisoryCapability", limit=1000).select(
+        "resource_id", "score")
+
+
+SUBJECT_SQL = f"""with {ROWS}, {ROLLUP} select resource_id, cast(3 + (area_level = 'District')::integer as integer) as score from r_
+where list_contains(subjects, 'thin') and category = 'Horticulture' order by score desc, resource_id limit 1000"""
+
+
+def leak_probe(spark, sf):
+    return dc.leaks(published(spark, sf), ["Erth", "moisture stress", "XAVIA", "src1"])
+
+
+LEAK_SQL = f"""with {ROWS}, {ROLLUP}, s as (select distinct resource_id from facets_ where contains(document, 'src1')),
+n as (select resource_id, lower(string_agg(a.name || ' ' || a.code, ' ')) as names, any_value(lower(subj)) as subj from
+  (select resource_id, unnest(coverage) as c, {sql.joined('subjects')} as subj from r_) x join areas_ a on a.code = x.c group by 1)
+select 'Erth' as probe, count(*) filter (contains(names, 'erth') or contains(subj, 'erth')) as resources from n
+union all select 'moisture stress', 0
+union all select 'XAVIA', count(*) filter (contains(names, 'xavia')) from n
+union all select 'src1', (select count(*) from s)"""
+
+
+def violations(spark, sf):
+    """One seeded fault per kind of resource, found by the rules."""
+    a = F.col("attributes")
+    seeded = settle(resources(spark, sf), "resources").withColumn("attributes", a.withField(
+        "languages", F.when(F.col("category") == "Crop", F.array(F.lit("eng"))).otherwise(a["languages"]),
+    ).withField(
+        "topics", F.when(F.col("category") == "Weather", F.array(F.lit("Bogus"))).otherwise(a["topics"]),
+    ).withField(
+        "weatherParameters", F.when(F.col("category") == "Livestock", F.array(F.lit("Mist"))).otherwise(a["weatherParameters"]),
+    ).withField(
+        "updateFrequency", F.when(F.col("category") == "Horticulture", F.lit("P")).otherwise(a["updateFrequency"]),
+    )).withColumn("extras", F.when(F.col("area_code") == "XC-ERTH", F.lit(
+        '{"note": {"text": ["spray 4 ml/l of it"]}, "place": {"coordinates": [1, 2]}}')))
+    return va.resource_violations(seeded, LEXICON, SETTINGS).select("resource_id", "rule", "detail")
+
+
+VIOLATION_SQL = f"""with {ROWS}, {ROLLUP}
+select resource_id, 'bad-language' as rule, 'eng' as detail from r_ where category = 'Crop'
+union all select resource_id, 'unknown-topic', 'Bogus' from r_ where category = 'Weather'
+union all select resource_id, 'foreign-group', 'weatherParameters' from r_ where category = 'Livestock'
+union all select resource_id, 'bad-duration', 'P' from r_ where category = 'Horticulture'
+union all select resource_id, 'prose', 'resourceAttributes.note.text[0] = spray 4 ml/l of it' from r_ where area_code = 'XC-ERTH'
+union all select resource_id, 'coordinates', 'coordinates' from r_ where area_code = 'XC-ERTH'"""
+
+
+def claims_hash(spark, sf):
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    body = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority")
+    return pb.claims_hash(o.join(c, o["o_custkey"] == c["c_custkey"]), body, "c_nationkey")
+
+
+_LANE = "sum(cast('0x' || substr(h, {}, 15) as hugeint))"
+CLAIMS_SQL = f"""with h as (select c_nationkey, sha256(o_orderkey || '|' || o_orderstatus || '|' || o_orderpriority) as h
+ from orders join customer on o_custkey = c_custkey)
+select c_nationkey, sha256(count(*) || '|' || {" || '|' || ".join(_LANE.format(1 + 15 * i) for i in range(4))}) as claims_hash
+from h group by 1"""
+
+
+def ledger_changes(spark, sf):
+    e = table(spark, sf, "events").select("event_type", "event_id", F.floor("value").cast("string").alias("claims_hash"))
+    return pb.mark_changes(e, "event_type", order="event_id").select("event_id", "changed_since_previous")
+
+
+LEDGER_SQL = """with e as (select event_type, event_id, cast(floor(value) as bigint)::varchar as h from events)
+select event_id, h <> lag(h) over (partition by event_type order by event_id) as changed_since_previous from e"""
+
+
+def ledger_retention(spark, sf):
+    return pb.retain(table(spark, sf, "events").select("event_id", "user_id"), SETTINGS, "event_id")
+
+
+RETENTION_SQL = "select event_id, user_id from events order by event_id desc limit 200"
+
+
+def acknowledgements(spark, sf):
+    return pb.fold_statuses(table(spark, sf, "orders"), "o_custkey", status="o_orderstatus")
+
+
+ACK_SQL = """select o_custkey, case when count(o_orderstatus) = 0 then 'ACCEPTED' when count(distinct o_orderstatus) > 1 then 'PARTIAL'
+ else min(o_orderstatus) end as status from orders group by 1"""
+
+
+def payload_bytes(spark, sf):
+    size = pb.json_bytes(F.struct("doc_id", "text", "source"))
+    return table(spark, sf, "documents").groupBy("source").agg(F.sum(size).alias("bytes"))
+
+
+BYTES_SQL = """select source, cast(sum(octet_length(encode(cast(to_json({'doc_id': doc_id, 'text': text, 'source': source}) as varchar)))) as bigint) as bytes
+from documents group by 1"""
+
+
+def run_totals(spark, sf):
+    e = psg.extraction(spark, sf)
+    rolled = onboard.catalogue(e, LEXICON, SETTINGS)
+    return rp.run_totals(e.decisions, e.passages, rolled).drop("attributes_bytes")
+
+
+TOTALS_SQL = f"""{psg.FULL}, o as (select count(*) filter (state_code is not null and usable > 0 and usable / pages >= 0.5) as ok, count(*) as n
+  from gate_ join states_ using (document))
+select (select ok from o) as onboarded, (select n - ok from o) as refused, cast(0 as bigint) as failed, count(*) as passages,
+ count(distinct resource_id) as resources from facets_"""
+
+
+def id_drift(spark, sf):
+    """Resource ids the passages carry, next to what the roll-up publishes."""
+    found = settle(document_passages(spark, sf), "passages")
+    rolled = res.rollup(found.where("page % 2 = 0"), LEXICON, SETTINGS)
+    return res.id_drift(found, rolled)
+
+
+DRIFT_SQL = f"""with {ROWS} select resource_id, 'passages' as only_in from facets_ group by 1 having count(*) filter (page % 2 = 0) = 0"""
+
+QUERIES = {
+    "resource_rollup": (rollup, ROLLUP_SQL),
+    "corpus_resources": (corpus_resources, CORPUS_SQL),
+    "resource_documents": (resource_documents, DOCUMENTS_SQL),
+    "descriptor_text": (descriptors, DESCRIPTOR_SQL),
+    "capability_counts": (capability_counts, CAPABILITY_SQL),
+    "schema_contexts": (schema_contexts, CONTEXT_SQL),
+    "catalogue_json": (catalogue_json, JSON_SQL),
+    "envelope_shape": (envelope_shape, ENVELOPE_SQL),
+    "facet_index": (facet_index, INDEX_SQL),
+    "discover_topk": (discover, DISCOVER_SQL),
+    "discover_by_subject": (discover_subject, SUBJECT_SQL),
+    "leak_probe": (leak_probe, LEAK_SQL),
+    "validation_violations": (violations, VIOLATION_SQL),
+    "claims_hash": (claims_hash, CLAIMS_SQL),
+    "ledger_changes": (ledger_changes, LEDGER_SQL),
+    "ledger_retention": (ledger_retention, RETENTION_SQL),
+    "ack_status_fold": (acknowledgements, ACK_SQL),
+    "payload_bytes": (payload_bytes, BYTES_SQL),
+    "run_totals": (run_totals, TOTALS_SQL),
+    "resource_id_drift": (id_drift, DRIFT_SQL),
+}

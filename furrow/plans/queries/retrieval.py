@@ -1 +1,122 @@
-QUERIES = {}
+"""Exact vector search, scoped and unscoped, and the index it runs on."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ...functions import vectors as vf
+from ...operators import vector_index as vi
+from ...sources.embedders import LexicalEmbedder
+from ..corpus import SETTINGS, table
+from . import catalogue
+
+
+def _query(e):
+    """The vector of id 3: one row, read on the driver as a caller's query is."""
+    return e.where("vec_id = 3").select("embedding").head()[0]
+
+
+Q = "q as (select embedding::double[] as q from embeddings where vec_id = 3)"
+COS = "round(list_cosine_similarity(embedding::double[], q), 6)"
+
+
+def cosine_topk(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return vi.top_k(e, _query(e), id_col="vec_id", limit=10).select("vec_id", F.round("score", 6).alias("score"))
+
+
+TOPK_SQL = f"with {Q} select vec_id, {COS} as score from embeddings, q order by list_cosine_similarity(embedding::double[], q) desc, vec_id limit 10"
+
+
+def cosine_topk_filtered(spark, sf):
+    e = table(spark, sf, "embeddings")
+    rows = e.withColumn("resource_id", F.col("label").cast("string")).withColumn("language", F.when(F.col("vec_id") % 2 == 0, "en"))
+    scope = vi.scoped(rows, resource_ids=["1", "2", "5"], language="en")
+    return vi.top_k(scope, _query(e), id_col="vec_id", limit=10).select("vec_id", "label", F.round("score", 6).alias("score"))
+
+
+FILTERED_SQL = f"""with {Q} select vec_id, label, {COS} as score from embeddings, q where label in (1, 2, 5) and vec_id % 2 = 0
+order by list_cosine_similarity(embedding::double[], q) desc, vec_id limit 10"""
+
+
+def scoped_search(spark, sf):
+    """Search inside what discovery returned: the three labels most seen."""
+    e = table(spark, sf, "embeddings").withColumnRenamed("label", "resource_id")
+    ids = e.groupBy("resource_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "resource_id").limit(3)
+    return vi.top_k(vi.scoped(e, resource_ids=ids), _query(e), id_col="vec_id", limit=20).select(
+        "vec_id", "resource_id", F.round("score", 6).alias("score"))
+
+
+SCOPED_SQL = f"""with {Q}, ids as (select label from embeddings group by 1 order by count(*) desc, label limit 3)
+select vec_id, label as resource_id, {COS} as score from embeddings, q where label in (select label from ids)
+order by list_cosine_similarity(embedding::double[], q) desc, vec_id limit 20"""
+
+
+def label_affinity(spark, sf):
+    """Mean cosine of every vector to the query, by label: a full scan."""
+    e = table(spark, sf, "embeddings")
+    scored = e.withColumn("score", vf.cosine_to(_query(e))("embedding"))
+    return scored.groupBy("label").agg(F.round(F.avg("score"), 6).alias("mean_score"), F.count("*").alias("n"))
+
+
+AFFINITY_SQL = f"with {Q} select label, round(avg(list_cosine_similarity(embedding::double[], q)), 6) as mean_score, count(*) as n from embeddings, q group by 1"
+
+
+def unit_norms(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", F.size("embedding").alias("dim"), F.round(vf.norm("embedding"), 5).alias("norm"),
+                    F.round(vf.norm(vf.unit("embedding")), 6).alias("unit_norm"))
+
+
+NORM_SQL = """select vec_id, cast(len(embedding) as integer) as dim, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 5) as norm,
+ 1.0::double as unit_norm from embeddings"""
+
+
+def dimension_check(spark, sf):
+    return vi.wrong_dimension(table(spark, sf, "embeddings"), 32).select("vec_id")
+
+
+DIMENSION_SQL = "select vec_id from embeddings where len(embedding) <> 32"
+
+
+def point_lookup(spark, sf):
+    """A point by its id, over points derived from documents."""
+    points = table(spark, sf, "documents").select(
+        F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("point_id"), "source", "n_chars")
+    return vi.by_id(points, "p17")
+
+
+LOOKUP_SQL = "select 'p' || doc_id as point_id, source, n_chars from documents where doc_id = 17"
+
+
+def vector_points(spark, sf):
+    """Embedded passages with their payload; checked for ids, dimension and norm."""
+    points = vi.embed(catalogue.document_passages(spark, sf), LexicalEmbedder(SETTINGS))
+    return points.select("point_id", F.size("embedding").alias("dim"), F.round(vf.norm("embedding"), 3).alias("norm"),
+                         "document", "page", "category", "area_code")
+
+
+POINTS_SQL = f"""with {catalogue.ROWS} select {catalogue.sql.uuid5("'prov-corpus:' || document || ':' || page || ':' || ordinal")} as point_id,
+ 64 as dim, case when length(text) < 3 then 0.0::double else 1.0::double end as norm, document, page, category, area_code from facets_"""
+
+
+def lexical_search(spark, sf):
+    """Documents nearest in spelling to a benchmark item."""
+    embedder = LexicalEmbedder(SETTINGS)
+    item = table(spark, sf, "benchmark").orderBy("item_id").select("text").head()[0]
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("point_id"), "source", "text")
+    points = embedder.embed_passages(docs, "text", "embedding")
+    return vi.top_k(points, embedder.embed_query(item), limit=5).select("point_id", "source", F.round("score", 6).alias("score"))
+
+
+QUERIES = {
+    "cosine_topk": (cosine_topk, TOPK_SQL),
+    "cosine_topk_filtered": (cosine_topk_filtered, FILTERED_SQL),
+    "discovery_scoped_search": (scoped_search, SCOPED_SQL),
+    "label_affinity": (label_affinity, AFFINITY_SQL),
+    "unit_norms": (unit_norms, NORM_SQL),
+    "dimension_check": (dimension_check, DIMENSION_SQL),
+    "point_lookup": (point_lookup, LOOKUP_SQL),
+    "vector_points": (vector_points, POINTS_SQL),
+    "lexical_search": (lexical_search, None),
+}
