@@ -14,8 +14,12 @@ POINT_NAMESPACE = "6f1d3c62-1f2a-5b7e-9c11-0a2b3c4d5e6f"
 BULLETS = "•●▪\\-*→"
 
 # White space as the normaliser sees it: the Unicode property plus the four
-# separator control characters.
+# separator control characters, as a character class and spelled out.
 WS = "\\p{IsWhite_Space}\\x1C-\\x1F"
+WS_CHARS = "".join(chr(c) for c in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+))
 
 
 def col(c: Column | str) -> Column:
@@ -33,7 +37,7 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Trim every kind of white space, line ends included."""
-    return F.regexp_replace(col(c), f"^[{WS}]+|[{WS}]+\\z", "")
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def stripped_length(c: Column | str) -> Column:
@@ -45,8 +49,9 @@ def tidy(c: Column | str) -> Column:
 
     The bullet class includes line ends, so blank lines disappear with it.
     """
-    out = F.regexp_replace(col(c), "\\r\\n?", "\n")
-    out = F.regexp_replace(out, "[ \\t\\x{00A0}]+", " ")
+    out = F.replace(F.replace(col(c), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    # a single blank is left alone, not replaced by itself
+    out = F.regexp_replace(out, "[ \\t\\x{00A0}]{2,}|[\\t\\x{00A0}]", " ")
     out = F.regexp_replace(out, f"(?md)^[{WS}{BULLETS}]+", "")
     out = F.regexp_replace(out, f"[{WS}&&[^\\n]]+(?=\\n|\\z)", "")
     out = F.regexp_replace(out, "\\n{3,}", "\n\n")

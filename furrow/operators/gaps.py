@@ -45,10 +45,12 @@ class GapRules:
 
     @property
     def stage_pattern(self) -> str:
-        # A run of 64 letters or more is no term, so chunks are bounded; that
-        # keeps backtracking bounded on junk lines.
+        # One to three names before a stage. A match can only begin where a run of
+        # letters does, and runs are told apart by their separators, so the
+        # search is linear in the line.
         names = "|".join(s.replace("-", "\\-") for s in self.stages)
-        return (r"(?i)((?:[A-Z][a-z]{1,63}[ /-]{0,2}){1,3})\s*[\(\-–—:]?\s*(?:" + names + r")(?![\p{L}\p{N}_])")
+        term = r"(?<![A-Z])([A-Z][a-z]+(?:[ /-]{1,2}[A-Z][a-z]+){0,2}[ /-]{0,2})"
+        return r"(?i)" + term + r"\s*[\(\-–—:]?\s*(?:" + names + r")(?![\p{L}\p{N}_])"
 
     @property
     def stage_words(self) -> tuple[str, ...]:
@@ -121,42 +123,46 @@ def signals(line_rows: DataFrame, lexicon: Lexicon, rules: GapRules) -> DataFram
     heads = F.when(F.col("unresolved") & (head != ""), F.array(head)).otherwise(none)
     return flagged.withColumn("terms", F.concat(
         _tagged("stage-column", staged), _tagged("table-cell", cell),
-        _tagged("advisory-object", objects), _tagged("advisory-no-subject", heads)))
+        _tagged("advisory-object", objects), _tagged("advisory-no-subject", heads),
+        _tagged(INDIC, F.when(F.col("unresolved"), indic_terms(line, lexicon, rules)).otherwise(none))))
 
 
-def indic_words(flagged: DataFrame, lexicon: Lexicon, rules: GapRules) -> DataFrame:
-    """Words outside Latin on unresolved advisory lines that hold no known alias."""
+def indic_terms(line: Column, lexicon: Lexicon, rules: GapRules) -> Column:
+    """Words outside Latin of a line that hold no known alias and no verb ending."""
     known = string_array(sorted(a for a in lexicon.aliases() if not is_latin(a)))
-    raw = flagged.where("unresolved").select(
-        "document", "page", "line_no", "stripped",
-        F.explode(F.regexp_extract_all("line", F.lit(f"({rules.indic_word})"), F.lit(1))).alias("raw"))
-    word = F.btrim(F.col("raw"), F.lit(rules.indic_trim))
-    ends = F.lit(False)
-    for e in rules.indic_endings:
-        ends = ends | F.endswith(F.col("term"), F.lit(e))
-    return raw.select("document", "page", "line_no", "stripped", word.alias("term")).where(
-        (F.length("term") >= 3) & ~_in(F.col("term"), rules.indic_stop)
-        & ~F.exists(known, lambda k: F.contains(F.col("term"), k)) & ~ends)
+    trimmed = F.transform(
+        F.regexp_extract_all(line, F.lit(f"({rules.indic_word})"), F.lit(1)),
+        lambda w: F.btrim(w, F.lit(rules.indic_trim)))
+
+    def kept(w):
+        ends = F.lit(False)
+        for e in rules.indic_endings:
+            ends = ends | F.endswith(w, F.lit(e))
+        return (
+            (F.length(w) >= 3) & ~_in(w, rules.indic_stop) & ~ends
+            & ~F.exists(known, lambda k: F.contains(w, k))
+        )
+
+    return F.when(F.octet_length(line) > F.length(line), F.filter(trimmed, kept)).otherwise(
+        F.array().cast("array<string>"))
 
 
 def occurrences(pages: DataFrame, lexicon: Lexicon, rules: GapRules = GapRules(),
                 state: str | None = None) -> DataFrame:
-    """Plausible (document, page, line_no, stripped, term, signal, seq) rows."""
+    """(document, page, line_no, stripped, seq, term, signal) rows in one pass.
+
+    Terms outside Latin that stand only once in a document are still among them;
+    `candidates` and `evidence` leave them out.
+    """
     flagged = signals(lines(pages), lexicon, rules)
     scope = F.col(state) if state else None
-    latin = (
+    indic = F.col("t.signal") == INDIC
+    return (
         flagged.select("document", "page", "line_no", "stripped", F.posexplode("terms").alias("seq", "t"))
-        .withColumn("term", clean(F.col("t.term"))).where(plausible(F.col("term"), lexicon, rules, scope))
+        .withColumn("term", F.when(indic, F.col("t.term")).otherwise(clean(F.col("t.term"))))
+        .where(F.when(indic, F.lit(True)).otherwise(plausible(F.col("term"), lexicon, rules, scope)))
         .select("document", "page", "line_no", "stripped", "seq", "term", F.col("t.signal").alias("signal"))
     )
-    indic = indic_words(flagged, lexicon, rules).select(
-        "document", "page", "line_no", "stripped", F.lit(1_000_000).alias("seq"), "term",
-        F.lit(INDIC).alias("signal"))
-    often = (
-        indic.groupBy("document", "term").agg(F.count("*").alias("n"))
-        .where(F.col("n") >= rules.indic_least).select("document", "term")
-    )
-    return latin.unionByName(indic.join(often, ["document", "term"], "left_semi"))
 
 
 def candidates(found: DataFrame, rules: GapRules = GapRules()) -> DataFrame:
@@ -176,18 +182,25 @@ def candidates(found: DataFrame, rules: GapRules = GapRules()) -> DataFrame:
             F.greatest(F.count_if(F.array_max("s") != INDIC), F.lit(1)).alias("pages"),
             # at most five signals exist, so at most 31 distinct lists
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("s")))).alias("signals"))
+        .where((F.array_max("signals") != INDIC) | (F.col("hits") >= rules.indic_least))
         .withColumn("score", F.col("hits") * F.when(F.size("signals") > 1, 2).otherwise(1))
     )
 
 
 def evidence(found: DataFrame, rules: GapRules = GapRules()) -> DataFrame:
     """The first lines each term stands on, two by default; one outside Latin."""
+    # One line more than shown tells a single occurrence from several.
+    most = max(rules.evidence_lines, rules.indic_least)
     rank = F.row_number().over(Window.partitionBy("document", "term").orderBy("page", "line_no", "seq"))
     text = F.format_string("p.%d  %s", F.col("page"), F.substring("stripped", 1, rules.evidence_chars))
-    kept = found.withColumn("_n", rank).where(
-        F.col("_n") <= F.when(F.col("signal") == INDIC, 1).otherwise(rules.evidence_lines))
-    return kept.withColumn("line", text).groupBy("document", "term").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_n", "line"))), lambda x: x["line"]).alias("evidence"))
+    kept = found.withColumn("_n", rank).where(F.col("_n") <= most)
+    gathered = kept.withColumn("line", text).groupBy("document", "term").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_n", "line"))), lambda x: x["line"]).alias("_lines"),
+        F.max("signal").alias("_signal"))
+    indic = F.col("_signal") == INDIC
+    return gathered.where(~indic | (F.size("_lines") >= rules.indic_least)).select(
+        "document", "term",
+        F.slice("_lines", 1, F.when(indic, 1).otherwise(rules.evidence_lines)).alias("evidence"))
 
 
 def ranked(cands: DataFrame, limit: int = 30) -> DataFrame:

@@ -23,7 +23,7 @@ fl as (select lk.*, advisory and known.no is null as unresolved from lk left joi
 
 TERMS = rf"""raw as (
   select document, page, no, 'stage-column' as signal, unnest(regexp_extract_all(line,
-    '(?i)((?:[A-Z][a-z]{{1,63}}[ /-]{{0,2}}){{1,3}})\s*[\(\-–—:]?\s*(?:{_STAGES})\b', 1)) as t from fl
+    '(?i)((?:[A-Z][a-z]+[ /-]{{0,2}}){{1,3}})\s*[\(\-–—:]?\s*(?:{_STAGES})\b', 1)) as t from fl
   union all select document, page, no, 'table-cell', st from fl where length(st) between 4 and 30
     and regexp_matches(st, '^(?:[A-Z][a-z]+|[a-z]{{4,}})(?:[ /-][A-Za-z]+){{0,2}}$')
   union all select document, page, no, 'advisory-object', unnest(regexp_extract_all(line,
