@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -160,8 +161,14 @@ def sorted_distinct(arrays: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(arrays)))
 
 
+def literal(value, ddl: str) -> Column:
+    """A list or mapping as one literal of type `ddl`. Parsed once, when the
+    optimizer folds it; thousands of entries cost one call."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl)
+
+
 def string_array(values: Iterable[str]) -> Column:
     values = list(values)
     if not values:
         return F.array().cast("array<string>")
-    return F.array(*[F.lit(v) for v in values])
+    return literal(values, "array<string>")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import alias_key, col, district_code, let, string_array
+from ..functions.text import alias_key, col, district_code, let, literal, string_array
 from ..settings import Settings
 
 # An alias made of these characters is Latin and is matched
@@ -133,7 +133,7 @@ class Lexicon:
 def _map(values: dict[str, str]) -> Column:
     if not values:
         return F.create_map().cast("map<string,string>")
-    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+    return literal(values, "map<string,string>")
 
 
 def is_latin(alias: str) -> bool:
@@ -281,8 +281,8 @@ class Matcher:
         if self.runs:
             parts.append(F.array_intersect(letter_runs(text), string_array(self.runs)))
         if self.phrases:
-            table = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(bounded_pattern(a)).alias("p"))
-                              for a in self.phrases])
+            table = literal([{"a": a, "p": bounded_pattern(a)} for a in self.phrases],
+                            "array<struct<a:string,p:string>>")
             hits = let(F.lower(text), lambda low: F.filter(
                 table, lambda x: F.contains(low, x["a"]) & F.regexp_like(low, x["p"])))
             parts.append(F.transform(hits, lambda x: x["a"]))

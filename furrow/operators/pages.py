@@ -71,21 +71,19 @@ def _terms_found(text: Column, terms: list[str]) -> Column:
 
 def repair_scores(pages: DataFrame, terms: list[str], repair=script.repair_glyphs,
                   key: str = "document") -> DataFrame:
-    """Known terms of each document before and after the glyph repair.
+    """Known terms of each document before and after the glyph repair."""
+    return score_terms(pages.select(
+        key, _terms_found(F.col("text"), terms).alias("before"),
+        _terms_found(repair(F.col("text")), terms).alias("after")), key)
 
-    A term counts once per document, so the shuffle carries distinct
-    (document, term) pairs, combined map-side, and never page text.
-    """
-    found = pages.select(
-        key,
-        F.explode_outer(F.concat(
-            F.transform(_terms_found(F.col("text"), terms), lambda t: F.struct(F.lit("b").alias("v"), t.alias("t"))),
-            F.transform(_terms_found(repair(F.col("text")), terms),
-                        lambda t: F.struct(F.lit("a").alias("v"), t.alias("t"))),
-        )).alias("hit"),
-    )
+
+def score_terms(found: DataFrame, key: str = "document") -> DataFrame:
+    """A term counts once per document, so the shuffle carries distinct
+    (document, term) pairs, combined map-side."""
+    tag = lambda v, c: F.transform(c, lambda t: F.struct(F.lit(v).alias("v"), t.alias("t")))
+    hits = found.select(key, F.explode_outer(F.concat(tag("b", "before"), tag("a", "after"))).alias("hit"))
     return (
-        found.groupBy(key, "hit").agg(F.lit(1).alias("one"))
+        hits.groupBy(key, "hit").agg(F.lit(1).alias("one"))
         .groupBy(key).agg(
             F.count_if(F.col("hit.v") == "b").alias("terms_before"),
             F.count_if(F.col("hit.v") == "a").alias("terms_after"),
@@ -94,57 +92,64 @@ def repair_scores(pages: DataFrame, terms: list[str], repair=script.repair_glyph
     )
 
 
-def state_of(pages: DataFrame, lexicon: Lexicon, key: str = "document", head_pages: int = 4,
-             texts: dict[str, Column] | None = None) -> DataFrame:
-    """State of each document: the first state, in priority order, named by the
-    file name or by one of the first pages. Null when none is.
+def state_flag(text: Column, document: Column, lexicon: Lexicon) -> Column:
+    """Place, in priority order, of the first state a page or its file name
+    gives; null when neither gives one."""
+    low, name = F.lower(text), F.lower(document)
+    choice = F.lit(None).cast("int")
+    for i, s in reversed(list(enumerate(lexicon.states))):
+        named = F.lit(False)
+        for m in s.markers:
+            named = named | F.contains(low, F.lit(m)) | F.contains(name, F.lit(m))
+        choice = F.when(named, i).otherwise(choice)
+    return choice
 
-    `texts` names variants of the page text to decide for; one output column
-    each. The rank limit runs before the shuffle, on flags instead of text.
-    """
-    texts = texts or {"state_code": F.col("text")}
-    name = F.lower(F.col(key))
-
-    def flag(text: Column) -> Column:
-        low = F.lower(text)
-        choice = F.lit(None).cast("int")
-        for i, s in reversed(list(enumerate(lexicon.states))):
-            named = F.lit(False)
-            for m in s.markers:
-                named = named | F.contains(low, F.lit(m)) | F.contains(name, F.lit(m))
-            choice = F.when(named, i).otherwise(choice)
-        return choice
-
-    flags = pages.select(key, "page", *[flag(t).alias(c) for c, t in texts.items()])
+
+def states_from_flags(flags: DataFrame, columns: list[str], lexicon: Lexicon, key: str = "document",
+                      head_pages: int = 4) -> DataFrame:
+    """Best flag of the first pages. The rank limit runs before the shuffle: a
+    document of any length sends four rows per task."""
     rank = F.row_number().over(Window.partitionBy(key).orderBy("page"))
-    heads = flags.withColumn("_rank", rank).where(F.col("_rank") <= head_pages)
+    heads = flags.select(key, "page", *columns).withColumn("_rank", rank).where(F.col("_rank") <= head_pages)
     codes = F.array(*[F.lit(s.code) for s in lexicon.states])
-    return heads.groupBy(key).agg(*[
-        F.get(codes, F.min(c)).alias(c) for c in texts
-    ])
+    return heads.groupBy(key).agg(*[F.get(codes, F.min(c)).alias(c) for c in columns])
 
 
-def document_decisions(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
+def state_of(pages: DataFrame, lexicon: Lexicon, key: str = "document") -> DataFrame:
+    """State of each document: the first state, in priority order, named by the
+    file name or by one of the first pages. Null when none is."""
+    flags = pages.select(key, "page", state_flag(F.col("text"), F.col(key), lexicon).alias("state_code"))
+    return states_from_flags(flags, ["state_code"], lexicon, key)
+
+
+def page_features(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
+    """Everything a document is judged by, as a few bytes per page."""
+    terms, text, name = lexicon.script_terms(), F.col("text"), F.col("document")
+    fixed = script.repair_glyphs(text)
+    return pages.select(
+        "document", "page", usable("text", settings).alias("usable"),
+        state_flag(text, name, lexicon).alias("_plain"),
+        (state_flag(fixed, name, lexicon) if terms else F.lit(None).cast("int")).alias("_repaired"),
+        _terms_found(text, terms).alias("before"), _terms_found(fixed, terms).alias("after"),
+    )
+
+
+def document_decisions(pages: DataFrame, lexicon: Lexicon, settings: Settings, store=None) -> DataFrame:
     """One row per document: readable?, repaired?, which state?
 
-    Only aggregates leave the pages, so no page text is shuffled.
+    Text is read once, into page features; `store` writes these for the three
+    aggregates that follow. No page text is shuffled.
     """
-    terms = lexicon.script_terms()
-    gate = scan_gate(pages, settings)
-    repaired = script.repair_glyphs(F.col("text"))
-    if terms:
-        scores = repair_scores(pages, terms)
-        states = state_of(pages, lexicon, texts={"_plain": F.col("text"), "_repaired": repaired})
-        merged = gate.join(scores, "document").join(states, "document")
-        state = F.when(F.col("repair_applied"), F.col("_repaired")).otherwise(F.col("_plain"))
-        merged = merged.withColumn("state_code", state).drop("_plain", "_repaired")
-    else:
-        merged = gate.join(state_of(pages, lexicon), "document").withColumns({
-            "terms_before": F.lit(0).cast("long"),
-            "terms_after": F.lit(0).cast("long"),
-            "repair_applied": F.lit(False),
-        })
-    return with_status(merged)
+    features = page_features(pages, lexicon, settings)
+    features = store(features, "page-features") if store else features
+    gate = _gate_columns(features.groupBy("document").agg(
+        F.count("*").alias("pages"), F.count_if("usable").alias("usable_pages")), settings)
+    merged = (
+        gate.join(score_terms(features), "document")
+        .join(states_from_flags(features, ["_plain", "_repaired"], lexicon), "document")
+    )
+    state = F.when(F.col("repair_applied"), F.col("_repaired")).otherwise(F.col("_plain"))
+    return with_status(merged.withColumn("state_code", state).drop("_plain", "_repaired"))
 
 
 def with_status(decisions: DataFrame) -> DataFrame:

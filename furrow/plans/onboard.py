@@ -59,7 +59,7 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
         kept = decisions.where(F.col("status") == "ok").select("document", "state_code")
         accepted = join_per_key(usable, kept, "document", salt_on="page", buckets=settings.salt_buckets)
     else:
-        decisions = pg.document_decisions(pages, lexicon, settings)
+        decisions = pg.document_decisions(pages, lexicon, settings, store)
         accepted = pg.apply_decisions(pages, decisions, settings)
     found = store(facets.passages(accepted, lexicon, settings, rule, store=store), "passages")
     summary = rp.passage_summary(found)
