@@ -134,6 +134,12 @@ def page_features(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> Dat
     )
 
 
+def repair_decisions(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
+    """One row per document: readable?, repaired? Whatever its state."""
+    gate = scan_gate(pages, settings)
+    return gate.join(repair_scores(pages, lexicon.script_terms()), "document")
+
+
 def document_decisions(pages: DataFrame, lexicon: Lexicon, settings: Settings, store=None) -> DataFrame:
     """One row per document: readable?, repaired?, which state?
 

@@ -20,7 +20,7 @@ from ..operators.sections import HeadingRule
 from ..session import settle
 from ..settings import Settings
 from ..sources import ocr as ocr_source
-from ..sources.sinks import latest, write_version
+from ..sources.sinks import read_table, upsert_buckets
 
 
 @dataclass
@@ -32,6 +32,14 @@ class Extraction:
     ocr: DataFrame | None  # one row per document, when recovery ran
 
 
+def repaired_pages(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
+    """All pages of readable documents, with the glyph repair where it helps."""
+    decided = pg.repair_decisions(pages, lexicon, settings).where("readable").select("document", "repair_applied")
+    text = F.when(F.col("repair_applied"), script.repair_glyphs("text")).otherwise(F.col("text"))
+    joined = join_per_key(pages, decided, "document", salt_on="page", buckets=settings.salt_buckets)
+    return joined.withColumn("text", text).drop("repair_applied")
+
+
 def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: HeadingRule = HeadingRule(),
             refusals: DataFrame | None = None, files: DataFrame | None = None, engine=None,
             store=settle) -> Extraction:
@@ -42,16 +50,8 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
     """
     readings = None
     if engine is not None and files is not None:
-        gate = pg.scan_gate(pages, settings)
-        terms = lexicon.script_terms()
-        scores = pg.repair_scores(pages, terms) if terms else gate.select(
-            "document", F.lit(0).cast("long").alias("terms_before"), F.lit(0).cast("long").alias("terms_after"),
-            F.lit(False).alias("repair_applied"))
-        first = gate.join(scores, "document")
-        readable = first.where("readable").select("document", "repair_applied")
-        text = F.when(F.col("repair_applied"), script.repair_glyphs("text")).otherwise(F.col("text"))
-        repaired = join_per_key(pages, readable, "document", salt_on="page", buckets=settings.salt_buckets) \
-            .withColumn("text", text).drop("repair_applied")
+        first = pg.repair_decisions(pages, lexicon, settings)
+        repaired = repaired_pages(pages, lexicon, settings)
         scored = store(ocr_source.augment(repaired, files, engine, lexicon, settings), "recovered")
         readings = pg.recovery_report(scored)
         usable = scored.select("document", "page", "text", "ocr", "has_image")
@@ -77,14 +77,18 @@ def catalogue(extraction: Extraction, lexicon: Lexicon, settings: Settings, *,
     return store(res.attributes(rolled, documents, lexicon, settings), "resources")
 
 
-def index(spark: SparkSession, passages: DataFrame, embedder, table: str, *, fresh: bool = False,
-          pruned: bool = False) -> DataFrame:
-    """Embed and upsert into the index table; re-ingest replaces by point id."""
-    vectors = vector_index.embed(passages, embedder)
-    held = None if fresh else latest(spark, table)
+def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settings: Settings, *,
+          fresh: bool = False, pruned: bool = False) -> DataFrame:
+    """Embed and upsert into the index table; re-ingest replaces by point id.
+
+    Buckets follow document and page range: a re-sent document touches its own
+    buckets only, and a very long one is spread over several. `pruned` also
+    drops points a re-sent document no longer has.
+    """
+    held = None if fresh else read_table(spark, table)
     if held is not None:
         vector_index.check_dimension(held, embedder.dim)
-        if pruned:
-            held = vector_index.prune(held, vectors.select("document", "point_id"), "document", ["point_id"])
-        vectors = vector_index.upsert(held, vectors, ["point_id"])
-    return write_version(vectors, table)
+    vectors = vector_index.embed(passages, embedder)
+    bucket = F.xxhash64("document", F.floor(F.col("page") / settings.page_chunk))
+    return upsert_buckets(vectors, table, ["point_id"], bucket, settings.index_buckets,
+                          fresh=fresh, pruned_by="document" if pruned else None)

@@ -30,7 +30,7 @@ def ingest_pages(spark: SparkSession, source: str, lexicon: Lexicon, settings: S
         if batch.isEmpty():
             return
         extraction = onboard.extract(batch, lexicon, settings, rule=rule)
-        onboard.index(batch.sparkSession, extraction.passages, embedder, table)
+        onboard.index(batch.sparkSession, extraction.passages, embedder, table, settings)
         if on_batch:
             on_batch(extraction, batch_id)
 
