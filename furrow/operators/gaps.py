@@ -192,8 +192,10 @@ def evidence(found: DataFrame, rules: GapRules = GapRules()) -> DataFrame:
     # One line more than shown tells a single occurrence from several.
     most = max(rules.evidence_lines, rules.indic_least)
     rank = F.row_number().over(Window.partitionBy("document", "term").orderBy("page", "line_no", "seq"))
-    text = F.format_string("p.%d  %s", F.col("page"), F.substring("stripped", 1, rules.evidence_chars))
-    kept = found.withColumn("_n", rank).where(F.col("_n") <= most)
+    text = F.format_string("p.%d  %s", F.col("page"), F.col("stripped"))
+    # Lines are cut to what is shown before they move.
+    short = found.withColumn("stripped", F.substring("stripped", 1, rules.evidence_chars))
+    kept = short.withColumn("_n", rank).where(F.col("_n") <= most)
     gathered = kept.withColumn("line", text).groupBy("document", "term").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_n", "line"))), lambda x: x["line"]).alias("_lines"),
         F.max("signal").alias("_signal"))

@@ -3,8 +3,9 @@
 A plain window puts a whole key into one task. Here positions are cut into
 chunks: a window runs inside each chunk, one summary row per chunk carries its
 total onwards, and the two are joined on (key, chunk). A key with a third of all
-rows is spread over as many tasks as it has chunks, and the window over the
-summaries sees one row per chunk only.
+rows is spread over as many tasks as it has chunks. The summaries are cut into
+chunks again, so the last window sees one row per chunk of chunks: with chunks of
+1024, a trillion rows of one key leave a million rows for it.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ Before = Window.unboundedPreceding
 
 def running(df: DataFrame, key: str, position: str, *, chunk: int,
             fill: dict[str, str] | None = None, totals: dict[str, str] | None = None,
-            inclusive: bool = True) -> DataFrame:
+            inclusive: bool = True, levels: int = 2) -> DataFrame:
     """Add carried values to `df`, which must be cheap to read twice.
 
     `fill` maps an input column to the name of its last non-null value before
@@ -39,13 +40,20 @@ def running(df: DataFrame, key: str, position: str, *, chunk: int,
           for src, new in fill.items()],
         *[F.sum(src).alias(f"_s_{new}") for src, new in totals.items()],
     )
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Before, -1)
-    carried = summary.select(
-        key, "_chunk",
-        *[F.last(f"_s_{new}", ignorenulls=True).over(earlier).alias(f"_c_{new}") for new in fill.values()],
-        *[F.coalesce(F.sum(f"_s_{new}").over(earlier), F.lit(0)).alias(f"_c_{new}")
-          for new in totals.values()],
-    )
+    if levels > 1:
+        renamed = summary.withColumnRenamed("_chunk", "_at")
+        carried = running(
+            renamed, key, "_at", chunk=chunk, inclusive=False, levels=levels - 1,
+            fill={f"_s_{n}": f"_c_{n}" for n in fill.values()},
+            totals={f"_s_{n}": f"_c_{n}" for n in totals.values()},
+        ).select(key, F.col("_at").alias("_chunk"), *[f"_c_{n}" for n in [*fill.values(), *totals.values()]])
+    else:
+        earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Before, -1)
+        carried = summary.select(
+            key, "_chunk",
+            *[F.last(f"_s_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}") for n in fill.values()],
+            *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in totals.values()],
+        )
     out = local.join(carried, [key, "_chunk"], "left").withColumns({
         **{new: F.coalesce(f"_f_{new}", f"_c_{new}") for new in fill.values()},
         **{new: (F.col(f"_t_{new}") + F.col(f"_c_{new}")).cast("long") for new in totals.values()},

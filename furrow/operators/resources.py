@@ -253,21 +253,24 @@ def catalogs(resources: DataFrame, lexicon: Lexicon, settings: Settings, now: Co
 
 def envelope(catalog_rows: DataFrame, settings: Settings, *, transaction_id: str, message_id: str,
              now: Column) -> DataFrame:
-    """The publish body as one struct row. Catalogues number at most the states
-    of the lexicon when resources are rolled up across documents."""
+    """Publish bodies, one per owner: a single one when resources are rolled up
+    across documents, else one per document. A body holds at most one catalogue
+    per state of the lexicon."""
     types = F.flatten(F.collect_list(F.transform(
         "catalog.resources", lambda r: capability_of(r["resourceAttributes"]["@type"]))))
     refs = F.transform(F.array_sort(F.array_distinct(types)), lambda t: schema_context_ref(t, settings))
     visible = F.array(*map(F.lit, settings.visible_to)).cast("array<string>")
-    return catalog_rows.agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("catalog_id", "owner", "catalog"))),
+    own_message = F.when(F.col("owner") == "", F.lit(message_id)).otherwise(
+        F.concat_ws(":", F.lit(message_id), F.col("owner")))
+    return catalog_rows.groupBy("owner").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("catalog_id", "catalog"))),
                     lambda m: m["catalog"]).alias("_catalogs"),
         refs.alias("_refs"),
-    ).where(F.size("_catalogs") > 0).select(
+    ).select(
         F.struct(
             F.lit(settings.domain).alias("domain"), F.lit("publish").alias("action"),
             F.lit(settings.envelope_version).alias("version"),
-            F.lit(transaction_id).alias("transactionId"), F.lit(message_id).alias("messageId"),
+            F.lit(transaction_id).alias("transactionId"), own_message.alias("messageId"),
             wire_time(now).alias("timestamp"),
             F.col("_refs").alias("schemaContext"),
         ).alias("context"),

@@ -91,4 +91,5 @@ def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settin
     vectors = vector_index.embed(passages, embedder)
     bucket = F.xxhash64("document", F.floor(F.col("page") / settings.page_chunk))
     return upsert_buckets(vectors, table, ["point_id"], bucket, settings.index_buckets,
-                          fresh=fresh, pruned_by="document" if pruned else None)
+                          fresh=fresh, pruned_by="document" if pruned else None,
+                          sort_by=("resource_id", "language"))
