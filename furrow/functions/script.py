@@ -112,6 +112,9 @@ def languages_of(texts: Column, settings) -> Column:
     return F.transform(texts, lambda t: language(t, settings))
 
 
+DEVANAGARI = f"[{_span(0x0900, 0x097F)}]"
+
+
 def devanagari_chars(c: Column | str) -> Column:
     return chars_in(c, _span(0x0900, 0x097F))
 

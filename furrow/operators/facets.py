@@ -50,32 +50,38 @@ def choose_area(section: Column, mentioned: Column, state: Column) -> tuple[Colu
     return primary, F.filter(rest, lambda code: code != primary)
 
 
-def passages(pages: DataFrame, lexicon: Lexicon, settings: Settings,
-             rule: sections.HeadingRule = sections.HeadingRule(), store=None) -> DataFrame:
-    """Passages with resolved facets, from `document, page, text, ocr, state_code`.
+def segmented(pages: DataFrame, lexicon: Lexicon, settings: Settings,
+              rule: sections.HeadingRule = sections.HeadingRule()) -> DataFrame:
+    """Pages cut into blocks, each page with the headings and counts that later
+    steps need: the one pass over accepted page text.
 
-    `store` writes an intermediate table that is read twice (see
-    `session.settle`); it holds the segmented pages.
+    Input is `document, page, text, ocr, state_code`. The result is read several
+    times and should be written (see `session.settle`).
     """
-    state = F.col("state_code")
+    state, text = F.col("state_code"), F.col("text")
     headed = pages.select(
         "document", "page", "state_code", F.col("ocr").alias("from_ocr"), "text",
-        sections.page_heading(F.col("text"), state, lexicon, rule).alias("_page_heading"),
+        sections.page_heading(text, state, lexicon, rule).alias("_page_heading"),
+        script.devanagari_chars(text).alias("script_chars"),
+        F.when(text.rlike(script.DEVANAGARI), script.marker_hits(text)).otherwise(0).alias("marker_hits"),
     )
-    blocked = with_blocks(headed, lexicon, settings).drop("text"    ).withColumn(
+    return with_blocks(headed, lexicon, settings).drop("text").withColumn(
         "_heads", F.transform("blocks", lambda b: sections.heading_areas(b, state, lexicon, rule))
-    ).withColumn(
-        "_leaves_with", F.coalesce(sections.last_heading(F.col("_heads")), F.col("_page_heading"))
-    ).withColumn("_count", F.size("blocks").cast("long"))
-    blocked = store(blocked, "blocks") if store else blocked.persist()
+    ).withColumns({
+        "_leaves_with": F.coalesce(sections.last_heading(F.col("_heads")), F.col("_page_heading")),
+        "_count": F.size("blocks").cast("long"),
+    })
+
 
-    placed = running(
+def placed(blocked: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
+    """Passages with resolved facets, from `segmented` pages."""
+    carried = running(
         blocked, "document", "page", chunk=settings.page_chunk,
         fill={"_leaves_with": "_inherited"}, totals={"_count": "_before"}, inclusive=False,
     )
     # The page's own last heading line replaces what it inherits, from the top.
     filled = sections.fill_blocks(F.col("_heads"))
-    rows = placed.select(
+    rows = carried.select(
         "document", "page", "state_code", "from_ocr", "_before",
         F.coalesce("_page_heading", "_inherited").alias("_top"),
         F.posexplode(F.arrays_zip(F.col("blocks").alias("text"), filled.alias("section"))).alias("_i", "b"),

@@ -28,6 +28,9 @@ from ..settings import Settings
 # without regard to case and with no letter on either side.
 LATIN_ALIAS = r"^[a-z0-9 ()\-']+$"
 
+# What sets an alias without a letter run apart; every such alias has one.
+TELLING = "[^a-z ]"
+
 ENTRY_SCHEMA = T.StructType([
     T.StructField("dimension", T.StringType()),   # subject district topic weather
     T.StructField("scope", T.StringType()),       # state code for districts, else ''
@@ -361,34 +364,34 @@ def match_by_join(texts: DataFrame, lexicon: DataFrame, key: str, text: str = "t
                   scope: str | None = None) -> DataFrame:
     """Distinct (key, dimension, scope, alias, canonical) mentions by equi-join.
 
-    Every alias has an anchor: its longest letter run, or its first two
-    characters where it has none. A text offers its distinct letter runs and,
-    for the rest, its distinct pairs of adjacent characters. Equal anchors make
-    a candidate, which the exact test confirms. No text meets an alias it does
+    Every alias has an anchor: a Latin one its longest letter run, any other the
+    first of its characters that is neither a small letter nor a blank, with the
+    character after it. A text offers its distinct letter runs and its distinct
+    characters of that kind, alone and with their successor. Equal anchors make
+    a candidate, which the exact test confirms. Give the lexicon as a stored table:
+    Spark then knows its size, broadcasts one under the threshold, so that offers
+    are never shuffled, and shuffles both sides otherwise. No text meets an alias it does
     not share an anchor with, and a frequent anchor is split by AQE since the
     lexicon side holds few rows per anchor.
     """
     runs = F.filter(F.split(F.col("alias"), "[^a-z]+"), lambda w: F.length(w) > 0)
     longest = F.array_max(F.transform(runs, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
     latin = F.col("alias").rlike(LATIN_ALIAS)
-    anchored = lexicon.withColumn("_latin", latin).withColumn(
-        "_anchor",
-        F.when(latin & longest.isNotNull(), F.concat(F.lit("w:"), longest["w"]))
-        .when(F.length("alias") >= 2, F.concat(F.lit("c:"), F.substring("alias", 1, 2)))
-        .otherwise(F.concat(F.lit("c:"), F.col("alias"))),
-    ).withColumn(
-        "_pattern",
-        F.concat(F.lit("(?<![a-z])"), F.regexp_replace("alias", r"([()\-])", r"\\$1"), F.lit("(?![a-z])")),
-    )
+    anchored = lexicon.withColumns({
+        "_latin": latin,
+        "_anchor": F.when(latin & longest.isNotNull(), F.concat(F.lit("w:"), longest["w"])).otherwise(
+            F.concat(F.lit("c:"), F.regexp_extract("alias", f"{TELLING}[\\s\\S]?", 0))),
+        "_pattern": F.concat(
+            F.lit("(?<![a-z])"), F.regexp_replace("alias", r"([()\-])", r"\\$1"), F.lit("(?![a-z])")),
+    })
     body = F.col(text)
-
-    def pieces(chars):
-        pairs = F.transform(chars, lambda c, i: F.concat(c, F.coalesce(F.get(chars, i + 1), F.lit(""))))
-        return F.transform(F.array_union(pairs, chars), lambda p: F.concat(F.lit("c:"), p))
-
+    pieces = F.array_distinct(F.concat(
+        F.regexp_extract_all(body, F.lit(f"(?=({TELLING}[\\s\\S]))"), F.lit(1)),
+        F.regexp_extract_all(body, F.lit(f"({TELLING})"), F.lit(1)),
+    ))
     offered = F.concat(
         F.transform(letter_runs(body), lambda w: F.concat(F.lit("w:"), w)),
-        let(F.split(body, ""), pieces),
+        F.transform(pieces, lambda p: F.concat(F.lit("c:"), p)),
     )
     probe = texts.select(key, *([F.col(scope).alias("_scope")] if scope else []),
                          F.explode(offered).alias("_offer"))

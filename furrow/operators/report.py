@@ -40,15 +40,15 @@ def passage_summary(passages: DataFrame) -> DataFrame:
 
 
 def encoding_by_document(pages: DataFrame, **how) -> DataFrame:
+    """Page count and encoding of each document, from counts made per page."""
     counts = pages.groupBy("document").agg(
-        F.count("*").alias("pages"),
-        F.sum(script.devanagari_chars("text")).alias("_chars"),
-        F.sum(script.marker_hits("text")).alias("_hits"),
-    )
+        F.count("*").alias("pages"), F.sum("script_chars").alias("_chars"), F.sum("marker_hits").alias("_hits"))
     return counts.select("document", "pages", script.encoding(F.col("_chars"), F.col("_hits"), **how).alias("encoding"))
 
 
 def extraction_report(pages: DataFrame, passages: DataFrame, settings: Settings) -> DataFrame:
+    """One row per document. `pages` needs the per-page counts `script_chars` and
+    `marker_hits`, as segmented pages have; page text is not read again."""
     summary = passage_summary(passages)
     out = (
         encoding_by_document(pages)

@@ -61,12 +61,13 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
     else:
         decisions = pg.document_decisions(pages, lexicon, settings, store)
         accepted = pg.apply_decisions(pages, decisions, settings)
-    found = store(facets.passages(accepted, lexicon, settings, rule, store=store), "passages")
+    blocked = store(facets.segmented(accepted, lexicon, settings, rule), "blocks")
+    found = store(facets.placed(blocked, lexicon, settings), "passages")
     summary = rp.passage_summary(found)
     outcome = rp.with_failures(decisions, summary)
     if refusals is not None:
         outcome = outcome.unionByName(refusals, allowMissingColumns=True)
-    return Extraction(outcome, accepted, found, rp.extraction_report(accepted, found, settings), readings)
+    return Extraction(outcome, accepted, found, rp.extraction_report(blocked, found, settings), readings)
 
 
 def catalogue(extraction: Extraction, lexicon: Lexicon, settings: Settings, *,

@@ -19,7 +19,7 @@ def extraction(spark, sf):
 def line_passages(spark, sf):
     """Every line of 80 characters or more as a passage; nothing is carried."""
     pages = corpus.pages(spark, sf)
-    decisions = pg.document_decisions(pages, LEXICON, SETTINGS)
+    decisions = pg.document_decisions(pages, LEXICON, SETTINGS, settle)
     rows = pg.apply_decisions(pages, decisions, SETTINGS).select(
         "document", "page", "state_code", F.col("ocr").alias("from_ocr"),
         F.posexplode(F.split("text", "\n")).alias("i", "text"),
@@ -95,7 +95,7 @@ blocks as (select document, page, out as text, row_number() over (partition by d
 
 def page_blocks(spark, sf):
     pages = corpus.pages(spark, sf)
-    accepted = pg.apply_decisions(pages, pg.document_decisions(pages, LEXICON, SETTINGS), SETTINGS)
+    accepted = pg.apply_decisions(pages, pg.document_decisions(pages, LEXICON, SETTINGS, settle), SETTINGS)
     return with_blocks(accepted, LEXICON, SETTINGS).select(
         "document", "page", F.posexplode("blocks").alias("i", "text")).select(
         "document", "page", (F.col("i") + 1).cast("long").alias("block"), F.length("text").alias("chars"),

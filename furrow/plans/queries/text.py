@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ...functions import prose, script, text as tx, vectors
 from ...operators import lexicon as lx, pages as pg, report
 from ...operators.facets import category_of
+from ...session import settle
 from .. import corpus
 from ..corpus import LEXICON, SETTINGS, table
 from . import sql
@@ -62,7 +63,7 @@ select distinct doc_id, dimension, canonical from documents join lex on dimensio
 def match_pairs_joined(spark, sf):
     """The route for lexicons too large to inline, on the same lexicon."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    frame = LEXICON.frame(spark).where("dimension <> 'district'").drop("is_latin")
+    frame = settle(LEXICON.frame(spark).where("dimension <> 'district'").drop("is_latin"), "lexicon")
     return lx.match_by_join(docs, frame, "doc_id").select("doc_id", "dimension", "canonical").distinct()
 
 
