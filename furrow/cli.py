@@ -72,8 +72,11 @@ def run_onboard(args, spark, settings: Settings) -> int:
     if not totals["ok"]:
         print("nothing was publishable")
         return 1
-    resources = onboard.catalogue(got, lexicon, settings)
-    index = onboard.index(spark, got.passages, embedder, f"{args.out}/index", settings, fresh=args.fresh)
+    resources, index, timing = onboard.both(spark, got, lexicon, settings, embedder, f"{args.out}/index", fresh=args.fresh)
+    print(f"timing       catalogue {timing['catalogue_seconds']:.1f}s, index {timing['index_seconds']:.1f}s, wall {timing['wall_seconds']:.1f}s")
+    tokens = embedder.token_column("text")
+    if tokens is not None:
+        print("tokens       " + str(rp.token_report(got.passages, settings, tokens).head().asDict()))
     result = publish.publish(spark, resources, lexicon, settings, table=f"{args.out}/node", ledger=f"{args.out}/ledger")
     changed = {None: "first recorded publish", True: "claims changed", False: "claims unchanged"}[result.changed]
     print(f"published    {result.status}, {result.resources} resources, {result.payload_bytes:,} bytes, {changed}")
@@ -97,6 +100,9 @@ def run_onboard(args, spark, settings: Settings) -> int:
             print(r["resource_id"], r["a"])
     if not args.no_save:
         sinks.write_json(resources.select("catalog_id", "resource_id", "descriptor", "attributes"), f"{args.out}/resources", "catalog_id")
+        sinks.write_json(result.envelope, f"{args.out}/payload")
+        own = onboard.catalogue(got, lexicon, settings, by_document=True)
+        sinks.write_json(sinks.document_resources(own, got.report, lexicon, settings), f"{args.out}/documents", "document")
     return 1 if totals["failed"] else 0
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import script
-from ..functions.text import citation, point_id, resource_id, string_array
+from ..functions.text import citation, point_id, resource_id, string_array, stripped_length
 from ..settings import Settings
 from . import sections
 from .lexicon import Lexicon, with_mentions
@@ -62,6 +62,7 @@ def segmented(pages: DataFrame, lexicon: Lexicon, settings: Settings,
     headed = pages.select(
         "document", "page", "state_code", F.col("ocr").alias("from_ocr"), "text",
         sections.page_heading(text, state, lexicon, rule).alias("_page_heading"),
+        F.length(text).alias("chars"), stripped_length(text).alias("body_chars"),
         script.devanagari_chars(text).alias("script_chars"),
         F.when(text.rlike(script.DEVANAGARI), script.marker_hits(text)).otherwise(0).alias("marker_hits"),
     )

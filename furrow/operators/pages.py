@@ -35,23 +35,26 @@ def _gate_columns(df: DataFrame, settings: Settings) -> DataFrame:
 def thin_report(pages: DataFrame, settings: Settings, key: str = "document") -> DataFrame:
     """Pages that pass the gate with next to nothing on them, and whether the
     share of unread pages deserves a warning."""
-    n = stripped_length("text")
-    return (
-        pages.groupBy(key).agg(
-            F.count("*").alias("pages"),
-            F.sum(F.length("text")).alias("char_count"),
-            F.count_if(F.col("ocr")).alias("ocr_pages"),
-            F.count_if(~F.col("ocr") & (n >= settings.min_page_chars) & (n < settings.thin_page_chars))
-            .alias("thin_pages"),
-            F.count_if(n < settings.min_page_chars).alias("empty_pages"),
-        )
-        .withColumn("unread_pages", F.col("thin_pages") + F.col("empty_pages"))
-        .withColumn(
-            "thin_warning",
-            (F.col("unread_pages") > 0)
-            & (F.col("unread_pages") / F.greatest(F.col("pages"), F.lit(1)) >= settings.thin_warning_ratio),
-        )
-    )
+    measured = pages.select(key, "ocr", F.length("text").alias("chars"), stripped_length("text").alias("body_chars"))
+    counted = measured.groupBy(key).agg(F.count("*").alias("pages"), *thin_counts(settings))
+    return with_thin_warning(counted, settings)
+
+
+def thin_counts(settings: Settings) -> list[Column]:
+    """Aggregates over `ocr`, `chars` and `body_chars` of pages."""
+    n = F.col("body_chars")
+    return [
+        F.sum("chars").alias("char_count"),
+        F.count_if("ocr").alias("ocr_pages"),
+        F.count_if(~F.col("ocr") & (n >= settings.min_page_chars) & (n < settings.thin_page_chars)).alias("thin_pages"),
+        F.count_if(n < settings.min_page_chars).alias("empty_pages"),
+    ]
+
+
+def with_thin_warning(counted: DataFrame, settings: Settings) -> DataFrame:
+    share = F.col("unread_pages") / F.greatest(F.col("pages"), F.lit(1))
+    return counted.withColumn("unread_pages", F.col("thin_pages") + F.col("empty_pages")).withColumn(
+        "thin_warning", (F.col("unread_pages") > 0) & (share >= settings.thin_warning_ratio))
 
 
 def is_picture(text: Column | str, has_image: Column | str, settings: Settings) -> Column:

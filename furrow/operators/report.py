@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import script
 from ..functions.text import token_count
 from ..settings import Settings
+from .pages import thin_counts, with_thin_warning
 
 
 def _histogram(passages: DataFrame, column: str, as_: str) -> DataFrame:
@@ -39,19 +40,21 @@ def passage_summary(passages: DataFrame) -> DataFrame:
         "districts", F.coalesce("districts", F.lit(0).cast("long")))
 
 
-def encoding_by_document(pages: DataFrame, **how) -> DataFrame:
-    """Page count and encoding of each document, from counts made per page."""
-    counts = pages.groupBy("document").agg(
-        F.count("*").alias("pages"), F.sum("script_chars").alias("_chars"), F.sum("marker_hits").alias("_hits"))
-    return counts.select("document", "pages", script.encoding(F.col("_chars"), F.col("_hits"), **how).alias("encoding"))
+def page_summary(pages: DataFrame, settings: Settings) -> DataFrame:
+    """Pages, characters, thin pages and encoding of each document, from counts
+    made per page; page text is not read again."""
+    counted = pages.withColumnRenamed("from_ocr", "ocr").groupBy("document").agg(
+        F.count("*").alias("pages"), *thin_counts(settings),
+        F.sum("script_chars").alias("_chars"), F.sum("marker_hits").alias("_hits"))
+    return with_thin_warning(counted, settings).withColumn(
+        "encoding", script.encoding(F.col("_chars"), F.col("_hits"))).drop("_chars", "_hits")
 
 
 def extraction_report(pages: DataFrame, passages: DataFrame, settings: Settings) -> DataFrame:
-    """One row per document. `pages` needs the per-page counts `script_chars` and
-    `marker_hits`, as segmented pages have; page text is not read again."""
+    """One row per document, from segmented pages and their passages."""
     summary = passage_summary(passages)
     out = (
-        encoding_by_document(pages)
+        page_summary(pages, settings)
         .join(summary, "document", "left")
         .join(_histogram(passages, "language", "languages"), "document", "left")
         .join(_histogram(passages, "category", "categories"), "document", "left")
@@ -112,3 +115,14 @@ def with_failures(decisions: DataFrame, summary: DataFrame) -> DataFrame:
         "status": F.when(failed, "failed").otherwise(F.col("status")),
         "reason": F.when(failed, "no passages extracted").otherwise(F.col("reason")),
     }).drop("passages")
+
+
+def branch_timing(catalogue_seconds: float, index_seconds: float, wall_seconds: float) -> dict:
+    """What running both outputs at once bought. Only a wall clock clearly below
+    the sum is evidence of overlap."""
+    total = catalogue_seconds + index_seconds
+    return {
+        "catalogue_seconds": catalogue_seconds, "index_seconds": index_seconds, "wall_seconds": wall_seconds,
+        "saved_seconds": total - wall_seconds, "ran_in_parallel": wall_seconds < total * 0.95,
+        "ratio": index_seconds / max(catalogue_seconds, 1e-9),
+    }

@@ -7,6 +7,8 @@ that costs the rest of the batch.
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,3 +96,19 @@ def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settin
     return upsert_buckets(vectors, table, ["point_id"], bucket, settings.index_buckets,
                           fresh=fresh, pruned_by="document" if pruned else None,
                           sort_by=("resource_id", "language"))
+
+
+def both(spark: SparkSession, extraction: Extraction, lexicon: Lexicon, settings: Settings, embedder, table: str, *,
+         fresh: bool = False) -> tuple[DataFrame, DataFrame, dict]:
+    """Catalogue and index side by side: two Spark jobs from two threads reading
+    one passages table. Returns resources, index and the timing."""
+    def timed(work):
+        started = time.perf_counter()
+        return work(), time.perf_counter() - started
+
+    started = time.perf_counter()
+    with ThreadPoolExecutor(2) as pool:
+        a = pool.submit(timed, lambda: catalogue(extraction, lexicon, settings))
+        b = pool.submit(timed, lambda: index(spark, extraction.passages, embedder, table, settings, fresh=fresh))
+        (resources, a_seconds), (vectors, b_seconds) = a.result(), b.result()
+    return resources, vectors, rp.branch_timing(a_seconds, b_seconds, time.perf_counter() - started)

@@ -288,13 +288,13 @@ select (select ok from o) as onboarded, (select n - ok from o) as refused, cast(
 
 
 def id_drift(spark, sf):
-    """Resource ids the passages carry, next to what the roll-up publishes."""
+    """Ids of all passages against a roll-up of the English ones alone."""
     found = settle(document_passages(spark, sf), "passages")
-    rolled = res.rollup(found.where("page % 2 = 0"), LEXICON, SETTINGS)
+    rolled = res.rollup(found.where("language = 'en'"), LEXICON, SETTINGS)
     return res.id_drift(found, rolled)
 
 
-DRIFT_SQL = f"""with {ROWS} select resource_id, 'passages' as only_in from facets_ group by 1 having count(*) filter (page % 2 = 0) = 0"""
+DRIFT_SQL = f"""with {ROWS} select resource_id, 'passages' as only_in from facets_ group by 1 having count(*) filter (language = 'en') = 0"""
 
 QUERIES = {
     "resource_rollup": (rollup, ROLLUP_SQL),

@@ -174,15 +174,15 @@ DUPLICATE_SQL = "select source, sha256(text) as digest, count(*) as n from docum
 
 
 def round_trip(spark, sf):
-    """Orders against a copy that lost some and changed others."""
+    """Orders against a copy that lost the urgent ones and changed the pending ones."""
     o = table(spark, sf, "orders")
-    held = o.where("o_orderkey % 11 <> 0").withColumn(
-        "o_orderstatus", F.when(F.col("o_orderkey") % 13 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    held = o.where("o_orderpriority <> '1-URGENT'").withColumn(
+        "o_orderstatus", F.when(F.col("o_orderstatus") == "P", F.lit("X")).otherwise(F.col("o_orderstatus")))
     return dc.round_trip(o, held, "o_orderkey", "o_orderstatus")
 
 
-TRIP_SQL = """select o_orderkey, case when o_orderkey % 11 = 0 then 'not held' else 'differs' end as problem
-from orders where o_orderkey % 11 = 0 or o_orderkey % 13 = 0"""
+TRIP_SQL = """select o_orderkey, case when o_orderpriority = '1-URGENT' then 'not held' else 'differs' end as problem
+from orders where o_orderpriority = '1-URGENT' or o_orderstatus = 'P'"""
 
 
 def text_probe(spark, sf):
@@ -193,15 +193,14 @@ PROBE_SQL = "select doc_id, source from documents where contains(lower(text), 'a
 
 
 def upsert_events(spark, sf):
-    """Later events of a user and type replace the state that earlier ones left."""
+    """A user's latest browsing, replaced by the latest other event where there is one."""
     e = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
-    order = [F.desc("event_id")]
-    held = first_per(e.where("event_id % 2 = 0"), ["user_id", "event_type"], order)
-    return vi.upsert(held, e.where("event_id % 2 = 1"), ["user_id", "event_type"], order)
+    browsing, order = F.col("event_type").isin("click", "view"), [F.desc("event_id")]
+    return vi.upsert(first_per(e.where(browsing), ["user_id"], order), e.where(~browsing), ["user_id"], order)
 
 
 UPSERT_SQL = """select user_id, event_type, event_id, value from events
-qualify row_number() over (partition by user_id, event_type order by event_id % 2 desc, event_id desc) = 1"""
+qualify row_number() over (partition by user_id order by (event_type in ('click', 'view')), event_id desc) = 1"""
 
 QUERIES = {
     "scan_gate": (scan_gate, GATE_SQL),

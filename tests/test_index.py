@@ -146,3 +146,9 @@ def test_settings_from_environment():
     assert s.ocr_enabled and s.visible_to == ("a", "b") and s.max_passage_chars == 500
     assert not Settings.from_env({}).ocr_enabled and "off" in Settings().describe()["ocr"]
     assert "no model" in Settings(embedding_backend="lexical").describe()["embeddings"]
+
+
+def test_timing_claims_overlap_only_when_there_was_some():
+    from furrow.operators.report import branch_timing
+
+    assert branch_timing(1.0, 9.0, 9.0)["ran_in_parallel"] and not branch_timing(0.1, 9.0, 9.05)["ran_in_parallel"]

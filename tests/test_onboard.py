@@ -103,7 +103,7 @@ def test_report(got, rows):
     r = {x["document"]: x for x in got.report.collect()}["alphaland_b1.pdf"]
     assert r["pages"] == 6 and r["passages"] == len(rows["alphaland_b1.pdf"])
     assert r["districts"] == 3 and r["categories"] == {"Crop": 2, "Horticulture": 1, "Livestock": 2, "Weather": 1}
-    assert r["with_subject"] == 4 and r["encoding"]["healthy"]
+    assert r["with_subject"] == 4 and r["encoding"]["healthy"] and r["thin_warning"] and r["char_count"] > 500
 
 
 @pytest.fixture(scope="module")
@@ -139,7 +139,7 @@ def test_by_document_rollup_and_json(got, lexicon, settings):
 
     own = onboard.catalogue(got, lexicon, settings, by_document=True)
     assert all(r["s"] == [r["owner"]] for r in own.select("owner", F.col("attributes.evidence.sourceDocuments").alias("s")).collect())
-    docs = {r["document"]: r for r in document_resources(own, got.report).collect()}
+    docs = {r["document"]: r for r in document_resources(own, got.report, lexicon, settings).collect()}
     b1 = docs["alphaland_b1.pdf"]
     assert b1["resourceCount"] == len(b1["resources"]) == sum(b1["capabilityTypes"].values())
 
