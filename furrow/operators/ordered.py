@@ -26,7 +26,7 @@ def running(df: DataFrame, key: str, position: str, *, chunk: int,
     rows strictly before. (key, position) is unique and position is integral.
     """
     fill, totals = fill or {}, totals or {}
-    cut = F.floor(F.col(position) / F.lit(chunk)).cast("long")
+    cut = F.expr(f"`{position}` div {chunk}")  # integer division keeps large positions exact
     rows = df.withColumn("_chunk", cut)
     inside = Window.partitionBy(key, "_chunk").orderBy(position)
     local = rows.withColumns({

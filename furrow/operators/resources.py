@@ -289,7 +289,7 @@ def capability_counts(resources: DataFrame) -> DataFrame:
 
 
 def schema_contexts(resources: DataFrame, settings: Settings) -> DataFrame:
-    """Distinct schema references of all capability types present."""
+    """Distinct schema addresses of all capability types present."""
     return resources.select(schema_context_ref(F.col("capability"), settings).alias("schema_context")).distinct()
 
 

@@ -30,8 +30,8 @@ TOPK_SQL = f"with {Q} select vec_id, {COS} as score from embeddings, q order by
 
 def cosine_topk_filtered(spark, sf):
     e = table(spark, sf, "embeddings")
-    rows = e.withColumn("resource_id", F.col("label").cast("string")).withColumn("language", F.when(F.col("label") < 5, "en"))
-    scope = vi.scoped(rows, resource_ids=["1", "2", "5"], language="en")
+    rows = e.withColumn("resource_id", F.col("label")).withColumn("language", F.when(F.col("label") < 5, "en"))
+    scope = vi.scoped(rows, resource_ids=[1, 2, 5], language="en")
     return vi.top_k(scope, _query(e), id_col="vec_id", limit=10).select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
