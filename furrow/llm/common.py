@@ -95,6 +95,19 @@ def by_bytes(texts: list[str], most: int = 2_000_000) -> Iterator[list[bytes]]:
         yield run
 
 
+def by_chars(texts: list[str], most: int = 1_500_000) -> Iterator[list[str]]:
+    """The texts in runs of about `most` characters; a longer text is a run of its own."""
+    run, size = [], 0
+    for t in texts:
+        if run and size + len(t) > most:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += len(t)
+    if run:
+        yield run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix) over unsigned integers."""
     x = x.astype(np.uint64, copy=True)

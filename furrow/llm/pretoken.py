@@ -10,20 +10,18 @@ A piece is a dictionary key: `word` stands for the text " word"; "\\nword" for i
 
 from __future__ import annotations
 
-import re
-
 import public_tokenizers
 import regex
 
 MATCHES = regex.compile(public_tokenizers.PATTERN)
-#: White space other than a single blank or line feed between two other characters.
-_ODD = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")
+#: White space other than the blank and the line feed, and runs of these two.
+ODD = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["  ", "\n\n", " \n", "\n "]
 
 
 def pieces(text: str) -> list:
     if not text:
         return []
-    if _ODD.search(text):
+    if text[0] in " \n" or text[-1] in " \n" or any([o in text for o in ODD]):
         return [(m,) for m in MATCHES.findall(text)]
     out = text.replace("\n", " \n").split(" ")
     out[0] = (out[0],)
