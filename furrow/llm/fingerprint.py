@@ -94,7 +94,7 @@ def followed(docs: DataFrame) -> DataFrame:
     """Deal rows out by ranges of descending ids. A range's last row needs the first row of the next range: that row
     also goes to the range before as a guest (its id is the range's own bound, so nothing is gathered to find it)."""
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = np.array(ranges(docs, parts), np.int64)
+    bounds = np.array(ranges(docs, 8 * parts), np.int64)  # several ranges each, so that partitions are even
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

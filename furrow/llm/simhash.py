@@ -314,22 +314,30 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, apart: int = APART, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp, component_id for every row."""
-    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = settle(fingerprints(own, keep=["doc_id"]), "fingerprints")
-    groups = grouped(rows, "doc_id", apart)
-    return rows.join(groups, "fp").select("doc_id", "fp", "component_id")
+    """doc_id, row, fp, component_id, first_row for every row.
 
-
-def grouped(rows: DataFrame, doc_id: str, apart: int = APART) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of the settled rows."""
-    distinct = settle(rows.groupBy("fp").agg(F.min(doc_id).alias("least")), "distinct")
+    `row` numbers the rows of the scan; `first_row` is the row of its component with the smallest id (then number),
+    nulls last.
+    """
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+                      F.col(f"`{text}`").alias("text"))
+    rows = settle(fingerprints(own, keep=["doc_id", "row"]), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
+    distinct = settle(rows.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
     roots = components(links(distinct, apart))
     named = settle(distinct.join(roots, distinct.fp == roots.u, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
-    # only components of several fingerprints need their members' minimum
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(least, "root").select("fp", "component_id")
+    least = named.groupBy("root").agg(F.min("least").alias("first"))
+    groups = named.join(least, "root").select(
+        "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row"))
+    return rows.join(groups, "fp").select("doc_id", "row", "fp", "component_id", "first_row")
+
+
+def one_of_each(docs: DataFrame, apart: int = APART) -> DataFrame:
+    """One row of each component, with all its columns. `docs` must be a stored table: its rows are numbered twice."""
+    kept = near_groups(docs, apart).filter("row = first_row").select(F.col("row").alias("__row"))
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.join(kept, "__row", "left_semi").drop("__row")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
