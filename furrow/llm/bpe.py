@@ -32,7 +32,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import by_chars, map_texts
+from .common import by_chars, map_texts, per_worker
 from .pretoken import MATCHES, pieces, text_of
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -196,13 +196,8 @@ class Codec:
         return out
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    return per_worker(f"codec {path}", lambda: Codec(path))
 
 
 def encode(docs: DataFrame, path: str | None = None, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:

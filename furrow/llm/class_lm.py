@@ -195,7 +195,7 @@ def train(texts: DataFrame) -> tuple[dict, DataFrame, int]:
     bigrams = np.zeros(size * size)
     bigrams[got["pair"].to_numpy()] = got["n"].to_numpy()
     bigrams = bigrams.reshape(size, size)
-    own = exchange(bigrams)
+    own = exchange(bigrams, CLASSES, SWEEPS)
     # words and tokens of each item: groups over the whole table, less the words that are items themselves
     words, tokens = np.zeros(size), np.zeros(size)
     for r in (counts.filter(F.col("word") != END).groupBy(group_column(F.col("word")).alias("g"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -81,18 +83,15 @@ def concatenated(texts: list[bytes], gap: int = 0, fill: bytes = b"\xff") -> tup
     return joined, starts, starts + sizes
 
 
-def by_bytes(texts: list[str], most: int = 2_000_000) -> Iterator[list[bytes]]:
-    """The UTF-8 texts in runs of about `most` bytes; a longer text is a run of its own."""
-    run, size = [], 0
-    for t in texts:
-        b = t.encode("utf-8", "surrogatepass")
-        if run and size + len(b) > most:
-            yield run
-            run, size = [], 0
-        run.append(b)
-        size += len(b)
-    if run:
-        yield run
+def per_worker(key: str, make: Callable):
+    """An object that a worker process makes once and keeps over its tasks.
+
+    Functions travel to tasks with their own copy of module globals, so what should outlive a task is kept apart.
+    """
+    state = sys.modules.setdefault("_training_data_worker", types.ModuleType("_training_data_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
 
 
 def by_chars(texts: list[str], most: int = 1_500_000) -> Iterator[list[str]]:

@@ -10,25 +10,26 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .common import mix64
+from .common import mix64, per_worker
 
 LETTER, DIGIT, SYMBOL = 1, 2, 3
 _BMP = 1 << 16
-_TABLES: list[np.ndarray] = []
 
 
 def _tables() -> list[np.ndarray]:
-    """Class, lower case and hash value of each character of the basic plane; made once per worker."""
-    if not _TABLES:
-        chars = [chr(i) if not 0xD800 <= i < 0xE000 else " " for i in range(_BMP)]
-        kind = np.array([LETTER if c.isalpha() else DIGIT if c.isnumeric() else 0 if c.isspace() else SYMBOL
-                         for c in chars], np.uint8)
-        kind[10] = SYMBOL
-        lower = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in chars], np.uint32)
-        value = mix64(lower.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        upper = np.array([c.isupper() for c in chars], bool)
-        _TABLES.extend([kind, lower, value, upper, mix64(np.arange(1, 65, dtype=np.uint64) << np.uint64(7)) | np.uint64(1)])
-    return _TABLES
+    """Class, lower case, hash value and upper case of each character of the basic plane; powers for the places."""
+    return per_worker("characters", _make_tables)
+
+
+def _make_tables() -> list[np.ndarray]:
+    chars = [chr(i) if not 0xD800 <= i < 0xE000 else " " for i in range(_BMP)]
+    kind = np.array([LETTER if c.isalpha() else DIGIT if c.isnumeric() else 0 if c.isspace() else SYMBOL
+                     for c in chars], np.uint8)
+    kind[10] = SYMBOL
+    lower = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in chars], np.uint32)
+    value = mix64(lower.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    upper = np.array([c.isupper() for c in chars], bool)
+    return [kind, lower, value, upper, mix64(np.arange(1, 65, dtype=np.uint64) << np.uint64(7)) | np.uint64(1)]
 
 
 @dataclass

@@ -33,11 +33,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.session import settle
 
-from .common import map_texts, small_batches
-from pyspark.sql import types as T
+from .common import map_texts, per_worker, small_batches
 
 SEED, SHINGLE, APART = 42, 3, 3
 GROUP = 50_000
@@ -95,23 +95,22 @@ def fingerprints(docs: DataFrame, *, text: str = "text", keep: list[str] | None
     return map_texts(docs, added, lambda texts: [pa.array(fingerprints_of(texts).view(np.int64))], text=text, keep=keep)
 
 
-_INDEX: list[np.ndarray] = []
-
-
 def codeword_index() -> np.ndarray:
     """For every 23-bit word the index of the codeword within three bits (16 MB, made once per worker)."""
-    if not _INDEX:
-        messages = np.arange(4096, dtype=np.int64)
-        codes = np.zeros(4096, np.int64)
-        for k in range(12):
-            codes ^= np.where(messages >> k & 1, GENERATOR << k, 0)
-        one = [1 << i for i in range(23)]
-        errors = [0, *one, *(a | b for a in one for b in one if a < b),
-                  *(a | b | c for a in one for b in one if a < b for c in one if b < c)]
-        table = np.zeros(1 << 23, np.uint16)
-        table[(codes[:, None] ^ np.array(errors)[None, :]).ravel()] = np.repeat(messages, len(errors)).astype(np.uint16)
-        _INDEX.append(table)
-    return _INDEX[0]
+    return per_worker("golay", _codeword_index)
+
+
+def _codeword_index() -> np.ndarray:
+    messages = np.arange(4096, dtype=np.int64)
+    codes = np.zeros(4096, np.int64)
+    for k in range(12):
+        codes ^= np.where(messages >> k & 1, GENERATOR << k, 0)
+    one = [1 << i for i in range(23)]
+    errors = [0, *one, *(a | b for a in one for b in one if a < b),
+              *(a | b | c for a in one for b in one if a < b for c in one if b < c)]
+    table = np.zeros(1 << 23, np.uint16)
+    table[(codes[:, None] ^ np.array(errors)[None, :]).ravel()] = np.repeat(messages, len(errors)).astype(np.uint16)
+    return table
 
 
 def keys_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
