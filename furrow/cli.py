@@ -12,10 +12,10 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from .operators import discover as dc, gaps, report as rp, vector_index
+from .operators import discover as dc, gaps, report as rp, resources as res, vector_index
 from .operators.lexicon import load_lexicon
 from .plans import onboard, publish
-from .session import build_session, settle
+from .session import build_session, run_folder, settle
 from .settings import Settings
 from .sources import ocr, readers, sinks
 from .sources.embedders import get_embedder
@@ -45,6 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     return ap
 
 
+def each_row(rows):
+    """Rows one partition after the other: a listing of any length does not meet on the driver."""
+    return rows.toLocalIterator(prefetchPartitions=True)
+
+
 def run_onboard(args, spark, settings: Settings) -> int:
     settings = replace(settings, ocr_enabled=args.ocr or settings.ocr_enabled)
     for key, value in settings.describe().items():
@@ -52,21 +57,26 @@ def run_onboard(args, spark, settings: Settings) -> int:
     lexicon = load_lexicon(spark, args.lexicon, settings)
     embedder = get_embedder(settings)
     paths = [args.data] if args.all else readers.resolve_paths(args.files, args.data, [])
-    documents = settle(readers.read_documents(spark, paths), "documents")
+    documents = settle(readers.read_documents(spark, paths, root=args.data), "documents")
     engine = files = None
     if settings.ocr_enabled:
         ready, why = ocr.ocr_available()
         if ready:
             engine = ocr.tesseract_engine
             files = spark.read.format("binaryFile").load(paths).select(
-                F.element_at(F.split("path", "/"), -1).alias("document"), "content")
+                readers.document_column(args.data).alias("document"), "content")
         else:
             print(f"ocr          unavailable: {why}")
     got = onboard.extract(readers.pages_of(documents), lexicon, settings, refusals=readers.refusals_of(documents),
                           engine=engine, files=files)
     decisions = settle(got.decisions, "decisions")
-    for r in decisions.where("status <> 'ok'").orderBy("document").limit(100).collect():
+    for r in each_row(decisions.where("status <> 'ok'").orderBy("document")):
         print(f"{r['status'].upper():8s} {r['document']}: {r['reason']}")
+    for r in each_row(got.report.where(F.size("warnings") > 0).select("document", "warnings").orderBy("document")):
+        print(f"WARNING  {r['document']}: " + "; ".join(r["warnings"]))
+    if got.ocr is not None:
+        for r in each_row(got.ocr.orderBy("document")):
+            print("recovery     " + str(r.asDict()))
     totals = decisions.agg(F.count_if(F.col("status") == "ok").alias("ok"),
                            F.count_if(F.col("status") == "failed").alias("failed")).head()
     if not totals["ok"]:
@@ -80,6 +90,11 @@ def run_onboard(args, spark, settings: Settings) -> int:
     result = publish.publish(spark, resources, lexicon, settings, table=f"{args.out}/node", ledger=f"{args.out}/ledger")
     changed = {None: "first recorded publish", True: "claims changed", False: "claims unchanged"}[result.changed]
     print(f"published    {result.status}, {result.resources} resources, {result.payload_bytes:,} bytes, {changed}")
+    print(f"validation   {result.validation}")
+    print(f"acknowledged {result.acknowledgement}")
+    if result.problem_count:
+        for r in each_row(result.problems):
+            print(f"  {r['resource_id']}: {r['problem']}")
     if result.held is not None:
         print("facets       " + str(dc.facet_index(result.held).head().asDict()))
         leaked = dc.leaks(result.held, args.probe).where("resources > 0").collect() if args.probe else []
@@ -96,11 +111,13 @@ def run_onboard(args, spark, settings: Settings) -> int:
             return 1
     print("totals       " + str(rp.run_totals(decisions, got.passages, resources).head().asDict()))
     if args.show_resource:
-        for r in dc.by_id_text(resources, args.show_resource).select("resource_id", F.to_json("attributes").alias("a")).collect():
+        for r in dc.by_id_text(resources, args.show_resource).select("resource_id", F.to_json("attributes").alias("a")).toLocalIterator():
             print(r["resource_id"], r["a"])
     if not args.no_save:
         sinks.write_json(resources.select("catalog_id", "resource_id", "descriptor", "attributes"), f"{args.out}/resources", "catalog_id")
         sinks.write_json(result.envelope, f"{args.out}/payload")
+        sinks.write_json(res.resource_documents(got.passages), f"{args.out}/resource-documents")
+        sinks.write_json(decisions.where("status <> 'ok'"), f"{args.out}/refusals")
         own = onboard.catalogue(got, lexicon, settings, by_document=True)
         sinks.write_json(sinks.document_resources(own, got.report, lexicon, settings), f"{args.out}/documents", "document")
     return 1 if totals["failed"] else 0
@@ -109,15 +126,18 @@ def run_onboard(args, spark, settings: Settings) -> int:
 def run_gaps(args, spark, settings: Settings) -> int:
     lexicon = load_lexicon(spark, args.lexicon, settings)
     paths = [args.data] if args.all or not args.files else readers.resolve_paths(args.files, args.data, [])
-    documents = settle(readers.read_documents(spark, paths), "documents")
-    for r in readers.refusals_of(documents).collect():
+    documents = settle(readers.read_documents(spark, paths, root=args.data), "documents")
+    for r in each_row(readers.refusals_of(documents)):
         print(f"SKIPPED  {r['document']}: {r['reason']}")
     pages = onboard.repaired_pages(readers.pages_of(documents), lexicon, settings)
     found = settle(gaps.occurrences(pages, lexicon), "gaps")
     cands = settle(gaps.candidates(found), "candidates")
-    gaps.advisory_counts(pages, lexicon).orderBy("document").show(50, False)
-    gaps.ranked(cands, args.limit).orderBy("document", "rank").show(args.limit * 5, False)
-    gaps.across_documents(cands).show(15, False)
+    for title, rows in (("advisory lines", gaps.advisory_counts(pages, lexicon).orderBy("document")),
+                        ("candidates", gaps.ranked(cands, args.limit).orderBy("document", "rank")),
+                        ("across documents", gaps.across_documents(cands))):
+        print(title)
+        for r in each_row(rows):
+            print("  " + "  ".join(f"{k}={v}" for k, v in r.asDict().items()))
     if args.json:
         sinks.write_json(cands.join(gaps.evidence(found), ["document", "term"]), args.json)
     return 0
@@ -127,7 +147,8 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session("furrow", args.master)
     settings = Settings.from_env()
-    return run_onboard(args, spark, settings) if args.command == "onboard" else run_gaps(args, spark, settings)
+    with run_folder(spark):
+        return run_onboard(args, spark, settings) if args.command == "onboard" else run_gaps(args, spark, settings)
 
 
 if __name__ == "__main__":

@@ -26,7 +26,8 @@ CLOSED_KEYS = (
 STRUCTURAL_KEYS = ("@context", "@type")
 
 # ISO 8601 duration with at least one component, and ISO 639-1 code.
-DURATION = r"^P(?=.)(?:\d+[YMWD]){0,8}(?:T(?:\d+[HMS]){1,6})?$"
+# Possessive repetition: any number of parts, and nothing to recurse on.
+DURATION = r"^P(?=.)(?:\d+[YMWD])*+(?:T(?:\d+[HMS])++)?$"
 LANGUAGE_CODE = r"^[a-z]{2}$"
 
 

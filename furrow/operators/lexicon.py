@@ -213,18 +213,15 @@ def _district_blocks(spark: SparkSession, directory: str) -> DataFrame:
 
 def load_lexicon(spark: SparkSession, directory: str, settings: Settings,
                  markers: dict[str, tuple[str, ...]] | None = None) -> Lexicon:
-    """Read a lexicon directory for inlining, after checking its size.
+    """Read a lexicon directory. A lexicon is a closed vocabulary kept by hand and
+    is inlined whatever its size; `with_mentions(by_join=...)` matches one that
+    has outgrown expressions.
 
     `markers` gives, in priority order, the wording that assigns a document to a
     state; without it a state is recognised by its own name.
     """
     table = lexicon_table(spark, directory)
-    rows = table.limit(settings.inline_alias_limit + 1).collect()
-    if len(rows) > settings.inline_alias_limit:
-        raise ValueError(
-            f"lexicon has more than {settings.inline_alias_limit} aliases: "
-            "match with match_by_join, or raise inline_alias_limit"
-        )
+    rows = table.collect()
     states = {
         r["state"]: State(r["state"], r["state_name"], r["primary_language"] or "en",
                           (r["state_name"].lower(),))

@@ -135,18 +135,17 @@ def attributes(resources: DataFrame, documents: DataFrame | None, lexicon: Lexic
     """Add the nested `attributes` and `descriptor` of each resource.
 
     `documents` is `resource_documents`; null means one document per resource,
-    named by `owner`. Names are listed in the resource up to the wire limit;
-    a resource over it says how many there are, and the table has them all.
+    named by `owner`. A resource of several documents says how many there are,
+    and the table published beside the catalogue names them all: their number
+    has no bound, so the shape does not depend on it.
     """
     if documents is None:
         rows = resources.withColumns({
             "document_count": F.lit(1).cast("long"), "source_documents": F.array("owner")})
     else:
         counted = documents.groupBy("resource_id").agg(F.count("*").alias("document_count"))
-        few = counted.where(F.col("document_count") <= settings.wire_document_limit)
-        names = documents.join(few, "resource_id", "left_semi").groupBy("resource_id").agg(
-            F.array_sort(F.collect_list("document")).alias("source_documents"))
-        rows = resources.join(counted, "resource_id").join(names, "resource_id", "left")
+        rows = resources.join(counted, "resource_id").withColumn(
+            "source_documents", F.lit(None).cast("array<string>"))
 
     def area(code: Column) -> Column:
         a = lexicon.area_struct(code, settings)

@@ -9,6 +9,7 @@ end.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -58,24 +59,41 @@ def _runs(lines, crops, least):
     return folded
 
 
-def _merge(pieces, least, most):
-    """Join pieces with a blank line up to `most` characters; cut longer ones at
-    the last line end, keeping the crop set of the whole."""
-    out, held, crops = [], "", set()
-    for text, named in pieces:
-        other_crop = crops and named and crops.isdisjoint(named) and len(held) >= least
-        if held and not other_crop and len(held) + len(text) + 2 <= most:
-            held, crops = held + "\n\n" + text, crops | named
+def slices(text: str, most: int):
+    """A text in parts of at most `most` characters, each ending at the last line end it reaches if there is one."""
+    while len(text) > most:
+        line_end = text.rfind("\n", 0, most)
+        end = line_end if line_end > 0 else most
+        yield text[:end].strip()
+        text = text[end:].strip()
+    yield text
+
+
+@dataclass
+class Passage:
+    """A passage that may still grow by the next piece."""
+
+    text: str
+    crops: set
+
+    def grows_by(self, text: str, crops: set, least: int, most: int) -> bool:
+        elsewhere = bool(self.crops and crops) and not self.crops & crops
+        if elsewhere and len(self.text) >= least:
+            return False
+        return len(self.text) + len("\n\n") + len(text) <= most
+
+
+def passages(pieces, least: int, most: int) -> list[str]:
+    """Pieces become passages of workable size. A piece that is too long is sliced: its slices but the last are
+    finished, and all have the crops of the whole. Any other piece goes to the passage before, if that may grow."""
+    made: list[Passage] = []
+    for text, crops in pieces:
+        *finished, last = slices(text, most)
+        if made and made[-1].text and not finished and made[-1].grows_by(text, crops, least, most):
+            made[-1] = Passage(f"{made[-1].text}\n\n{text}", made[-1].crops | crops)
         else:
-            if held:
-                out.append(held)
-            held, crops = text, set(named)
-        while len(held) > most:
-            at = held.rfind("\n", 0, most)
-            at = at if at > 0 else most
-            out.append(held[:at].strip())
-            held = held[at:].strip()
-    return [p for p in (out + [held]) if len(p) >= least]
+            made.extend(Passage(part, set(crops)) for part in (*finished, last))
+    return [p.text for p in made if len(p.text) >= least]
 
 
 _BLANK = re.compile(r"\n\s*\n")
@@ -100,7 +118,7 @@ def split_page(text: str, crops_by_line, least: int, most: int) -> list[str]:
                     crops.append(named[first + i] if named is not None else frozenset())
             pieces.extend(_runs(lines, crops, least))
         number += 1
-    return _merge(pieces, least, most)
+    return passages(pieces, least, most)
 
 
 def with_blocks(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:

@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.prose import (
-    ADVICE, CLOSED_KEYS, SENTENCE_TOKENS, STRUCTURAL_KEYS, has_advice, is_duration, is_language_code,
-)
+from ..functions.prose import CLOSED_KEYS, STRUCTURAL_KEYS, has_advice, is_duration, is_language_code, is_prose
 from ..functions.text import capability_of, string_array
 from ..settings import Settings
 from .lexicon import Lexicon
@@ -58,11 +56,30 @@ def _not_in(allowed) -> object:
     return lambda v: v.isNull() | ~v.isin(*allowed) if allowed else F.lit(True)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+LEAF = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("text", T.StringType())]))
+
+
+def open_strings(value: Column, kind: T.DataType, path: Column, key: str = "") -> Column:
+    """(path, text) of the string leaves of a typed value that no closed vocabulary covers, as a native expression."""
+    none = F.array().cast(LEAF)
+    if isinstance(kind, T.StructType):
+        parts = [open_strings(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}")), f.name)
+                 for f in kind.fields if f.name not in STRUCTURAL_KEYS]
+        return F.coalesce(F.concat(*parts), none) if parts else none
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType) and key in CLOSED_KEYS:
+            return none
+        each = F.transform(value, lambda v, i: open_strings(
+            v, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), key))
+        return F.coalesce(F.flatten(each), none)
+    if isinstance(kind, T.StringType) and key not in CLOSED_KEYS:
+        return F.when(value.isNotNull(), F.array(F.struct(path.alias("path"), value.alias("text")))).otherwise(none)
+    return none
+
+
+@F.pandas_udf(LEAF)
 def json_strings(bodies: pd.Series) -> pd.Series:
-    """Every string leaf of an attributes document that is not from a closed
-    vocabulary, as `path = text`. Resources are few; their keys are open, which
-    is why this walks JSON instead of naming columns."""
+    """The same of a JSON object of unknown keys, whose shape no schema tells. Resources with such keys are few."""
     closed, skip = set(CLOSED_KEYS), set(STRUCTURAL_KEYS)
 
     def leaves(body):
@@ -74,8 +91,8 @@ def json_strings(bodies: pd.Series) -> pd.Series:
             elif isinstance(node, list):
                 todo.extend((v, f"{where}[{i}]", key) for i, v in enumerate(node))
             elif isinstance(node, str) and key not in closed:
-                found.append(f"{where} = {node}")
-        return sorted(found)
+                found.append({"path": where, "text": node})
+        return sorted(found, key=lambda leaf: leaf["path"])
 
     return pd.Series([leaves(b) if b else [] for b in bodies])
 
@@ -132,24 +149,21 @@ def resource_rules(lexicon: Lexicon, settings: Settings, duration=is_duration) -
 def resource_violations(resources: DataFrame, lexicon: Lexicon, settings: Settings,
                         duration=is_duration) -> DataFrame:
     """V5-V12 of every resource in one pass."""
-    rows = resources if "extras" in resources.columns else resources.withColumn("extras", F.lit(None).cast("string"))
     missing = F.col("attributes").isNull()
-    # Keys outside the known schema are checked as JSON; so is everything else
-    # that is not from a closed vocabulary.
-    bodies = F.array(F.to_json("attributes"), F.col("extras"))
-    strings = rows.withColumn("_strings", F.concat(
-        F.coalesce(json_strings(bodies[0]), F.array().cast("array<string>")),
-        F.coalesce(json_strings(bodies[1]), F.array().cast("array<string>")),
-    ))
-    text = lambda s: F.substring_index(s, " = ", -1)
-    prose = _each(
-        F.col("_strings"),
-        lambda s: s.rlike(ADVICE) | (F.regexp_count(F.regexp_replace(s, "^[^=]* = ", ""), F.lit(r"\S+")) >= SENTENCE_TOKENS),
-        "prose", lambda s: F.substring(s, 1, 110))
-    geometry = _one(F.coalesce(F.col("extras"), F.lit("")).contains('"coordinates"'), "coordinates", "coordinates")
+    none = F.array().cast(LEAF)
+    named = open_strings(F.col("attributes"), resources.schema["attributes"].dataType, F.lit("resourceAttributes"))
+    rows, areas = resources, F.lit(None).cast("array<map<string,string>>")
+    unnamed = none
+    if "extras" in resources.columns:
+        rows = resources.withColumn("_open", json_strings("extras"))
+        unnamed = F.coalesce("_open", none)
+        areas = F.from_json(F.get_json_object("extras", "$.coverageAreas"), "array<map<string,string>>")
+    prose = _each(F.concat(named, unnamed), lambda leaf: is_prose(leaf["text"]), "prose",
+                  lambda leaf: F.substring(F.concat(leaf["path"], F.lit(" = "), leaf["text"]), 1, 110))
+    geometry = _one(F.exists(areas, lambda area: F.map_contains_key(area, "coordinates")), "coordinates", "coordinates")
     found = F.when(missing, F.array(F.struct(F.lit("no-attributes").alias("rule"), F.lit("").alias("detail")))).otherwise(
         F.concat(resource_rules(lexicon, settings, duration), prose, geometry))
-    return strings.select("catalog_id", "resource_id", F.explode(found).alias("v")).select(
+    return rows.select("catalog_id", "resource_id", F.explode(found).alias("v")).select(
         "catalog_id", "resource_id", "v.rule", "v.detail")
 
 
@@ -212,6 +226,33 @@ def unknown_keys(bodies: DataFrame, body: str, allowed) -> DataFrame:
         F.lit("unknown-key").alias("rule"), "detail")
 
 
+# The keys of the closed objects of an envelope.
+CLOSED_OBJECTS = {
+    "context": ("domain", "action", "version", "transactionId", "messageId", "timestamp", "schemaContext"),
+    "message": ("catalogs", "publishDirectives"),
+    "catalog": ("id", "descriptor", "provider", "isActive", "validity", "resources"),
+    "provider": ("id", "descriptor"),
+    "directive": ("catalogId", "catalogType", "visibleTo"),
+}
+
+
+def closed_object_violations(envelopes: DataFrame) -> DataFrame:
+    """V14 for every closed object of the envelopes, by the keys its JSON form has."""
+    none = F.lit(None).cast("string")
+    bodies = [envelopes.select(none.alias("catalog_id"), F.to_json(part).alias("body"), F.lit(part).alias("kind"))
+              for part in ("context", "message")]
+    each = envelopes.select(F.explode("message.catalogs").alias("c"))
+    bodies.append(each.select(F.col("c.id").alias("catalog_id"), F.to_json("c").alias("body"), F.lit("catalog").alias("kind")))
+    bodies.append(each.select(F.col("c.id").alias("catalog_id"), F.to_json("c.provider").alias("body"), F.lit("provider").alias("kind")))
+    told = envelopes.select(F.explode("message.publishDirectives").alias("d"))
+    bodies.append(told.select(F.col("d.catalogId").alias("catalog_id"), F.to_json("d").alias("body"), F.lit("directive").alias("kind")))
+    found = [unknown_keys(b, "body", CLOSED_OBJECTS[kind]) for b, kind in zip(bodies, CLOSED_OBJECTS)]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def validate(resources: DataFrame, catalog_rows: DataFrame, directives: DataFrame, envelopes: DataFrame,
              lexicon: Lexicon, settings: Settings) -> DataFrame:
     """Every violation of one publish."""
@@ -221,6 +262,7 @@ def validate(resources: DataFrame, catalog_rows: DataFrame, directives: DataFram
         context_violations(envelopes, settings.envelope_version),
         directive_violations(resources.select("catalog_id"), directives),
         catalog_violations(catalog_rows),
+        closed_object_violations(envelopes),
         duplicated,
         resource_violations(resources, lexicon, settings),
     ]

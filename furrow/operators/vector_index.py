@@ -31,12 +31,18 @@ def wrong_dimension(vectors: DataFrame, dim: int) -> DataFrame:
 
 
 def upsert(held: DataFrame, incoming: DataFrame, keys: list[str], newest_first: list[Column] | None = None) -> DataFrame:
-    """Held rows, replaced by incoming rows of the same key; nothing is deleted.
+    """Held and incoming rows, one for each key; nothing else is deleted.
 
-    Several incoming rows of one key leave the first in `newest_first` order;
-    the rank limit runs before the shuffle, so a hot key costs one row per task.
+    With `newest_first` the first in that order stays, whichever side it is of: an
+    older row that arrives late changes nothing. Rows that tie there, and all rows
+    without an order, go to the incoming side. The rank limit runs before the
+    shuffle, so a hot key costs one row per task.
     """
-    latest = first_per(incoming, keys, newest_first) if newest_first else incoming.dropDuplicates(keys)
+    if newest_first:
+        both = held.withColumn("_held", F.lit(1)).unionByName(
+            incoming.select(*held.columns).withColumn("_held", F.lit(0)))
+        return first_per(both, keys, [*newest_first, F.col("_held")]).drop("_held")
+    latest = incoming.dropDuplicates(keys)
     kept = held.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(latest.select(*held.columns))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,15 +85,15 @@ def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settin
           fresh: bool = False, pruned: bool = False) -> DataFrame:
     """Embed and upsert into the index table; re-ingest replaces by point id.
 
-    Buckets follow document and page range: a re-sent document touches its own
-    buckets only, and a very long one is spread over several. `pruned` also
-    drops points a re-sent document no longer has.
+    Buckets follow the document: a re-sent one touches its own bucket only, and
+    `pruned` sees all points it had, whatever pages they were on. A bucket may be
+    many files, so a very long document still is many tasks.
     """
     held = None if fresh else read_table(spark, table)
     if held is not None:
         vector_index.check_dimension(held, embedder.dim)
     vectors = vector_index.embed(passages, embedder)
-    bucket = F.xxhash64("document", F.floor(F.col("page") / settings.page_chunk))
+    bucket = F.xxhash64("document")
     return upsert_buckets(vectors, table, ["point_id"], bucket, settings.index_buckets,
                           fresh=fresh, pruned_by="document" if pruned else None,
                           sort_by=("resource_id", "language"))
@@ -107,8 +108,9 @@ def both(spark: SparkSession, extraction: Extraction, lexicon: Lexicon, settings
         return work(), time.perf_counter() - started
 
     started = time.perf_counter()
+    run = [copy_context(), copy_context()]  # both threads settle into this run's folder
     with ThreadPoolExecutor(2) as pool:
-        a = pool.submit(timed, lambda: catalogue(extraction, lexicon, settings))
-        b = pool.submit(timed, lambda: index(spark, extraction.passages, embedder, table, settings, fresh=fresh))
+        a = pool.submit(run[0].run, timed, lambda: catalogue(extraction, lexicon, settings))
+        b = pool.submit(run[1].run, timed, lambda: index(spark, extraction.passages, embedder, table, settings, fresh=fresh))
         (resources, a_seconds), (vectors, b_seconds) = a.result(), b.result()
     return resources, vectors, rp.branch_timing(a_seconds, b_seconds, time.perf_counter() - started)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,24 +29,43 @@ def build_session(app: str = "furrow", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it."""
+    """The folder every executor can reach, as the cluster names it. Only a session whose executors are its own
+    process may be without one; it gets a temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     fallback = tempfile.mkdtemp(prefix="furrow-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 
 
+_RUN: ContextVar[str | None] = ContextVar("furrow_run", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """Tables settled inside go to a folder of their own, which goes with the run: results that outlive it must
+    have been written elsewhere. Threads started inside need the context copied to them."""
+    path = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and go on from the written table.
 
     Used where several consumers read one expensive result. The table survives
     lost executors, keeps column pruning for each consumer, and cuts the lineage.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_RUN.get() or shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -64,8 +64,6 @@ class Settings:
     page_chunk: int = 1024        # pages of one document that share a task
     salt_buckets: int = 16        # spread of one hot document over tasks
     index_buckets: int = 256      # partitions of the passage index
-    inline_alias_limit: int = 5000  # larger lexicons take the equi-join route
-    wire_document_limit: int = 1000   # names listed inline in one resource
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None, **overrides) -> "Settings":

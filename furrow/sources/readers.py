@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import html
 import io
+import os
+import posixpath
 import re
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from urllib.parse import unquote
+from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tidy
@@ -70,6 +74,21 @@ def markup_text(body: str) -> str:
     return html.unescape(_TAGS.sub("", body))
 
 
+def spine(book: zipfile.ZipFile) -> list[str]:
+    """Names of a book's pages in reading order: the package's spine. Without a readable package, by name with
+    numbers as numbers."""
+    try:
+        container = ElementTree.fromstring(book.read("META-INF/container.xml"))
+        package = next(e.get("full-path") for e in container.iter() if e.tag.endswith("rootfile"))
+        tree = ElementTree.fromstring(book.read(package))
+        items = {e.get("id"): e.get("href") for e in tree.iter() if e.tag.endswith("}item")}
+        order = [items[e.get("idref")] for e in tree.iter() if e.tag.endswith("}itemref")]
+        return [posixpath.normpath(posixpath.join(posixpath.dirname(package), unquote(h))) for h in order]
+    except (KeyError, StopIteration, ElementTree.ParseError):
+        pages = [n for n in book.namelist() if n.lower().endswith((".xhtml", ".html", ".htm"))]
+        return sorted(pages, key=lambda n: [int(p) if p.isdigit() else p for p in re.split(r"(\d+)", n)])
+
+
 def read_markup(name: str, content: bytes) -> list[tuple[str, bool]]:
     """HTML, and EPUB and DOCX as archives of it."""
     suffix = Path(name).suffix.lower()
@@ -80,12 +99,12 @@ def read_markup(name: str, content: bytes) -> list[tuple[str, bool]]:
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             body = z.read("word/document.xml").decode("utf-8")
             image = any(n.startswith("word/media/") for n in z.namelist())
+        body = re.sub(r"<w:tab\b[^>]*/?>", " ", body)
         body = re.sub(r"<w:(?:br|cr)\b[^>]*/?>|</w:p>", "\n", body)
         return [(html.unescape(_TAGS.sub("", body)), image)]
     if suffix == ".epub":
         with zipfile.ZipFile(io.BytesIO(content)) as z:
-            parts = sorted(n for n in z.namelist() if n.lower().endswith((".xhtml", ".html", ".htm")))
-            bodies = [z.read(n).decode("utf-8") for n in parts]
+            bodies = [z.read(n).decode("utf-8") for n in spine(z)]
         return [(markup_text(b), "<img" in b.lower()) for b in bodies]
     raise Unreadable("no markup reader for this format")
 
@@ -110,20 +129,42 @@ def open_document(name: str, content: bytes, readers=READERS):
     return None, None, "could not be opened (" + "; ".join(problems) + ")"
 
 
+def document_column(root: str) -> Column:
+    """A file's name below `root`, so that files of one name in two folders are two documents; the whole path of a
+    file from elsewhere."""
+    folder = (plain(root) if _SCHEME.match(root) else os.path.abspath(root)).rstrip("/") + "/"
+    path = F.regexp_replace("path", _SCHEME.pattern, "/")
+    return F.when(path.startswith(folder), F.substring(path, len(folder) + 1, 1 << 30)).otherwise(path)
+
+
+_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:/+")
+
+
+def plain(path: str) -> str:
+    return _SCHEME.sub("/", path)
+
+
+def root_of(path: str | list[str]) -> str:
+    """The folder that documents are named below: a folder itself, else what all files have in common."""
+    if isinstance(path, str):
+        return path if not Path(path).suffix else os.path.dirname(path)
+    parents = [root_of(p) for p in path]
+    return os.path.commonpath([plain(p) if _SCHEME.match(p) else os.path.abspath(p) for p in parents])
+
+
 def read_documents(spark: SparkSession, path: str | list[str], pattern: str | None = None,
-                   readers=READERS) -> DataFrame:
-    """One row per file with its pages; refused files keep their reason."""
+                   readers=READERS, root: str | None = None) -> DataFrame:
+    """One row per file with its pages; refused files keep their reason. Documents are named below `root`."""
     source = spark.read.format("binaryFile")
     if pattern:
         source = source.option("pathGlobFilter", pattern)
-    files = source.load(path).select("path", "content")
+    files = source.load(path).select("path", document_column(root or root_of(path)).alias("document"), "content")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for where, content in zip(batch["path"], batch["content"]):
-                name = where.rsplit("/", 1)[-1]
-                label, pages, reason = open_document(name, content, readers)
+            for where, name, content in zip(batch["path"], batch["document"], batch["content"]):
+                label, pages, reason = open_document(where.rsplit("/", 1)[-1], content, readers)
                 listed = [
                     {"page": i + 1, "text": text, "has_image": image}
                     for i, (text, image) in enumerate(pages or [])

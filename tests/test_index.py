@@ -109,11 +109,20 @@ def test_index_reingest_replaces_and_prunes(spark, settings, tmp_path):
     assert again.count() == 9 and again.where("document = 'd.pdf' and text like 'lentil%'").count() == 0
     fewer = onboard.index(spark, passages(spark, 2), e, table, small)
     assert fewer.count() == 9  # points of a shorter re-ingest stay
+    pruned = onboard.index(spark, passages(spark, 2), e, table, small, pruned=True)
+    assert pruned.where("document = 'd.pdf'").count() == 2 and pruned.count() == 5  # also those of page ranges not sent again
     assert onboard.index(spark, passages(spark, 2), e, table, small, fresh=True).count() == 2
     with pytest.raises(ValueError, match="fresh index"):
         onboard.index(spark, passages(spark, 2), LexicalEmbedder(replace(settings, embedding_dim=8)), table, small)
 
 
+def test_an_older_row_that_arrives_late_changes_nothing(spark):
+    held = spark.createDataFrame([("a", 5), ("b", 1), ("c", 2)], "k string, n int")
+    late = spark.createDataFrame([("a", 3), ("b", 4), ("d", 9), ("b", 2)], "k string, n int")
+    got = {r["k"]: r["n"] for r in vi.upsert(held, late, ["k"], [F.desc("n")]).collect()}
+    assert got == {"a": 5, "b": 4, "c": 2, "d": 9}
+
+
 def test_prune_drops_points_no_longer_sent(spark):
     held = spark.createDataFrame([("d1", "a"), ("d1", "b"), ("d2", "c")], "document string, point_id string")
     sent = spark.createDataFrame([("d1", "a")], "document string, point_id string")

@@ -70,11 +70,6 @@ def test_last_alias_wins(spark, tmp_path, lexicon_dir):
     assert [r["canonical"] for r in rows] == ["b"]
 
 
-def test_too_large_to_inline_is_refused(spark, lexicon_dir):
-    with pytest.raises(ValueError, match="match_by_join"):
-        lx.load_lexicon(spark, lexicon_dir, Settings(inline_alias_limit=3))
-
-
 def test_hygiene(spark, lexicon):
     frame = lexicon.frame(spark)
     hits = {(r["named"], r["canonical"]) for r in lx.alias_collisions(frame).collect()}

@@ -144,13 +144,12 @@ def test_by_document_rollup_and_json(got, lexicon, settings):
     assert b1["resourceCount"] == len(b1["resources"]) == sum(b1["capabilityTypes"].values())
 
 
-def test_long_document_lists_move_to_their_table(got, lexicon, settings):
-    from dataclasses import replace
-
-    short = onboard.catalogue(got, lexicon, replace(settings, wire_document_limit=0))
-    assert short.where(F.col("attributes.evidence.sourceDocuments").isNotNull()).count() == 0
-    assert short.where(F.col("attributes.evidence.documentCount") < 1).count() == 0
-    assert res.resource_documents(got.passages).count() >= short.count()
+def test_one_shape_whatever_the_number_of_documents(got, resources):
+    a = F.col("attributes.evidence")
+    assert resources.where(a["sourceDocuments"].isNotNull() | (a["documentCount"] < 1)).count() == 0
+    named = res.resource_documents(got.passages).groupBy("resource_id").agg(F.count("*").alias("n"))
+    assert named.join(resources, "resource_id").where(F.col("n") != a["documentCount"]).count() == 0
+    assert named.count() == resources.count()
 
 
 def test_second_run_is_identical(spark, lexicon, settings, make_pages, bulletins, resources):
@@ -199,10 +198,27 @@ def test_each_rule_finds_its_fault(resources, lexicon, settings, rule, field, va
 
 
 def test_open_keys_are_searched(resources, lexicon, settings):
-    found = _violations(resources, lexicon, settings, extras='{"a": [{"b": "Apply 2 kg/ha now"}], "topics": ["spray"], "p": {"coordinates": []}}')
+    found = _violations(resources, lexicon, settings, extras='{"a": [{"b": "Apply 2 kg/ha now"}], "topics": ["spray"], "coverageAreas": [{"coordinates": []}]}')
     assert found == {"prose", "coordinates"}
 
 
+def test_values_are_tested_and_not_names(resources, lexicon, settings):
+    sound = '{"sprayWindow": "P1D", "note": "coordinates", "place": {"coordinates": [1]}, "coverageAreas": [{"areaCode": "coordinates"}]}'
+    assert _violations(resources, lexicon, settings, extras=sound) == set()
+    named = resources.withColumn("attributes", F.col("attributes").withField("sprayWindow", F.lit("P1D")))
+    assert va.resource_violations(named, lexicon, settings).count() == 0
+    said = resources.withColumn("attributes", F.col("attributes").withField("note", F.array(F.lit("ok"), F.lit("apply 2 kg/ha"))))
+    assert {r["detail"] for r in va.resource_violations(said, lexicon, settings).collect()} == {"resourceAttributes.note[1] = apply 2 kg/ha"}
+
+
+def test_closed_objects_take_no_further_key(resources, lexicon, settings):
+    now = F.timestamp_seconds(F.lit(1767225600))
+    env = res.envelope(res.catalogs(resources, lexicon, settings, now), settings, transaction_id="t", message_id="m", now=now)
+    assert va.closed_object_violations(env).count() == 0
+    more = env.withColumn("context", F.col("context").withField("bppId", F.lit("x")))
+    assert [r["detail"] for r in va.closed_object_violations(more).collect()] == ["bppId"]
+
+
 def test_envelope_rules(spark, resources, lexicon, settings):
     now = F.timestamp_seconds(F.lit(1767225600))
     cats = res.catalogs(resources, lexicon, settings, now)

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from furrow.operators import validate as va
+from furrow.operators import publishing, validate as va
 from furrow.plans import onboard, publish as pub
 from furrow.sources.sinks import latest, read_ledger
 
@@ -51,8 +51,9 @@ def test_ledger_keeps_the_newest(spark, lexicon, settings, first, tmp_path):
 
 def test_corrupt_ledger_does_not_lose_the_entry(spark, lexicon, settings, first, tmp_path):
     ledger = tmp_path / "ledger"
-    ledger.mkdir()
-    (ledger / "part-0.json").write_text("{not json at all\n\x00\x01")
+    (ledger / "v1").mkdir(parents=True)
+    (ledger / "v1" / "_SUCCESS").write_text("")
+    (ledger / "v1" / "part-0.json").write_text("{not json at all\n\x00\x01")
     got = pub.publish(spark, first, lexicon, settings, table=str(tmp_path / "node"), ledger=str(ledger))
     assert got.changed is None and read_ledger(spark, str(ledger)).count() == 1
 
@@ -102,11 +103,46 @@ def test_attempts_end(settings):
     assert len(node.calls) == 3
 
 
-def test_retry_classes_and_answer_folding():
+def test_retry_classes_and_answer_folding(spark):
     assert [pub.is_retryable(pub.RejectedByNode(s)) for s in (429, 500, 502, 503, 504, 400, 404, 409)] == [True] * 5 + [False] * 3
     assert pub.is_retryable(ConnectionError()) and not pub.is_retryable(ValueError())
-    fold = lambda *s: pub.fold_answer({"message": {"catalogProcessingResults": [{"status": x, "catalogId": x} for x in s]}})[0]
-    assert pub.fold_answer({}) == ("ACCEPTED", []) and fold("REJECTED") == "REJECTED" and fold("ACCEPTED", "REJECTED") == "PARTIAL"
+    answer = lambda *s: {"message": {"catalogProcessingResults": [{"status": x, "catalogId": x} for x in s]}}
+    fold = lambda *answers: publishing.fold_statuses(pub.answered(spark, list(answers))).head()["status"]
+    assert fold({}) == "ACCEPTED" and fold(answer("REJECTED")) == "REJECTED" and fold(answer("ACCEPTED", "REJECTED")) == "PARTIAL"
+    assert fold({}, answer("REJECTED")) == "PARTIAL" and [r["catalog_id"] for r in pub.answered(spark, [{}]).collect()] == [None]
+
+
+def test_stamps_of_one_publish_agree(spark, lexicon, settings, first, tmp_path):
+    sent = []
+
+    def node(url, headers, body):
+        sent.append(body)
+        return {}
+
+    got = pub.publish(spark, first, lexicon, remote(settings), transport=node, ledger=str(tmp_path / "ledger"))
+    saved = got.envelope.select("context.timestamp").head()[0]
+    noted = read_ledger(spark, str(tmp_path / "ledger")).head()
+    assert {sent[0]["context"]["timestamp"], saved, noted["timestamp"]} == {got.timestamp}
+    assert noted["message_id"] == sent[0]["context"]["messageId"] == got.envelope.select("context.messageId").head()[0]
+    assert got.validation["ok"] and got.validation["resources"] == first.count() and got.acknowledgement["status"] == "ACCEPTED"
+
+
+def test_the_timeout_setting_reaches_the_request(settings, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(pub, "post_json", lambda url, headers, body, timeout: asked.update(url=url, timeout=timeout) or {})
+    pub.send({"context": {"messageId": "m"}}, replace(remote(settings), publish_timeout_seconds=7.5))
+    assert asked == {"url": "http://node/catalog/publish", "timeout": 7.5}
+
+
+def test_a_lost_ledger_write_keeps_the_history(spark, lexicon, settings, first, tmp_path):
+    where = {"table": str(tmp_path / "node"), "ledger": str(tmp_path / "ledger")}
+    pub.publish(spark, first, lexicon, settings, **where)
+    broken = tmp_path / "ledger" / "v2"
+    broken.mkdir()
+    (broken / "part-0.json").write_text("{half a")  # a write that never ended
+    assert read_ledger(spark, where["ledger"]).count() == 1
+    pub.publish(spark, first, lexicon, settings, **where)
+    assert sorted(r["seq"] for r in read_ledger(spark, where["ledger"]).collect()) == [1, 2]
 
 
 def test_same_resource_from_two_documents_keeps_the_last(spark, lexicon, settings, make_pages, tmp_path):
