@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import script
-from ..functions.text import citation, point_id, resource_id, string_array, stripped_length
+from ..functions.text import point_id, resource_id, string_array, stripped_length
 from ..settings import Settings
 from . import sections
 from .lexicon import Lexicon, with_mentions
@@ -95,9 +95,9 @@ def placed(blocked: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFram
     return resolve(rows, lexicon, settings)
 
 
-def resolve(rows: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
+def resolve(rows: DataFrame, lexicon: Lexicon, settings: Settings, language: Column | None = None) -> DataFrame:
     """Facet columns for rows of `document, page, ordinal, text, section,
-    state_code, from_ocr`."""
+    state_code, from_ocr`. The language is detected unless a column tells it."""
     found = with_mentions(rows, lexicon, "text", "state_code")
     primary, rest = choose_area(F.col("section"), F.col("district_codes"), F.col("state_code"))
     category = category_of(F.col("subject_slugs"), F.col("topics"), lexicon)
@@ -105,7 +105,7 @@ def resolve(rows: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
     provider, domain = F.lit(settings.provider_id), F.lit(settings.domain)
     staged = found.withColumns({
         "_area": primary, "_also": rest, "category": category,
-        "language": script.language("text", settings),
+        "language": script.language("text", settings) if language is None else language,
     }).withColumns({
         # A forecast carries no crop claim and crop advice no forecast claim.
         "subject_slugs": F.when(F.col("category") == "Weather", empty).otherwise(F.col("subject_slugs")),
@@ -142,5 +142,3 @@ def payload_columns() -> list[Column]:
     return [F.col("text"), F.col("document"), F.col("page"), F.col("from_ocr"), *facet_columns()]
 
 
-def citation_column() -> Column:
-    return citation("document", "page").alias("citation")

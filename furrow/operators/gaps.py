@@ -110,15 +110,14 @@ def signals(line_rows: DataFrame, lexicon: Lexicon, rules: GapRules) -> DataFram
     """Raw terms per line, by signal, before any plausibility check."""
     line, stripped = F.col("line"), F.col("stripped")
     none = F.array().cast("array<string>")
-    advisory = line.rlike(rules.advisory)
+    line_rows = line_rows.withColumn("advisory", line.rlike(rules.advisory))
+    advisory = F.col("advisory")
     names = "|".join(s.replace("-", "\\-") for s in rules.stages)
     staged = F.when(line.rlike(f"(?i)(?:{names})"), F.regexp_extract_all(line, F.lit(rules.stage_pattern), F.lit(1))).otherwise(none)
     cell = F.when(F.length(stripped).between(4, 30) & stripped.rlike(rules.cell), F.array(stripped)).otherwise(none)
     objects = F.when(advisory, F.regexp_extract_all(line, F.lit(rules.object_of), F.lit(1))).otherwise(none)
-    flagged = line_rows.withColumns({
-        "advisory": advisory,
-        "unresolved": advisory & (F.size(Matcher(lexicon.aliases("subject")).mentions(line)) == 0),
-    })
+    flagged = line_rows.withColumn(
+        "unresolved", advisory & (F.size(Matcher(lexicon.aliases("subject")).mentions(line)) == 0))
     head = F.regexp_extract(stripped, rules.head, 1)
     heads = F.when(F.col("unresolved") & (head != ""), F.array(head)).otherwise(none)
     return flagged.withColumn("terms", F.concat(
@@ -156,12 +155,16 @@ def occurrences(pages: DataFrame, lexicon: Lexicon, rules: GapRules = GapRules()
     """
     flagged = signals(lines(pages), lexicon, rules)
     scope = F.col(state) if state else None
-    indic = F.col("t.signal") == INDIC
+    cleaned = F.transform("terms", lambda t, i: F.struct(
+        i.alias("seq"), t["signal"].alias("signal"),
+        F.when(t["signal"] == INDIC, t["term"]).otherwise(clean(t["term"])).alias("term")))
+    # Inside a lambda a cleaned term is a value; as a column it would be spelled out in, and worked out for, every
+    # test. The outer form keeps Spark from adding a filter that works out all terms a second time.
+    kept = F.filter(cleaned, lambda t: (t["signal"] == INDIC) | plausible(t["term"], lexicon, rules, scope))
     return (
-        flagged.select("document", "page", "line_no", "stripped", F.posexplode("terms").alias("seq", "t"))
-        .withColumn("term", F.when(indic, F.col("t.term")).otherwise(clean(F.col("t.term"))))
-        .where(F.when(indic, F.lit(True)).otherwise(plausible(F.col("term"), lexicon, rules, scope)))
-        .select("document", "page", "line_no", "stripped", "seq", "term", F.col("t.signal").alias("signal"))
+        flagged.select("document", "page", "line_no", "stripped", F.explode_outer(kept).alias("t"))
+        .where(F.col("t.term").isNotNull())
+        .select("document", "page", "line_no", "stripped", "t.seq", "t.term", "t.signal")
     )
 
 

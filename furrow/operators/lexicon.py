@@ -115,6 +115,11 @@ class Lexicon:
             F.concat(F.lit(settings.taxonomy_base + "/"), kind, F.lit("/"), slug).alias("uri"),
         )
 
+    def state_of_area(self, code: Column) -> Column:
+        """The state of a district code; a state code is its own."""
+        owners = {e[3]: e[1] for e in self.rows("district")}
+        return F.coalesce(F.element_at(_map(owners), code), code) if owners else code
+
     def area_struct(self, code: Column, settings: Settings) -> Column:
         """Name, level and scheme of a state or district code."""
         names = {s.code: s.name for s in self.states}

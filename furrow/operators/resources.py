@@ -47,7 +47,8 @@ def _tag(name: str, values: Column) -> Column:
 
 
 def facet_counts(passages: DataFrame, by_document: bool = False) -> DataFrame:
-    """Long form: resource, facet, value, passages with it, first place, page span.
+    """Long form: resource, facet, value, passages with it, page span. Only numbers
+    are combined, so Spark aggregates by hash.
 
     The `self` row of a resource holds its own totals. With `by_document` each
     document keeps its own resources, as when every document is published alone.
@@ -55,7 +56,6 @@ def facet_counts(passages: DataFrame, by_document: bool = False) -> DataFrame:
     one = F.array(F.lit(""))
     tags = F.concat(
         _tag("self", one),
-        _tag("language", F.array("language")),
         _tag("subject", F.col("subjects.slug")),
         _tag("kind", F.col("subjects.kind")),
         _tag("topic", F.col("topics")),
@@ -63,20 +63,24 @@ def facet_counts(passages: DataFrame, by_document: bool = False) -> DataFrame:
         _tag("also", F.col("also_covers.code")),
     )
     owner = F.col("document") if by_document else F.lit("")
-    place = F.struct("document", "ordinal")
     exploded = passages.select(
-        owner.alias("owner"), "state_code", "category", "area", "resource_id", "page",
-        place.alias("place"), F.explode(F.array_distinct(tags)).alias("t"),
+        owner.alias("owner"), "category", F.col("area.code").alias("area_code"), "resource_id", "page",
+        F.explode(F.array_distinct(tags)).alias("t"),
     )
     return exploded.groupBy(
-        "owner", "resource_id", "category", F.col("area.code").alias("area_code"),
+        "owner", "resource_id", "category", "area_code",
         F.col("t.facet").alias("facet"), F.col("t.value").alias("value"),
-    ).agg(
-        F.count("*").alias("n"), F.min("place").alias("first"),
-        F.min("page").alias("page_min"), F.max("page").alias("page_max"),
-        F.min_by("area", "place").alias("area"),
-        F.min_by("state_code", "place").alias("state_code"),
-    )
+    ).agg(F.count("*").alias("n"), F.min("page").alias("page_min"), F.max("page").alias("page_max"))
+
+
+def languages_by_frequency(passages: DataFrame, by_document: bool = False) -> DataFrame:
+    """Languages of each resource, commonest first, ties by first appearance."""
+    owner = F.col("document") if by_document else F.lit("")
+    counted = passages.groupBy(owner.alias("owner"), "resource_id", "language").agg(
+        F.count("*").alias("n"), F.min(F.struct("document", "ordinal")).alias("first"))
+    rank = F.struct((-F.col("n")).alias("rank"), F.col("first").alias("at"), F.col("language").alias("v"))
+    return counted.groupBy("owner", "resource_id").agg(
+        F.transform(F.array_sort(F.collect_list(rank)), lambda x: x["v"]).alias("languages"))
 
 
 def resource_documents(passages: DataFrame) -> DataFrame:
@@ -94,19 +98,16 @@ def rollup(passages: DataFrame, lexicon: Lexicon, settings: Settings,
     """One row per resource with sorted facet lists, in plain columns."""
     counts = facet_counts(passages, by_document)
     own = F.col("facet") == "self"
-    frequency = F.when(F.col("facet") == "language",
-                       F.struct((-F.col("n")).alias("rank"), F.col("first").alias("at"), F.col("value").alias("v")))
     rows = counts.groupBy("owner", "resource_id", "category", "area_code").agg(
-        F.max_by("area", F.when(own, F.lit(1))).alias("area"),
-        F.max_by("state_code", F.when(own, F.lit(1))).alias("state_code"),
         F.max(F.when(own, F.col("n"))).alias("passage_count"),
         F.max(F.when(own, F.col("page_min"))).alias("page_min"),
         F.max(F.when(own, F.col("page_max"))).alias("page_max"),
-        # commonest language first, ties by first appearance
-        F.transform(F.array_sort(F.collect_list(frequency)), lambda x: x["v"]).alias("languages"),
         _values("subject", "subject_slugs"), _values("kind", "_kinds"),
         _values("topic", "topics"), _values("weather", "weather_parameters"), _values("also", "_also"),
-    )
+    ).join(languages_by_frequency(passages, by_document), ["owner", "resource_id"]).withColumns({
+        "area": lexicon.area_struct(F.col("area_code"), settings),
+        "state_code": lexicon.state_of_area(F.col("area_code")),
+    })
     declared = F.array().cast("array<string>")
     cap_type, groups = F.lit(None).cast("string"), declared
     for c in lexicon.capabilities:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ...functions.text import capability_of
 from ...operators import discover as dc, facets, publishing as pb, resources as res, validate as va
 from ...operators import report as rp
-from ...session import settle
+from ...session import settle, shared_dir
+from ...sources.sinks import read_ledger
 from .. import onboard
 from ..corpus import LEXICON, SETTINGS, table
+from ..publish import publish
 from . import passages as psg, sql
 
 
@@ -19,9 +23,7 @@ def document_passages(spark, sf):
     rows = table(spark, sf, "documents").select(
         F.col("source").alias("document"), F.col("doc_id").alias("page"), F.col("doc_id").alias("ordinal"), "text",
         state.alias("state_code"), F.lit(None).cast("array<string>").alias("section"), F.lit(False).alias("from_ocr"), "lang")
-    kept = facets.resolve(rows.drop("lang"), LEXICON, SETTINGS)
-    langs = rows.select("document", "ordinal", F.col("lang").alias("language"))
-    return kept.drop("language").join(langs, ["document", "ordinal"])
+    return facets.resolve(rows, LEXICON, SETTINGS, F.col("lang"))
 
 
 ROWS = f"""{sql.lexicon()},
@@ -89,19 +91,18 @@ def resources(spark, sf):
 
 def descriptors(spark, sf):
     return resources(spark, sf).select(
-        "resource_id", "descriptor.*",
-        F.array_join("attributes.evidence.sourceDocuments", ",").alias("sources"))
+        "resource_id", "descriptor.*", F.col("attributes.evidence.documentCount").alias("documents"))
 
 
 DESCRIPTOR_SQL = f"""with {ROWS}, {ROLLUP},
-d as (select resource_id, string_agg(distinct document, ',' order by document) as sources from facets_ group by 1)
+d as (select resource_id, count(distinct document) as documents from facets_ group by 1)
 select resource_id, upper(category) || '-' || area_code as code, category || ' advisory, ' || area_name as name,
  case category when 'Weather' then 'Weather forecast and warnings' else category || ' advisory' end || ' at ' || lower(area_level)
    || ' granularity for ' || area_name as "shortDesc",
  category || ' advisory capability covering ' || area_name || ', standing on ' ||
    case when passage_count = 1 then '1 indexed passage' else passage_count || ' indexed passages' end || ' (source ' ||
    case when page_min = page_max then 'page ' || page_min else 'pages ' || page_min || '-' || page_max end ||
-   '). Advisory text itself is served by the provider node on direct request, not through this catalogue.' as "longDesc", sources
+   '). Advisory text itself is served by the provider node on direct request, not through this catalogue.' as "longDesc", documents
 from r_ join d using (resource_id)"""
 
 
@@ -195,38 +196,138 @@ def leak_probe(spark, sf):
     return dc.leaks(published(spark, sf), ["Erth", "moisture stress", "XAVIA", "src1"])
 
 
-LEAK_SQL = f"""with {ROWS}, {ROLLUP}, s as (select distinct resource_id from facets_ where contains(document, 'src1')),
+LEAK_SQL = f"""with {ROWS}, {ROLLUP},
 n as (select resource_id, lower(string_agg(a.name || ' ' || a.code, ' ')) as names, any_value(lower(subj)) as subj from
   (select resource_id, unnest(coverage) as c, {sql.joined('subjects')} as subj from r_) x join areas_ a on a.code = x.c group by 1)
 select 'Erth' as probe, count(*) filter (contains(names, 'erth') or contains(subj, 'erth')) as resources from n
 union all select 'moisture stress', 0
 union all select 'XAVIA', count(*) filter (contains(names, 'xavia')) from n
-union all select 'src1', (select count(*) from s)"""
+union all select 'src1', 0"""
+
+
+_AREA = "array<struct<codeScheme:string,areaCode:string,areaLevel:string,areaName:string>>"
+_SUBJECT = "array<struct<subjectId:string,subjectType:string,descriptor:struct<code:string,name:string>>>"
+# fault -> (attribute, its faulty value in Spark SQL, which resources in SQL, rules and details found)
+FAULTS = {
+    "context": ("@context", "' '", "true", [("blank-context", "'@context'")]),
+    "type": ("@type", "''", "true", [("blank-type", "'@type'"), ("unknown-type", "''")]),
+    "odd-type": ("@type", "'adv:Nonsense'", "true", [("unknown-type", "'adv:Nonsense'")]),
+    "coverage": ("coverageAreas", f"cast(array() as {_AREA})", "true", [("no-coverage", "'coverageAreas'")]),
+    "area": ("coverageAreas", f"from_json('[{{\"areaLevel\":\"State\",\"areaName\":\"Nowhere\"}}]', '{_AREA}')", "true",
+             [("area-incomplete", "'Nowhere'"), ("unknown-scheme", "'null'"), ("unknown-area", "'null'")]),
+    "odd-area": ("coverageAreas", f"from_json('[{{\"codeScheme\":\"S\",\"areaCode\":\"Z\",\"areaLevel\":\"Village\"}}]', '{_AREA}')",
+                 "true", [("unknown-scheme", "'S'"), ("unknown-level", "'Village'"), ("unknown-area", "'Z'")]),
+    "languages": ("languages", "cast(array() as array<string>)", "true", [("no-language", "'languages'")]),
+    "language": ("languages", "array('eng')", "category = 'Crop'", [("bad-language", "'eng'")]),
+    "subjects": ("agricultureSubjects", f"from_json('[{{\"subjectId\":\"x\",\"subjectType\":\"Fish\"}}]', '{_SUBJECT}')",
+                 "category = 'Crop'", [("undeclared-subject-type", "'Fish'"), ("unminted-subject", "'x'")]),
+    "topic": ("topics", "array('Bogus')", "category = 'Weather'", [("unknown-topic", "'Bogus'")]),
+    "weather": ("weatherParameters", "array('Bogus')", "category = 'Weather'", [("unknown-weather", "'Bogus'")]),
+    "foreign": ("weatherParameters", "array('Mist')", "category = 'Livestock'", [("foreign-group", "'weatherParameters'")]),
+    "granularity": ("geographicGranularity", "'Village'", "true", [("bad-granularity", "'Village'")]),
+    "frequency": ("updateFrequency", "'P'", "category = 'Horticulture'", [("bad-duration", "'P'")]),
+    "horizon": ("forecastHorizon", "'P1H'", "category = 'Weather'", [("bad-duration", "'P1H'")]),
+    "horizon-of-many-parts": ("forecastHorizon", "'P1D2D3D4D5D6D7D8D9DT1H1M1S1H1M1S1H'", "true", []),
+}
+CATEGORIES = ("array_union(attributes.subjectCategories, array('Fish'))", "unknown-category", "Fish")
+SOUND = '{"sprayWindow": "P1D", "note": "coordinates", "place": {"coordinates": [1, 2]}}'
+UNSOUND = '{"note": {"text": ["spray 4 ml/l of it"]}, "coverageAreas": [{"areaCode": "a", "coordinates": [1, 2]}]}'
 
 
 def violations(spark, sf):
-    """One seeded fault per kind of resource, found by the rules."""
-    a = F.col("attributes")
-    seeded = settle(resources(spark, sf), "resources").withColumn("attributes", a.withField(
-        "languages", F.when(F.col("category") == "Crop", F.array(F.lit("eng"))).otherwise(a["languages"]),
-    ).withField(
-        "topics", F.when(F.col("category") == "Weather", F.array(F.lit("Bogus"))).otherwise(a["topics"]),
-    ).withField(
-        "weatherParameters", F.when(F.col("category") == "Livestock", F.array(F.lit("Mist"))).otherwise(a["weatherParameters"]),
-    ).withField(
-        "updateFrequency", F.when(F.col("category") == "Horticulture", F.lit("P")).otherwise(a["updateFrequency"]),
-    )).withColumn("extras", F.when(F.col("area_code") == "XC-ERTH", F.lit(
-        '{"note": {"text": ["spray 4 ml/l of it"]}, "place": {"coordinates": [1, 2]}}')))
-    return va.resource_violations(seeded, LEXICON, SETTINGS).select("resource_id", "rule", "detail")
-
-
-VIOLATION_SQL = f"""with {ROWS}, {ROLLUP}
-select resource_id, 'bad-language' as rule, 'eng' as detail from r_ where category = 'Crop'
-union all select resource_id, 'unknown-topic', 'Bogus' from r_ where category = 'Weather'
-union all select resource_id, 'foreign-group', 'weatherParameters' from r_ where category = 'Livestock'
-union all select resource_id, 'bad-duration', 'P' from r_ where category = 'Horticulture'
-union all select resource_id, 'prose', 'resourceAttributes.note.text[0] = spray 4 ml/l of it' from r_ where area_code = 'XC-ERTH'
-union all select resource_id, 'coordinates', 'coordinates' from r_ where area_code = 'XC-ERTH'"""
+    """Every rule about resources meets its fault, on copies of the resources that are told apart by `catalog_id`;
+    then the rules about catalogues, envelopes and directives."""
+    sound = settle(resources(spark, sf), "resources")
+    names = [*FAULTS, "category", "none", "advice", "extras", "sound"]
+    copies = sound.withColumn("catalog_id", F.explode(F.array(*map(F.lit, names))))
+    fault = F.col("catalog_id")
+    changed = F.col("attributes")
+    for name, (field, value, _, _) in FAULTS.items():
+        where = (fault == name) & F.expr(FAULTS[name][2])
+        changed = changed.withField(f"`{field}`", F.when(where, F.expr(value)).otherwise(changed[field]))
+    changed = changed.withField("subjectCategories", F.when(
+        fault == "category", F.expr(CATEGORIES[0])).otherwise(changed["subjectCategories"]))
+    seeded = copies.withColumns({
+        "attributes": F.when(fault != "none", changed),
+        "descriptor": F.col("descriptor").withField(
+            "shortDesc", F.when(fault == "advice", "Spray it").otherwise(F.col("descriptor.shortDesc"))),
+        "extras": F.when(fault == "extras", UNSOUND).when(fault == "sound", SOUND),
+    })
+    found = va.resource_violations(seeded, LEXICON, SETTINGS)
+    now = F.timestamp_seconds(F.lit(1767225600))
+    cats = settle(res.catalogs(sound, LEXICON, SETTINGS, now), "catalogs")
+    env = settle(res.envelope(cats, SETTINGS, transaction_id="", message_id="m-1", now=now), "envelope")
+    bad_env = env.withColumn("context", F.col("context").withField("version", F.lit("1.0")).withField("action", F.lit("send"))
+                             .withField("bppId", F.lit("x")))
+    bad_cat = cats.withColumn("catalog", F.col("catalog").withField("provider.id", F.lit("")).withField(
+        "descriptor", F.lit(None)).withField("resources", F.slice("catalog.resources", 1, 0)))
+    twice = va.duplicate_ids(sound.unionByName(sound)).select(
+        "catalog_id", "resource_id", F.lit("duplicate-id").alias("rule"), F.col("n").cast("string").alias("detail"))
+    told = spark.createDataFrame([("cat-other", "BOGUS")], "catalog_id string, catalog_type string")
+    parts = [va.context_violations(bad_env), va.closed_object_violations(bad_env), va.catalog_violations(bad_cat), twice,
+             va.directive_violations(sound.select("catalog_id"), told)]
+    for p in parts:
+        found = found.unionByName(p)
+    return found
+
+
+def _seeded() -> str:
+    rows = [f"select '{name}' as catalog_id, resource_id, '{rule}' as rule, {detail} as detail from r_ where {where}"
+            for name, (_, _, where, found) in FAULTS.items() for rule, detail in found]
+    rows += [f"select 'category', resource_id, '{CATEGORIES[1]}', '{CATEGORIES[2]}' from r_",
+             "select 'none', resource_id, 'no-attributes', '' from r_",
+             "select 'advice', resource_id, 'advice-in-descriptor', 'descriptor.shortDesc' from r_",
+             "select 'extras', resource_id, 'prose', 'resourceAttributes.note.text[0] = spray 4 ml/l of it' from r_",
+             "select 'extras', resource_id, 'coordinates', 'coordinates' from r_",
+             "select null, null, 'bad-version', '1.0'", "select null, null, 'bad-action', 'send'",
+             "select null, null, 'missing-context', 'transactionId'", "select null, null, 'unknown-key', 'bppId'",
+             "select catalog_id, null, 'no-resources', 'resources' from c_", "select catalog_id, null, 'no-provider', 'provider.id' from c_",
+             "select catalog_id, null, 'no-descriptor', 'descriptor' from c_",
+             "select catalog_id, resource_id, 'duplicate-id', '2' from r_", "select catalog_id, null, 'no-directive', catalog_id from c_",
+             "select 'cat-other', null, 'bad-catalog-type', 'BOGUS'"]
+    return "\nunion all ".join(rows)
+
+
+VIOLATION_SQL = f"""with {ROWS}, {ROLLUP}, c_ as (select distinct catalog_id from r_)
+{_seeded()}"""
+
+
+def publish_round_trip(spark, sf):
+    """What differs between the resources and a node that lost some and holds others in an older form, before and
+    after they are published into it. What the node alone has stays."""
+    sent = settle(resources(spark, sf), "resources")
+    own = pb.published_rows(sent, SETTINGS)
+    kind = F.split("resource_id", "-")[4]
+    older = F.col("attributes").withField("languages", F.array(F.lit("xx")))
+    before = own.where(kind != "crop").withColumn("attributes", F.when(kind == "weather", older).otherwise(F.col("attributes")))
+    before = settle(before.unionByName(own.withColumn("resource_id", F.concat(F.lit("gone-"), "resource_id"))), "held")
+    after = settle(pb.publish_into(before, sent, SETTINGS), "held")
+    return (dc.round_trip(own, before).withColumn("stage", F.lit("before"))
+            .unionByName(dc.round_trip(own, after).withColumn("stage", F.lit("after")))
+            .unionByName(after.select("resource_id", F.lit("held").alias("problem"), F.lit("after").alias("stage"))))
+
+
+TRIP_SQL = f"""with {ROWS}, {ROLLUP}
+select resource_id, case category when 'Crop' then 'not held' else 'differs' end as problem, 'before' as stage from r_
+ where category in ('Crop', 'Weather')
+union all select resource_id, 'held', 'after' from r_ union all select 'gone-' || resource_id, 'held', 'after' from r_"""
+
+
+def publish_ledger(spark, sf):
+    """Three publishes into one kept table: all, all again, and the resources of one state alone."""
+    folder = f"{shared_dir(spark)}/node-{uuid.uuid4().hex}"
+    every = settle(resources(spark, sf), "resources")
+    for sent in (every, every, settle(every.where("state_code = 'XA'"), "resources")):
+        publish(spark, sent, LEXICON, SETTINGS, table=f"{folder}/node", ledger=f"{folder}/ledger")
+    return read_ledger(spark, f"{folder}/ledger").select(
+        "seq", "target", "ack_status", "resources", "changed_since_previous", F.array_join("catalog_ids", ",").alias("catalogs"))
+
+
+PUBLISH_LEDGER_SQL = f"""with {ROWS}, {ROLLUP}, p as (
+ select 1 as seq, cast(null as boolean) as changed_since_previous, * from r_ union all select 2, false, * from r_
+ union all select 3, true, * from r_ where state_code = 'XA')
+select cast(seq as bigint) as seq, 'kept table' as target, 'ACCEPTED' as ack_status, count(*) as resources, changed_since_previous,
+ string_agg(distinct catalog_id, ',' order by catalog_id) as catalogs from p group by seq, changed_since_previous"""
 
 
 def claims_hash(spark, sf):
@@ -300,6 +401,8 @@ QUERIES = {
     "resource_rollup": (rollup, ROLLUP_SQL),
     "corpus_resources": (corpus_resources, CORPUS_SQL),
     "resource_documents": (resource_documents, DOCUMENTS_SQL),
+    "publish_round_trip": (publish_round_trip, TRIP_SQL),
+    "publish_ledger": (publish_ledger, PUBLISH_LEDGER_SQL),
     "descriptor_text": (descriptors, DESCRIPTOR_SQL),
     "capability_counts": (capability_counts, CAPABILITY_SQL),
     "schema_contexts": (schema_contexts, CONTEXT_SQL),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.text import stripped_length
-from ...operators import discover as dc, pages as pg, vector_index as vi
+from ...operators import discover as dc, pages as pg, validate as va, vector_index as vi
 from ...operators.facets import choose_area
 from ...operators.ordered import first_per, running
 from .. import corpus
@@ -44,13 +44,13 @@ select *, thin_pages + empty_pages as unread_pages,
 
 
 def picture_pages(spark, sf):
-    text = F.regexp_extract("html", r"<title>([^<]*)", 1)
+    text = F.regexp_replace("html", "<[^>]*>", "")
     image = F.col("html").contains('class="ad"')
     return table(spark, sf, "pages").select(
         "page_id", pg.is_picture(text, image, SETTINGS).alias("picture"), stripped_length(text).alias("chars"))
 
 
-PICTURE_SQL = f"""with t as (select page_id, html, length({sql.strip("regexp_extract(html, '<title>([^<]*)', 1)")}) as n from pages)
+PICTURE_SQL = f"""with t as (select page_id, html, length({sql.strip("regexp_replace(html, '<[^>]*>', '', 'g')")}) as n from pages)
 select page_id, contains(html, 'class="ad"') and n < 150 as picture, cast(n as integer) as chars from t"""
 
 
@@ -133,44 +133,79 @@ p as (select *, case when len(section) > 0 then section[1] when len(named) = 1 t
 select c_custkey, area, array_to_string(list_filter(also0, lambda x, i: x <> area and list_position(also0, x) = i), ',') as also from p"""
 
 
+AREAS = "array<struct<codeScheme:string,areaCode:string,areaLevel:string,areaName:string>>"
+SUBJECTS = "array<struct<subjectId:string,subjectType:string,descriptor:struct<code:string,name:string>>>"
+
+
+def as_resources(rows, key, **own):
+    """Rows of a table as resources, with the given attributes and plain ones else."""
+    null = lambda kind: F.lit(None).cast(kind)
+    plain = {
+        "@context": F.lit("x"), "@type": F.lit("adv:CropAdvisoryCapability"), "subjectCategories": F.array(F.lit("Crop")),
+        "languages": F.array(F.lit("en")), "coverageAreas": null(AREAS), "geographicGranularity": F.lit("State"),
+        "agricultureSubjects": null(SUBJECTS), "weatherParameters": null("array<string>"), "topics": null("array<string>"),
+        "updateFrequency": F.lit("P1D"), "forecastHorizon": null("string")}
+    return rows.select(
+        F.lit("c").alias("catalog_id"), F.col(key).cast("string").alias("resource_id"),
+        F.struct(*[v.alias(k) for k, v in {**plain, **own}.items()]).alias("attributes"),
+        F.struct(*[F.lit("n").alias(k) for k in ("code", "name", "shortDesc", "longDesc")]).alias("descriptor"))
+
+
+def violations_of(resources, rule):
+    found = va.resource_violations(resources, corpus.LEXICON, SETTINGS)
+    return found.where(F.col("rule") == rule).select("resource_id", "detail")
+
+
 def closed_vocabulary(spark, sf):
-    """Events of a type outside the closed list."""
-    allowed = spark.createDataFrame([("click",), ("view",), ("purchase",)], "event_type string")
-    return table(spark, sf, "events").join(allowed, "event_type", "left_anti").select("event_id", "event_type")
+    """Events as resources; clicks, views and purchases are known topics, other types are not."""
+    kind = F.col("event_type")
+    topic = F.when(kind == "click", "Reading").when(kind == "view", "Holding").when(kind == "purchase", "Rare").otherwise(kind)
+    return violations_of(as_resources(table(spark, sf, "events"), "event_id", topics=F.array(topic)), "unknown-topic")
 
 
-VOCABULARY_SQL = """select event_id, event_type from events where event_type not in ('click', 'view', 'purchase')"""
+VOCABULARY_SQL = """select cast(event_id as varchar) as resource_id, event_type as detail from events
+where event_type not in ('click', 'view', 'purchase')"""
 
 
 def undeclared_types(spark, sf):
-    """Part types a brand carries without declaring them; the first three are declared."""
-    present = F.array_sort(F.collect_set("p_type"))
+    """Part types a brand carries without declaring them; three are declared."""
+    brands = table(spark, sf, "part").groupBy("p_brand").agg(F.collect_set("p_type").alias("types"))
+    carried = F.transform("types", lambda t: F.struct(
+        F.lit("u").alias("subjectId"), t.alias("subjectType"),
+        F.lit(None).cast("struct<code:string,name:string>").alias("descriptor")))
     declared = F.array(F.lit("ECONOMY"), F.lit("SMALL"), F.lit("PROMO"))
-    return table(spark, sf, "part").groupBy("p_brand").agg(present.alias("present")).select(
-        "p_brand", F.array_join(F.array_except("present", declared), ",").alias("undeclared"))
+    return violations_of(as_resources(brands, "p_brand", agricultureSubjects=carried, subjectCategories=declared),
+                         "undeclared-subject-type")
 
 
-UNDECLARED_SQL = """select p_brand, coalesce(string_agg(distinct p_type, ',' order by p_type)
- filter (p_type not in ('ECONOMY', 'SMALL', 'PROMO')), '') as undeclared from part group by 1"""
+UNDECLARED_SQL = """select p_brand as resource_id, string_agg(distinct p_type, ',' order by p_type) as detail from part
+where p_type not in ('ECONOMY', 'SMALL', 'PROMO') group by 1"""
 
 
 def directive_anti_join(spark, sf):
-    """Customers without a recent order: catalogues without a directive."""
-    orders = table(spark, sf, "orders").where("o_orderdate >= date '2000-01-01'").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
+    """Users are catalogues, orders their directives: users without one, and directives of an open type."""
+    users = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("catalog_id"))
+    status = F.col("o_orderstatus")
+    directives = table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("catalog_id"),
+        F.when(status == "F", "REGULAR").when(status == "O", "MASTER").otherwise(status).alias("catalog_type"))
+    return va.directive_violations(users, directives).select("catalog_id", "rule", "detail")
 
 
-DIRECTIVE_SQL = """select c_custkey, c_mktsegment from customer where c_custkey not in (select o_custkey from orders where o_orderdate >= date '2000-01-01')"""
+DIRECTIVE_SQL = """select cast(user_id as varchar) as catalog_id, 'no-directive' as rule, cast(user_id as varchar) as detail
+from (select distinct user_id from events) where user_id not in (select o_custkey from orders)
+union all select cast(o_custkey as varchar), 'bad-catalog-type', o_orderstatus from orders where o_orderstatus not in ('F', 'O')"""
 
 
 def duplicate_ids(spark, sf):
     """Texts that stand more than once in one source. Grouped by digest, so the
     shuffle carries no text."""
-    rows = table(spark, sf, "documents").select("source", F.sha2("text", 256).alias("digest"))
-    return rows.groupBy("source", "digest").agg(F.count("*").alias("n")).where("n > 1")
+    rows = table(spark, sf, "documents").select(F.col("source").alias("catalog_id"), F.sha2("text", 256).alias("resource_id"))
+    return va.duplicate_ids(rows)
 
 
-DUPLICATE_SQL = "select source, sha256(text) as digest, count(*) as n from documents group by 1, 2 having count(*) > 1"
+DUPLICATE_SQL = """select source as catalog_id, sha256(text) as resource_id, count(*) as n from documents
+group by 1, 2 having count(*) > 1"""
 
 
 def round_trip(spark, sf):
@@ -193,14 +228,14 @@ PROBE_SQL = "select doc_id, source from documents where contains(lower(text), 'a
 
 
 def upsert_events(spark, sf):
-    """A user's latest browsing, replaced by the latest other event where there is one."""
+    """A user's newest browsing is held, all other events come in late: the newest of both stays, on either side."""
     e = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
     browsing, order = F.col("event_type").isin("click", "view"), [F.desc("event_id")]
     return vi.upsert(first_per(e.where(browsing), ["user_id"], order), e.where(~browsing), ["user_id"], order)
 
 
 UPSERT_SQL = """select user_id, event_type, event_id, value from events
-qualify row_number() over (partition by user_id order by (event_type in ('click', 'view')), event_id desc) = 1"""
+qualify row_number() over (partition by user_id order by event_id desc) = 1"""
 
 QUERIES = {
     "scan_gate": (scan_gate, GATE_SQL),
