@@ -32,21 +32,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
-from .pretoken import pieces, text_of
+from .common import by_chars, per_worker, small_batches
+from .piecetable import START, PieceTable
+from .pretoken import is_odd
 
 SIZE, RUN, GRID = 2048, 400_000, 64
 SENTENCE, INSIDE = 1, 8
 END = 1
-#: Pieces whose ids a worker keeps; the memory it may use, not a limit of the input.
-KEPT = 300_000
+#: New pieces that go to the tokenizer as one text.
+JOINED = 100
 VOCABULARY = "byte_bpe_50k.json"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "padded long")
 
 
 class Encoder:
-    """Ids of whole texts as packed 32-bit integers, by a tokenizer file; pieces are encoded once and kept."""
+    """Ids of whole texts by a tokenizer file. Pieces of texts are encoded once and remembered."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -54,41 +55,53 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict = {}
-        ends = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        # "Ċ" is the byte-level form of a line feed
-        self.closes = np.array([t.endswith((".", "!", "?", "Ċ")) for t in ends])
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # in byte-level vocabularies a blank is written as U+0120 and a line feed as U+010A
+        self.opens = np.array([t.startswith(("\u0120", "\u010a")) for t in names])
+        self.closes = np.array([t.endswith((".", "!", "?", "\u010a")) for t in names])
         self.closes[END] = True
-
-    def learn(self, new: set) -> None:
-        if len(self.known) + len(new) > KEPT:
-            self.known.clear()
-        order = list(new)
-        for at in range(0, len(order), 20_000):
-            part = order[at: at + 20_000]
-            found = self.tokenizer.encode_batch([text_of(p) for p in part], add_special_tokens=False)
-            for p, e in zip(part, found):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
-        wanted = set().union(*cut) if cut else set()
-        new = wanted - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > KEPT:
-                new = wanted
-            self.learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
-
-
-_ENCODERS: dict[str, Encoder] = {}
+        self.table = PieceTable(self._ids)
+
+    def _ids(self, pieces_: list[bytes]) -> list:
+        """Pieces that open with white space are encoded JOINED at a time: exactly their first tokens open with it."""
+        texts = [(p[1:] if p[0] == START else p).decode("utf-8", "surrogatepass") for p in pieces_]
+        out: list = [None] * len(texts)
+        bare = [i for i, p in enumerate(pieces_) if p[0] == START or len(p) == 1]
+        for i, e in zip(bare, self.tokenizer.encode_batch([texts[i] for i in bare], add_special_tokens=False)):
+            out[i] = e.ids
+        rest = [i for i, p in enumerate(pieces_) if p[0] != START and len(p) > 1]
+        runs = [rest[at: at + JOINED] for at in range(0, len(rest), JOINED)]
+        joined = self.tokenizer.encode_batch(["".join([texts[i] for i in r]) for r in runs], add_special_tokens=False)
+        for r, e in zip(runs, joined):
+            ids = e.ids
+            opens = np.nonzero(self.opens[ids])[0].tolist()
+            if len(opens) != len(r):
+                parts = [e.ids for e in self.tokenizer.encode_batch([texts[i] for i in r], add_special_tokens=False)]
+            else:
+                parts = [ids[a:b] for a, b in zip(opens, [*opens[1:], len(ids)])]
+            for i, part in zip(r, parts):
+                out[i] = part
+        return out
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, unsigned 32-bit."""
+        odd = [i for i, t in enumerate(texts) if is_odd(t)]
+        out: list = [None] * len(texts)
+        for i, e in zip(odd, self.tokenizer.encode_batch([texts[i] for i in odd], add_special_tokens=False)):
+            out[i] = np.array(e.ids, "<u4")
+        even = [i for i, t in enumerate(texts) if out[i] is None]
+        if even:
+            mark = bytes([START])
+            buffer = mark + mark.join([texts[i].encode("utf-8", "surrogatepass") for i in even])
+            ids, counts, begins = self.table.look_up(np.frombuffer(buffer, np.uint8))
+            cuts = (np.cumsum(counts) - counts)[begins][1:]
+            for i, part in zip(even, np.split(ids.astype("<u4", copy=False), cuts)):
+                out[i] = part
+        return out
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return per_worker(f"encoder {path}", lambda: Encoder(path))
 
 
 def cuts_of(places: list[int], penalty: list[int], size: int, tail: bool) -> list[int]:
@@ -164,14 +177,14 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, *, doc_id:
         from pyspark import TaskContext
 
         enc, sequence = encoder(path), TaskContext.get().partitionId() << 40
-        end = np.array([END], "<u4").tobytes()
-        held: list[list] = []  # [doc_id, bytes, tokens of the document, tokens of it already placed]
+        end = np.array([END], "<u4")
+        held: list[list] = []  # [doc_id, ids, tokens of the document, tokens of it already placed]
         waiting = 0
 
         def placed(tail: bool) -> pa.RecordBatch:
             nonlocal sequence, held, waiting
-            stream = np.frombuffer(b"".join(h[1] for h in held), "<u4")
-            sizes = np.array([len(h[1]) // 4 for h in held], np.int64)
+            stream = np.concatenate([h[1] for h in held])
+            sizes = np.array([len(h[1]) for h in held], np.int64)
             ends = np.cumsum(sizes)
             cuts = plan(stream, ends, enc.closes, size, tail)
             if not tail:
@@ -191,7 +204,7 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, *, doc_id:
                     name, data, total, before = held[d]
                     own = at - int(ends[d] - sizes[d])
                     take = min(cut, int(ends[d])) - at
-                    rows.append((name, before + own, take, zlib.crc32(memoryview(data)[4 * own: 4 * (own + take)]),
+                    rows.append((name, before + own, take, zlib.crc32(data[own: own + take]),
                                  total, sequence, offset, pad))
                     offset += take
                     at += take
@@ -201,7 +214,7 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, *, doc_id:
             for (name, data, total, before), stop, n in zip(held, ends.tolist(), sizes.tolist()):
                 own = max(0, begin - (stop - n))
                 if own < n:
-                    rest.append([name, data[4 * own:], total, before + own])
+                    rest.append([name, data[own:], total, before + own])
             held, waiting = rest, int(ends[-1]) - begin if len(ends) else 0
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 8)],
@@ -209,13 +222,12 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, *, doc_id:
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 100):
-                for name, ids in zip(names[at: at + 100], enc.encode(texts[at: at + 100])):
-                    ids += end
-                    held.append([name, ids, len(ids) // 4, 0])
-                    waiting += len(ids) // 4
-                    if waiting >= RUN:
-                        yield placed(False)
+            ids_of = (ids for part in by_chars(texts) for ids in enc.encode(part))
+            for name, ids in zip(names, ids_of):
+                held.append([name, np.concatenate([ids, end]), len(ids) + 1, 0])
+                waiting += len(ids) + 1
+                if waiting >= RUN:
+                    yield placed(False)
         if held:
             yield placed(True)
 

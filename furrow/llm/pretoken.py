@@ -18,10 +18,15 @@ MATCHES = regex.compile(public_tokenizers.PATTERN)
 ODD = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["  ", "\n\n", " \n", "\n "]
 
 
+def is_odd(text: str) -> bool:
+    """Whether the text has white space of another kind than the pieces allow."""
+    return bool(text) and (text[0] in " \n" or text[-1] in " \n" or any([o in text for o in ODD]))
+
+
 def pieces(text: str) -> list:
     if not text:
         return []
-    if text[0] in " \n" or text[-1] in " \n" or any([o in text for o in ODD]):
+    if is_odd(text):
         return [(m,) for m in MATCHES.findall(text)]
     out = text.replace("\n", " \n").split(" ")
     out[0] = (out[0],)
