@@ -58,7 +58,7 @@ def main() -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     args = ap.parse_args()
     spark = build_session("check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.legacy.parquet.nanosAsLong": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = oracle(args.sf), []

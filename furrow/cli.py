@@ -82,7 +82,12 @@ def run_onboard(args, spark, settings: Settings) -> int:
     if not totals["ok"]:
         print("nothing was publishable")
         return 1
-    resources, index, timing = onboard.both(spark, got, lexicon, settings, embedder, f"{args.out}/index", fresh=args.fresh)
+    unembedded = []
+    resources, index, timing = onboard.both(spark, got, lexicon, settings, embedder, f"{args.out}/index", fresh=args.fresh,
+                                            on_failure=unembedded.append)
+    for failed in unembedded:
+        for r in each_row(failed):
+            print(f"{r['status'].upper():8s} {r['document']}: {r['reason']}")
     print(f"timing       catalogue {timing['catalogue_seconds']:.1f}s, index {timing['index_seconds']:.1f}s, wall {timing['wall_seconds']:.1f}s")
     tokens = embedder.token_column("text")
     if tokens is not None:

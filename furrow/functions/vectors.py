@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -25,14 +26,6 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norms, out=m.copy(), where=norms > 0)
 
 
-@F.pandas_udf(T.DoubleType())
-def cosine_pair(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Cosine of two vector columns; zero vectors score 0."""
-    if not len(a):
-        return pd.Series([], dtype=float)
-    return pd.Series((unit_rows(matrix(a)) * unit_rows(matrix(b))).sum(axis=1))
-
-
 def cosine_to(query: list[float]):
     """A function scoring a vector column against one fixed query vector."""
     target = unit_rows(np.asarray([query], dtype=np.float64))[0]
@@ -70,11 +63,16 @@ def grams(c: Column | str, size: int = 3) -> Column:
     return let(F.split(gram_text(c), ""), lambda chars: F.when(F.size(chars) >= size, joined(chars)))
 
 
-def lexical_embedder(dim: int):
+def _blake(gram: bytes) -> bytes:
+    return hashlib.blake2b(gram, digest_size=4).digest()
+
+
+def lexical_embedder(dim: int, digest: Callable[[bytes], bytes] = _blake):
     """Character 3-gram counts hashed into `dim` cells, unit length.
 
     Spark has no BLAKE2, so this is an Arrow batch function. Each worker keeps
-    the cell of every gram it has hashed.
+    the cell of every gram it has hashed. `digest` gives the bytes whose first
+    four choose a gram's cell.
     """
     cells: dict[str, int] = {}
 
@@ -83,8 +81,7 @@ def lexical_embedder(dim: int):
         if found is None:
             if len(cells) > 1_000_000:
                 cells.clear()
-            digest = hashlib.blake2b(gram.encode(), digest_size=4).digest()
-            found = cells[gram] = int.from_bytes(digest, "big") % dim
+            found = cells[gram] = int.from_bytes(digest(gram.encode())[:4], "big") % dim
         return found
 
     def vector(text: str | None) -> np.ndarray:

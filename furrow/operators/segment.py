@@ -122,21 +122,29 @@ def split_page(text: str, crops_by_line, least: int, most: int) -> list[str]:
 
 
 def with_blocks(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
-    """Add `blocks`, the passages of each page in order.
+    """Add `blocks`, the passages of each page in order, and `fault`, what went wrong with a page that has none for it.
 
     `mapInArrow` and not a UDF column: Spark does not extract a Python UDF whose
     argument holds lambdas. Other columns pass through as Arrow arrays.
     """
     least, most = settings.min_passage_chars, settings.max_passage_chars
     staged = pages.withColumn("_crops", line_crops(F.col("text"), lexicon))
-    schema = T.StructType(list(pages.schema.fields) + [T.StructField("blocks", T.ArrayType(T.StringType()))])
+    schema = T.StructType(list(pages.schema.fields) + [T.StructField("blocks", T.ArrayType(T.StringType())),
+                                                           T.StructField("fault", T.StringType())])
     kept = pages.columns
 
+    def one(text, crops):
+        try:
+            return split_page(text or "", crops, least, most), None
+        except Exception as exc:  # costs the page's document, not the batch
+            return [], f"{type(exc).__name__}: {exc}"
+
     def fold(batches):
         for batch in batches:
             rows = zip(batch.column("text").to_pylist(), batch.column("_crops").to_pylist())
-            blocks = [split_page(text or "", crops, least, most) for text, crops in rows]
+            made = [one(text, crops) for text, crops in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array(blocks, pa.list_(pa.string()))], kept + ["blocks"])
+                [batch.column(c) for c in kept] + [pa.array([b for b, _ in made], pa.list_(pa.string())),
+                                                   pa.array([f for _, f in made], pa.string())], [*kept, "blocks", "fault"])
 
     return staged.mapInArrow(fold, schema)

@@ -16,6 +16,14 @@ def embed(passages: DataFrame, embedder) -> DataFrame:
     return embedder.embed_passages(passages.select("point_id", *payload_columns()), "text", "embedding")
 
 
+def sound_documents(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vectors of the documents all of whose passages have one; and the other documents, as failures. `vectors` is a
+    written table: embedding is not done twice."""
+    failed = vectors.where(F.col("embedding").isNull()).groupBy("document").agg(
+        F.lit("failed").alias("status"), F.format_string("%d passages without a vector", F.count("*")).alias("reason"))
+    return vectors.join(failed, "document", "left_anti"), failed
+
+
 def check_dimension(vectors: DataFrame, dim: int) -> None:
     """Refuse to mix vectors of two models: reads the dimension of one row."""
     row = vectors.select(F.size("embedding").alias("dim")).head()

@@ -8,6 +8,7 @@ that costs the rest of the batch.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass
@@ -65,9 +66,12 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
         decisions = pg.document_decisions(pages, lexicon, settings, store)
         accepted = pg.apply_decisions(pages, decisions, settings)
     blocked = store(facets.segmented(accepted, lexicon, settings, rule), "blocks")
-    found = store(facets.placed(blocked, lexicon, settings), "passages")
+    faults = blocked.where("fault is not null").groupBy("document").agg(F.min("fault").alias("fault"))
+    # pages of a document that failed give no passages; documents that fail are few, and only their names move
+    sound = blocked.join(faults, "document", "left_anti").drop("fault")
+    found = store(facets.placed(sound, lexicon, settings), "passages")
     summary = rp.passage_summary(found)
-    outcome = rp.with_failures(decisions, summary)
+    outcome = rp.with_failures(decisions, summary, faults)
     if refusals is not None:
         outcome = outcome.unionByName(refusals, allowMissingColumns=True)
     return Extraction(outcome, accepted, found, rp.extraction_report(blocked, found, settings), readings)
@@ -82,9 +86,12 @@ def catalogue(extraction: Extraction, lexicon: Lexicon, settings: Settings, *,
 
 
 def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settings: Settings, *,
-          fresh: bool = False, pruned: bool = False) -> DataFrame:
+          fresh: bool = False, pruned: bool = False, on_failure: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Embed and upsert into the index table; re-ingest replaces by point id.
 
+    A document with a passage that got no vector is left as the index holds it;
+    `on_failure` gets these documents (document, status, reason).
+
     Buckets follow the document: a re-sent one touches its own bucket only, and
     `pruned` sees all points it had, whatever pages they were on. A bucket may be
     many files, so a very long document still is many tasks.
@@ -92,15 +99,17 @@ def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settin
     held = None if fresh else read_table(spark, table)
     if held is not None:
         vector_index.check_dimension(held, embedder.dim)
-    vectors = vector_index.embed(passages, embedder)
+    vectors, failed = vector_index.sound_documents(settle(vector_index.embed(passages, embedder), "vectors"))
+    if on_failure:
+        on_failure(failed)
     bucket = F.xxhash64("document")
     return upsert_buckets(vectors, table, ["point_id"], bucket, settings.index_buckets,
-                          fresh=fresh, pruned_by="document" if pruned else None,
+                          fresh=fresh, pruned_by="document" if pruned else None, written=True,
                           sort_by=("resource_id", "language"))
 
 
 def both(spark: SparkSession, extraction: Extraction, lexicon: Lexicon, settings: Settings, embedder, table: str, *,
-         fresh: bool = False) -> tuple[DataFrame, DataFrame, dict]:
+         fresh: bool = False, on_failure=None) -> tuple[DataFrame, DataFrame, dict]:
     """Catalogue and index side by side: two Spark jobs from two threads reading
     one passages table. Returns resources, index and the timing."""
     def timed(work):
@@ -111,6 +120,7 @@ def both(spark: SparkSession, extraction: Extraction, lexicon: Lexicon, settings
     run = [copy_context(), copy_context()]  # both threads settle into this run's folder
     with ThreadPoolExecutor(2) as pool:
         a = pool.submit(run[0].run, timed, lambda: catalogue(extraction, lexicon, settings))
-        b = pool.submit(run[1].run, timed, lambda: index(spark, extraction.passages, embedder, table, settings, fresh=fresh))
+        b = pool.submit(run[1].run, timed, lambda: index(spark, extraction.passages, embedder, table, settings, fresh=fresh,
+                                                         on_failure=on_failure))
         (resources, a_seconds), (vectors, b_seconds) = a.result(), b.result()
     return resources, vectors, rp.branch_timing(a_seconds, b_seconds, time.perf_counter() - started)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ...functions import vectors as vf
-from ...operators import vector_index as vi
-from ...sources.embedders import LexicalEmbedder
+from ...operators import discover as dc, vector_index as vi
+from ...session import settle
+from ...sources.embedders import LexicalEmbedder, RemoteEmbedder
 from ..corpus import SETTINGS, table
 from . import catalogue
 
@@ -100,6 +104,73 @@ POINTS_SQL = f"""with {catalogue.ROWS} select {catalogue.sql.uuid5("'prov-corpus
  64 as dim, case when length(text) < 3 then 0.0::double else 1.0::double end as norm, document, page, category, area_code from facets_"""
 
 
+def md5(gram: bytes) -> bytes:
+    return hashlib.md5(gram).digest()
+
+
+class DigestEmbedder(LexicalEmbedder):
+    """The lexical back end with a digest that SQL has too."""
+
+    def __init__(self, settings):
+        super().__init__(settings)
+        self._embed = vf.lexical_embedder(self.dim, md5)
+
+
+ASKED = "The erst of the thing"
+
+
+def read_path(spark, sf):
+    """Discover resources by area and language, then search the passages of what was found."""
+    points = vi.embed(catalogue.document_passages(spark, sf), DigestEmbedder(SETTINGS))
+    found = dc.discover(catalogue.published(spark, sf), area_code="XC", language="en", limit=1000)
+    hits = vi.search(points, DigestEmbedder(SETTINGS), ASKED, limit=25, resource_ids=found, area_code="XC", language="en",
+                     also_areas=True)
+    return hits.select(F.round("score", 5).alias("score"), "document", "page", "resource_id", "language", "semantic",
+                       "from_ocr", "citation", F.length("text").alias("chars"))
+
+
+def _cells(source: str, key: str) -> str:
+    """Counts of the hashed grams of `t`."""
+    return f"""select {key}, cast('0x' || substr(md5(g), 1, 8) as bigint) % 64 as cell, cast(count(*) as double) as n
+ from (select {key}, substr(t, cast(i as bigint), 3) as g from (select {key}, t, unnest(range(1, length(t) - 1)) as i
+ from (select {key}, trim(regexp_replace(lower(text), '[\\s\\x{{00A0}}]+', ' ', 'g')) as t from {source}))) group by 1, 2"""
+
+
+READ_SQL = f"""with {catalogue.ROWS}, {catalogue.ROLLUP},
+d_ as (select resource_id from r_ where list_contains(coverage, 'XC') and list_contains(string_split(languages, ','), 'en')),
+p_ as (select * from facets_ where language = 'en' and (area_code = 'XC' or list_contains(also, 'XC'))
+  and resource_id in (select resource_id from d_)),
+c_ as ({_cells('p_', 'ordinal')}), a_ as (select 'q' as k, '{ASKED}' as text), q_ as ({_cells('a_', 'k')}),
+s_ as (select c_.ordinal, sum(c_.n * coalesce(q_.n, 0)) / sqrt(sum(c_.n * c_.n)) / (select sqrt(sum(n * n)) from q_) as score
+  from c_ left join q_ using (cell) group by 1)
+select round(coalesce(score, 0), 5) as score, document, page, resource_id, language, false as semantic, false as from_ocr,
+ document || ' p.' || page as citation, cast(length(text) as integer) as chars
+from p_ left join s_ using (ordinal) order by coalesce(s_.score, 0) desc, ordinal limit 25"""
+
+
+def one_bad_text(url, headers, body):
+    """An endpoint that cannot take texts under the Apache license."""
+    if any("Apache" in t for t in body["input"]):
+        raise ConnectionError("no answer")
+    return {"data": [{"embedding": [float(len(t)), 1.0]} for t in body["input"]]}
+
+
+def embedding_failures(spark, sf):
+    """What becomes of each document when the endpoint fails for some texts: those documents fail, no others."""
+    settings = replace(SETTINGS, embedding_base_url="http://endpoint.invalid", embedding_dim=2, publish_backoff_seconds=0.0)
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("document"), "text")
+    vectors = settle(RemoteEmbedder(settings, one_bad_text).embed_passages(docs, "text", "embedding"), "vectors")
+    sound, failed = vi.sound_documents(vectors)
+    kept = sound.select("document", F.lit("ok").alias("status"), F.round(F.col("embedding")[0], 4).alias("value"))
+    return kept.unionByName(failed.select("document", "status"), allowMissingColumns=True)
+
+
+FAILURE_SQL = """select cast(doc_id as varchar) as document, 'failed' as status, cast(null as float) as value from documents
+ where contains(text, 'Apache') union all
+select cast(doc_id as varchar), 'ok', round(cast((length(text) + 9) / sqrt((length(text) + 9) ** 2 + 1) as float), 4) from documents
+ where not contains(text, 'Apache')"""
+
+
 def lexical_search(spark, sf):
     """Documents nearest in spelling to a benchmark item."""
     embedder = LexicalEmbedder(SETTINGS)
@@ -119,4 +190,6 @@ QUERIES = {
     "point_lookup": (point_lookup, LOOKUP_SQL),
     "vector_points": (vector_points, POINTS_SQL),
     "lexical_search": (lexical_search, None),
+    "read_path": (read_path, READ_SQL),
+    "embedding_failures": (embedding_failures, FAILURE_SQL),
 }

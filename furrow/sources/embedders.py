@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 import math
-import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import lexical_embedder
 from ..settings import Settings
+from .http import growing, insist, post_json
 
 
 class Embedder(Protocol):
@@ -118,14 +117,6 @@ class LocalEmbedder:
 Transport = Callable[[str, dict[str, str], dict], dict]
 
 
-def post_json(url: str, headers: dict[str, str], body: dict, timeout: float = 120.0) -> dict:
-    request = urllib.request.Request(
-        url, json.dumps(body, ensure_ascii=False).encode("utf-8"), {"Content-Type": "application/json", **headers})
-    with urllib.request.urlopen(request, timeout=timeout) as response:
-        data = response.read()
-    return json.loads(data) if data else {}
-
-
 class RemoteEmbedder:
     """An embeddings endpoint, posted to in batches from the tasks."""
 
@@ -140,20 +131,33 @@ class RemoteEmbedder:
         self._settings, self._transport = settings, transport
 
     def _post(self):
-        url, headers, name, send = self._url, self._headers, self.name, self._transport
-        return lambda inputs: [
-            _unit(row["embedding"]) for row in send(url, headers, {"model": name, "input": inputs})["data"]]
+        url, headers, name, send, s = self._url, self._headers, self.name, self._transport, self._settings
+
+        def post(inputs):
+            answer = insist(lambda: send(url, headers, {"model": name, "input": inputs}),
+                            growing(s.publish_max_attempts, s.publish_backoff_seconds))
+            return [_unit(row["embedding"]) for row in answer["data"]]
+
+        return post
 
     def embed_passages(self, df, text, as_):
+        """Null where the endpoint gives no vector after all attempts. A batch that fails is tried text by text, so
+        one bad text costs itself alone."""
         post, size, prefix = self._post(), self._settings.embedding_batch, self._settings.passage_prefix
 
+        def vectors(inputs):
+            try:
+                return post(inputs)
+            except Exception:
+                return [None] if len(inputs) == 1 else [v for i in inputs for v in vectors([i])]
+
         @F.pandas_udf(T.ArrayType(T.FloatType()))
         def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
                 inputs = [prefix + t for t in texts]
                 out = []
                 for start in range(0, len(inputs), size):
-                    out.extend(post(inputs[start:start + size]))
+                    out.extend(vectors(inputs[start:start + size]))
                 yield pd.Series(out)
 
         return df.withColumn(as_, embed(F.col(text)))
