@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from furrow.session import shared_dir
+from furrow.session import settle, shared_dir
 
 #: The alphabet of base 32 (RFC 4648).
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -69,12 +69,13 @@ def headers(rows: DataFrame) -> DataFrame:
 
 
 def write_archive(pages: DataFrame, folder: str, least: int = 0) -> None:
-    """Write both tables. Html crosses the network at most once, for the responses; all else is narrow."""
+    """Write both tables. Html crosses the network once, each payload at most once per task; all else is narrow."""
     rows = digested(pages)
     key = ["digest", "sha256", "length"]
-    # pre-aggregated before the exchange, so a payload shared by many pages is one row per task
-    chosen = rows.groupBy(*key).agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies"))
-    narrow = rows.drop("payload")
+    # equal keys mean equal bytes, so any row's payload will do; copies are dropped before the exchange
+    rows.groupBy(*key).agg(F.first("payload").alias("payload")).write.parquet(f"{folder}/payloads")
+    narrow = settle(rows.drop("payload"), "digests")
+    chosen = narrow.groupBy(*key).agg(F.max("page_id").alias("refers_to"))
     marked = narrow.join(chosen, key)
     is_chosen = F.col("page_id").eqNullSafe(F.col("refers_to"))
     # several rows may repeat the chosen page id: one of them is the response
@@ -82,12 +83,6 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> None:
     marked = marked.withColumn("kind", F.when(
         (F.col("length") < least) | (is_chosen & (twin == 1)), "response").otherwise("revisit"))
     headers(marked).select("page_id", *key, "kind", "header").write.parquet(f"{folder}/records")
-    # the bytes: one row for each distinct payload, a join that only the chosen rows pass
-    wanted = chosen.select(F.col("refers_to").alias("page_id"), *key)
-    bodies = rows.select("page_id", *key, "payload")
-    same = [bodies.page_id.eqNullSafe(wanted.page_id), *(bodies[k] == wanted[k] for k in key)]
-    (bodies.join(wanted, same, "left_semi").groupBy(*key).agg(F.first("payload").alias("payload"))
-     .write.parquet(f"{folder}/payloads"))
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
