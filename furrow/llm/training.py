@@ -1,7 +1,8 @@
 """The bounded sample of labelled rows that the classifiers learn from.
 
-Rows are taken in the order of a hash of their id, at most `rows` of them and at most `most` bytes of text, so the
-sample, the model and the driver's memory have a fixed size whatever the input; with fewer labelled rows all are used.
+Ids are taken in the order of a hash, at most `rows` of them, with one text each and at most `most` bytes of text in
+all (a text that no longer fits is passed over), so the sample, the model and the driver's memory have a fixed size
+whatever the input; with fewer labelled rows all are used.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from pyspark.sql import functions as F
 
 from .common import fold
 
-ROWS, BYTES = 12_000, 60_000_000
+ROWS, BYTES = 10_000, 40_000_000
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int = ROWS,
              most: int = BYTES, *, also: list[str] = ()) -> list[tuple]:
     """(text, label, *also) of the sample, only from rows whose fold is not `held`. Null labels and ids take no part;
-    of several labels or texts of an id the smallest label and every text are used."""
+    of several labels or texts of an id the smallest are used."""
     order = F.xxhash64("doc_id")
     known = (labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("doc_id is not null")
              .filter(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), folds) != held))
@@ -26,18 +27,21 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: i
     if not taken:
         return []
     spark = docs.sparkSession
-    chosen = spark.createDataFrame(taken, known.schema)  # at most `rows` narrow rows
-    text = F.coalesce("text", F.lit(""))
-    rest = [F.col(c) for c in also]
-    mine = docs.join(F.broadcast(chosen), "doc_id")
-    sizes = mine.select(order.alias("o"), "doc_id", F.octet_length(text).alias("n")).collect()
-    total, last = 0, None
+
+    def texts_of(ids: list) -> DataFrame:
+        """One row for each id, whatever the number of rows that have it; `ids` are at most `rows` narrow rows."""
+        chosen = spark.createDataFrame(ids, known.schema)
+        row = F.struct(F.coalesce("text", F.lit("")).alias("text"), *[F.col(c) for c in also])
+        return docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min(row).alias("r"))
+
+    sizes = texts_of(taken).select(order.alias("o"), "doc_id", "label", F.octet_length("r.text").alias("n")).collect()
+    total, fit = 0, []
     for r in sorted(sizes, key=lambda r: (r.o, r.doc_id)):
-        total += r.n
-        if total > most and last is not None:
-            break
-        last = r.o
-    found = mine.filter(order <= F.lit(last)) if last is not None else mine
-    got = found.select(order.alias("o"), "doc_id", text.alias("text"), "label", *rest).toArrow().to_pylist()
-    got.sort(key=lambda r: (r["o"], r["doc_id"], r["text"]))
+        if total + r.n <= most:
+            total += r.n
+            fit.append((r.doc_id, r.label))
+    if not fit:
+        return []
+    got = texts_of(fit).select(order.alias("o"), "doc_id", "label", "r.*").toArrow().to_pylist()
+    got.sort(key=lambda r: (r["o"], r["doc_id"]))
     return [(r["text"], r["label"], *(r[c] for c in also)) for r in got]
