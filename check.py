@@ -12,7 +12,7 @@ import time
 import duckdb
 
 from furrow.plans.queries import all_queries
-from furrow.session import build_session
+from furrow.session import build_session, run_folder
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -66,7 +66,8 @@ def main() -> int:
         if args.names and not any(n in name for n in args.names):
             continue
         try:
-            verdict, took, sql_took, ok = compare(spark, con, name, plan, statement, args.sf)
+            with run_folder(spark):
+                verdict, took, sql_took, ok = compare(spark, con, name, plan, statement, args.sf)
         except Exception as exc:
             verdict, took, sql_took, ok = f"ERROR {type(exc).__name__}: {str(exc)[:900]}", 0, 0, False
         print(f"{name:32s} {took:6.2f}s {sql_took:6.2f}s  {verdict}", flush=True)

@@ -63,10 +63,6 @@ def lines_of(c: Column | str) -> Column:
     return F.split(col(c), "\n")
 
 
-def nonblank_lines(c: Column | str) -> Column:
-    return F.filter(lines_of(c), lambda line: stripped_length(line) > 0)
-
-
 def slugify(c: Column | str) -> Column:
     cleaned = F.regexp_replace(F.lower(F.coalesce(col(c), F.lit(""))), "[^a-z0-9]+", "-")
     return F.btrim(cleaned, F.lit("-"))
@@ -157,10 +153,6 @@ def occurrences(c: Column | str, needle: str) -> Column:
     return ((F.length(col(c)) - gone) / F.lit(len(needle))).cast("int")
 
 
-def sorted_distinct(arrays: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.flatten(arrays)))
-
-
 def literal(value, ddl: str) -> Column:
     """A list or mapping as one literal of type `ddl`. Parsed once, when the
     optimizer folds it; thousands of entries cost one call."""

@@ -67,10 +67,6 @@ def facet_index(published: DataFrame) -> DataFrame:
     return counts.withColumn("resources", published.agg(F.count("*")).scalar())
 
 
-def attributes_of(published: DataFrame, resource_id: str) -> DataFrame:
-    return published.where(F.col("resource_id") == resource_id).select("resource_id", "attributes")
-
-
 def leaks(published: DataFrame, probes: list[str]) -> DataFrame:
     """Per probe, in how many resources it stands, whatever the case."""
     body = F.lower(F.to_json("attributes"))

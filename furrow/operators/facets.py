@@ -76,10 +76,12 @@ def segmented(pages: DataFrame, lexicon: Lexicon, settings: Settings,
 
 def placed(blocked: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
     """Passages with resolved facets, from `segmented` pages."""
-    carried = running(
-        blocked, "document", "page", chunk=settings.page_chunk,
+    # Carried values come from a narrow copy, so that text is moved once at most, by the join, and not sorted.
+    narrow = running(
+        blocked.select("document", "page", "_leaves_with", "_count"), "document", "page", chunk=settings.page_chunk,
         fill={"_leaves_with": "_inherited"}, totals={"_count": "_before"}, inclusive=False,
-    )
+    ).select("document", "page", "_inherited", "_before")
+    carried = blocked.join(narrow, ["document", "page"])
     # The page's own last heading line replaces what it inherits, from the top.
     filled = sections.fill_blocks(F.col("_heads"))
     rows = carried.select(

@@ -63,22 +63,8 @@ def running(df: DataFrame, key: str, position: str, *, chunk: int,
     return out.drop(*hidden)
 
 
-def join_per_key(big: DataFrame, per_key: DataFrame, key: str, *, salt_on: str, buckets: int,
-                 how: str = "inner") -> DataFrame:
-    """Join many rows to one row per key, with a hot key spread over `buckets`
-    tasks. The one-row side is repeated `buckets` times instead."""
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(buckets)).cast("int"))
-    spread = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return salted.join(spread, [key, "_salt"], how).drop("_salt")
-
-
 def first_per(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key. Spark applies the rank limit before the
     shuffle, so a hot key sends one row per input task."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
-
-
-def newest(df: DataFrame, count: int, order: list) -> DataFrame:
-    """The `count` first rows of the whole table in `order`."""
-    return df.orderBy(*order).limit(count)

@@ -9,7 +9,6 @@ from ..functions import script
 from ..functions.text import string_array, strip, stripped_length
 from ..settings import Settings
 from .lexicon import Lexicon, Matcher, districts_of, to_canonical
-from .ordered import join_per_key
 
 
 def usable(text: Column | str, settings: Settings) -> Column:
@@ -175,7 +174,8 @@ def with_status(decisions: DataFrame) -> DataFrame:
 def apply_decisions(pages: DataFrame, decisions: DataFrame, settings: Settings) -> DataFrame:
     """Pages of accepted documents, repaired where that was decided."""
     kept = decisions.where(F.col("status") == "ok").select("document", "state_code", "repair_applied")
-    joined = join_per_key(pages, kept, "document", salt_on="page", buckets=settings.salt_buckets)
+    # One narrow row per document: broadcast while few, and beyond that Spark splits a document that fills its partition.
+    joined = pages.join(kept, "document")
     text = F.when(F.col("repair_applied"), script.repair_glyphs(F.col("text"))).otherwise(F.col("text"))
     return joined.withColumn("text", text).drop("repair_applied")
 

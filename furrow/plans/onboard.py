@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..functions import script
 from ..operators import facets, pages as pg, report as rp, resources as res, vector_index
 from ..operators.lexicon import Lexicon
-from ..operators.ordered import join_per_key
 from ..operators.sections import HeadingRule
 from ..session import settle
 from ..settings import Settings
@@ -40,7 +39,7 @@ def repaired_pages(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> Da
     """All pages of readable documents, with the glyph repair where it helps."""
     decided = pg.repair_decisions(pages, lexicon, settings).where("readable").select("document", "repair_applied")
     text = F.when(F.col("repair_applied"), script.repair_glyphs("text")).otherwise(F.col("text"))
-    joined = join_per_key(pages, decided, "document", salt_on="page", buckets=settings.salt_buckets)
+    joined = pages.join(decided, "document")
     return joined.withColumn("text", text).drop("repair_applied")
 
 
@@ -61,7 +60,7 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
         usable = scored.select("document", "page", "text", "ocr", "has_image")
         decisions = pg.with_status(first.join(pg.state_of(usable, lexicon), "document", "left"))
         kept = decisions.where(F.col("status") == "ok").select("document", "state_code")
-        accepted = join_per_key(usable, kept, "document", salt_on="page", buckets=settings.salt_buckets)
+        accepted = usable.join(kept, "document")
     else:
         decisions = pg.document_decisions(pages, lexicon, settings, store)
         accepted = pg.apply_decisions(pages, decisions, settings)

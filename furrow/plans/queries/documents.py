@@ -62,9 +62,8 @@ STATE_SQL = f"with {sql.PAGES}, {sql.STATE} select document, state_code from sta
 
 
 def line_ordinals(spark, sf):
-    """Running number of the kept lines of a source, over all its pages."""
-    per_page = table(spark, sf, "documents").select(
-        "source", "doc_id", F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 80).alias("kept"))
+    """Running number of the lines of a source, over all its pages."""
+    per_page = table(spark, sf, "documents").select("source", "doc_id", F.split("text", "\n").alias("kept"))
     counted = per_page.withColumn("n", F.size("kept").cast("long"))
     placed = running(counted, "source", "doc_id", chunk=SETTINGS.page_chunk, totals={"n": "before"})
     return placed.select("source", "doc_id", "before", F.posexplode("kept").alias("i", "line")).select(
@@ -74,7 +73,7 @@ def line_ordinals(spark, sf):
 ORDINAL_SQL = """with l as (select source, doc_id, unnest(string_split(text, chr(10))) as line,
   unnest(range(len(string_split(text, chr(10))))) as i from documents)
 select source, doc_id, row_number() over (partition by source order by doc_id, i) - 1 as ordinal,
-  cast(length(line) as integer) as chars from l where length(line) >= 80"""
+  cast(length(line) as integer) as chars from l"""
 
 
 def section_fill(spark, sf):

@@ -17,13 +17,13 @@ def extraction(spark, sf):
 
 
 def line_passages(spark, sf):
-    """Every line of 80 characters or more as a passage; nothing is carried."""
+    """Every line as a passage; nothing is merged or carried."""
     pages = corpus.pages(spark, sf)
     decisions = pg.document_decisions(pages, LEXICON, SETTINGS, settle)
     rows = pg.apply_decisions(pages, decisions, SETTINGS).select(
         "document", "page", "state_code", F.col("ocr").alias("from_ocr"),
         F.posexplode(F.split("text", "\n")).alias("i", "text"),
-    ).where(F.length("text") >= SETTINGS.min_passage_chars).select(
+    ).select(
         "document", "page", (F.col("page") * 100000 + F.col("i")).alias("ordinal"), "text", "state_code",
         F.lit(None).cast("array<string>").alias("section"), "from_ocr")
     return facets.resolve(rows, LEXICON, SETTINGS)

@@ -64,11 +64,11 @@ GATE = r"""gate_ as (select document, count(*) as pages, count(*) filter (length
 accepted_ as (select p.*, s.state_code from pages_ p join gate_ g using (document) join states_ s using (document)
   where g.usable > 0 and g.usable / g.pages >= 0.5 and s.state_code is not null)"""
 
-# Lines of accepted pages of at least 80 characters, each taken as a passage.
+# Lines of accepted pages, each taken as a passage.
 LINES = """lined_ as (select document, page, state_code, unnest(string_split(text, chr(10))) as text,
     unnest(range(len(string_split(text, chr(10))))) as i from accepted_),
 rows_ as (select document, page, page * 100000 + i as ordinal, text, state_code, cast([] as varchar[]) as section
-  from lined_ where length(text) >= 80)"""
+  from lined_)"""
 
 
 def facets(rows: str = "rows_") -> str:

@@ -71,9 +71,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for text work on a table stored in fewer splits than that.
+    """Deal a scan that has fewer splits than there are cores out to all of them.
 
-    Large tables have more splits than cores and stay as they are.
+    Only a table smaller than cores x split size has so few (a file of one row
+    group is one split whatever the settings), which bounds what is dealt out;
+    larger tables stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df

@@ -62,7 +62,6 @@ class Settings:
     ledger_limit: int = 200
     # physical knobs
     page_chunk: int = 1024        # pages of one document that share a task
-    salt_buckets: int = 16        # spread of one hot document over tasks
     index_buckets: int = 256      # partitions of the passage index
 
     @classmethod

@@ -8,12 +8,15 @@ same one; only the trigger differs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lexicon import Lexicon
 from ..operators.sections import HeadingRule
 from ..plans import onboard
+from ..session import run_folder, settle
 from ..settings import Settings
+from ..sources.sinks import read_table, upsert_buckets
 
 PAGES = "document string, page int, text string, ocr boolean, has_image boolean"
 
@@ -21,18 +24,28 @@ PAGES = "document string, page int, text string, ocr boolean, has_image boolean"
 def ingest_pages(spark: SparkSession, source: str, lexicon: Lexicon, settings: Settings, embedder, *,
                  table: str, checkpoint: str, rule: HeadingRule = HeadingRule(),
                  on_batch=None) -> StreamingQuery:
-    """Follow a folder of page files (parquet); each micro-batch holds whole
-    documents and is upserted into the index. `on_batch(extraction, batch_id)`
-    lets a caller publish the batch's catalogue too."""
+    """Follow a folder of page files (parquet). Pages of a document may come in
+    any number of batches: they are kept in a table beside the index, and each
+    micro-batch derives the documents it touches anew from all their pages.
+    `on_batch(extraction, batch_id)` lets a caller publish the catalogue too."""
     stream = spark.readStream.schema(PAGES).parquet(source)
 
     def one(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        extraction = onboard.extract(batch, lexicon, settings, rule=rule)
-        onboard.index(batch.sparkSession, extraction.passages, embedder, table, settings)
-        if on_batch:
-            on_batch(extraction, batch_id)
+        session = batch.sparkSession
+        with run_folder(session):
+            arrived = settle(batch, "arrived")
+            upsert_buckets(arrived, f"{table}-pages", ["document", "page"], F.xxhash64("document"), settings.index_buckets,
+                           written=True)
+            # both sides hold a document in one bucket, so only buckets with news are read
+            names = arrived.select("document", F.pmod(F.xxhash64("document"), F.lit(settings.index_buckets)).cast("int")
+                                   .alias("bucket")).distinct()
+            pages = read_table(session, f"{table}-pages").join(names, ["bucket", "document"], "left_semi").drop("bucket")
+            extraction = onboard.extract(settle(pages, "pages"), lexicon, settings, rule=rule)
+            onboard.index(session, extraction.passages, embedder, table, settings, pruned=True)
+            if on_batch:
+                on_batch(extraction, batch_id)
 
     return (
         stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
@@ -40,16 +53,13 @@ def ingest_pages(spark: SparkSession, source: str, lexicon: Lexicon, settings: S
     )
 
 
-def upsert_stream(stream: DataFrame, table: str, keys: list[str], newest_first: list, checkpoint: str) -> StreamingQuery:
-    """Keyed latest-wins upsert of any stream into a versioned table."""
-    from ..operators.vector_index import upsert
-    from ..sources.sinks import latest, write_version
-    from ..operators.ordered import first_per
-
+def upsert_stream(stream: DataFrame, table: str, keys: list[str], newest_first: list, checkpoint: str,
+                  buckets: int = 64) -> StreamingQuery:
+    """Keyed latest-wins upsert of any stream into a bucketed table: a micro-batch
+    rewrites the buckets its keys fall into."""
     def one(batch: DataFrame, batch_id: int) -> None:
-        held = latest(batch.sparkSession, table)
-        rows = first_per(batch, keys, newest_first) if held is None else upsert(held, batch, keys, newest_first)
-        write_version(rows, table)
+        with run_folder(batch.sparkSession):
+            upsert_buckets(batch, table, keys, F.xxhash64(*keys), buckets, newest_first=newest_first)
 
     return (
         stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

@@ -86,7 +86,7 @@ def test_repair_applied_only_where_it_helps(got, rows):
 def test_chunks_do_not_change_the_result(spark, lexicon, settings, make_pages, bulletins, got):
     from dataclasses import replace
 
-    again = onboard.extract(make_pages(bulletins), lexicon, replace(settings, page_chunk=2, salt_buckets=3))
+    again = onboard.extract(make_pages(bulletins), lexicon, replace(settings, page_chunk=2))
     key = lambda df: sorted(map(repr, df.collect()))
     assert key(again.passages) == key(got.passages)
 

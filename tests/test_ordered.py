@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from furrow.operators.ordered import first_per, join_per_key, running
+from furrow.operators.ordered import first_per, running
 from furrow.operators.publishing import mark_changes
 
 
@@ -25,14 +25,6 @@ def test_running_equals_a_plain_window_for_any_chunk(spark):
             assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
-def test_join_per_key_keeps_every_row(spark):
-    df = table(spark)
-    per = df.groupBy("k").agg(F.count("*").alias("c"))
-    got = join_per_key(df, per, "k", salt_on="p", buckets=4)
-    assert got.count() == df.count() and "_salt" not in got.columns
-    assert {(r["k"], r["c"]) for r in got.select("k", "c").distinct().collect()} == {("hot", 500), ("b", 7), ("c", 1)}
-
-
 def test_first_per(spark):
     df = table(spark)
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.min("p").alias("m")).collect()}

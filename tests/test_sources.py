@@ -123,3 +123,36 @@ def test_gates(spark, make_pages, settings):
     assert gate == {"half": True, "less": False, "pad": False, "thin": True}
     thin = {r["document"]: r["thin_warning"] for r in pg.thin_report(pages, settings).collect()}
     assert thin == {"half": True, "less": True, "pad": True, "thin": True}
+
+
+def _zip(path, files):
+    with zipfile.ZipFile(path, "w") as z:
+        for name, body in files.items():
+            z.writestr(name, body)
+
+
+def test_tabs_part_words_and_books_follow_their_spine(tmp_path):
+    _zip(tmp_path / "a.docx", {"word/document.xml": "<w:p><w:t>Tomato</w:t><w:tab/><w:t>Fruiting</w:t></w:p>"})
+    assert readers.read_markup("a.docx", (tmp_path / "a.docx").read_bytes())[0][0].split() == ["Tomato", "Fruiting"]
+    pages = {f"OPS/c{n}.xhtml": f"<p>chapter {n}</p>" for n in (1, 2, 10)}
+    _zip(tmp_path / "b.epub", pages)
+    plain = [t.strip() for t, _ in readers.read_markup("b.epub", (tmp_path / "b.epub").read_bytes())]
+    assert plain == ["chapter 1", "chapter 2", "chapter 10"]
+    spine = {
+        "META-INF/container.xml": '<c xmlns="urn:x"><rootfiles><rootfile full-path="OPS/book.opf"/></rootfiles></c>',
+        "OPS/book.opf": '<package xmlns="urn:y"><manifest>' + "".join(f'<item id="i{n}" href="c{n}.xhtml"/>' for n in (1, 2, 10))
+        + '</manifest><spine><itemref idref="i10"/><itemref idref="i1"/></spine></package>'}
+    _zip(tmp_path / "c.epub", {**pages, **spine})
+    ordered = [t.strip() for t, _ in readers.read_markup("c.epub", (tmp_path / "c.epub").read_bytes())]
+    assert ordered == ["chapter 10", "chapter 1"]
+
+
+def test_equal_names_in_two_folders_are_two_documents(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text("text of " + folder)
+    both = [str(tmp_path / "a" / "x.txt"), str(tmp_path / "b" / "x.txt")]
+    names = lambda *a, **k: sorted(r["document"] for r in readers.read_documents(spark, *a, **k).collect())
+    assert names(both) == ["a/x.txt", "b/x.txt"] == names(both, root=str(tmp_path))
+    assert names(str(tmp_path / "a")) == ["x.txt"] and names(both[0]) == ["x.txt"]
+    assert names(both[0], root=str(tmp_path / "b")) == [both[0]]
