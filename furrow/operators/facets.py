@@ -74,8 +74,8 @@ def segmented(pages: DataFrame, lexicon: Lexicon, settings: Settings,
     })
 
 
-def placed(blocked: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
-    """Passages with resolved facets, from `segmented` pages."""
+def placed(blocked: DataFrame, lexicon: Lexicon, settings: Settings, alias_table: DataFrame | None = None) -> DataFrame:
+    """Passages with resolved facets, from `segmented` pages; see `resolve` for `alias_table`."""
     # Carried values come from a narrow copy, so that text is moved once at most, by the join, and not sorted.
     narrow = running(
         blocked.select("document", "page", "_leaves_with", "_count"), "document", "page", chunk=settings.page_chunk,
@@ -94,13 +94,19 @@ def placed(blocked: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFram
         F.col("b.text").alias("text"),
         F.coalesce("b.section", "_top").alias("section"),
     )
-    return resolve(rows, lexicon, settings)
+    return resolve(rows, lexicon, settings, alias_table=alias_table)
 
 
-def resolve(rows: DataFrame, lexicon: Lexicon, settings: Settings, language: Column | None = None) -> DataFrame:
+def resolve(rows: DataFrame, lexicon: Lexicon, settings: Settings, language: Column | None = None,
+            alias_table: DataFrame | None = None) -> DataFrame:
     """Facet columns for rows of `document, page, ordinal, text, section,
-    state_code, from_ocr`. The language is detected unless a column tells it."""
-    found = with_mentions(rows, lexicon, "text", "state_code")
+    state_code, from_ocr`. The language is detected unless a column tells it.
+    With `alias_table`, the lexicon as a stored table, aliases are matched by join."""
+    if alias_table is None:
+        found = with_mentions(rows, lexicon, "text", "state_code")
+    else:
+        keyed = rows.withColumn("_passage", F.struct("document", "ordinal"))
+        found = with_mentions(keyed, lexicon, "text", "state_code", by_join=("_passage", alias_table)).drop("_passage")
     primary, rest = choose_area(F.col("section"), F.col("district_codes"), F.col("state_code"))
     category = category_of(F.col("subject_slugs"), F.col("topics"), lexicon)
     empty = F.array().cast("array<string>")

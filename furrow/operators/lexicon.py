@@ -219,8 +219,8 @@ def _district_blocks(spark: SparkSession, directory: str) -> DataFrame:
 def load_lexicon(spark: SparkSession, directory: str, settings: Settings,
                  markers: dict[str, tuple[str, ...]] | None = None) -> Lexicon:
     """Read a lexicon directory. A lexicon is a closed vocabulary kept by hand and
-    is inlined whatever its size; `with_mentions(by_join=...)` matches one that
-    has outgrown expressions.
+    is inlined whatever its size; `with_mentions(by_join=...)` matches facets of one
+    that has outgrown expressions.
 
     `markers` gives, in priority order, the wording that assigns a document to a
     state; without it a state is recognised by its own name.
@@ -336,10 +336,16 @@ def to_canonical(aliases: Column, rows) -> Column:
     return F.array_sort(F.array_distinct(F.filter(mapped, lambda x: x.isNotNull())))
 
 
-def with_mentions(df: DataFrame, lexicon: Lexicon, text: str = "text",
-                  state: str | None = None) -> DataFrame:
+def with_mentions(df: DataFrame, lexicon: Lexicon, text: str = "text", state: str | None = None,
+                  by_join: tuple[str, DataFrame] | None = None) -> DataFrame:
     """Add `subject_slugs`, `topics`, `weather_parameters` and, when `state` names
-    a column of state codes, `district_codes` of that state."""
+    a column of state codes, `district_codes` of that state.
+
+    `by_join` is a unique key column of `df` and the alias table: then aliases are
+    found by equi-join, which is for lexicons too large for expressions. Results
+    are the same."""
+    if by_join:
+        return _joined_mentions(df, *by_join, text, state)
     out = df.withColumn("_hits", Matcher(lexicon.aliases()).mentions(text))
     cols = {
         "subject_slugs": to_canonical(F.col("_hits"), lexicon.rows("subject")),
@@ -351,6 +357,21 @@ def with_mentions(df: DataFrame, lexicon: Lexicon, text: str = "text",
     return out.withColumns(cols).drop("_hits")
 
 
+def _joined_mentions(df: DataFrame, key: str, table: DataFrame, text: str, state: str | None) -> DataFrame:
+    hits = match_by_join(df.select(key, text), table, key, text)
+    if state:
+        hits = hits.join(df.select(F.col(key).alias("_at"), F.col(state).alias("_state")), F.col(key) == F.col("_at"))
+    named = {"subject_slugs": "subject", "topics": "topic", "weather_parameters": "weather"}
+    tests = {c: F.col("dimension") == d for c, d in named.items()}
+    if state:
+        tests["district_codes"] = (F.col("dimension") == "district") & (F.col("scope") == F.col("_state"))
+    found = hits.groupBy(F.col(key).alias("_key")).agg(
+        *[F.array_sort(F.collect_set(F.when(t, F.col("canonical")))).alias(c) for c, t in tests.items()])
+    empty = F.array().cast("array<string>")
+    return df.join(found, F.col(key) == F.col("_key"), "left").withColumns(
+        {c: F.coalesce(c, empty) for c in tests}).drop("_key")
+
+
 def districts_of(aliases: Column, state: Column, lexicon: Lexicon) -> Column:
     """Districts of the given state among the mentioned aliases."""
     empty = F.array().cast("array<string>")

@@ -45,8 +45,9 @@ def repaired_pages(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> Da
 
 def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: HeadingRule = HeadingRule(),
             refusals: DataFrame | None = None, files: DataFrame | None = None, engine=None,
-            store=settle) -> Extraction:
-    """`pages` is (document, page, text, ocr, has_image), tidied.
+            alias_table: DataFrame | None = None, store=settle) -> Extraction:
+    """`pages` is (document, page, text, ocr, has_image), tidied. `alias_table` has
+    facets matched by join instead of expressions, with the same result.
 
     Order matters: repair comes before recovery, whose text is sound already,
     and recovery before the state is decided.
@@ -68,7 +69,7 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
     faults = blocked.where("fault is not null").groupBy("document").agg(F.min("fault").alias("fault"))
     # pages of a document that failed give no passages; documents that fail are few, and only their names move
     sound = blocked.join(faults, "document", "left_anti").drop("fault")
-    found = store(facets.placed(sound, lexicon, settings), "passages")
+    found = store(facets.placed(sound, lexicon, settings, alias_table), "passages")
     summary = rp.passage_summary(found)
     outcome = rp.with_failures(decisions, summary, faults)
     if refusals is not None:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from ...functions import vectors as vf
 from ...operators import discover as dc, vector_index as vi
-from ...session import settle
+from ...session import settle, shared_dir
 from ...sources.embedders import LexicalEmbedder, RemoteEmbedder
+from .. import onboard
 from ..corpus import SETTINGS, table
 from . import catalogue
 
@@ -148,6 +150,20 @@ select round(coalesce(score, 0), 5) as score, document, page, resource_id, langu
 from p_ left join s_ using (ordinal) order by coalesce(s_.score, 0) desc, ordinal limit 25"""
 
 
+def index_reingest_pruned(spark, sf):
+    """The index after documents came again with fewer pages: what they no longer have is gone, other points stay."""
+    folder, embedder = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", DigestEmbedder(SETTINGS)
+    found = settle(catalogue.document_passages(spark, sf), "passages")
+    onboard.index(spark, found, embedder, folder, SETTINGS)
+    shorter = found.where("document <> 'src1' and page % 3 = 0")
+    return onboard.index(spark, shorter, embedder, folder, SETTINGS, pruned=True).select("point_id", "document", "page")
+
+
+PRUNED_SQL = f"""with {catalogue.ROWS} select {catalogue.sql.uuid5("'prov-corpus:' || document || ':' || page || ':' || ordinal")} as point_id,
+ document, page from facets_ where document = 'src1' or page % 3 = 0
+ or document not in (select document from facets_ where page % 3 = 0)"""
+
+
 def one_bad_text(url, headers, body):
     """An endpoint that cannot take texts under the Apache license."""
     if any("Apache" in t for t in body["input"]):
@@ -191,5 +207,6 @@ QUERIES = {
     "vector_points": (vector_points, POINTS_SQL),
     "lexical_search": (lexical_search, None),
     "read_path": (read_path, READ_SQL),
+    "index_reingest_pruned": (index_reingest_pruned, PRUNED_SQL),
     "embedding_failures": (embedding_failures, FAILURE_SQL),
 }

@@ -91,6 +91,31 @@ def test_chunks_do_not_change_the_result(spark, lexicon, settings, make_pages, b
     assert key(again.passages) == key(got.passages)
 
 
+def test_facets_by_join_are_the_same(spark, lexicon, settings, make_pages, bulletins, got):
+    from furrow.session import settle
+
+    table = settle(lexicon.frame(spark), "aliases")
+    again = onboard.extract(make_pages(bulletins), lexicon, settings, alias_table=table)
+    key = lambda df: sorted(map(repr, df.collect()))
+    assert key(again.passages) == key(got.passages)
+
+
+def test_a_page_that_breaks_costs_its_document(lexicon, settings, make_pages, bulletins, got, monkeypatch):
+    from furrow.operators import segment
+
+    sound = segment.split_page
+    monkeypatch.setattr(segment, "split_page", lambda text, *a: 1 // ("goat" not in text.lower()) and sound(text, *a))
+    again = onboard.extract(make_pages(bulletins), lexicon, settings)
+    broken = {d for d, pages in bulletins.items() if any("goat" in p.lower() for p in pages)}
+    rows = {r["document"]: r for r in again.decisions.collect()}
+    before = {r["document"]: r["status"] for r in got.decisions.collect()}
+    lost = {d for d in broken if before[d] == "ok"}
+    assert lost and all(rows[d]["status"] == "failed" and "ZeroDivisionError" in rows[d]["reason"] for d in lost)
+    assert all(rows[d]["status"] == s for d, s in before.items() if d not in lost)
+    kept = {r["document"] for r in again.passages.select("document").distinct().collect()}
+    assert kept == {d for d, s in before.items() if s == "ok"} - lost
+
+
 def test_invariants(got):
     p = got.passages
     assert p.where(F.exists("also_covers", lambda a: a["code"] == F.col("area.code"))).count() == 0
