@@ -6,7 +6,6 @@ import glob
 import json
 import os
 import sys
-import tempfile
 import time
 
 from furrow.plans.queries import all_queries
@@ -29,8 +28,6 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     registered, took = all_queries(), {}
     names = sys.argv[1:] or HEADLINE
-    shared = tempfile.mkdtemp(prefix="furrow-bench-")
-    spark.conf.set("spark.checkpoint.dir", shared)
     # Start the engine and touch the tables: scans, an exchange and Python workers, but no query.
     for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
         rows = spark.read.parquet(path)

@@ -241,12 +241,16 @@ def violations(spark, sf):
     names = [*FAULTS, "category", "none", "advice", "extras", "sound"]
     copies = sound.withColumn("catalog_id", F.explode(F.array(*map(F.lit, names))))
     fault = F.col("catalog_id")
-    changed = F.col("attributes")
-    for name, (field, value, _, _) in FAULTS.items():
-        where = (fault == name) & F.expr(FAULTS[name][2])
-        changed = changed.withField(f"`{field}`", F.when(where, F.expr(value)).otherwise(changed[field]))
-    changed = changed.withField("subjectCategories", F.when(
-        fault == "category", F.expr(CATEGORIES[0])).otherwise(changed["subjectCategories"]))
+    def faulty(field):
+        value = F.col(f"attributes.`{field}`")
+        for name, (at, wrong, where, _) in FAULTS.items():
+            if at == field:
+                value = F.when((fault == name) & F.expr(where), F.expr(wrong)).otherwise(value)
+        if field == "subjectCategories":
+            value = F.when(fault == "category", F.expr(CATEGORIES[0])).otherwise(value)
+        return value.alias(field)
+
+    changed = F.struct(*[faulty(f) for f in sound.schema["attributes"].dataType.fieldNames()])
     seeded = copies.withColumns({
         "attributes": F.when(fault != "none", changed),
         "descriptor": F.col("descriptor").withField(

@@ -28,6 +28,9 @@ def build_session(app: str = "furrow", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it. Only a session whose executors are its own
     process may be without one; it gets a temporary folder."""
@@ -37,9 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="furrow-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    # Spark takes this setting only when a session starts, so the folder is remembered here.
+    application = spark.sparkContext.applicationId
+    if application not in _OWN:
+        _OWN[application] = tempfile.mkdtemp(prefix="furrow-")
+    return _OWN[application]
 
 
 _RUN: ContextVar[str | None] = ContextVar("furrow_run", default=None)
