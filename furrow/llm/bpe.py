@@ -37,7 +37,7 @@ from .pretoken import MATCHES, pieces, text_of
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces a worker keeps, rows of bytes one recursive query starts from, and what its database may use.
-KEPT, ROWS, MEMORY = 400_000, 250_000, "250MB"
+KEPT, ROWS, MEMORY = 1_000_000, 250_000, "250MB"
 LONG = 256
 
 _STEP = """
