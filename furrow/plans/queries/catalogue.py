@@ -262,7 +262,7 @@ def violations(spark, sf):
     cats = settle(res.catalogs(sound, LEXICON, SETTINGS, now), "catalogs")
     env = settle(res.envelope(cats, SETTINGS, transaction_id="", message_id="m-1", now=now), "envelope")
     bad_env = env.withColumn("context", F.col("context").withField("version", F.lit("1.0")).withField("action", F.lit("send"))
-                             .withField("bppId", F.lit("x")))
+                             .withField("extraKey", F.lit("x")))
     bad_cat = cats.withColumn("catalog", F.col("catalog").withField("provider.id", F.lit("")).withField(
         "descriptor", F.lit(None)).withField("resources", F.slice("catalog.resources", 1, 0)))
     twice = va.duplicate_ids(sound.unionByName(sound)).select(
@@ -284,7 +284,7 @@ def _seeded() -> str:
              "select 'extras', resource_id, 'prose', 'resourceAttributes.note.text[0] = spray 4 ml/l of it' from r_",
              "select 'extras', resource_id, 'coordinates', 'coordinates' from r_",
              "select null, null, 'bad-version', '1.0'", "select null, null, 'bad-action', 'send'",
-             "select null, null, 'missing-context', 'transactionId'", "select null, null, 'unknown-key', 'bppId'",
+             "select null, null, 'missing-context', 'transactionId'", "select null, null, 'unknown-key', 'extraKey'",
              "select catalog_id, null, 'no-resources', 'resources' from c_", "select catalog_id, null, 'no-provider', 'provider.id' from c_",
              "select catalog_id, null, 'no-descriptor', 'descriptor' from c_",
              "select catalog_id, resource_id, 'duplicate-id', '2' from r_", "select catalog_id, null, 'no-directive', catalog_id from c_",

@@ -240,8 +240,8 @@ def test_closed_objects_take_no_further_key(resources, lexicon, settings):
     now = F.timestamp_seconds(F.lit(1767225600))
     env = res.envelope(res.catalogs(resources, lexicon, settings, now), settings, transaction_id="t", message_id="m", now=now)
     assert va.closed_object_violations(env).count() == 0
-    more = env.withColumn("context", F.col("context").withField("bppId", F.lit("x")))
-    assert [r["detail"] for r in va.closed_object_violations(more).collect()] == ["bppId"]
+    more = env.withColumn("context", F.col("context").withField("extraKey", F.lit("x")))
+    assert [r["detail"] for r in va.closed_object_violations(more).collect()] == ["extraKey"]
 
 
 def test_envelope_rules(spark, resources, lexicon, settings):
