@@ -227,3 +227,20 @@ def test_pipeline_keeps_odd_rows(spark, frames, tmp_path):
     empty = spark.createDataFrame([], DOC)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_every_training_word_chooses_its_class(spark, monkeypatch):
+    """Words beyond the most frequent have classes by their neighbours, not by their last bytes."""
+    for name, value in (("HEAD", 8), ("MOST_FREQUENT", 4), ("CLASSES", 8)):
+        monkeypatch.setattr(class_lm, name, value)
+    rnd = random.Random(3)
+    # one in five words of either kind ends like the other kind; "p" and "r" stand around the left ones, "q" and "s" the right
+    left, right = ([f"{s}{i}{x if i % 5 else y}" for i in range(40)] for s, x, y in (("a", "xyz", "uvw"), ("b", "uvw", "xyz")))
+    texts = [" ".join(x for _ in range(30) for x in rnd.choice([("p", rnd.choice(left), "r"), ("q", rnd.choice(right), "s")])) for _ in range(60)]
+    model, words, bound = class_lm.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    of = {r.word: r["class"] for r in words.collect()}
+    assert len(of) == 84 and words.filter(F.col("c") < bound).count() > 70
+    assert len({of[w] for w in left}) == 1 and len({of[w] for w in right}) == 1 and of[left[0]] != of[right[0]]
+    counts = Counter(w for t in texts for w in t.split())
+    assert {r.word: r.c for r in words.collect()} == counts
+    assert np.allclose((10 ** model["moves"]).sum(axis=1), 1)
