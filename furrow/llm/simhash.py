@@ -312,13 +312,15 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
-def near_groups(docs: DataFrame, apart: int = APART, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, apart: int = APART, *, doc_id: str = "doc_id", text: str = "text",
+                row: str | None = None) -> DataFrame:
     """doc_id, row, fp, component_id, first_row for every row.
 
-    `row` numbers the rows of the scan; `first_row` is the row of its component with the smallest id (then number),
+    `row` is the column of that name, stored before, or else numbers the rows of the scan; `first_row` is the row of its component with the smallest id (then number),
     nulls last.
     """
-    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"),
+                      (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
                       F.col(f"`{text}`").alias("text"))
     rows = settle(fingerprints(own, keep=["doc_id", "row"]), "fingerprints")
     key = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
@@ -333,9 +335,10 @@ def near_groups(docs: DataFrame, apart: int = APART, *, doc_id: str = "doc_id",
 
 
 def one_of_each(docs: DataFrame, apart: int = APART) -> DataFrame:
-    """One row of each component, with all its columns. `docs` must be a stored table: its rows are numbered twice."""
-    kept = near_groups(docs, apart).filter("row = first_row").select(F.col("row").alias("__row"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    """One row of each component, with all its columns. Rows are numbered once and written with their numbers: a later
+    scan may be split in another way, for instance after an executor was lost."""
+    numbered = settle(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    kept = near_groups(numbered, apart, row="__row").filter("row = first_row").select(F.col("row").alias("__row"))
     return numbered.join(kept, "__row", "left_semi").drop("__row")
 
 

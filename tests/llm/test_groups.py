@@ -128,6 +128,27 @@ def test_one_row_of_each_group_stays(spark, tmp_path):
     assert [r.text for r in kept if r.doc_id is None] == ["alone here now"]
 
 
+def test_rows_stay_the_same_when_later_scans_are_split_otherwise(spark, tmp_path, monkeypatch):
+    key, path = "spark.sql.files.minPartitionNum", str(tmp_path / "docs")
+    rows = [(i, f"text {i % 20} of number {i % 20} stands alone here {'abcdefghijklmnopqrst'[i % 20] * 9}") for i in range(60)]
+    spark.createDataFrame(rows, DOC).repartition(6).write.parquet(path)
+    found = simhash.components
+
+    def later(edges):
+        out = found(edges)
+        spark.conf.set(key, "1")  # from now on all files are one split
+        return out
+
+    monkeypatch.setattr(simhash, "components", later)
+    spark.conf.set(key, "8")
+    try:
+        kept = simhash.one_of_each(spark.read.parquet(path)).collect()
+    finally:
+        spark.conf.unset(key)
+    fps = simhash.fingerprints_of([t for _, t in rows])
+    assert sorted(r.doc_id for r in kept) == [i for i, k in enumerate(brute_components(fps)) if i == k]
+
+
 def test_search_equals_sql(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8)]) for i in range(230)]
