@@ -4,14 +4,15 @@
 
 * `payloads` (digest, sha256, length, payload): the bytes of each distinct payload, keyed by its SHA-1 in base 32
   together with its SHA-256 and length, so that equal keys mean equal bytes (verified, not assumed);
-* `records` (page_id, digest, sha256, length, header): the exact header of each record, up to its empty line.
+* `records` (page_id, digest, sha256, length, kind, header, odd_url): the exact header of each record, up to its empty
+  line; `odd_url` is the url as it came where the header has codes in it, and null elsewhere.
 
 `read_archive` rebuilds every record: a response is its header, the payload and two line ends; a revisit has no block
 of its own and refers to its response, whose payload gives its full content.
 
 Of records with equal payloads of at least `least` bytes, the one with the largest page id is the response; smaller
 payloads are always responses. Defined cases: a null html is an empty payload, a null url leaves the target header
-out, control characters in a url become their percent codes; null page ids become records without page id, which
+out, control characters in a url become their percent codes (`url` of the rebuilt records has them as they came); null page ids become records without page id, which
 sort below every page id; rows that repeat a page id and payload are one response and further revisits of it; an
 empty table gives an empty archive. Extra columns are dropped.
 """
@@ -28,6 +29,8 @@ from furrow.session import settle, shared_dir
 #: The alphabet of base 32 (RFC 4648).
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2024-01-01T00:00:00Z"
+#: The control characters of ASCII.
+CONTROL = (*range(32), 127)
 
 
 def base32_of_sha1(hexed: Column) -> Column:
@@ -55,7 +58,10 @@ def headers(rows: DataFrame) -> DataFrame:
     """Exact header text from page_id, url, digest, length, kind and refers_to."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     revisit = F.col("kind") == "revisit"
-    url = F.regexp_replace(F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")), r"\p{Cntrl}", "%")
+    coded = F.col("url")
+    for code in CONTROL:
+        coded = F.replace(coded, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    url = F.when(F.col("url").rlike(r"\p{Cntrl}"), coded).otherwise(F.col("url"))
     return rows.withColumn("header", F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.col("kind")), line("WARC-Record-ID", record_name(F.col("page_id"))),
         line("WARC-Date", F.lit(DATE)), F.coalesce(line("WARC-Target-URI", url), F.lit("")),
@@ -82,16 +88,19 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> None:
     twin = F.row_number().over(Window.partitionBy("page_id", *key).orderBy("url"))
     marked = marked.withColumn("kind", F.when(
         (F.col("length") < least) | (is_chosen & (twin == 1)), "response").otherwise("revisit"))
-    headers(marked).select("page_id", *key, "kind", "header").write.parquet(f"{folder}/records")
+    odd = F.when(F.col("url").rlike(r"\p{Cntrl}"), F.col("url")).alias("odd_url")
+    headers(marked).select("page_id", *key, "kind", "header", odd).write.parquet(f"{folder}/records")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record with its header, full payload and exact record bytes."""
+    """Every record with its header, full payload, exact record bytes and exact url."""
     records = spark.read.parquet(f"{folder}/records")
     payloads = spark.read.parquet(f"{folder}/payloads")
     body = records.join(payloads, ["digest", "sha256", "length"])
     ends = F.lit("\r\n\r\n").cast("binary")
-    return body.select("page_id", "header", "payload", F.concat(
+    target = r"\r\nWARC-Target-URI: ([^\r\n]*)"
+    url = F.coalesce("odd_url", F.when(F.col("header").rlike(target), F.regexp_extract("header", target, 1))).alias("url")
+    return body.select("page_id", url, "header", "payload", F.concat(
         F.col("header").cast("binary"),
         F.when(F.col("kind") == "response", F.col("payload")).otherwise(F.lit("").cast("binary")), ends).alias("record"))
 

@@ -194,6 +194,17 @@ def test_archive_equals_sql_and_keeps_bytes(spark, tmp_path):
         assert block == bytes(r.payload)[:size] + b"\r\n\r\n" and size in (0, len(r.payload))
 
 
+def test_urls_keep_their_control_characters(spark, tmp_path):
+    urls = [f"http://a/{chr(c)}b" for c in (*range(32), 127)] + ["http://a/%09b", "http://a/%b", "", None, "http://é/\r\nWARC-Type: x"]
+    df = spark.createDataFrame([(i, u, "same") for i, u in enumerate(urls)], PAGE)
+    warc.write_archive(df, str(tmp_path / "u"))
+    got = {r.page_id: r for r in warc.read_archive(spark, str(tmp_path / "u")).collect()}
+    assert [got[i].url for i in range(len(urls))] == urls
+    for c in (*range(32), 127):
+        assert f"\r\nWARC-Target-URI: http://a/%{c:02X}b\r\n" in got[c if c < 32 else 32].header
+    assert not re.search(r"[\x00-\x09\x0b\x0c\x0e-\x1f\x7f]", "".join(r.header for r in got.values()))
+
+
 def test_archive_threshold_and_repeats(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc"), (4, "u", "abc"), (None, "u", "abc")], PAGE)
     warc.write_archive(df, str(tmp_path / "b"), least=3)
