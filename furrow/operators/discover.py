@@ -12,9 +12,10 @@ SUBJECT, AREA, LANGUAGE, CAPABILITY, DISTRICT = 2, 2, 1, 1, 1
 
 
 def discover(published: DataFrame, *, subject_uri: str | None = None, area_code: str | None = None,
-             language: str | None = None, capability: str | None = None, limit: int = 5) -> DataFrame:
+             language: str | None = None, capability: str | None = None, limit: int | None = 5) -> DataFrame:
     """Top matches by (-score, id). Given facets must all match; a district
-    resource outranks a statewide one. Sorting is a top-k, not a full sort."""
+    resource outranks a statewide one. Sorting is a top-k, not a full sort;
+    with None as the limit all matches come, unsorted, as a search's scope."""
     a = F.col("attributes")
     areas = F.transform(a["coverageAreas"], lambda x: x["areaCode"])
     wanted: list[tuple[str, int, Column]] = []
@@ -32,11 +33,12 @@ def discover(published: DataFrame, *, subject_uri: str | None = None, area_code:
     points = sum(p for _, p, _ in wanted)
     score = F.lit(points) + F.when(a["geographicGranularity"] == "District", DISTRICT).otherwise(0)
     matched = F.array(*[F.lit(n) for n, _, _ in wanted]).cast("array<string>")
-    return rows.select(
+    found = rows.select(
         "resource_id", "catalog_id", "provider_id", score.cast("int").alias("score"),
         matched.alias("matched_on"), a["languages"].alias("languages"),
         F.filter(areas, lambda x: x.isNotNull() & (x != "")).alias("area_codes"),
-    ).orderBy(F.desc("score"), "resource_id").limit(limit)
+    )
+    return found if limit is None else found.orderBy(F.desc("score"), "resource_id").limit(limit)
 
 
 def facet_index(published: DataFrame) -> DataFrame:

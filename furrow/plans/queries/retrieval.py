@@ -124,7 +124,7 @@ ASKED = "The erst of the thing"
 def read_path(spark, sf):
     """Discover resources by area and language, then search the passages of what was found."""
     points = vi.embed(catalogue.document_passages(spark, sf), DigestEmbedder(SETTINGS))
-    found = dc.discover(catalogue.published(spark, sf), area_code="XC", language="en", limit=1000)
+    found = dc.discover(catalogue.published(spark, sf), area_code="XC", language="en", limit=None)
     hits = vi.search(points, DigestEmbedder(SETTINGS), ASKED, limit=25, resource_ids=found, area_code="XC", language="en",
                      also_areas=True)
     return hits.select(F.round("score", 5).alias("score"), "document", "page", "resource_id", "language", "semantic",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from furrow.functions import vectors as vf
 from furrow.operators import vector_index as vi
 from furrow.plans import onboard
+from furrow.plans.queries import retrieval
 from furrow.settings import Settings
 from furrow.sources.embedders import LexicalEmbedder, RemoteEmbedder, get_embedder
 
@@ -161,3 +162,25 @@ def test_timing_claims_overlap_only_when_there_was_some():
     from furrow.operators.report import branch_timing
 
     assert branch_timing(1.0, 9.0, 9.0)["ran_in_parallel"] and not branch_timing(0.1, 9.0, 9.05)["ran_in_parallel"]
+
+
+def test_a_search_reads_passages_of_all_that_discovery_matches(spark, monkeypatch):
+    attributes = F.struct(F.array(F.struct(F.lit("XC").alias("areaCode"))).alias("coverageAreas"), F.array(F.lit("en")).alias("languages"),
+                          F.lit("State").alias("geographicGranularity"))
+    published = spark.range(1200).select(F.concat(F.lit("r"), "id").alias("resource_id"), F.lit("c").alias("catalog_id"),
+                                         F.lit("p").alias("provider_id"), attributes.alias("attributes"))
+    points = published.select(F.concat(F.lit("p"), "resource_id").alias("point_id"), "resource_id", F.lit("x").alias("text"),
+                              F.lit("d").alias("document"), F.lit(1).alias("page"), F.lit("en").alias("language"), F.lit("XC").alias("area_code"),
+                              F.array().cast("array<string>").alias("also_area_codes"), F.lit(False).alias("from_ocr"))
+    sizes = []
+
+    def search(points, *rest, resource_ids, **more):
+        sizes.append(vi.scoped(points, resource_ids=resource_ids).count())
+        return points.withColumns({"score": F.lit(0.0), "semantic": F.lit(False), "citation": F.lit("")})
+
+    monkeypatch.setattr(retrieval.catalogue, "document_passages", lambda *a: points)
+    monkeypatch.setattr(retrieval.catalogue, "published", lambda *a: published)
+    monkeypatch.setattr(retrieval.vi, "embed", lambda points, embedder: points)
+    monkeypatch.setattr(retrieval.vi, "search", search)
+    retrieval.read_path(spark, "")
+    assert sizes == [1200]
