@@ -1,6 +1,6 @@
 """The queries of this package: name -> (plan, the same result in SQL or None)."""
 
-from . import bpe, chat, class_lm, fingerprint, packing, quality, simhash, toxicity, vafile, warc
+from . import bpe, chat, class_lm, fingerprint, packing, quality, repeats, simhash, toxicity, vafile, warc
 
 QUERIES = {
     "op1_bpe": (bpe.op1_bpe, None),
@@ -13,4 +13,5 @@ QUERIES = {
     "op8_quality": (quality.op8_quality, None),
     "op9_vafile": (vafile.op9_vafile, vafile.OP9_SQL),
     "op10_chat": (chat.op10_chat, chat.OP10_SQL),
+    "op11_repeats": (repeats.op11_repeats, None),
 }

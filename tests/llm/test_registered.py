@@ -19,6 +19,7 @@ CONTRACT = {
     "op8_quality": "doc_id held_out score predicted",
     "op9_vafile": "query_id rank vec_id score",
     "op10_chat": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
+    "op11_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
 }
 
 
