@@ -1,6 +1,6 @@
 """The queries of this package: name -> (plan, the same result in SQL or None)."""
 
-from . import bpe, chat, class_lm, fingerprint, packing, quality, repeats, simhash, toxicity, vafile, warc
+from . import audit, bpe, chat, class_lm, fingerprint, negatives, packing, quality, repeats, simhash, toxicity, vafile, warc
 
 QUERIES = {
     "op1_bpe": (bpe.op1_bpe, None),
@@ -14,4 +14,6 @@ QUERIES = {
     "op9_vafile": (vafile.op9_vafile, vafile.OP9_SQL),
     "op10_chat": (chat.op10_chat, chat.OP10_SQL),
     "op11_repeats": (repeats.op11_repeats, None),
+    "op12_negatives": (negatives.op12_negatives, negatives.OP12_SQL),
+    "op13_audit": (audit.op13_audit, audit.OP13_SQL),
 }

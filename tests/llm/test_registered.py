@@ -20,6 +20,8 @@ CONTRACT = {
     "op9_vafile": "query_id rank vec_id score",
     "op10_chat": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op11_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op12_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 
 
