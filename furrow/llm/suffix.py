@@ -101,10 +101,10 @@ class Minima:
 
 class RangeQueue:
     """Tuples (2 * symbol + kind, position, common prefix) by ranges of symbols, first in first out within a symbol.
-    Beyond `waiting` tuples in memory all go to a file, each range as one piece."""
+    Beyond `waiting` tuples in memory all go to a file, each range as one piece. `kind` is the type of the numbers."""
 
-    def __init__(self, bounds: np.ndarray, waiting: int):
-        self.bounds, self.waiting = bounds * 2, waiting
+    def __init__(self, bounds: np.ndarray, waiting: int, kind):
+        self.bounds, self.waiting, self.kind = bounds * 2, waiting, np.dtype(kind)
         self.parts: list[list] = [[] for _ in bounds]
         self.stored: list[list] = [[] for _ in bounds]
         self.held, self.file = 0, None
@@ -113,7 +113,7 @@ class RangeQueue:
         """Keys ascend."""
         if not len(key):
             return
-        rows = np.stack([key, pos, lcp])
+        rows = np.stack([key, pos, lcp]).astype(self.kind)
         first, last = np.searchsorted(self.bounds, [key[0], key[-1]], "right") - 1
         cuts = np.searchsorted(key, self.bounds[first: last + 2]) if last + 1 < len(self.bounds) else \
             np.append(np.searchsorted(key, self.bounds[first: last + 1]), len(key))
@@ -142,13 +142,13 @@ class RangeQueue:
         parts = []
         for at, n in self.stored[r]:
             self.file.seek(at)
-            parts.append(np.frombuffer(self.file.read(24 * n), np.int64).reshape(3, n))
+            parts.append(np.frombuffer(self.file.read(3 * n * self.kind.itemsize), self.kind).reshape(3, n))
         parts += self.parts[r]
         self.held -= sum(p.shape[1] for p in self.parts[r])
         self.parts[r] = self.stored[r] = []
         if not parts:
             return (np.zeros(0, np.int64),) * 3
-        key, pos, lcp = np.concatenate(parts, axis=1)
+        key, pos, lcp = np.concatenate(parts, axis=1).astype(np.int64)
         order = np.argsort(key, kind="stable")
         return key[order], pos[order], lcp[order]
 
@@ -171,7 +171,7 @@ def induce(key: np.ndarray, symbols: int, wanted: np.ndarray, run: np.ndarray, s
     before = np.cumsum(counts) - counts
     # small ranges make many pops, large ones tuples that induce into their own range: both are least at the root
     bounds = np.unique(before // max(64, int(total ** 0.5 * WIDTH)), return_index=True)[1]
-    queue = RangeQueue(bounds, scratch.waiting)
+    queue = RangeQueue(bounds, scratch.waiting, np.int32 if max(2 * symbols, len(key)) < 2 ** 31 else np.int64)
     for a in range(0, len(seeds), 1 << 20):
         part = seeds[a: a + (1 << 20)]
         order = np.argsort(key[part], kind="stable")
