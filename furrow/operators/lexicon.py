@@ -8,8 +8,9 @@ comparison into set membership wherever that is exact:
 * aliases in other scripts need only be contained.
 
 Small lexicons are inlined as literals, so a text is matched in one narrow pass
-without shuffle or join. Lexicons over `Settings.inline_alias_limit` aliases go
-through `match_by_join`, an equi-join on one anchor per alias.
+without shuffle or join. Lexicons over `Settings.inline_alias_limit` aliases are
+matched by a machine of all aliases (`automaton`), those too large to ship by
+`match_by_join`, an equi-join on one anchor per alias.
 """
 
 from __future__ import annotations
@@ -79,6 +80,7 @@ class Lexicon:
     capabilities: tuple[Capability, ...] = CAPABILITIES
     horticulture: frozenset[str] = frozenset()
     livestock_topic: str = LIVESTOCK_TOPIC
+    inline_aliases: int = 2000  # more than these are matched by machine
     _index: dict = field(default_factory=dict, compare=False, repr=False)
 
     # -- views ---------------------------------------------------------------
@@ -218,14 +220,18 @@ def _district_blocks(spark: SparkSession, directory: str) -> DataFrame:
 
 def load_lexicon(spark: SparkSession, directory: str, settings: Settings,
                  markers: dict[str, tuple[str, ...]] | None = None) -> Lexicon:
-    """Read a lexicon directory. A lexicon is a closed vocabulary kept by hand and
-    is inlined whatever its size; `with_mentions(by_join=...)` matches facets of one
-    that has outgrown expressions.
+    """Read a lexicon directory. A lexicon is a closed vocabulary kept by hand; its
+    size is measured first, and one beyond `Settings.lexicon_bytes` is refused: it
+    stays a table, for `automaton.match`. Up to `Settings.inline_alias_limit` aliases
+    become expressions, more become a machine.
 
     `markers` gives, in priority order, the wording that assigns a document to a
     state; without it a state is recognised by its own name.
     """
     table = lexicon_table(spark, directory)
+    size = table.agg(F.coalesce(F.sum(sum(F.octet_length(c) for c in ("alias", "canonical", "name"))), F.lit(0))).first()[0]
+    if size > settings.lexicon_bytes:
+        raise ValueError(f"a lexicon of {size} bytes is no closed vocabulary (at most {settings.lexicon_bytes}): match it as a table")
     rows = table.collect()
     states = {
         r["state"]: State(r["state"], r["state_name"], r["primary_language"] or "en",
@@ -252,7 +258,7 @@ def load_lexicon(spark: SparkSession, directory: str, settings: Settings,
     )
     entries = tuple(sorted(tuple(r[f.name] for f in ENTRY_SCHEMA) for r in rows))
     return Lexicon(entries, tuple(states.values()), capabilities,
-                   frozenset(caps["horticulture_slugs"] or ()))
+                   frozenset(caps["horticulture_slugs"] or ()), inline_aliases=settings.inline_alias_limit)
 
 
 # -- matching -------------------------------------------------------------------
@@ -293,9 +299,11 @@ class Matcher:
             parts.append(F.transform(hits, lambda x: x["a"]))
         if self.others:
             held = F.filter(string_array(self.others), lambda a: F.contains(text, a))
-            # Only text beyond ASCII can hold one of these.
-            beyond = F.octet_length(text) > F.length(text)
-            parts.append(F.when(beyond, held).otherwise(F.array().cast("array<string>")))
+            if any(a.isascii() for a in self.others):
+                parts.append(held)
+            else:  # only text beyond ASCII can hold one of these
+                beyond = F.octet_length(text) > F.length(text)
+                parts.append(F.when(beyond, held).otherwise(F.array().cast("array<string>")))
         if not parts:
             return F.array().cast("array<string>")
         found = parts[0] if len(parts) == 1 else F.concat(*parts)
@@ -342,10 +350,14 @@ def with_mentions(df: DataFrame, lexicon: Lexicon, text: str = "text", state: st
     a column of state codes, `district_codes` of that state.
 
     `by_join` is a unique key column of `df` and the alias table: then aliases are
-    found by equi-join, which is for lexicons too large for expressions. Results
-    are the same."""
+    found by equi-join, which is for lexicons too large to ship. Without it a lexicon
+    beyond its `inline_aliases` is matched by machine. Results are the same."""
     if by_join:
         return _joined_mentions(df, *by_join, text, state)
+    if len(lexicon.entries) > lexicon.inline_aliases:
+        from .automaton import Shipped, with_facets
+
+        return with_facets(df, Shipped(df.sparkSession, [e[:4] for e in lexicon.entries]), text, state)
     out = df.withColumn("_hits", Matcher(lexicon.aliases()).mentions(text))
     cols = {
         "subject_slugs": to_canonical(F.col("_hits"), lexicon.rows("subject")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions import prose, script, text as tx, vectors
-from ...operators import lexicon as lx, pages as pg, report
+from ...operators import automaton, lexicon as lx, pages as pg, report
 from ...operators.facets import category_of
 from ...session import settle
 from .. import corpus
@@ -67,6 +67,24 @@ def match_pairs_joined(spark, sf):
     return lx.match_by_join(docs, frame, "doc_id").select("doc_id", "dimension", "canonical").distinct()
 
 
+def match_pairs_by_machine(spark, sf):
+    """The route for lexicons between the two, on the same lexicon."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    frame = LEXICON.frame(spark).where("dimension <> 'district'")
+    return automaton.match(docs, frame, "doc_id").select("doc_id", "dimension", "canonical").distinct()
+
+
+def benchmark_words(spark, sf):
+    """A lexicon as large as a table makes it: every word of the benchmark, and how many of them each document mentions."""
+    words = table(spark, sf, "benchmark").select(F.explode(lx.letter_runs("text")).alias("word")).where("word <> ''").distinct()
+    return automaton.known_words(table(spark, sf, "documents"), settle(words, "vocabulary"), "doc_id", "word")
+
+
+BENCHMARK_SQL = """with w as (select distinct unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as word from benchmark),
+d as (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as word from documents)
+select doc_id, count(*) as words from d join w using (word) where word <> '' group by 1"""
+
+
 def scoped_matches(spark, sf):
     state = F.when(F.col("lang") == "fr", "XA").when(F.col("lang") == "de", "XB").otherwise("XC")
     hits = _hits(spark, sf).withColumn("state", state)
@@ -278,6 +296,8 @@ QUERIES = {
     "lexicon_topic_counts": (topic_counts, TOPIC_SQL),
     "lexicon_match_pairs": (match_pairs, PAIRS_SQL),
     "lexicon_match_by_join": (match_pairs_joined, PAIRS_SQL),
+    "lexicon_match_by_machine": (match_pairs_by_machine, PAIRS_SQL),
+    "benchmark_words": (benchmark_words, BENCHMARK_SQL),
     "scoped_lexicon_match": (scoped_matches, SCOPED_SQL),
     "alias_collisions": (alias_collision, COLLISION_SQL),
     "shared_aliases": (shared_alias, SHARED_SQL),

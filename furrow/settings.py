@@ -61,6 +61,8 @@ class Settings:
     publish_timeout_seconds: float = 60.0
     ledger_limit: int = 200
     # physical knobs
+    inline_alias_limit: int = 2000      # aliases of a lexicon that become expressions
+    lexicon_bytes: int = 32_000_000     # of a lexicon that is read as a whole
     page_chunk: int = 1024        # pages of one document that share a task
     index_buckets: int = 256      # partitions of the passage index
 

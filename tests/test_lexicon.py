@@ -4,10 +4,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from furrow.operators import lexicon as lx
+from furrow.operators import automaton, lexicon as lx
 from furrow.settings import Settings
 
-ALIASES = ["lentil", "red lentil", "f2 (green)", "o'hara", "2-4", "मसूर", "grün", "ü", "goat", "north hill"]
+ALIASES = ["c++", "lentil", "red lentil", "f2 (green)", "o'hara", "2-4", "मसूर", "grün", "ü", "goat", "north hill"]
 
 
 def mentions(text, alias):
@@ -19,7 +19,7 @@ def mentions(text, alias):
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(7)
-    parts = ["Lentil", "lentils", "red", " ", "-", "lentil", "F2 (Green)", "O'Hara", "2-4", "12-45", "मसूर", "xमसूरy", "GRÜN",
+    parts = ["Lentil", "C++", "c++", "lentils", "red", " ", "-", "lentil", "F2 (Green)", "O'Hara", "2-4", "12-45", "मसूर", "xमसूरy", "GRÜN",
              "grün", "ü", "goat2", "_goat", "agoat", "North Hill", "north\nhill", "(", "é", "goat"]
     return ["".join(rng.choice(parts) + rng.choice(["", " ", ".", "\n"]) for _ in range(rng.randint(0, 9))) for _ in range(400)]
 
@@ -34,6 +34,62 @@ def test_inline_and_join_routes_equal_brute_force(spark, texts):
     assert len(joined) == len(set(joined)) and set(joined) == want
 
 
+def test_machine_equals_both_other_routes(spark, texts):
+    want = {(i, a) for i, t in enumerate(texts) for a in ALIASES if mentions(t, a)}
+    df = spark.createDataFrame(list(enumerate(texts)) + [(-1, None), (-2, "")], "i int, text string")
+    table = spark.createDataFrame([("subject", "", a, a, a, "crop") for a in ALIASES + [""]], lx.ENTRY_SCHEMA)
+    rows = [(r["i"], r["alias"]) for r in automaton.match(df, table, "i").collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_machine_facets_equal_expressions(spark, lexicon, texts):
+    """The same columns by machine, beside input columns whose names clash."""
+    import dataclasses
+
+    rows = [(t, ("IN-AA", "IN-BB", None)[i % 3], i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "text string, c0 string, t int")
+    by = lambda lex: sorted(lx.with_mentions(df, lex, "text", "c0").select(
+        "t", "subject_slugs", "topics", "weather_parameters", "district_codes").collect())
+    assert by(dataclasses.replace(lexicon, inline_aliases=0)) == by(lexicon)
+
+
+def test_machine_with_many_aliases(spark):
+    """100,000 aliases by machine and by join; the time for a text does not grow with the lexicon."""
+    import time
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 7)))
+    words = [word() for _ in range(100_000)]
+    aliases = sorted({rng.choice([w, w + " " + word(), w + "-" + str(rng.randrange(99)), w + "\u0101"]) for w in words})
+    texts = [" ".join(rng.choice([word(), rng.choice(aliases).upper() if rng.random() < .2 else rng.choice(aliases)])
+                      for _ in range(60)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    table = spark.createDataFrame([("subject", "", a, a, a, "crop") for a in aliases], lx.ENTRY_SCHEMA)
+    found = {(r["i"], r["alias"]) for r in automaton.match(df, table, "i").collect()}
+    assert found == {(r["i"], r["alias"]) for r in lx.match_by_join(df, table, "i").collect()} and len(found) > 10_000
+    machines = [automaton.Machine(rng.sample(aliases, n)) for n in (5_000, 80_000)]
+    plain = [" ".join(w[::-1] + "k" for w in t.split()) for t in texts]  # hardly a mention: the walk alone is timed
+
+    def seconds(m):
+        best = 9.0
+        for _ in range(3):
+            started = time.perf_counter()
+            for t in plain:
+                m.find(t)
+            best = min(best, time.perf_counter() - started)
+        return best
+
+    assert seconds(machines[1]) < 6 * seconds(machines[0])
+
+
+def test_large_lexicons_are_refused_before_they_are_read(spark, lexicon_dir):
+    with pytest.raises(ValueError, match="closed vocabulary"):
+        lx.load_lexicon(spark, lexicon_dir, Settings(lexicon_bytes=50))
+    table = spark.createDataFrame([("subject", "", "abc", "x", "x", "crop")], lx.ENTRY_SCHEMA)
+    with pytest.raises(ValueError, match="match by join"):
+        automaton.ship(table, 3)
+
+
 def test_join_route_respects_scope(spark):
     table = spark.createDataFrame([("district", "A", "hill", "A-1", "Hill", "District"), ("district", "B", "hill", "B-1", "Hill", "District")],
                                   lx.ENTRY_SCHEMA)
