@@ -42,7 +42,7 @@ from furrow.session import settle
 from .suffix import Scratch, repeated
 
 LENGTH, GRAM = 200, 32
-CHUNK, SHARD, GROUP = 2_000_000, 3_000_000, 12_000
+CHUNK, SHARD, GROUP = 2_000_000, 1_500_000, 6_000
 #: Pieces whose bytes a task remembers to have sent; it then starts again. Only what is sent twice depends on it.
 SEEN = 400_000
 _TOP = np.uint64(0xFFFFFFFF80000000)

@@ -30,7 +30,7 @@ class Scratch:
     """Arrays in memory, or in files of one temporary folder of the task when they are long. Files are nameless
     from the start, so nothing stays behind, even if the task is killed."""
 
-    def __init__(self, most: int = 8_000_000, waiting: int = 1_000_000, direct: int = 2_000_000):
+    def __init__(self, most: int = 8_000_000, waiting: int = 500_000, direct: int = 500_000):
         self.most, self.waiting, self.direct = most, waiting, max(1, direct)
 
     def array(self, n: int, kind, fill=None) -> np.ndarray:
