@@ -107,17 +107,14 @@ def run_totals(decisions: DataFrame, passages: DataFrame, resources: DataFrame)
     })
 
 
-def with_failures(decisions: DataFrame, summary: DataFrame, faults: DataFrame | None = None) -> DataFrame:
-    """A readable document without passages failed, and so did one of `faults`
-    (document, fault); that is not a refusal."""
+def with_failures(decisions: DataFrame, summary: DataFrame) -> DataFrame:
+    """A readable document without passages failed, and that is not a refusal."""
     joined = decisions.join(summary.select("document", "passages"), "document", "left")
-    joined = joined.withColumn("fault", F.lit(None).cast("string")) if faults is None else joined.join(
-        faults.select("document", "fault"), "document", "left")
-    failed = (F.col("status") == "ok") & (F.col("passages").isNull() | F.col("fault").isNotNull())
+    failed = (F.col("status") == "ok") & F.col("passages").isNull()
     return joined.withColumns({
         "status": F.when(failed, "failed").otherwise(F.col("status")),
-        "reason": F.when(failed, F.coalesce("fault", F.lit("no passages extracted"))).otherwise(F.col("reason")),
-    }).drop("passages", "fault")
+        "reason": F.when(failed, F.lit("no passages extracted")).otherwise(F.col("reason")),
+    }).drop("passages")
 
 
 def branch_timing(catalogue_seconds: float, index_seconds: float, wall_seconds: float) -> dict:

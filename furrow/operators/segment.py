@@ -1,150 +1,152 @@
 """Page text to passages: split where the crop changes, merge to a workable size.
 
-Both steps are folds over a page's lines. Which crops each line names is found
-with native expressions; the fold itself is a small Arrow batch function. The
-crops of a piece are the union of its lines' crops, since no alias spans a line
-end.
+Three folds over arrays, as native expressions: lines to runs of lines about the same crops, runs to pieces that can
+stand alone, pieces to passages. Runs and pieces are numbers of lines with a length and their crops, so a fold moves no
+text; text is put together once for each piece. The crops of a piece are the union of its lines' crops, since no alias
+spans a line end.
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.text import let, lines_of
+from ..functions.text import WS_CHARS, let, lines_of, strip
 from ..settings import Settings
 from .lexicon import Lexicon, Matcher, per_part, to_canonical
 
+#: Lines `a` to `z` of a page, `n` characters with the line ends between them, and the crops they name.
+_PART = "struct<a:int,z:int,n:int,block:int,c:array<string>>"
+_NO_CROPS = "cast(array() as array<string>)"
+
 
 def line_crops(text: Column, lexicon: Lexicon) -> Column:
-    """Crops named by each line, as comma-joined slugs; null when the page names
+    """Crops named by each line, as arrays of slugs; null when the page names
     none, which spares such pages the per-line work."""
     rows = lexicon.rows("subject")
 
     def by_line(hits):
-        slugs = F.transform(per_part(lines_of(text), hits),
-                            lambda found: F.array_join(to_canonical(found, rows), ","))
+        slugs = F.transform(per_part(lines_of(text), hits), lambda found: to_canonical(found, rows))
         return F.when(F.size(hits) > 0, slugs)
 
     return let(Matcher(lexicon.aliases("subject")).mentions(text), by_line)
 
 
-def _runs(lines, crops, least):
-    """Cut one block of (line, crops) wherever a line names only other crops and
-    the run before it can stand alone, then join short runs to a neighbour."""
-    runs, seen = [], set()
-    for line, named in zip(lines, crops):
-        starts = not runs or (
-            seen and named and seen.isdisjoint(named) and len("\n".join(runs[-1][0])) >= least
-        )
-        if starts:
-            runs.append(([], set()))
-            seen = set()
-        runs[-1][0].append(line)
-        runs[-1][1].update(named)
-        seen = runs[-1][1]
-    folded = []
-    for part, named in runs:
-        text = "\n".join(part)
-        if folded and min(len(text), len(folded[-1][0])) < least:
-            before, its = folded[-1]
-            folded[-1] = (before + "\n" + text, its | named)
-        else:
-            folded.append((text, set(named)))
-    return folded
-
-
-def slices(text: str, most: int):
-    """A text in parts of at most `most` characters, each ending at the last line end it reaches if there is one."""
-    while len(text) > most:
-        line_end = text.rfind("\n", 0, most)
-        end = line_end if line_end > 0 else most
-        yield text[:end].strip()
-        text = text[end:].strip()
-    yield text
-
-
-@dataclass
-class Passage:
-    """A passage that may still grow by the next piece."""
-
-    text: str
-    crops: set
-
-    def grows_by(self, text: str, crops: set, least: int, most: int) -> bool:
-        elsewhere = bool(self.crops and crops) and not self.crops & crops
-        if elsewhere and len(self.text) >= least:
-            return False
-        return len(self.text) + len("\n\n") + len(text) <= most
-
-
-def passages(pieces, least: int, most: int) -> list[str]:
-    """Pieces become passages of workable size. A piece that is too long is sliced: its slices but the last are
+def page_lines(text: Column, crops: Column) -> Column:
+    """Lines as structs: number, text (null for a blank one), crops. A block is what stands between blank lines; white
+    space at its two ends goes."""
+    trimmed = F.lit(WS_CHARS)
+
+    def all_lines(lines):
+        def one(line, i):
+            blank = lambda at: F.coalesce(strip(F.get(lines, at)) == "", F.lit(True))
+            head = F.when(blank(i - 1), F.ltrim(line, trimmed)).otherwise(line)
+            return F.struct(i.alias("i"), F.when(~blank(i), F.when(blank(i + 1), F.rtrim(head, trimmed)).otherwise(head)).alias("t"),
+                            F.coalesce(F.get(crops, i), F.expr(_NO_CROPS)).alias("c"))
+
+        return F.transform(lines, one)
+
+    return let(lines_of(text), all_lines)
+
+
+def _part(a, z, n, block, c) -> Column:
+    return F.struct(a.alias("a"), z.alias("z"), n.alias("n"), block.alias("block"), c.alias("c"))
+
+
+def _fold(items: Column, kind: str, step) -> Column:
+    """Fold items into an array of parts of type `kind`; the open part is null or what may still grow. `step` gives the
+    open part that follows, and whether the one before is closed by it."""
+    zero = F.expr(f"named_struct('done', cast(array() as array<{kind}>), 'open', cast(null as {kind}))")
+    closed = lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.array_append(s["done"], s["open"]))
+
+    def merge(s, item):
+        after, closes = step(s["open"], item)
+        return F.struct(F.when(closes, closed(s)).otherwise(s["done"]).alias("done"), after.cast(kind).alias("open"))
+
+    return F.aggregate(items, zero, merge, closed)
+
+
+def runs(lines: Column, least: int) -> Column:
+    """Runs of lines. One ends at a blank line, and before a line that names only other crops, if it can stand alone."""
+    def step(run, line):
+        other = (F.size(run["c"]) > 0) & (F.size(line["c"]) > 0) & ~F.arrays_overlap(run["c"], line["c"]) & (run["n"] >= least)
+        # a blank line leaves an empty run, which tells where a block began
+        begins = run.isNull() | other | run["z"].isNull()
+        block = F.coalesce(run["block"], F.lit(0)) + F.coalesce(run["z"].isNull(), F.lit(False)).cast("int")
+        fresh = _part(line["i"], line["i"], F.length(line["t"]), block, line["c"])
+        grown = _part(run["a"], line["i"], run["n"] + 1 + F.length(line["t"]), run["block"], F.array_union(run["c"], line["c"]))
+        none = F.lit(None).cast("int")
+        gap = _part(none, none, F.lit(0), block, F.expr(_NO_CROPS))
+        return (F.when(line["t"].isNull(), gap).when(begins, fresh).otherwise(grown),
+                F.coalesce(line["t"].isNull() | begins, F.lit(True)))
+
+    return F.filter(_fold(lines, _PART, step), lambda r: r["z"].isNotNull())
+
+
+def pieces(of_runs: Column, least: int) -> Column:
+    """Runs of one block joined while either of two neighbours is too short to stand alone."""
+    def step(piece, run):
+        joins = F.coalesce((piece["block"] == run["block"]) & (F.least(piece["n"], run["n"]) < least), F.lit(False))
+        both = _part(piece["a"], run["z"], piece["n"] + 1 + run["n"], run["block"], F.array_union(piece["c"], run["c"]))
+        return F.when(joins, both).otherwise(run), ~joins
+
+    return _fold(of_runs, _PART, step)
+
+
+def slices(text: Column, most: int) -> Column:
+    """A text in parts of at most `most` characters, each ending at the last line end within reach if there is one."""
+    def step(s, _):
+        reach = F.substring(s["rest"], 1, most)
+        back = F.instr(F.reverse(reach), "\n")
+        end = F.when((back > 0) & (back < most), most - back).otherwise(F.lit(most))
+        cut = F.struct(F.array_append(s["done"], strip(F.substring(s["rest"], F.lit(1), end))).alias("done"),
+                       strip(F.substring(s["rest"], end + 1, F.length(s["rest"]))).alias("rest"))
+        return F.when(F.length(s["rest"]) > most, cut).otherwise(s)
+
+    zero = F.struct(F.expr(_NO_CROPS).alias("done"), text.alias("rest"))
+    # two cuts in a row take more than `most` characters
+    rounds = F.sequence(F.lit(1), (F.length(text) / F.lit(most)).cast("int") * 2 + 2)
+    cut = F.aggregate(rounds, zero, step, lambda s: F.array_append(s["done"], s["rest"]))
+    return F.when(F.length(text) > most, cut).otherwise(F.array(text))
+
+
+def passages(texts: Column, least: int, most: int) -> Column:
+    """Pieces (t, c) become passages of workable size. A piece that is too long is sliced; its slices but the last are
     finished, and all have the crops of the whole. Any other piece goes to the passage before, if that may grow."""
-    made: list[Passage] = []
-    for text, crops in pieces:
-        *finished, last = slices(text, most)
-        if made and made[-1].text and not finished and made[-1].grows_by(text, crops, least, most):
-            made[-1] = Passage(f"{made[-1].text}\n\n{text}", made[-1].crops | crops)
-        else:
-            made.extend(Passage(part, set(crops)) for part in (*finished, last))
-    return [p.text for p in made if len(p.text) >= least]
-
-
-_BLANK = re.compile(r"\n\s*\n")
-
-
-def split_page(text: str, crops_by_line, least: int, most: int) -> list[str]:
-    """Passages of one page. `crops_by_line` follows `text.split('\\n')`."""
-    text_lines = text.split("\n")
-    named = [set(c.split(",")) - {""} for c in crops_by_line] if crops_by_line is not None else None
-    pieces, number = [], 0
-    starts = [m.end() for m in _BLANK.finditer(text)]
-    for raw in _BLANK.split(text):
-        block = raw.strip()
-        lines, crops = [], []
-        if block:
-            # Line numbers of the stripped block within the page.
-            offset = text.index(block, starts[number - 1] if number else 0)
-            first = text.count("\n", 0, offset)
-            for i, line in enumerate(block.split("\n")):
-                if line.strip():
-                    lines.append(line)
-                    crops.append(named[first + i] if named is not None else frozenset())
-            pieces.extend(_runs(lines, crops, least))
-        number += 1
-    return passages(pieces, least, most)
+    kind = "struct<t:string,c:array<string>>"
+    zero = F.expr(f"named_struct('done', cast(array() as array<string>), 'open', cast(null as {kind}))")
+
+    def merge(s, piece):
+        own = s["open"]
+        elsewhere = (F.size(own["c"]) > 0) & (F.size(piece["c"]) > 0) & ~F.arrays_overlap(own["c"], piece["c"])
+        grows = F.coalesce((own["t"] != "") & (F.length(own["t"]) + 2 + F.length(piece["t"]) <= most)
+                           & ~(elsewhere & (F.length(own["t"]) >= least)), F.lit(False))
+        before = F.when(own.isNull(), s["done"]).otherwise(F.array_append(s["done"], own["t"]))
+        sliced = lambda parts: F.struct(
+            F.concat(before, F.slice(parts, F.lit(1), F.size(parts) - 1)).alias("done"),
+            F.struct(F.element_at(parts, -1).alias("t"), piece["c"].alias("c")).cast(kind).alias("open"))
+        grown = F.struct(s["done"].alias("done"), F.struct(F.concat(own["t"], F.lit("\n\n"), piece["t"]).alias("t"),
+                                                           F.array_union(own["c"], piece["c"]).alias("c")).cast(kind).alias("open"))
+        return F.when(grows, grown).otherwise(let(slices(piece["t"], most), sliced))
+
+    ended = lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.array_append(s["done"], s["open"]["t"]))
+    return F.filter(F.aggregate(texts, zero, merge, ended), lambda t: F.length(t) >= least)
+
+
+def page_passages(text: Column, crops: Column, least: int, most: int) -> Column:
+    """Passages of one page, in order. `crops` follows the page's lines, or is null."""
+    def of_lines(lines):
+        def piece(p):
+            whole = F.transform(F.slice(lines, p["a"] + 1, p["z"] - p["a"] + 1), lambda line: line["t"])
+            return F.struct(F.array_join(whole, "\n").alias("t"), p["c"].alias("c"))
+
+        return passages(F.transform(pieces(runs(lines, least), least), piece), least, most)
+
+    return F.coalesce(let(page_lines(text, crops), of_lines), F.expr(_NO_CROPS))
 
 
 def with_blocks(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
-    """Add `blocks`, the passages of each page in order, and `fault`, what went wrong with a page that has none for it.
-
-    `mapInArrow` and not a UDF column: Spark does not extract a Python UDF whose
-    argument holds lambdas. Other columns pass through as Arrow arrays.
-    """
-    least, most = settings.min_passage_chars, settings.max_passage_chars
-    staged = pages.withColumn("_crops", line_crops(F.col("text"), lexicon))
-    schema = T.StructType(list(pages.schema.fields) + [T.StructField("blocks", T.ArrayType(T.StringType())),
-                                                           T.StructField("fault", T.StringType())])
-    kept = pages.columns
-
-    def one(text, crops):
-        try:
-            return split_page(text or "", crops, least, most), None
-        except Exception as exc:  # costs the page's document, not the batch
-            return [], f"{type(exc).__name__}: {exc}"
-
-    def fold(batches):
-        for batch in batches:
-            rows = zip(batch.column("text").to_pylist(), batch.column("_crops").to_pylist())
-            made = [one(text, crops) for text, crops in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array([b for b, _ in made], pa.list_(pa.string())),
-                                                   pa.array([f for _, f in made], pa.string())], [*kept, "blocks", "fault"])
-
-    return staged.mapInArrow(fold, schema)
+    """Add `blocks`, the passages of each page in order."""
+    crops = line_crops(F.col("text"), lexicon)
+    return pages.withColumn("blocks", let(F.struct(crops.alias("c")), lambda x: page_passages(
+        F.col("text"), x["c"], settings.min_passage_chars, settings.max_passage_chars)))

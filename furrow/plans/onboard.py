@@ -20,7 +20,7 @@ from ..functions import script
 from ..operators import facets, pages as pg, report as rp, resources as res, vector_index
 from ..operators.lexicon import Lexicon
 from ..operators.sections import HeadingRule
-from ..session import settle
+from ..session import evenly, settle
 from ..settings import Settings
 from ..sources import ocr as ocr_source
 from ..sources.sinks import read_table, upsert_buckets
@@ -35,9 +35,10 @@ class Extraction:
     ocr: DataFrame | None  # one row per document, when recovery ran
 
 
-def repaired_pages(pages: DataFrame, lexicon: Lexicon, settings: Settings) -> DataFrame:
-    """All pages of readable documents, with the glyph repair where it helps."""
-    decided = pg.repair_decisions(pages, lexicon, settings).where("readable").select("document", "repair_applied")
+def repaired_pages(pages: DataFrame, lexicon: Lexicon, settings: Settings, decisions: DataFrame | None = None) -> DataFrame:
+    """All pages of readable documents, with the glyph repair where it helps. `decisions` spares working them out."""
+    decisions = pg.repair_decisions(pages, lexicon, settings) if decisions is None else decisions
+    decided = decisions.where("readable").select("document", "repair_applied")
     text = F.when(F.col("repair_applied"), script.repair_glyphs("text")).otherwise(F.col("text"))
     joined = pages.join(decided, "document")
     return joined.withColumn("text", text).drop("repair_applied")
@@ -51,11 +52,16 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
 
     Order matters: repair comes before recovery, whose text is sound already,
     and recovery before the state is decided.
+
+    Pages are written once, dealt out evenly whatever files they came in: what
+    made their text is not worked out again for each use, and the long narrow
+    steps that follow have as many tasks as the text deserves.
     """
     readings = None
+    pages = store(evenly(pages), "pages")
     if engine is not None and files is not None:
-        first = pg.repair_decisions(pages, lexicon, settings)
-        repaired = repaired_pages(pages, lexicon, settings)
+        first = store(pg.repair_decisions(pages, lexicon, settings), "repairs")
+        repaired = repaired_pages(pages, lexicon, settings, first)
         scored = store(ocr_source.augment(repaired, files, engine, lexicon, settings), "recovered")
         readings = pg.recovery_report(scored)
         usable = scored.select("document", "page", "text", "ocr", "has_image")
@@ -66,12 +72,8 @@ def extract(pages: DataFrame, lexicon: Lexicon, settings: Settings, *, rule: Hea
         decisions = pg.document_decisions(pages, lexicon, settings, store)
         accepted = pg.apply_decisions(pages, decisions, settings)
     blocked = store(facets.segmented(accepted, lexicon, settings, rule), "blocks")
-    faults = blocked.where("fault is not null").groupBy("document").agg(F.min("fault").alias("fault"))
-    # pages of a document that failed give no passages; documents that fail are few, and only their names move
-    sound = blocked.join(faults, "document", "left_anti").drop("fault")
-    found = store(facets.placed(sound, lexicon, settings, alias_table), "passages")
-    summary = rp.passage_summary(found)
-    outcome = rp.with_failures(decisions, summary, faults)
+    found = store(facets.placed(blocked, lexicon, settings, alias_table), "passages")
+    outcome = rp.with_failures(decisions, rp.passage_summary(found))
     if refusals is not None:
         outcome = outcome.unionByName(refusals, allowMissingColumns=True)
     return Extraction(outcome, accepted, found, rp.extraction_report(blocked, found, settings), readings)

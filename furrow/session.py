@@ -75,13 +75,8 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a scan that has fewer splits than there are cores out to all of them.
-
-    Only a table smaller than cores x split size has so few (a file of one row
-    group is one split whatever the settings), which bounds what is dealt out;
-    larger tables stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+def evenly(df: DataFrame) -> DataFrame:
+    """Rows dealt out by the bytes they hold: Spark merges and splits the parts of this exchange to its advisory size,
+    and to no fewer than the cores while parts are above its least size. For rows with long work ahead that come in
+    few or uneven parts."""
+    return df.hint("rebalance")
