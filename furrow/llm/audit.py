@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  used as pa.compute
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from pyspark.sql import types as T
 from furrow.session import settle
 
 CHUNK, SLICE = 6_000_000, 4_000_000
+#: Numbers that a task holds before it sends them.
+NUMBERS = 1_000_000
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 100, 80, 10
 LETTERS = "ABCDE"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -125,52 +128,90 @@ def local_shards(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFram
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("t")).mapInArrow(pack, schema)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(word, number, chunk, place): the global number of every word, for each chunk that holds it at `place`."""
+def global_numbers(shards: DataFrame) -> DataFrame:
+    """(chunk, base, places, numbers): packed, the global number (base + numbers) of the word at each place of a chunk.
+
+    All rows of a word are in one task, next to each other. A task sends each chunk its numbers in few rows.
+    """
     words = shards.select("chunk", F.posexplode("words").alias("place", "word"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        last, given = None, (TaskContext.get().partitionId() << 40) - 1
+        base, last, given = TaskContext.get().partitionId() << 40, None, -1
+        held, size = [], 0
+
+        def rows():
+            chunk, place, own = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(chunk, kind="stable")
+            chunk, place, own = chunk[order], place[order], own[order]
+            edge = np.append(np.nonzero(np.diff(chunk, prepend=chunk[0] - 1))[0], len(chunk))
+            low = [int(own[i:j].min()) for i, j in zip(edge, edge[1:])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(chunk[edge[:-1]]), pa.array([base + x for x in low], pa.int64()),
+                 pa.array([place[i:j].tobytes() for i, j in zip(edge, edge[1:])], pa.binary()),
+                 pa.array([(own[i:j] - x).astype(np.int32).tobytes() for i, j, x in zip(edge, edge[1:], low)], pa.binary())],
+                names=["chunk", "base", "places", "numbers"])
+
+        for batch in batches:
+            word = batch.column(0)
+            if not len(word):
+                continue
+            fresh = np.ones(len(word), bool)
+            fresh[0] = word[0].as_py() != last
+            fresh[1:] = pa.compute.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
+            own = given + np.cumsum(fresh)
+            last, given = word[len(word) - 1].as_py(), int(own[-1])
+            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), own))
+            size += len(own)
+            if size > NUMBERS:
+                yield rows()
+                held, size = [], 0
+        if held:
+            yield rows()
+
+    # the hash alone is a fixed-width sort key; words of one hash are told apart after it
+    return (words.select("word", "chunk", "place").repartition("word").sortWithinPartitions(F.xxhash64("word"), "word")
+            .mapInArrow(number, "chunk long, base long, places binary, numbers binary"))
+
+
+def numbers_of(rows, size: int) -> np.ndarray:
+    """The global numbers of a chunk's words by place, from its rows of `global_numbers`."""
+    known = np.empty(size, np.int64)
+    for r in rows or ():
+        known[np.frombuffer(r["places"], np.int32)] = r["base"] + np.frombuffer(r["numbers"], np.int32)
+    return known
+
+
+def vocabulary(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(word, number) of the whole dictionary. Both frames are stored tables."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, out = batch.column(0).to_pylist(), []
-            for w in words:
-                if w != last:
-                    last, given = w, given + 1
-                out.append(given)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64()), *batch.columns[1:]],
-                                             names=["word", "number", "chunk", "place"])
+            for r in batch.to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(r["words"], pa.binary()), pa.array(numbers_of(r["rows"], len(r["words"])))],
+                                                 names=["word", "number"])
 
-    return (words.select("word", "chunk", "place").repartition("word").sortWithinPartitions("word")
-            .mapInArrow(number, "word binary, number long, chunk long, place int"))
+    own = numbers.groupBy("chunk").agg(F.collect_list(F.struct("base", "places", "numbers")).alias("rows"))
+    return shards.select("chunk", "words").join(own, "chunk").drop("chunk").mapInArrow(read, "word binary, number long").distinct()
 
 
-def term_matrix(shards: DataFrame) -> DataFrame:
-    """The shards with their columns numbered globally: `columns` holds long numbers, ascending in each row."""
-    back = (dictionary(shards).groupBy("chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("place", "number"))).alias("numbers")))
+def term_matrix(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The shards with their columns numbered globally: `columns` holds long numbers. Both frames are stored tables."""
+    own = numbers.groupBy("chunk").agg(F.collect_list(F.struct("base", "places", "numbers")).alias("rows"))
+    kept = ["chunk", "ids", "parts", "digests", "capitals", "signs", "ends"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, open_ = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         for batch in batches:
             for i in range(batch.num_rows):
-                ends, columns, counts = (np.frombuffer(open_.decompress(batch.column(c)[i].as_py()), k) for c, k in
-                                         (("ends", np.int64), ("columns", np.int32), ("counts", np.int32)))
-                numbers = batch.column("numbers")[i].values
-                known = numbers.field("number").to_numpy(zero_copy_only=False) if numbers is not None else np.zeros(0, np.int64)
-                own = known[columns]
-                row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-                order = np.lexsort((own, row))
+                columns = np.frombuffer(open_.decompress(batch.column("columns")[i].as_py()), np.int32)
+                known = numbers_of(batch.column("rows")[i].as_py(), int(columns.max(initial=-1)) + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c)[i: i + 1] for c in kept), batch.column("ends")[i: i + 1],
-                     *(pa.array([press.compress(x.tobytes())], pa.binary()) for x in (own[order], counts[order]))],
-                    names=[*kept, "ends", "columns", "counts"])
+                    [*(batch.column(c)[i: i + 1] for c in kept), pa.array([press.compress(known[columns].tobytes())], pa.binary()),
+                     batch.column("counts")[i: i + 1]], names=[*kept, "columns", "counts"])
 
-    kept = ["chunk", "ids", "parts", "digests", "capitals", "signs"]
-    whole = shards.drop("words").join(back, "chunk", "left")
-    schema = T.StructType([shards.schema[c] for c in [*kept, "ends", "columns", "counts"]])
-    return whole.mapInArrow(encode, schema)
+    whole = shards.drop("words").join(own, "chunk", "left")
+    return whole.mapInArrow(encode, T.StructType([shards.schema[c] for c in [*kept, "columns", "counts"]]))
 
 
 def decided(matrix: DataFrame, kind: T.DataType) -> DataFrame:
@@ -199,7 +240,8 @@ def decided(matrix: DataFrame, kind: T.DataType) -> DataFrame:
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(doc_id, part, n_words, n_distinct, failed) of every row, `failed` with the bits of all five filters."""
     shards = settle(local_shards(docs, doc_id, text, lang), "term-shards")
-    rows = settle(decided(term_matrix(shards), docs.schema[doc_id].dataType), "judged")
+    numbers = settle(global_numbers(shards), "term-numbers")
+    rows = settle(decided(term_matrix(shards, numbers), docs.schema[doc_id].dataType), "judged")
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     again = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int") * 16
     return rows.join(first, "digest", "left").select("doc_id", "part", "n_words", "n_distinct",

@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from furrow.llm import audit, negatives
+from furrow.session import settle
 
 ROW = "vec_id long, embedding array<float>, label int, score double"
 
@@ -80,6 +81,7 @@ def test_audit(spark, monkeypatch, chunk, part):
     """Null ids, texts and languages, equal ids, repeated rows, copies, other white space, clashing columns."""
     monkeypatch.setattr(audit, "CHUNK", chunk)
     monkeypatch.setattr(audit, "SLICE", part)
+    monkeypatch.setattr(audit, "NUMBERS", part)
     rng = random.Random(3)
     prose = lambda n, k: " ".join(rng.choice("Ab cde é# Zz k l m".split(" ")) + str(rng.randrange(k)) for _ in range(n))
     docs = [(i, prose(rng.choice([3, 99, 100, 180]), rng.choice([5, 90, 9000])), rng.choice(["en", "de", None, ""])) for i in range(60)]
@@ -105,15 +107,15 @@ def test_matrix_is_encoded_globally(spark):
     """A word has one number in all shards, and no other word has it."""
     texts = ["a b a", "b c", "c c c d", "a"]
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
-    shards = audit.local_shards(df, "doc_id", "text", "lang").cache()
-    numbers = {}
-    for r in audit.dictionary(shards).collect():
-        assert numbers.setdefault(bytes(r.word), r.number) == r.number
-    assert len(set(numbers.values())) == 4
+    shards = settle(audit.local_shards(df, "doc_id", "text", "lang"), "shards")
+    table = settle(audit.global_numbers(shards), "numbers")
+    rows = audit.vocabulary(shards, table).collect()
+    numbers = {bytes(r.word): r.number for r in rows}
+    assert len(rows) == len(numbers) == len(set(numbers.values())) == 4
     import zstandard
     raw = lambda b, k: np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(b)), k).tolist()
     found = {}
-    for r in audit.term_matrix(shards).collect():
+    for r in audit.term_matrix(shards, table).collect():
         ends, columns, counts = raw(r.ends, np.int64), raw(r.columns, np.int64), raw(r["counts"], np.int32)
         for i, (a, b) in zip(r.ids, zip([0, *ends], ends)):
             found[i] = dict(zip(columns[a:b], counts[a:b]))
