@@ -64,14 +64,14 @@ def run_folder(spark: SparkSession):
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and go on from the written table.
+def settle(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+    """Write `df` once and go on from the written table, under the session's compression unless one is named.
 
     Used where several consumers read one expensive result. The table survives
     lost executors, keeps column pruning for each consumer, and cuts the lineage.
     """
     path = f"{_RUN.get() or shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
