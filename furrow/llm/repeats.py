@@ -159,7 +159,7 @@ ROWS = "chunk long, spots binary, sid binary, key long, shift int, n int, body b
 
 
 def pieces(store: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Different pieces of each chunk with the places where they stand; bytes only with the first row of a task."""
+    """Different pieces of each chunk with the places where they stand; what they are only with the first row of a task."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -179,7 +179,8 @@ def pieces(store: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         own[sid] = ([s], c, a - s, body)
                 out = []
                 for sid, (spots, c, shift, body) in own.items():
-                    out.append((r["chunk"], np.array(spots, np.int32).tobytes(), sid, c, shift, len(spots),
+                    told = (None, None) if sid in seen else (c, shift)
+                    out.append((r["chunk"], np.array(spots, np.int32).tobytes(), sid, *told, len(spots),
                                 None if sid in seen else body))
                 seen.update(own)
                 if len(seen) > SEEN:
@@ -272,7 +273,7 @@ def decide(distinct: DataFrame, length: int, width: int, group: int, shard: int)
 
 def together(rows: DataFrame, sid: str) -> DataFrame:
     return rows.groupBy(F.col(sid).alias("sid")).agg(
-        F.first("key").alias("key"), F.first("shift").alias("shift"), F.sum("n").cast("int").alias("n"),
+        F.first("key", ignorenulls=True).alias("key"), F.first("shift", ignorenulls=True).alias("shift"), F.sum("n").cast("int").alias("n"),
         F.first("body", ignorenulls=True).alias("body"))
 
 
@@ -281,7 +282,7 @@ def repeated_runs(rows: DataFrame, length: int, group: int, shard: int) -> DataF
     width, levels, found = length - GRAM + 1, [], []
     distinct = together(rows, "sid")
     while True:
-        got = settle(decide(distinct, length, width, group, shard), "runs")
+        got = settle(decide(distinct, length, width, group, shard), "runs", "zstd")
         found.append(got.filter("body is null").select("sid", "first", "last"))
         parts = got.filter("body is not null")
         if parts.isEmpty():
@@ -304,7 +305,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, *, doc_id: str = "doc_
         raise ValueError(f"length must be at least {2 * GRAM}")
     kind = docs.schema[doc_id].dataType
     store = settle(chunks(docs, doc_id, text), "chunks")
-    rows = settle(pieces(store, cores(store, length), length), "pieces")
+    rows = settle(pieces(store, cores(store, length), length), "pieces", "zstd")
     runs = repeated_runs(rows, length, group, shard)
     runs = runs.groupBy("sid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     hits = (rows.select("chunk", "sid", "spots").join(runs, "sid").groupBy("chunk")
