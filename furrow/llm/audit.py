@@ -179,7 +179,7 @@ def numbers_of(rows, size: int) -> np.ndarray:
     """The global numbers of a chunk's words by place, from its rows of `global_numbers`."""
     known = np.empty(size, np.int64)
     for r in rows or ():
-        known[np.frombuffer(r["places"], np.int32)] = r["base"] + np.frombuffer(r["numbers"], np.int32)
+        known[np.frombuffer(r["places"], np.int32)] = r["base"] + np.frombuffer(r["numbers"], np.int32).astype(np.int64)
     return known
 
 
