@@ -41,6 +41,8 @@ from .common import map_texts, per_worker, small_batches
 
 SEED, SHINGLE, APART = 42, 3, 3
 GROUP = 50_000
+#: Sizes for candidates that are verified later: groups of which all pairs count, neighbours in larger ones.
+ALL, NEXT = 16, 6
 #: Shift and width of each segment.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Fixed value: the generator polynomial of the binary Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
@@ -208,6 +210,39 @@ class Joined:
         return new
 
 
+def group_pairs(key: np.ndarray, fp: np.ndarray, apart: int) -> np.ndarray:
+    """Pairs (n, 2) within `apart` bits in runs of equal keys: all in runs of up to ALL; in larger ones each with the
+    NEXT ones in order, besides a spanning forest."""
+    edges = np.nonzero(np.diff(key))[0] + 1
+    begins = np.concatenate([[0], edges])
+    sizes = np.diff(np.concatenate([begins, [len(key)]]))
+    found = []
+    small = np.repeat(sizes <= ALL, sizes)
+    for s in range(1, min(ALL, int(sizes.max(initial=0)))):
+        i = np.nonzero((key[:-s] == key[s:]) & (small[:-s] | (s <= NEXT)))[0]
+        i = i[np.bitwise_count(fp[i] ^ fp[i + s]) <= apart]
+        found.append(np.stack([fp[i], fp[i + s]], 1))
+    for b, n in zip(begins[sizes > ALL], sizes[sizes > ALL]):
+        got = forest(fp[b: b + n], apart)
+        if got:
+            found.append(np.array(got, np.uint64))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
+
+
+class Fresh:
+    """Passes on pairs that a task has not passed on lately."""
+
+    def __init__(self, most: int = 1_000_000):
+        self.seen, self.most = set(), most
+
+    def add(self, links: np.ndarray) -> list[tuple[int, int]]:
+        pairs = set(map(tuple, np.sort(links, axis=1).tolist())) - self.seen
+        if len(self.seen) > self.most:
+            self.seen = set()
+        self.seen |= pairs
+        return list(pairs)
+
+
 LINK = "a long, b long, salt long"
 _EMPTY = np.zeros(0, np.uint64)
 
@@ -217,8 +252,32 @@ def _pairs(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(salt)], names=["a", "b", "salt"])
 
 
-def links(distinct: DataFrame, apart: int = APART) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp); they connect whatever all links connect."""
+def wide_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys for pairs further apart: the neighbourhood indices of two segments together, for each two segments. Two
+    words that differ in two bits have a neighbour in common, so fingerprints share a key whenever two segments have at
+    most two errors each, as they must at seven errors in all, and mostly with some more."""
+    index = codeword_index()
+    near, real = [], []
+    for s, w in SEGMENTS:
+        x = (fp >> np.uint64(s) & np.uint64((1 << w) - 1)).astype(np.int64)
+        found = np.sort(index[x[:, None] ^ np.array([0, *(1 << i for i in range(w))])[None, :]].astype(np.int64), axis=1)
+        fresh = np.ones(found.shape, bool)
+        fresh[:, 1:] = found[:, 1:] != found[:, :-1]
+        order = np.argsort(~fresh, axis=1, kind="stable")[:, :6]
+        near.append(np.take_along_axis(found, order, 1))
+        real.append(np.take_along_axis(fresh, order, 1))
+    keys, rows = [], []
+    for kind, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+        value = np.int64(kind) << 24 | near[i][:, :, None] << 12 | near[j][:, None, :]
+        use = real[i][:, :, None] & real[j][:, None, :]
+        keys.append(value[use])
+        rows.append(np.broadcast_to(np.arange(len(fp))[:, None, None], value.shape)[use])
+    return np.concatenate(keys), np.concatenate(rows)
+
+
+def links(distinct: DataFrame, apart: int = APART, keys=keys_of, within=group_links, kept=Joined) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp); by default they connect whatever all links within a key
+    connect. `within` gives the links of groups, `kept` what a task passes on of them."""
     spark = distinct.sparkSession
     small_batches(spark)
 
@@ -227,16 +286,16 @@ def links(distinct: DataFrame, apart: int = APART) -> DataFrame:
             all_fp = batch.column(0).to_numpy().view(np.uint64)
             for at in range(0, len(all_fp), 4000):
                 fp = all_fp[at: at + 4000]
-                key, row = keys_of(fp)
+                key, row = keys(fp)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row].view(np.int64))], names=["key", "fp"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted rows of whole keys. Links have salt 0; members of a group that is too large pass on as (key, fp, 1)."""
-        joined, key, fp, large = Joined(), np.zeros(0, np.int64), _EMPTY, None
+        joined, key, fp, large = kept(), np.zeros(0, np.int64), _EMPTY, None
         rest: list[tuple] = []
 
         def close(key, fp):
-            rest.extend((a, b, 0) for a, b in joined.add(group_links(key, fp, apart)))
+            rest.extend((a, b, 0) for a, b in joined.add(within(key, fp, apart)))
 
         for batch in batches:
             key = np.concatenate([key, batch.column(0).to_numpy()])
@@ -262,11 +321,12 @@ def links(distinct: DataFrame, apart: int = APART) -> DataFrame:
         yield _pairs(rest)
 
     keyed = distinct.select("fp").mapInArrow(emit, "key long, fp long")
-    found = settle(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(join, LINK), "links")
-    return found.filter("salt = 0").select("a", "b").unionByName(large_links(found, apart))
+    order = ["key"] if within is group_links else ["key", "fp"]
+    found = settle(keyed.repartition("key").sortWithinPartitions(*order).mapInArrow(join, LINK), "links")
+    return found.filter("salt = 0").select("a", "b").unionByName(large_links(found, apart, within, kept))
 
 
-def large_links(found: DataFrame, apart: int) -> DataFrame:
+def large_links(found: DataFrame, apart: int, within=group_links, kept=Joined) -> DataFrame:
     """Links inside groups beyond GROUP: each pair of salted parts of a group is one bounded piece of work."""
     members = found.filter("salt = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"))
     parts = members.groupBy("key").agg(F.ceil(F.count("*") / (GROUP / 4)).cast("int").alias("parts"))
@@ -276,14 +336,14 @@ def large_links(found: DataFrame, apart: int) -> DataFrame:
              .select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("pair"), "fp"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joined, key, fp = Joined(), np.zeros(0, np.int64), _EMPTY
+        joined, key, fp = kept(), np.zeros(0, np.int64), _EMPTY
         for batch in batches:
             key = np.concatenate([key, batch.column(0).to_numpy()])
             fp = np.concatenate([fp, batch.column(1).to_numpy().view(np.uint64)])
             whole = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            yield _pairs([(a, b, 0) for a, b in joined.add(group_links(key[:whole], fp[:whole], apart))])
+            yield _pairs([(a, b, 0) for a, b in joined.add(within(key[:whole], fp[:whole], apart))])
             key, fp = key[whole:], fp[whole:]
-        yield _pairs([(a, b, 0) for a, b in joined.add(group_links(key, fp, apart))] if len(key) else [])
+        yield _pairs([(a, b, 0) for a, b in joined.add(within(key, fp, apart))] if len(key) else [])
 
     return (dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(join, LINK)
             .select("a", "b"))
@@ -334,12 +394,21 @@ def near_groups(docs: DataFrame, apart: int = APART, *, doc_id: str = "doc_id",
     return rows.join(groups, "fp").select("doc_id", "row", "fp", "component_id", "first_row")
 
 
+def free_name(columns: list[str], name: str = "row_number") -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def one_of_each(docs: DataFrame, apart: int = APART) -> DataFrame:
     """One row of each component, with all its columns. Rows are numbered once and written with their numbers: a later
     scan may be split in another way, for instance after an executor was lost."""
-    numbered = settle(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    kept = near_groups(numbered, apart, row="__row").filter("row = first_row").select(F.col("row").alias("__row"))
-    return numbered.join(kept, "__row", "left_semi").drop("__row")
+    row = free_name(docs.columns)
+    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    kept = near_groups(numbered, apart, row=row).filter("row = first_row").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").drop(row)
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
