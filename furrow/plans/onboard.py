@@ -23,7 +23,7 @@ from ..operators.sections import HeadingRule
 from ..session import evenly, settle
 from ..settings import Settings
 from ..sources import ocr as ocr_source
-from ..sources.sinks import read_table, upsert_buckets
+from ..sources.manifest import read_table, upsert_table
 
 
 @dataclass
@@ -96,7 +96,8 @@ def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settin
 
     Buckets follow the document: a re-sent one touches its own bucket only, and
     `pruned` sees all points it had, whatever pages they were on. A bucket may be
-    many files, so a very long document still is many tasks.
+    many files, so a very long document still is many tasks. The whole batch is
+    one commit: a reader sees the index before it or after it.
     """
     held = None if fresh else read_table(spark, table)
     if held is not None:
@@ -104,10 +105,8 @@ def index(spark: SparkSession, passages: DataFrame, embedder, table: str, settin
     vectors, failed = vector_index.sound_documents(settle(vector_index.embed(passages, embedder), "vectors"))
     if on_failure:
         on_failure(failed)
-    bucket = F.xxhash64("document")
-    return upsert_buckets(vectors, table, ["point_id"], bucket, settings.index_buckets,
-                          fresh=fresh, pruned_by="document" if pruned else None, written=True,
-                          sort_by=("resource_id", "language"))
+    return upsert_table(vectors, table, ["point_id"], ["document"], fresh=fresh, pruned_by="document" if pruned else None,
+                        written=True, sort_by=("resource_id", "language"), bucket_bytes=settings.index_bucket_bytes).read()
 
 
 def both(spark: SparkSession, extraction: Extraction, lexicon: Lexicon, settings: Settings, embedder, table: str, *,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ...functions import vectors as vf
 from ...operators import discover as dc, vector_index as vi
 from ...session import settle, shared_dir
+from ...sources import manifest
 from ...sources.embedders import LexicalEmbedder, RemoteEmbedder
 from .. import onboard
 from ..corpus import SETTINGS, table
@@ -95,6 +96,21 @@ def point_lookup(spark, sf):
 LOOKUP_SQL = "select 'p' || doc_id as point_id, source, n_chars from documents where doc_id = 17"
 
 
+def index_point_lookup(spark, sf):
+    """Points of one document by their ids, over an index of many buckets: only the document's bucket is read."""
+    folder, embedder = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", DigestEmbedder(SETTINGS)
+    found = settle(catalogue.document_passages(spark, sf), "passages")
+    onboard.index(spark, found, embedder, folder, replace(SETTINGS, index_bucket_bytes=200_000))
+    asked = found.where("document = 'src3'").select("document", "point_id")
+    now = manifest.open_table(spark, folder)
+    held = now.read(now.buckets_with(asked, ["document"]))
+    return held.join(asked.select("point_id"), "point_id", "left_semi").select("point_id", "document", "page", "category", "area_code")
+
+
+INDEX_LOOKUP_SQL = f"""with {catalogue.ROWS} select {catalogue.sql.uuid5("'prov-corpus:' || document || ':' || page || ':' || ordinal")} as point_id,
+ document, page, category, area_code from facets_ where document = 'src3'"""
+
+
 def vector_points(spark, sf):
     """Embedded passages with their payload; checked for ids, dimension and norm."""
     points = vi.embed(catalogue.document_passages(spark, sf), LexicalEmbedder(SETTINGS))
@@ -204,6 +220,7 @@ QUERIES = {
     "unit_norms": (unit_norms, NORM_SQL),
     "dimension_check": (dimension_check, DIMENSION_SQL),
     "point_lookup": (point_lookup, LOOKUP_SQL),
+    "index_point_lookup": (index_point_lookup, INDEX_LOOKUP_SQL),
     "vector_points": (vector_points, POINTS_SQL),
     "lexical_search": (lexical_search, None),
     "read_path": (read_path, READ_SQL),

@@ -64,7 +64,7 @@ class Settings:
     inline_alias_limit: int = 2000      # aliases of a lexicon that become expressions
     lexicon_bytes: int = 32_000_000     # of a lexicon that is read as a whole
     page_chunk: int = 1024        # pages of one document that share a task
-    index_buckets: int = 256      # partitions of the passage index
+    index_bucket_bytes: int = 512_000_000  # a bucket of the passage index is split beyond this
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None, **overrides) -> "Settings":

@@ -8,7 +8,6 @@ same one; only the trigger differs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lexicon import Lexicon
@@ -16,7 +15,7 @@ from ..operators.sections import HeadingRule
 from ..plans import onboard
 from ..session import run_folder, settle
 from ..settings import Settings
-from ..sources.sinks import read_table, upsert_buckets
+from ..sources.manifest import BUCKET_BYTES, upsert_table
 
 PAGES = "document string, page int, text string, ocr boolean, has_image boolean"
 
@@ -36,12 +35,11 @@ def ingest_pages(spark: SparkSession, source: str, lexicon: Lexicon, settings: S
         session = batch.sparkSession
         with run_folder(session):
             arrived = settle(batch, "arrived")
-            upsert_buckets(arrived, f"{table}-pages", ["document", "page"], F.xxhash64("document"), settings.index_buckets,
-                           written=True)
-            # both sides hold a document in one bucket, so only buckets with news are read
-            names = arrived.select("document", F.pmod(F.xxhash64("document"), F.lit(settings.index_buckets)).cast("int")
-                                   .alias("bucket")).distinct()
-            pages = read_table(session, f"{table}-pages").join(names, ["bucket", "document"], "left_semi").drop("bucket")
+            kept = upsert_table(arrived, f"{table}-pages", ["document", "page"], ["document"], written=True,
+                                bucket_bytes=settings.index_bucket_bytes)
+            # a document is in one bucket, so only buckets with news are read
+            names = arrived.select("document").distinct()
+            pages = kept.read(kept.buckets_with(names, ["document"])).join(names, "document", "left_semi")
             extraction = onboard.extract(settle(pages, "pages"), lexicon, settings, rule=rule)
             onboard.index(session, extraction.passages, embedder, table, settings, pruned=True)
             if on_batch:
@@ -54,12 +52,12 @@ def ingest_pages(spark: SparkSession, source: str, lexicon: Lexicon, settings: S
 
 
 def upsert_stream(stream: DataFrame, table: str, keys: list[str], newest_first: list, checkpoint: str,
-                  buckets: int = 64) -> StreamingQuery:
-    """Keyed latest-wins upsert of any stream into a bucketed table: a micro-batch
+                  bucket_bytes: int = BUCKET_BYTES) -> StreamingQuery:
+    """Keyed latest-wins upsert of any stream into a table of commits: a micro-batch
     rewrites the buckets its keys fall into."""
     def one(batch: DataFrame, batch_id: int) -> None:
         with run_folder(batch.sparkSession):
-            upsert_buckets(batch, table, keys, F.xxhash64(*keys), buckets, newest_first=newest_first)
+            upsert_table(batch, table, keys, keys, newest_first=newest_first, bucket_bytes=bucket_bytes)
 
     return (
         stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

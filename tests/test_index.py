@@ -103,7 +103,7 @@ def passages(spark, n, document="d.pdf", word="lentil"):
 
 def test_index_reingest_replaces_and_prunes(spark, settings, tmp_path):
     table, e = str(tmp_path / "index"), LexicalEmbedder(settings)
-    small = replace(settings, index_buckets=4, page_chunk=2)
+    small = replace(settings, index_bucket_bytes=3000, page_chunk=2)
     assert onboard.index(spark, passages(spark, 6), e, table, small).count() == 6
     assert onboard.index(spark, passages(spark, 3, "other.pdf"), e, table, small).count() == 9
     again = onboard.index(spark, passages(spark, 6, word="tomato"), e, table, small)

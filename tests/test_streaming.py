@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from furrow.sources.embedders import LexicalEmbedder
+from furrow.sources.manifest import read_table
 from furrow.streaming.ingest import PAGES, ingest_pages, upsert_stream
 
 PAD = " The field should be looked at again before the end of the week by whoever works on it."
@@ -13,7 +14,7 @@ def test_files_arrive_and_come_again(spark, lexicon, settings, make_pages, tmp_p
     def run():
         ingest_pages(spark, source, lexicon, settings, embedder, table=table, checkpoint=str(tmp_path / "cp"),
                      on_batch=lambda e, i: seen.append(e.passages.count())).awaitTermination()
-        return spark.read.parquet(table)
+        return read_table(spark, table)
 
     def send(documents):
         make_pages(documents).select(*[c.split()[0] for c in PAGES.split(", ")]).coalesce(1).write.mode("append").parquet(source)
@@ -36,4 +37,4 @@ def test_keyed_stream_keeps_the_latest(spark, tmp_path):
         spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema("k string, v int").parquet(source)
         upsert_stream(stream, table, ["k"], [F.desc("v")], str(tmp_path / "cp")).awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(table).select("k", "v").collect())) == [("a", 3), ("b", 1), ("c", 1)]
+    assert sorted(map(tuple, read_table(spark, table).select("k", "v").collect())) == [("a", 3), ("b", 1), ("c", 1)]
