@@ -41,32 +41,45 @@ def discover(published: DataFrame, *, subject_uri: str | None = None, area_code:
     return found if limit is None else found.orderBy(F.desc("score"), "resource_id").limit(limit)
 
 
+FACETS = ("subject_uris", "area_codes", "topics", "subject_categories", "weather_parameters", "languages")
+
+
+def facet_values(published: DataFrame) -> DataFrame:
+    """(facet, value), once for each resource that has it."""
+    a = F.col("attributes")
+    nothing = F.array().cast("array<string>")
+    present = lambda values: F.filter(values, lambda v: v.isNotNull() & (v != ""))
+    values = (present(F.transform(a["agricultureSubjects"], lambda s: s["subjectId"])),
+              present(F.transform(a["coverageAreas"], lambda s: s["areaCode"])),
+              a["topics"], a["subjectCategories"], a["weatherParameters"], a["languages"])
+    tagged = [F.transform(F.array_distinct(F.coalesce(v, nothing)), lambda x, f=f: F.struct(F.lit(f).alias("facet"), x.alias("value")))
+              for f, v in zip(FACETS, values)]
+    return published.select(F.explode(F.concat(*tagged)).alias("p")).select("p.facet", "p.value")
+
+
 def facet_index(published: DataFrame) -> DataFrame:
     """Rows and distinct values of each facet.
 
     Every (facet, value) pair is made distinct map-side, then counted; no list
     is gathered.
     """
-    a = F.col("attributes")
+    pairs = facet_values(published).distinct()
+    counts = pairs.groupBy().agg(*[F.count_if(F.col("facet") == f).alias(f) for f in FACETS])
+    return counts.withColumn("resources", published.agg(F.count("*")).scalar())
 
-    def tag(facet: str, values: Column) -> Column:
-        return F.transform(F.coalesce(values, F.array().cast("array<string>")),
-                           lambda v: F.struct(F.lit(facet).alias("facet"), v.alias("value")))
 
-    present = lambda values: F.filter(values, lambda v: v.isNotNull() & (v != ""))
-    pairs = published.select(F.explode(F.concat(
-        tag("subject_uris", present(F.transform(a["agricultureSubjects"], lambda s: s["subjectId"]))),
-        tag("area_codes", present(F.transform(a["coverageAreas"], lambda s: s["areaCode"]))),
-        tag("topics", a["topics"]),
-        tag("subject_categories", a["subjectCategories"]),
-        tag("weather_parameters", a["weatherParameters"]),
-        tag("languages", a["languages"]),
-    )).alias("p")).select("p.facet", "p.value").distinct()
-    counts = pairs.groupBy().agg(*[
-        F.count_if(F.col("facet") == f).alias(f)
-        for f in ("subject_uris", "area_codes", "topics", "subject_categories", "weather_parameters", "languages")
-    ])
-    return counts.withColumn("resources", published.agg(F.count("*")).scalar())
+def facet_counts(published: DataFrame) -> DataFrame:
+    """(facet, value, resources): how many resources have each value, and under the facet `resources` how many there
+    are. Counts of different resources add up, so they are kept by `history.moved_counts` without a scan."""
+    whole = published.select(F.lit("resources").alias("facet"), F.lit("").alias("value"))
+    return facet_values(published).unionByName(whole).groupBy("facet", "value").agg(F.count("*").alias("resources"))
+
+
+def facet_index_of(counts: DataFrame) -> DataFrame:
+    """The facet index from `facet_counts`."""
+    held = F.col("resources") > 0
+    return counts.groupBy().agg(*[F.count_if((F.col("facet") == f) & held).alias(f) for f in FACETS],
+                                F.coalesce(F.sum(F.when(F.col("facet") == "resources", F.col("resources"))), F.lit(0)).alias("resources"))
 
 
 def leaks(published: DataFrame, probes: list[str]) -> DataFrame:

@@ -55,22 +55,35 @@ LANES = 4
 _HEX_PER_LANE = 15
 
 
+def lanes(digest: Column) -> dict[str, Column]:
+    """A SHA-256 digest in hex as four whole numbers, which can be summed."""
+    return {f"l{i}": F.conv(F.substring(digest, 1 + i * _HEX_PER_LANE, _HEX_PER_LANE), 16, 10).cast("decimal(38,0)")
+            for i in range(LANES)}
+
+
+def lane_sums(rows: DataFrame, digest: Column, *keys: str) -> DataFrame:
+    """The state behind a claims hash: number of rows and sum of each lane, for each value of the keys. States of
+    different rows add up."""
+    return rows.withColumns(lanes(digest)).groupBy(*keys).agg(
+        F.count("*").alias("n"), *[F.sum(f"l{i}").cast("decimal(38,0)").alias(f"l{i}") for i in range(LANES)])
+
+
+def hash_of(sums: DataFrame) -> DataFrame:
+    """`lane_sums` with the hash in their place."""
+    names = ["n", *(f"l{i}" for i in range(LANES))]
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in names])
+    return sums.withColumn("claims_hash", F.sha2(text, 256)).drop(*names)
+
+
 def claims_hash(rows: DataFrame, body: Column, *keys: str) -> DataFrame:
     """A digest of a set of rows that does not depend on their order.
 
     Each row's SHA-256 is cut into four 60-bit lanes, and lanes are summed: a
     partial aggregate of four numbers, so a catalogue of any size is never
     gathered into one string. The sums and the row count are hashed at the end.
+    `history.moved_sums` keeps the sums up to date without the rows that stay.
     """
-    digest = F.sha2(body, 256)
-    lanes = {
-        f"_l{i}": F.conv(F.substring(digest, 1 + i * _HEX_PER_LANE, _HEX_PER_LANE), 16, 10).cast("decimal(38,0)")
-        for i in range(LANES)
-    }
-    summed = rows.withColumns(lanes).groupBy(*keys).agg(
-        F.count("*").alias("_n"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in lanes])
-    text = F.concat_ws("|", F.col("_n").cast("string"), *[F.col(c).cast("string") for c in lanes])
-    return summed.withColumn("claims_hash", F.sha2(text, 256)).drop("_n", *lanes)
+    return hash_of(lane_sums(rows, F.sha2(body, 256), *keys))
 
 
 def resource_claims(resources: DataFrame, *keys: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from ...functions.text import capability_of
 from ...operators import discover as dc, facets, publishing as pb, resources as res, validate as va
 from ...operators import report as rp
 from ...session import settle, shared_dir
+from ...sources import history as hs
 from ...sources.sinks import read_ledger
 from .. import onboard
 from ..corpus import LEXICON, SETTINGS, table
@@ -184,12 +186,12 @@ order by score desc, resource_id limit 7"""
 
 def discover_subject(spark, sf):
     uri = f"{SETTINGS.taxonomy_base}/crop/thin"
-    return dc.discover(published(spark, sf), subject_uri=uri, capability="HorticultureAdvisoryCapability", limit=1000).select(
+    return dc.discover(published(spark, sf), subject_uri=uri, capability="HorticultureAdvisoryCapability", limit=None).select(
         "resource_id", "score")
 
 
 SUBJECT_SQL = f"""with {ROWS}, {ROLLUP} select resource_id, cast(3 + (area_level = 'District')::integer as integer) as score from r_
-where list_contains(subjects, 'thin') and category = 'Horticulture' order by score desc, resource_id limit 1000"""
+where list_contains(subjects, 'thin') and category = 'Horticulture'"""
 
 
 def leak_probe(spark, sf):
@@ -347,6 +349,86 @@ select c_nationkey, sha256(count(*) || '|' || {" || '|' || ".join(_LANE.format(1
 from h group by 1"""
 
 
+INSTANTS = tuple(f"2026-0{i}-01 00:00:00" for i in (1, 2, 3))
+
+
+def _claims(spark, sf):
+    """Three publishes of orders as claims: two thirds of them; all, with other priorities for some; and all that
+    were sent before but for one in seven."""
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    rows = o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", "c_nationkey", "o_orderstatus", "o_orderpriority")
+    first = rows.where("o_orderkey % 3 <> 0")
+    second = rows.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 5 == 0, "9-NEW").otherwise(F.col("o_orderpriority")))
+    return first, second, second.where("o_orderkey % 7 <> 0")
+
+
+_SENT = """rows_ as (select o_orderkey, c_nationkey, o_orderstatus, o_orderpriority from orders join customer on o_custkey = c_custkey),
+late_ as (select * replace (case when o_orderkey % 5 = 0 then '9-NEW' else o_orderpriority end as o_orderpriority) from rows_)"""
+
+
+def _recorded(spark, sf):
+    """The history of the three publishes, each of which stands for all claims of the nations that it names."""
+    path = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    for rows, at in zip(_claims(spark, sf), INSTANTS):
+        hs.record(spark, path, rows, at, "o_orderkey", scope="c_nationkey")
+    return hs.read(spark, path)
+
+
+def node_as_of(spark, sf):
+    """What was claimed on three days, each between two publishes or after the last."""
+    history = settle(_recorded(spark, sf), "history")
+    days = ("2026-01-15", "2026-02-01", "2026-12-31")
+    states = [hs.as_of(history, d).withColumn("day", F.lit(d)) for d in days]
+    return reduce(lambda a, b: a.unionByName(b), states).select("day", "o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+AS_OF_SQL = f"""with {_SENT} select '2026-01-15' as day, o_orderkey, o_orderstatus, o_orderpriority from rows_ where o_orderkey % 3 <> 0
+union all select '2026-02-01', o_orderkey, o_orderstatus, o_orderpriority from late_
+union all select '2026-12-31', o_orderkey, o_orderstatus, o_orderpriority from late_ where o_orderkey % 7 <> 0"""
+
+
+def change_feed(spark, sf):
+    """What each publish added, changed and removed."""
+    return hs.feed(_recorded(spark, sf)).groupBy(F.date_format("at", "yyyy-MM-dd").alias("day"), "change").agg(F.count("*").alias("n"))
+
+
+FEED_SQL = f"""with {_SENT}, c as (
+ select '2026-01-01' as day, 'added' as change from rows_ where o_orderkey % 3 <> 0
+ union all select '2026-02-01', 'added' from rows_ where o_orderkey % 3 = 0
+ union all select '2026-02-01', 'changed' from rows_ where o_orderkey % 3 <> 0 and o_orderkey % 5 = 0
+ union all select '2026-03-01', 'removed' from rows_ where o_orderkey % 7 = 0) select day, change, count(*) as n from c group by 1, 2"""
+
+
+def claims_hash_incremental(spark, sf):
+    """Claims hashes after three publishes, kept up to date by what each of them changed."""
+    sums = None
+    for change in hs.batches(_recorded(spark, sf), INSTANTS):
+        sums = settle(hs.moved_sums(sums, change, "c_nationkey"), "sums")
+    return pb.hash_of(sums)
+
+
+CLAIMS_MOVED_SQL = f"""with {_SENT}, h as (select c_nationkey, sha256(cast(to_json({{'o_orderkey': o_orderkey, 'c_nationkey': c_nationkey,
+ 'o_orderstatus': o_orderstatus, 'o_orderpriority': o_orderpriority}}) as varchar)) as h from late_ where o_orderkey % 7 <> 0)
+select c_nationkey, sha256(count(*) || '|' || {" || '|' || ".join(_LANE.format(1 + 15 * i) for i in range(4))}) as claims_hash
+from h group by 1"""
+
+
+def facet_index_incremental(spark, sf):
+    """The facet index after publishes that added, changed and removed resources, from counts that follow the changes."""
+    path = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    own = settle(published(spark, sf), "published")
+    older = own.withColumn("attributes", F.col("attributes").withField("languages", F.array(F.lit("xx"))))
+    for rows, at in zip((older.where("state_code <> 'XC'"), own, own.where("resource_id not like '%weather%'")), INSTANTS):
+        hs.record(spark, path, rows, at, "resource_id", scope="provider_id")
+    counts = None
+    for change in hs.batches(hs.read(spark, path), INSTANTS):
+        counts = settle(hs.moved_counts(counts, change), "counts")
+    return dc.facet_index_of(counts)
+
+
+FACETS_MOVED_SQL = INDEX_SQL.replace(f"with {ROWS}, {ROLLUP}", f"with {ROWS}, {ROLLUP.replace('r_ as (select g.*', 'all_ as (select g.*')}, r_ as (select * from all_ where category <> 'Weather')")
+
+
 def ledger_changes(spark, sf):
     e = table(spark, sf, "events").select("event_type", "event_id", F.floor("value").cast("string").alias("claims_hash"))
     return pb.mark_changes(e, "event_type", order="event_id").select("event_id", "changed_since_previous")
@@ -418,6 +500,10 @@ QUERIES = {
     "leak_probe": (leak_probe, LEAK_SQL),
     "validation_violations": (violations, VIOLATION_SQL),
     "claims_hash": (claims_hash, CLAIMS_SQL),
+    "claims_hash_incremental": (claims_hash_incremental, CLAIMS_MOVED_SQL),
+    "node_as_of": (node_as_of, AS_OF_SQL),
+    "change_feed": (change_feed, FEED_SQL),
+    "facet_index_incremental": (facet_index_incremental, FACETS_MOVED_SQL),
     "ledger_changes": (ledger_changes, LEDGER_SQL),
     "ledger_retention": (ledger_retention, RETENTION_SQL),
     "ack_status_fold": (acknowledgements, ACK_SQL),
