@@ -3,16 +3,18 @@
 Documents are taken in the order of their partition's rows and never reordered. Their ids form one stream, cut into
 windows of at most `size` tokens. The cost of a set of cuts is the padding plus a penalty for every cut that is not
 at the end of a document: SENTENCE after a sentence's last token, INSIDE elsewhere. A window is padded to `size`
-unless its length is a power of two, which needs no padding. The cheapest cuts come from
+unless its length is a power of two, which needs no padding; but a short window is a sequence more, and costs SHORT
+instead. The cheapest cuts come from
 
-    best(j) = penalty(j) + min( min over j - size <= i < j of best(i) + size - (j - i),  best(j - 2**k) )
+    best(j) = penalty(j) + min( min over j - size <= i < j of best(i) + size - (j - i),  best(j - 2**k) + SHORT )
 
 where the first minimum is kept in a monotone queue of best(i) + i, so that each candidate costs amortised constant
 time, and the second has one term per power of two. Candidates are document and sentence ends and, to bound the
 padding where sentences are long, every GRID-th token of the stream.
 
 The stream is handled in runs of RUN tokens: a run's cuts are final except for its last two windows, whose tokens open
-the next run. Memory is bounded by RUN and the longest document. The end of a partition is cut into powers of two.
+the next run. Memory is bounded by RUN and the longest document. What is left at the end of a partition is padded, or
+cut into powers of two where that costs less.
 
 Defined cases: a null or empty text is the single end id; null and repeated document ids are packed like others, each
 row by itself; an empty table gives no pieces; very long texts span windows. Extra columns are dropped. Sequence
@@ -37,7 +39,7 @@ from .piecetable import START, PieceTable
 from .pretoken import is_odd
 
 SIZE, RUN, GRID = 2048, 400_000, 64
-SENTENCE, INSIDE = 1, 8
+SENTENCE, INSIDE, SHORT = 1, 40, 512
 END = 1
 #: New pieces that go to the tokenizer as one text.
 JOINED = 100
@@ -127,8 +129,8 @@ def cuts_of(places: list[int], penalty: list[int], size: int, tail: bool) -> lis
             cost = value
         for p in powers:
             b = best.get(j - p)
-            if b is not None and b < cost:
-                cost, source = b, j - p
+            if b is not None and b + (SHORT if p < size else 0) < cost:
+                cost, source = b + (SHORT if p < size else 0), j - p
         if source < 0:
             continue
         cost += 0 if j == end else extra
@@ -144,9 +146,10 @@ def cuts_of(places: list[int], penalty: list[int], size: int, tail: bool) -> lis
     return out[::-1]
 
 
-def binary_parts(n: int) -> list[int]:
-    """Powers of two that add up to n, largest first."""
-    return [1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1]
+def last_parts(n: int, size: int) -> list[int]:
+    """The last n tokens: powers of two that add up to n, largest first, if that costs less than padding."""
+    parts = [1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1]
+    return parts if len(parts) * SHORT < size - n + SHORT else [n]
 
 
 def plan(ids: np.ndarray, doc_ends: np.ndarray, closes: np.ndarray, size: int, tail: bool) -> list[int]:
@@ -190,9 +193,8 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, *, doc_id:
             if not tail:
                 cuts = cuts[:-2]
             elif cuts:
-                # what is left over costs nothing as powers of two
                 last = cuts[-2] if len(cuts) > 1 else 0
-                cuts = cuts[:-1] + (last + np.cumsum(binary_parts(cuts[-1] - last))).tolist()
+                cuts = cuts[:-1] + (last + np.cumsum(last_parts(cuts[-1] - last, size))).tolist()
             rows, d, begin = [], 0, 0
             for cut in cuts:
                 offset, length = 0, cut - begin
