@@ -1,19 +1,21 @@
 """Exact top-k inner products with a vector-approximation file.
 
 Each vector is kept twice: as cells (every component quantised into at most 2**BITS intervals between the block's
-smallest and largest value of that component) and exactly. A query scans the cells, which bound its score from
-above; exact vectors are then read in the order of that bound until the k-th exact score is at least the next
-bound, when no unread vector can enter the result.
+smallest and largest value of that component) and exactly. A query scans the cells, which bound its score from both
+sides. Rows whose upper bound is below the k-th greatest lower bound of the query cannot enter its result; first within
+a block, then over all blocks. Only for the rest are exact vectors read.
 
-Vectors are packed into blocks of BLOCK rows and queries into blocks of QUERIES rows; each query block meets each
-vector block once, in one task, so that work spreads over (query block, vector block). A block pair leaves at most
-k rows per query, and a window over these picks the result.
+Vectors are packed into blocks of BLOCK rows and queries into blocks of QUERIES rows. Each query block meets the cells of
+each vector block of its length once, as a row keyed by both numbers, so work spreads over pairs of blocks. Exact vectors
+take no part in that; those of candidates are picked from their blocks afterwards, once each, and meet the candidates
+by (block, place). `scan` gives the candidates, `top_k` the result.
 
 Defined cases: a null vector, or one with a null or non-finite component, takes no part, neither as query nor as
-candidate, nor does an empty one; vectors of a different length than the query have no score with it; ties go to the smaller id; rows with
-equal ids are different candidates with equal rank order, but a query skips every row with its own id; null ids
-take no part; fewer than k candidates give all of them. Components are integers (floor of SCALE times the value):
-scores are exact 64-bit integers while every |component| is below 2**20.
+candidate, nor does an empty one; vectors of a different length than the query have no score with it; ties go to the
+smaller id; rows with equal ids are different candidates with equal rank order, but a query skips every row with its
+own id, and query rows with equal ids share one result; null ids take no part; fewer than k candidates give all of them; an empty
+table gives no rows; other columns are dropped. Components are integers (floor of SCALE times the value): scores are exact
+64-bit integers while every |component| is below 2**20.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from furrow.session import settle
 
-BITS, BLOCK, QUERIES, SCALE = 6, 8192, 1024, 256
-PAIR_SCHEMA = "query_id long, vec_id long, score long"
+BITS, BLOCK, QUERIES, SCALE = 8, 8192, 1024, 256
+FOUND = "asked long, place int, query_id long, data long, spot int, lower long, upper long"
 
 
 def integer_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -86,62 +88,96 @@ def cells_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ((v - low) // width).astype(np.uint8), low, width
 
 
-def search_block(q_ids, q, ids, cells, low, width, v, k: int):
-    """The k best rows of one vector block for each query: (query_id, vec_id, score) arrays."""
+def block_candidates(q_ids, q, ids, cells, low, width, k: int):
+    """(query place, row, lower bound, upper bound) of the rows of a block that can be among the k best of a query."""
     lower = low + cells.astype(np.int64) * width
-    widest = max(1, np.abs(lower).max() + width.max()) * max(1, np.abs(q).max()) * max(1, v.shape[1])
+    widest = max(1, np.abs(lower).max() + width.max()) * max(1, np.abs(q).max()) * max(1, q.shape[1])
     exact = np.float64 if widest < 2 ** 52 else np.int64
-    qf = q.astype(exact)
-    # a component adds at most q * (its cell's upper edge) if q > 0, else q * (its lower edge)
-    bound = qf @ lower.T.astype(exact) + (np.maximum(qf, 0) @ (width - 1).astype(exact))[:, None]
-    found_q, found_v, found_s = [], [], []
+    qf, spare = q.astype(exact), (width - 1).astype(exact)
+    base = qf @ lower.T.astype(exact)
+    # within a cell a component adds between nothing and q * (width - 1), or the reverse if q is negative
+    most, least = np.maximum(qf, 0) @ spare, np.minimum(qf, 0) @ spare
+    out = []
     for j, own in enumerate(q_ids):
-        b, read = bound[j], min(len(ids), 16 * k)
-        while True:
-            near = np.argpartition(-b, read - 1)[:read] if read < len(ids) else np.arange(len(ids))
-            near = near[np.argsort(-b[near], kind="stable")]
-            scores = v[near].astype(exact) @ qf[j]
-            other = ids[near] != own
-            at, s = near[other], scores[other]
-            best = np.lexsort((ids[at], -s))[:k]
-            # an unread row has at most the bound of the last one read
-            if read >= len(ids) or (len(best) == k and s[best[-1]] > b[near[-1]]):
-                break
-            read = min(len(ids), 4 * read)
-        found_q.append(np.full(len(best), own))
-        found_v.append(ids[at[best]])
-        found_s.append(s[best].astype(np.int64))
-    return np.concatenate(found_q), np.concatenate(found_v), np.concatenate(found_s)
+        other = np.nonzero(ids != own)[0]
+        b = base[j, other]
+        if len(b) > k:
+            kth = np.partition(b, len(b) - k)[len(b) - k]
+            take = b + most[j] >= kth + least[j]
+            other, b = other[take], b[take]
+        out.append((np.full(len(b), j), other, (b + least[j]).astype(np.int64), (b + most[j]).astype(np.int64)))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def scan(asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
+    """Candidates from cells alone (see FOUND). Both frames are stored blocks."""
+    numbers = lambda df, of, name: df.groupBy("dim").agg(F.collect_list(of).alias(name))
+    cells = (data.select("data", "dim", "data_ids", "data_cells", "data_edges").join(numbers(asked, "asked", "with"), "dim")
+             .withColumn("asked", F.explode("with")).drop("with", "dim"))
+    ask = (asked.select("asked", "dim", "asked_ids", "asked_body").join(numbers(data, "data", "with"), "dim")
+           .withColumn("data", F.explode("with")).drop("with"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                dim, q_ids, ids = r["dim"], np.frombuffer(r["asked_ids"], np.int64), np.frombuffer(r["data_ids"], np.int64)
+                q = np.frombuffer(r["asked_body"], np.int64).reshape(len(q_ids), dim)
+                packed = np.frombuffer(r["data_cells"], np.uint8).reshape(len(ids), dim)
+                low, width = np.frombuffer(r["data_edges"], np.int64).reshape(2, dim)
+                place, spot, lower, upper = block_candidates(q_ids, q, ids, packed, low, width, k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(place), r["asked"])), pa.array(place.astype(np.int32)), pa.array(q_ids[place]),
+                     pa.array(np.full(len(place), r["data"])), pa.array(spot.astype(np.int32)), pa.array(lower), pa.array(upper)],
+                    names=[f.split()[0] for f in FOUND.split(", ")])
+
+    found = settle(ask.join(cells, ["asked", "data"]).mapInArrow(run, FOUND), "va-bounds")
+    order = Window.partitionBy("asked", "place").orderBy(F.desc("lower"))
+    kth = (found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).groupBy("asked", "place")
+           .agg(F.when(F.count("*") == k, F.min("lower")).alias("kth")))
+    return found.join(kth, ["asked", "place"]).filter("kth is null or upper >= kth").drop("kth", "lower", "upper")
+
+
+def picked(blocks_: DataFrame, wanted: DataFrame, name: str, spot: str) -> DataFrame:
+    """(block, place, id, vector bytes) of the wanted rows of stored blocks, each once."""
+    places = wanted.groupBy(name).agg(F.collect_set(spot).alias("places"))  # at most the rows of a block
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids = np.frombuffer(batch.column(f"{name}_ids")[i].as_py(), np.int64)
+                body = np.frombuffer(batch.column(f"{name}_body")[i].as_py(), np.int64).reshape(len(ids), -1)
+                at = batch.column("places")[i].values.to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), batch.column(name)[i].as_py())), pa.array(at), pa.array(ids[at]),
+                     pa.array([body[x].tobytes() for x in at], pa.binary())], names=[name, spot, "id", "v"])
+
+    return blocks_.select(name, f"{name}_ids", f"{name}_body").join(places, name).mapInArrow(
+        run, f"{name} long, {spot} int, id long, v binary")
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each query. Both frames hold (vec_id, v).
 
-    The approximation file is written to the shared folder, since block numbers must stay the same for both uses.
+    Blocks are written to the shared folder, since their numbers must stay the same for all uses.
     """
     data = settle(blocks(vectors, BLOCK, "data"), "va-file")
-    asked = blocks(queries.hint("rebalance"), QUERIES, "asked")
-    # the stated query set against all rows, in blocks: block numbers pair up, then bodies join by number
-    pairs = asked.select("dim", "asked_ids", "asked_body").join(data.select("data", "dim"), "dim")
-    joined = pairs.join(data.drop("dim"), "data")
+    asked = settle(blocks(queries.hint("rebalance"), QUERIES, "asked"), "va-asked")
+    left = settle(scan(asked, data, k), "va-candidates")
+    exact = picked(data, left, "data", "spot").withColumnsRenamed({"id": "vec_id", "v": "dv"})
+    query = picked(asked, left, "asked", "place").withColumnsRenamed({"v": "qv"}).drop("id")
+    rows = left.join(exact, ["data", "spot"]).join(query, ["asked", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                ids, q_ids = np.frombuffer(r["data_ids"], np.int64), np.frombuffer(r["asked_ids"], np.int64)
-                q = np.frombuffer(r["asked_body"], np.int64).reshape(len(q_ids), dim)
-                v = np.frombuffer(r["data_body"], np.int64).reshape(len(ids), dim)
-                cells = np.frombuffer(r["data_cells"], np.uint8).reshape(len(ids), dim)
-                low, width = np.frombuffer(r["data_edges"], np.int64).reshape(2, dim)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in search_block(q_ids, q, ids, cells, low, width, v, k)],
-                    names=["query_id", "vec_id", "score"])
+            score = [int(np.frombuffer(q, np.int64) @ np.frombuffer(d, np.int64))
+                     for q, d in zip(batch.column("qv").to_pylist(), batch.column("dv").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("query_id", "vec_id")),
+                                              pa.array(score, pa.int64())], names=["query_id", "vec_id", "score"])
 
-    near = joined.select("dim", "data_ids", "data_body", "data_cells", "data_edges", "asked_ids", "asked_body").mapInArrow(
-        run, PAIR_SCHEMA)
+    scored = rows.select("query_id", "vec_id", "qv", "dv").mapInArrow(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return (scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 

@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from furrow.llm import chat, simhash, vafile, warc
+from furrow.session import settle
 
 DOC = "doc_id long, text string"
 
@@ -164,16 +165,24 @@ def test_search_equals_sql(spark):
     assert vafile.top_k(few.limit(0), few, 5).count() == 0
 
 
-def test_bounds_prune_without_loss():
-    rng = np.random.default_rng(5)
-    v, q = rng.integers(-90, 90, (5000, 16)), rng.integers(-90, 90, (9, 16))
-    ids, q_ids = np.arange(5000), np.arange(0, 450, 50)
-    _, found, score = vafile.search_block(q_ids, q, ids, *vafile.cells_of(v), v, 5)
-    for j, (f, s) in enumerate(zip(found.reshape(-1, 5), score.reshape(-1, 5))):
-        exact = v @ q[j]
-        exact[q_ids[j]] = -10 ** 9
-        want = np.lexsort((ids, -exact))[:5]
-        assert f.tolist() == want.tolist() and s.tolist() == exact[want].tolist()
+def test_bounds_prune_without_loss(spark):
+    """Cells alone leave few rows, among them the whole result; exact vectors are read for these only."""
+    rng = np.random.default_rng(4)
+    v = rng.integers(-900, 900, (3000, 16))
+    ids, q_ids = np.arange(3000), np.arange(0, 3000, 100)
+    place, spot, lower, upper = vafile.block_candidates(q_ids, v[q_ids], ids, *vafile.cells_of(v), 5)
+    exact = v[q_ids] @ v.T
+    assert (lower <= exact[place, spot]).all() and (exact[place, spot] <= upper).all() and (spot != q_ids[place]).all()
+    for j, own in enumerate(q_ids):
+        scores = exact[j].copy()
+        scores[own] = -10 ** 9
+        assert set(np.lexsort((ids, -scores))[:5].tolist()) <= set(spot[place == j].tolist())
+    assert len(spot) < 0.02 * len(ids) * len(q_ids)
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id long, v array<long>").repartition(4)
+    blocks = settle(vafile.blocks(df, 400, "data"), "d"), settle(vafile.blocks(df.filter("vec_id % 100 = 0"), 7, "asked"), "a")
+    left = vafile.scan(blocks[1], blocks[0], 5)
+    assert 150 <= left.count() < 0.02 * len(ids) * len(q_ids)
+    assert vafile.picked(blocks[0], left, "data", "spot").count() == left.select("data", "spot").distinct().count() < 0.35 * len(ids)
 
 
 PAGE = "page_id long, url string, html string"
