@@ -52,9 +52,12 @@ def facet_values(published: DataFrame) -> DataFrame:
     values = (present(F.transform(a["agricultureSubjects"], lambda s: s["subjectId"])),
               present(F.transform(a["coverageAreas"], lambda s: s["areaCode"])),
               a["topics"], a["subjectCategories"], a["weatherParameters"], a["languages"])
-    tagged = [F.transform(F.array_distinct(F.coalesce(v, nothing)), lambda x, f=f: F.struct(F.lit(f).alias("facet"), x.alias("value")))
-              for f, v in zip(FACETS, values)]
-    return published.select(F.explode(F.concat(*tagged)).alias("p")).select("p.facet", "p.value")
+
+    def tagged(facet: str, listed: Column) -> Column:
+        return F.transform(F.array_distinct(F.coalesce(listed, nothing)),
+                           lambda v: F.struct(F.lit(facet).alias("facet"), v.alias("value")))
+
+    return published.select(F.explode(F.concat(*map(tagged, FACETS, values))).alias("p")).select("p.facet", "p.value")
 
 
 def facet_index(published: DataFrame) -> DataFrame:

@@ -144,7 +144,9 @@ def extraction_report(spark, sf):
         "document", "pages", "passages", "with_subject", "with_district", "districts",
         hist("languages").alias("languages"), hist("categories").alias("categories"),
         F.round("subject_resolution", 6).alias("subject_resolution"),
-        F.round("district_resolution", 6).alias("district_resolution"), F.size("warnings").alias("warnings"))
+        F.round("district_resolution", 6).alias("district_resolution"), F.array_join("warnings", "; ").alias("warnings"),
+        "char_count", "ocr_pages", "thin_pages", "empty_pages", "unread_pages", "thin_warning",
+        F.col("encoding.healthy").alias("healthy"))
 
 
 REPORT_SQL = f"""{FULL},
@@ -155,10 +157,16 @@ r as (select document, count(*) as passages, count(*) filter (len(subjects) > 0)
 k as (select document, count(distinct c) as districts from (select document, unnest(codes) as c from v) group by 1),
 c as (select document, string_agg(category || '=' || n, ',' order by category) as categories from
   (select document, category, count(*) as n from v group by 1, 2) group by 1),
-p as (select document, count(*) as pages from accepted_ group by 1)
+p as (select document, count(*) as pages, cast(sum(length(text)) as bigint) as char_count,
+  count(*) filter (length(text) >= 40 and length(text) < 150) as thin_pages, count(*) filter (length(text) < 40) as empty_pages
+  from accepted_ group by 1)
 select document, pages, passages, with_subject, with_district, coalesce(districts, 0) as districts, 'en=' || passages as languages, categories,
  round(with_subject / passages, 6) as subject_resolution, round(with_district / passages, 6) as district_resolution,
- cast((coalesce(districts, 0) = 0) as integer) + cast((with_subject / passages < 0.4) as integer) as warnings
+ array_to_string(list_filter([case when coalesce(districts, 0) = 0 then 'no district resolved: everything publishes at state level' end,
+   case when with_subject / passages < 0.4 then 'only ' || with_subject || ' of ' || passages || ' passages resolved to a subject' end],
+   lambda w: w is not null), '; ') as warnings,
+ char_count, cast(0 as bigint) as ocr_pages, thin_pages, empty_pages, thin_pages + empty_pages as unread_pages,
+ thin_pages + empty_pages > 0 and (thin_pages + empty_pages) / pages >= 0.4 as thin_warning, true as healthy
 from r join c using (document) join p using (document) left join k using (document)"""
 
 
@@ -171,7 +179,56 @@ OUTCOME_SQL = f"""with {sql.PAGES}, {sql.STATE}, {sql.GATE}
 select document, pages, case when state_code is not null and usable > 0 and usable / pages >= 0.5 then 'ok' else 'refused' end as status,
  state_code, false as repair_applied from gate_ join states_ using (document)"""
 
+def _recovered(spark, sf):
+    """Pages cut short, with what a stand-in engine reads from their pictures: for a third of them the whole page, for a
+    third its end, for some nothing but an error."""
+    n = F.col("page")
+    full = corpus.pages(spark, sf)
+    failed = n % 7 == 0
+    return full.select(
+        "document", "page", F.substring("text", 1, 100).alias("text"), "ocr", "has_image",
+        F.when(failed, None).when(n % 3 == 0, F.col("text")).when(n % 3 == 1, F.substring("text", -60, 60)).alias("recovered"),
+        F.when(failed, F.lit("no answer from the engine")).alias("error"))
+
+
+def recovery_gate(spark, sf):
+    """Which recovered texts are taken: more known terms, long enough, two topics."""
+    scored = pg.accept_recovered(_recovered(spark, sf), LEXICON, SETTINGS)
+    return scored.select("document", "page", "ocr_attempted", "ocr_accepted", "ocr", "terms_before", "terms_after",
+                         "chars_before", "chars_after", F.md5("text").alias("text"))
+
+
+def recovery_counts(spark, sf):
+    """Attempted, accepted and failed pages of each document, and what was gained."""
+    return pg.recovery_report(pg.accept_recovered(_recovered(spark, sf), LEXICON, SETTINGS))
+
+
+def _terms(of: str) -> str:
+    return f"""(select count(distinct case dimension when 'subject' then canonical end) + count(distinct case dimension when 'district'
+ then scope || ' ' || canonical end) from lex where dimension in ('subject', 'district') and {sql.mentions(of, 'lex.alias')})"""
+
+
+RECOVERED = f"""with {sql.lexicon()}, {sql.PAGES},
+s_ as (select document, page, substr(text, 1, 100) as own, text as whole from pages_),
+t_ as (select document, page, own, case when page % 7 = 0 then null when page % 3 = 0 then whole when page % 3 = 1 then whole[-60:] end as rec,
+  case when page % 7 = 0 then 'no answer from the engine' end as error from s_),
+m_ as (select *, {sql.strip('own || chr(10) || rec')} as merged from t_),
+k_ as (select *, cast({_terms('own')} as integer) as before, cast({_terms("coalesce(merged, '')")} as integer) as after,
+  (select count(distinct canonical) from lex where dimension = 'topic' and {sql.mentions("coalesce(rec, '')", 'lex.alias')}) as topics from m_),
+g_ as (select *, coalesce(merged is not null and after > before and length({sql.strip('rec')}) >= 120 and topics >= 2, false) as ok from k_),
+gate_ as (select document, page, rec is not null or error is not null as ocr_attempted, ok as ocr_accepted, ok as ocr, before as terms_before,
+  case when ok then after else before end as terms_after, cast(length({sql.strip('own')}) as integer) as chars_before,
+  cast(case when ok then length(merged) else length({sql.strip('own')}) end as integer) as chars_after,
+  md5(case when ok then merged else own end) as text, error from g_)"""
+RECOVERY_SQL = f"{RECOVERED} select * exclude (error) from gate_"
+RECOVERY_COUNTS_SQL = f"""{RECOVERED} select document, count(*) filter (ocr_attempted) as pages_attempted, count(*) filter (ocr_accepted) as pages_accepted,
+ count(error) as pages_errored, any_value(error) as first_error, cast(sum(chars_before) as bigint) as chars_before,
+ cast(sum(chars_after) as bigint) as chars_after, cast(sum(terms_before) as bigint) as terms_before,
+ cast(sum(terms_after) as bigint) as terms_after from gate_ group by 1"""
+
 QUERIES = {
+    "recovery_gate": (recovery_gate, RECOVERY_SQL),
+    "recovery_counts": (recovery_counts, RECOVERY_COUNTS_SQL),
     "segment_passages": (page_blocks, SEGMENT_SQL),
     "passages": (passages, PASSAGES_SQL),
     "line_facets": (line_facets, LINE_SQL),
