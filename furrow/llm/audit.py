@@ -34,9 +34,9 @@ from pyspark.sql import types as T
 
 from furrow.session import settle
 
-CHUNK, SLICE = 6_000_000, 4_000_000
+CHUNK, SLICE = 4_000_000, 4_000_000
 #: Numbers that a task holds before it sends them.
-NUMBERS = 1_000_000
+NUMBERS = 500_000
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 100, 80, 10
 LETTERS = "ABCDE"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -86,14 +86,15 @@ def plain_flags(texts: list[bytes]) -> tuple[list[bool], list[bool]]:
 
 
 def local_shards(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
-    """One row for each chunk: ids, parts, digests, flags C and D, and its CSR shard over its own words."""
+    """One row for each chunk: ids, parts, digests, flags C and D, and its CSR shard over its own words (`words` stand
+    in one string, with blanks between)."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     kind = docs.schema[doc_id].dataType
     schema = T.StructType([
         T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
         T.StructField("parts", T.ArrayType(T.StringType())), T.StructField("digests", T.ArrayType(T.BinaryType())),
         T.StructField("capitals", T.ArrayType(T.BooleanType())), T.StructField("signs", T.ArrayType(T.BooleanType())),
-        T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("ends", T.BinaryType()),
+        T.StructField("words", T.StringType()), T.StructField("ends", T.BinaryType()),
         T.StructField("columns", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +110,7 @@ def local_shards(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFram
                 pa.array([made], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([langs], pa.list_(pa.string())),
                 pa.array([[hashlib.sha256(t).digest() for t in texts]], pa.list_(pa.binary())),
                 pa.array([capitals], pa.list_(pa.bool_())), pa.array([signs], pa.list_(pa.bool_())),
-                pa.array([s["words"]], pa.list_(pa.binary())), *stored], names=schema.fieldNames())
+                pa.array([b" ".join(s["words"]).decode("utf-8", "replace")], pa.string()), *stored], names=schema.fieldNames())
 
         for batch in batches:
             id_type = batch.column(0).type
@@ -133,7 +134,7 @@ def global_numbers(shards: DataFrame) -> DataFrame:
 
     All rows of a word are in one task, next to each other. A task sends each chunk its numbers in few rows.
     """
-    words = shards.select("chunk", F.posexplode("words").alias("place", "word"))
+    words = shards.filter("words <> ''").select("chunk", F.posexplode(F.split("words", " ")).alias("place", "word"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -188,11 +189,12 @@ def vocabulary(shards: DataFrame, numbers: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(r["words"], pa.binary()), pa.array(numbers_of(r["rows"], len(r["words"])))],
+                words = r["words"].split(" ")
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(numbers_of(r["rows"], len(words)))],
                                                  names=["word", "number"])
 
     own = numbers.groupBy("chunk").agg(F.collect_list(F.struct("base", "places", "numbers")).alias("rows"))
-    return shards.select("chunk", "words").join(own, "chunk").drop("chunk").mapInArrow(read, "word binary, number long").distinct()
+    return shards.select("chunk", "words").join(own, "chunk").drop("chunk").mapInArrow(read, "word string, number long").distinct()
 
 
 def term_matrix(shards: DataFrame, numbers: DataFrame) -> DataFrame:

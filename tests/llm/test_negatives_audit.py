@@ -110,7 +110,7 @@ def test_matrix_is_encoded_globally(spark):
     shards = settle(audit.local_shards(df, "doc_id", "text", "lang"), "shards")
     table = settle(audit.global_numbers(shards), "numbers")
     rows = audit.vocabulary(shards, table).collect()
-    numbers = {bytes(r.word): r.number for r in rows}
+    numbers = {r.word.encode(): r.number for r in rows}
     assert len(rows) == len(numbers) == len(set(numbers.values())) == 4
     assert audit.numbers_of([{"base": 5 << 40, "places": np.int32([1]).tobytes(), "numbers": np.int32([7]).tobytes()}], 2)[1] == (5 << 40) + 7
     import zstandard
