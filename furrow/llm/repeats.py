@@ -315,12 +315,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, *, doc_id: str = "doc_
         for batch in batches:
             for r in batch.to_pylist():
                 data, starts, ends = opened(r["sizes"], r["body"])
-                edge = np.zeros(len(data) + 1, np.int32)
-                for hit in r["hits"] or ():
-                    spots = np.frombuffer(hit["spots"], np.int32)
-                    for run in hit["runs"]:
-                        np.add.at(edge, spots + run["first"], 1)
-                        np.add.at(edge, spots + run["last"] + length, -1)
+                pairs = [(hit["spots"], run["first"], run["last"]) for hit in r["hits"] or () for run in hit["runs"]]
+                spots = np.frombuffer(b"".join([p[0] for p in pairs]), np.int32)
+                times = [len(p[0]) // 4 for p in pairs]
+                begin, end = (np.repeat(np.array([p[k] for p in pairs], np.int64), times) for k in (1, 2))
+                edge = np.bincount(spots + begin, minlength=len(data) + 1) - np.bincount(spots + end + length, minlength=len(data) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
                 flat, spans, kept = np.frombuffer(data, np.uint8), [], []
                 for a, b in zip(starts.tolist(), ends.tolist()):

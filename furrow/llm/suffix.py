@@ -248,12 +248,12 @@ def rank_blocks(text, small, starts, ends, scratch) -> tuple[np.ndarray, int, np
     rank, shared = np.zeros(m, np.int64), np.zeros(m, np.int64)
     opens = np.zeros(m, bool)
     opens[0] = True
-    live, depth = np.arange(m), 0
+    live, depth, span = np.arange(m), 0, 2 * int(text.max()) + 2
     while len(live):
         at = starts[live] + depth
         sym = text[at].astype(np.int64) * 2 + small[at]
         base = rank[live]
-        order = np.lexsort((sym, base)) if depth else np.argsort(sym, kind="stable")
+        order = np.argsort(base * span + sym if depth else sym)
         live, sym, base = live[order], sym[order], base[order]
         old = np.ones(len(live), bool)
         np.not_equal(base[1:], base[:-1], out=old[1:])
@@ -283,7 +283,7 @@ def sorted_in_memory(text: np.ndarray, symbols: int) -> tuple[np.ndarray, np.nda
     ranks, length = [rank], 1
     while len(live):
         base, second = rank[live], rank[live + length]
-        order = np.argsort(base.astype(np.int64) * n + second, kind="stable")
+        order = np.argsort(base.astype(np.int64) * n + second)
         live, base, second = live[order], base[order], second[order]
         old = np.ones(len(live), bool)
         np.not_equal(base[1:], base[:-1], out=old[1:])
