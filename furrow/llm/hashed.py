@@ -78,7 +78,3 @@ def prefix_hash(t: Tokens, length: int) -> np.ndarray:
         at = np.minimum(t.starts + k, len(t.chars) - 1)
         out += np.where(k < t.size, value_of[t.chars[at]] * powers[k], np.uint64(0))
     return mix64(out)
-
-
-def sums_by_doc(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(doc, values, n)
