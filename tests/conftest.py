@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from furrow.operators.lexicon import load_lexicon
+from furrow.operators.lexicon import CAPABILITIES, load_lexicon
 from furrow.session import build_session
 from furrow.settings import Settings
 
@@ -28,12 +28,8 @@ DISTRICTS = {
         {"name": "Jalore", "aliases": ["जालोर"]}]},
 }
 CAPS = {
-    "capabilities": {
-        "Crop": {"type": "CropAdvisoryCapability", "subject_categories": ["Crop"], "attribute_groups": ["agricultureSubjects", "topics"]},
-        "Weather": {"type": "WeatherAdvisoryCapability", "subject_categories": ["Weather"], "attribute_groups": ["weatherParameters", "topics"]},
-        "Livestock": {"type": "LivestockAdvisoryCapability", "subject_categories": ["Livestock"], "attribute_groups": ["agricultureSubjects", "topics"]},
-        "Horticulture": {"type": "HorticultureAdvisoryCapability", "subject_categories": ["Crop", "Horticulture"], "attribute_groups": ["agricultureSubjects", "topics"]},
-    },
+    "capabilities": {c.category: {"type": c.type, "subject_categories": list(c.subject_categories),
+                                  "attribute_groups": list(c.attribute_groups)} for c in CAPABILITIES},
     "horticulture_slugs": ["tomato", "onion"],
     "topics": [
         {"name": "Irrigation", "aliases": ["irrigate", "सिंचाई"]}, {"name": "Spraying", "aliases": ["spray"]},
