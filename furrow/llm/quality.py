@@ -8,7 +8,7 @@ product that does not depend on the text's length.
 Updates are per-coordinate (FTRL-Proximal, McMahan et al. 2013): gradients are summed in z, their squares in n, and a
 weight is read as zero until |z| exceeds the L1 strength.
 
-Labels are learnt from a bounded sample (see `training`). Defined cases: null and empty texts have no n-grams and
+All labelled rows are learnt from (see `training`). Defined cases: null and empty texts have no n-grams and
 get the score of the bias; without labels the score is 1 (nothing speaks against a text), with one class only it is
 that class; repeated rows are scored alike; an empty table gives no rows; texts are read whole. Columns of the input
 stay unless an added one has their name.
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from .common import by_chars, fold, map_texts, mix64
 from .hashed import LETTER, SYMBOL, tokens
-from .training import labelled
+from .training import fits, labelled, rounds, rows_of
 
 BITS = 20
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.002, 0.001, 3
@@ -81,20 +81,22 @@ class Model:
             out.append(1 / (1 + np.exp(-np.clip(total, -500, 500))))
         return np.concatenate(out) if out else np.zeros(0)
 
-    def fit(self, texts: list[str], labels: np.ndarray, seed: int = 5) -> None:
-        z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-        z0 = n0 = 0.0
+    @staticmethod
+    def state() -> list[np.ndarray]:
+        """Sums of gradients and of their squares, of the weights and of the bias: what `fit` goes on from."""
+        return [np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros((1, 2))]
+
+    def fit(self, texts: list[str], labels: np.ndarray, seed=5, epochs: int = EPOCHS, state: list | None = None) -> None:
+        """Passes over the texts; with `state`, from where it stands, which is changed."""
+        z, n, of_bias = state = self.state() if state is None else state
+        z0, n0 = of_bias[0].tolist()
         held = []
         for t in texts:
             at, _, value = ngrams([t])
             unique, inverse = np.unique(at, return_inverse=True)
             held.append((unique, np.bincount(inverse, value, len(unique))))
         rng = np.random.default_rng(seed)
-
-        def weights(z, n):
-            return np.where(np.abs(z) <= L1, 0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-
-        for _ in range(EPOCHS):
+        for _ in range(epochs):
             for i in rng.permutation(len(texts)):
                 at, x = held[i]
                 w, bias = weights(z[at], n[at]), -z0 / ((BETA + np.sqrt(n0)) / ALPHA)
@@ -106,11 +108,32 @@ class Model:
                 g0 = p - labels[i]
                 z0 += g0 - (np.sqrt(n0 + g0 * g0) - np.sqrt(n0)) / ALPHA * bias
                 n0 += g0 * g0
+        of_bias[0] = z0, n0
+        self.take(state)
+
+    def take(self, state: list[np.ndarray]) -> None:
+        z, n, ((z0, n0),) = state
         self.w = weights(z, n).astype(np.float32)
         self.bias = float(-z0 / ((BETA + np.sqrt(n0)) / ALPHA))
 
 
+def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(z) <= L1, 0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
+def learn(state: list[np.ndarray], texts: list[str], labels: np.ndarray, seed) -> None:
+    Model().fit(texts, labels, seed, 1, state)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
+    if not fits(docs, labels, "quality", FOLDS, HELD):
+        model, rows = Model(), rows_of(docs, labels, "quality", FOLDS, HELD)
+        n, ones = rows.agg(F.count("*"), F.sum("label")).first()
+        if ones in (0, n):
+            model.prior = ones / n
+        else:
+            model.take(rounds(rows, model.state(), learn, EPOCHS))
+        return model
     sample = labelled(docs, labels, "quality", FOLDS, HELD)
     model, y = Model(), np.array([r[1] for r in sample], np.float64)
     if len(y) == 0 or y.min() == y.max():

@@ -5,8 +5,8 @@ its first three, four and five letters. Filters over one, two and three words in
 filter's largest response (rectified) is kept, and a logistic layer makes the score of them. Training is by
 mini-batches with adaptive steps; through max pooling a text's gradient reaches one place per filter.
 
-Labels are learnt from a bounded sample (see `training`). A part of the sample is not trained on but calibrates, for
-each language, the threshold with the fewest errors; languages with few calibration rows, and null or unknown ones, use
+All labelled rows are learnt from (see `training`). A part of them is not trained on but calibrates, for each language,
+the threshold with the fewest errors; languages with few calibration rows, and null or unknown ones, use
 all of them. The score itself sees only the text.
 
 Defined cases: null and empty texts have no words and get the score of no evidence (the bias); without any label, or
@@ -25,16 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from furrow.session import settle
+
 from .common import by_chars, fold, map_texts
 from .hashed import LETTER, prefix_hash, tokens
-from .training import labelled
+from .training import fits, labelled, rounds, rows_of
 
 BITS, DIM, FILTERS, WIDTHS = 18, 8, 8, (1, 2, 3)
-#: At least EPOCHS passes, and more over a small sample (up to MORE), so that about STEPS texts are seen.
+#: At least EPOCHS passes, and more over few rows (up to MORE), so that about STEPS texts are seen.
 EPOCHS, MORE, STEPS, BATCH, STEP = 6, 40, 72_000, 32, 0.08
 FOLDS, HELD = 5, 0
-CALIBRATION = 5  # every fifth row of the sample
+CALIBRATION = 5  # every fifth labelled row
 FEW = 40
+BINS = 10_000  # scores of a large table are counted by so many steps
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,11 +108,25 @@ class Model:
             out.append(1 / (1 + np.exp(-(pooled @ self.top + self.bias).astype(np.float64))))
         return np.concatenate(out) if out else np.zeros(0)
 
-    def fit(self, texts: list[str], labels: np.ndarray, seed: int = 7) -> None:
+    def state(self) -> list[np.ndarray]:
+        """Parameters, and the steps' history of each: what `fit` goes on from."""
+        own = [self.table, *self.filters, *self.shift, self.top, np.array([self.bias], np.float32)]
+        return own + [np.full(p.shape, 1e-4, np.float32 if len(p) > 1 else np.float64) for p in own]
+
+    def take(self, state: list[np.ndarray]) -> None:
+        n = len(WIDTHS)
+        self.table, self.filters, self.shift = state[0], state[1: n + 1], state[n + 1: 2 * n + 1]
+        self.top, self.bias = state[2 * n + 1], state[2 * n + 2][0]
+
+    def fit(self, texts: list[str], labels: np.ndarray, seed=7, epochs: int | None = None, state: list | None = None) -> None:
+        """Passes over the texts; with `state`, from where it stands, which is changed."""
         rng = np.random.default_rng(seed)
         held = [features([t]) for t in texts]
-        speed = {id(p): np.full(p.shape, 1e-4, np.float32) for p in [self.table, *self.filters, *self.shift, self.top]}
-        bias_speed = 1e-4
+        state = self.state() if state is None else state
+        self.take(state)
+        half = len(state) // 2
+        speed = {id(p): s for p, s in zip(state[: half - 1], state[half: -1])}
+        bias_speed = float(state[-1][0])
 
         def move(param, grad, at=slice(None)):
             s = speed[id(param)]
@@ -117,7 +134,7 @@ class Model:
             param[at] -= STEP * grad / np.sqrt(s[at])
 
         n = FILTERS * len(WIDTHS)
-        for _ in range(min(MORE, max(EPOCHS, STEPS // max(1, len(texts))))):
+        for _ in range(epochs or min(MORE, max(EPOCHS, STEPS // max(1, len(texts))))):
             order = rng.permutation(len(texts))
             for at in range(0, len(order), BATCH):
                 own = order[at: at + BATCH]
@@ -157,6 +174,7 @@ class Model:
                 real = unique > 0
                 move(self.table, total[real], unique[real])
         assert n == len(self.top)
+        state[half - 1][0], state[-1][0] = self.bias, bias_speed
 
     def calibrate(self, texts: list[str], labels: np.ndarray, langs: list) -> None:
         """For each language the threshold with the fewest errors, halfway to the neighbouring scores."""
@@ -165,21 +183,25 @@ class Model:
             by_lang[None].append((s, y))
             by_lang[lang].append((s, y))
         for lang, pairs in by_lang.items():
-            if lang is not None and len(pairs) < FEW:
-                continue
             pairs.sort()
             s, y = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-            if not 0 < y.sum() < len(y):
-                continue
-            # errors if everything from position k on is called positive
-            errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
-            best = np.nonzero(errors == errors.min())[0]
-            k = int(best[len(best) // 2])
-            edge = (s[max(0, k - 1)] + s[min(k, len(s) - 1)]) / 2
-            self.thresholds[lang] = float(min(0.8, max(0.2, edge)))
+            self.set_threshold(lang, s, s, y, 1 - y)
+
+    def set_threshold(self, lang, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> None:
+        """From runs of scores, ascending, with the labels in each. Few rows of a language, or one label, set nothing."""
+        if lang is not None and ones.sum() + zeros.sum() < FEW or not ones.sum() or not zeros.sum():
+            return
+        # errors if everything from position k on is called positive
+        errors = np.concatenate([[0], np.cumsum(ones)]) + np.concatenate([np.cumsum(zeros[::-1])[::-1], [0]])
+        best = np.nonzero(errors == errors.min())[0]
+        k = int(best[len(best) // 2])
+        edge = (high[max(0, k - 1)] + low[min(k, len(low) - 1)]) / 2
+        self.thresholds[lang] = float(min(0.8, max(0.2, edge)))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
+    if not fits(docs, labels, "toxic", FOLDS, HELD):
+        return train_in_rounds(rows_of(docs, labels, "toxic", FOLDS, HELD, also=["lang"]))
     sample = labelled(docs, labels, "toxic", FOLDS, HELD, also=["lang"])
     model, y = Model(), np.array([r[1] for r in sample], np.float32)
     if len(y) == 0 or y.min() == y.max():
@@ -194,6 +216,37 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
+def learn(state: list[np.ndarray], texts: list[str], labels: np.ndarray, seed) -> None:
+    own = Model.of({"prior": None})
+    own.fit(texts, labels.astype(np.float32), seed, 1, state)
+
+
+def train_in_rounds(rows: DataFrame) -> Model:
+    """As `train`, over a table of labelled rows: passes are rounds, and thresholds come from counts of scores."""
+    model = Model()
+    check = F.pmod(F.xxhash64(F.lit("check"), "doc_id"), F.lit(CALIBRATION)) == 0
+    counts = {r.c: r for r in rows.groupBy(check.alias("c")).agg(
+        F.count("*").alias("n"), F.sum("label").alias("ones")).collect()}
+    n, ones = (sum(r[k] for r in counts.values()) for k in ("n", "ones"))
+    if ones in (0, n):
+        model.prior = ones / n if n else 0.0
+        return model
+    apart = len(counts) == 2 and all(0 < r.ones < r.n for r in counts.values())
+    model.take(rounds(rows.where(~check) if apart else rows, model.state(), learn, EPOCHS))
+    scored = score(rows.where(check) if apart else rows, model, keep=["label", "lang"])
+    step = F.floor(F.col("score") * BINS)
+    runs = scored.groupBy("lang", step.alias("step")).agg(
+        F.min("score").alias("low"), F.max("score").alias("high"), F.sum("label").alias("ones"), F.sum(1 - F.col("label")).alias("zeros"))
+    whole = runs.groupBy("step").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("ones").alias("ones"),
+                                     F.sum("zeros").alias("zeros"))
+    runs = settle(runs, "score-runs")
+    large = runs.where("lang is not null").groupBy("lang").agg(F.sum(F.col("ones") + F.col("zeros")).alias("n")).where(F.col("n") >= FEW)
+    for lang, found in [(None, whole.toPandas()), *runs.join(large.select("lang"), "lang", "left_semi").toPandas().groupby("lang")]:
+        found = found.sort_values("step")
+        model.set_threshold(lang, *(found[c].to_numpy() for c in ("low", "high", "ones", "zeros")))
+    return model
+
+
 ADDED = T.StructType([T.StructField("score", T.DoubleType())])
 
 

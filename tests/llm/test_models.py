@@ -248,3 +248,26 @@ def test_every_training_word_chooses_its_class(spark, monkeypatch):
     counts = Counter(w for t in texts for w in t.split())
     assert {r.word: r.c for r in words.collect()} == counts
     assert np.allclose((10 ** model["moves"]).sum(axis=1), 1)
+
+
+@pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
+def test_all_labelled_rows_are_learnt_from(spark, frames, monkeypatch, module, label):
+    """Beyond what is one list, rounds over all rows: every labelled row outside the held fold is seen, each once a round."""
+    docs, labels = frames[1].repartition(5), frames[2]
+    monkeypatch.setattr(training, "ROWS", 50)
+    monkeypatch.setattr(training, "CHUNK", 20_000)
+    seen = spark.sparkContext.accumulator(0)
+    own = module.learn
+
+    def learn(state, texts, y, seed):
+        seen.add(len(texts))
+        own(state, texts, y, seed)
+
+    monkeypatch.setattr(module, "learn", learn)
+    model = module.train(docs, labels)
+    known = [i for i, *_ in frames[0] if zlib.crc32(str(i).encode()) % module.FOLDS != module.HELD]
+    share = seen.value / len(known) / module.EPOCHS
+    assert share == 1 if module is quality else 0.65 < share < 0.95  # a fifth of the rows sets thresholds
+    got = module.score(docs.join(labels, "doc_id"), model).collect()
+    held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % module.FOLDS == module.HELD]
+    assert sum(r.predicted == r[label] for r in held) >= 0.9 * len(held)
