@@ -20,6 +20,12 @@ from ..session import settle
 from .manifest import BUCKET_BYTES, Snapshot, open_table, upsert_table
 
 OWN = ("digest", "valid_from", "valid_to")
+TIMES = OWN[1:]
+
+
+def _digest(columns) -> Column:
+    """Of a row's own columns. It is worked out where it is asked for and not stored: it takes more room than most rows."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
 
 
 def _time(at: datetime | str) -> Column:
@@ -33,7 +39,7 @@ def record(spark: SparkSession, path: str, rows: DataFrame, at: datetime | str,
 
     Unchanged rows write nothing. Without a scope only the buckets of the sent keys are read.
     """
-    sent = settle(rows.withColumn("digest", F.sha2(F.to_json(F.struct(*rows.columns)), 256)), "sent")
+    sent = settle(rows, "sent")
     now = open_table(spark, path)
     if now is None:
         return upsert_table(opened(sent, at), path, [key, "valid_from"], [key], bucket_bytes=bucket_bytes)
@@ -42,14 +48,16 @@ def record(spark: SparkSession, path: str, rows: DataFrame, at: datetime | str,
     if late:
         raise ValueError(f"{path} already holds claims of a time after {at}")
     current = held.where("valid_to is null")
-    same = current.join(sent.select(F.col(key), F.col("digest").alias("_sent")), key)
-    changed = same.where("digest <> _sent").drop("_sent")
+    same = current.join(sent.select(F.col(key), F.unhex(_digest(rows.columns)).alias("_sent")), key)
+    equal = F.unhex(_digest(rows.columns)) == F.col("_sent")
+    changed = same.where(~equal).drop("_sent")
     gone = changed
     if scope:
         withdrawn = current.join(sent.select(scope).distinct(), scope, "left_semi").join(sent.select(key), key, "left_anti")
         gone = changed.unionByName(withdrawn)
-    fresh = sent.join(same.where("digest = _sent").select(key), key, "left_anti")
-    delta = settle(gone.withColumn("valid_to", _time(at)).unionByName(opened(fresh, at)), "delta")
+    fresh = sent.join(same.where(equal).select(key), key, "left_anti")
+    delta = gone.withColumn("valid_to", _time(at)).unionByName(opened(fresh, at))
+    delta = settle(delta.select(*rows.columns, *TIMES), "delta")
     if delta.isEmpty():
         return now
     return upsert_table(delta, path, [key, "valid_from"], [key], written=True, bucket_bytes=bucket_bytes)
@@ -60,8 +68,10 @@ def opened(rows: DataFrame, at: datetime | str) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """All versions."""
-    return open_table(spark, path).read()
+    """All versions, each with the digest of its row."""
+    held = open_table(spark, path).read()
+    own = [c for c in held.columns if c not in OWN]
+    return held.select(*own, _digest(own).alias("digest"), *TIMES)
 
 
 def as_of(history: DataFrame, at: datetime | str) -> DataFrame:
