@@ -3,8 +3,8 @@
 Up to ROWS rows and BYTES of text are one list (`labelled`), and a model learns from it in order. More rows stay a table
 (`rows_of`) dealt out by a hash of their ids, and are learnt from in rounds (`rounds`): every task goes on from the same
 parameters over its own rows, CHUNK bytes at a time, and tells what it changed; changes are averaged, by Spark and by
-blocks of parameters, over the tasks that changed a row of them. A model, a chunk and the driver's memory have a fixed size
-whatever the input. One text stands for each id.
+blocks of parameters, over the tasks that changed a row of them. Changes travel in single precision, whatever the
+parameters have. A model, a chunk and the driver's memory have a fixed size whatever the input. One text stands for each id.
 """
 
 from __future__ import annotations
@@ -77,6 +77,24 @@ def rows_of(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: in
     return settle(joined.groupBy("doc_id", "label").agg(F.min(row).alias("r")).select("doc_id", "label", "r.*"), "labelled", "zstd")
 
 
+def changed(new: np.ndarray, old: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """(first row, which rows changed, by what) of each block that changed. Rows are bits or numbers, which is shorter."""
+    moved = (new - old).astype(np.float32).reshape(len(new), -1)
+    for at in range(0, len(moved), BLOCK):
+        block = moved[at: at + BLOCK]
+        touched = (block != 0).any(axis=1)
+        if touched.any():
+            where, bits = np.nonzero(touched)[0].astype(np.int32), np.packbits(touched)
+            short = where.nbytes < bits.nbytes
+            yield at, b"n" + where.tobytes() if short else b"b" + bits.tobytes(), block[touched].tobytes()
+
+
+def rows_in(told: bytes) -> np.ndarray:
+    """The rows of a block that `changed` tells of."""
+    numbers = np.frombuffer(told[1:], np.int32 if told[:1] == b"n" else np.uint8)
+    return numbers if told[:1] == b"n" else np.nonzero(np.unpackbits(numbers))[0]
+
+
 def rounds(rows: DataFrame, state: list[np.ndarray], learn: Callable, count: int) -> list[np.ndarray]:
     """`state` after `count` rounds over all rows. `learn(state, texts, labels, seed)` changes the arrays it is given."""
     small_batches(rows.sparkSession)
@@ -104,15 +122,11 @@ def rounds(rows: DataFrame, state: list[np.ndarray], learn: Callable, count: int
             if texts:
                 through()
             for k, (new, old) in enumerate(zip(own, told.value)):
-                moved = (new - old).reshape(len(new), -1)
-                for at in range(0, len(moved), BLOCK):
-                    block = moved[at: at + BLOCK]
-                    touched = (block != 0).any(axis=1)
-                    if touched.any():
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([k], pa.int32()), pa.array([at], pa.int64()), pa.array([seen], pa.int64()),
-                            pa.array([np.nonzero(touched)[0].astype(np.int32).tobytes()], pa.binary()),
-                            pa.array([block[touched].tobytes()], pa.binary())], names=["array", "at", "seen", "rows", "moved"])
+                for at, where, moved in changed(new, old):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([k], pa.int32()), pa.array([at], pa.int64()), pa.array([seen], pa.int64()),
+                        pa.array([where], pa.binary()), pa.array([moved], pa.binary())],
+                        names=["array", "at", "seen", "rows", "moved"])
 
         kinds = [(x.dtype, int(np.prod(x.shape[1:])), len(x)) for x in state]
 
@@ -122,8 +136,8 @@ def rounds(rows: DataFrame, state: list[np.ndarray], learn: Callable, count: int
             total, weight = np.zeros((min(BLOCK, length - at), width)), np.zeros((min(BLOCK, length - at), 1))
             for part in parts:
                 for seen, where, moved in zip(*(part.column(c).to_pylist() for c in ("seen", "rows", "moved"))):
-                    where = np.frombuffer(where, np.int32)
-                    total[where] += seen * np.frombuffer(moved, kind).reshape(-1, width)
+                    where = rows_in(where)
+                    total[where] += seen * np.frombuffer(moved, np.float32).reshape(-1, width)
                     weight[where] += seen
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([at], pa.int64()), pa.array(
                 [(total / np.maximum(weight, 1)).astype(kind).tobytes()], pa.binary())], names=["array", "at", "moved"])

@@ -271,3 +271,18 @@ def test_all_labelled_rows_are_learnt_from(spark, frames, monkeypatch, module, l
     got = module.score(docs.join(labels, "doc_id"), model).collect()
     held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % module.FOLDS == module.HELD]
     assert sum(r.predicted == r[label] for r in held) >= 0.9 * len(held)
+
+
+def test_changes_travel_small():
+    """What a task tells of its changes comes back row by row, in at most 4 bytes a number and a bit, or 4 bytes, a row."""
+    rng = np.random.default_rng(4)
+    old = rng.normal(size=2 * training.BLOCK + 100)
+    for share in (0.0, 0.001, 0.7, 1.0):
+        new = np.where(rng.random(len(old)) < share, old + rng.normal(size=len(old)), old)
+        got, size = np.zeros(len(old)), 0
+        for at, where, moved in training.changed(new, old):
+            got[at + training.rows_in(where)] = np.frombuffer(moved, np.float32)
+            size += len(where) + len(moved)
+        n = np.count_nonzero(new != old)
+        assert np.allclose(got, new - old, rtol=1e-6, atol=0) and np.count_nonzero(got) == n
+        assert size <= 4 * n + min(4 * n, len(old) / 8 + 8) + 3
