@@ -218,6 +218,14 @@ def quarters(key: int, shift: int, body: bytes, length: int, width: int) -> Iter
         at += n
 
 
+def told_apart(members: list[tuple], length: int) -> tuple[list[tuple], list[tuple]]:
+    """Runs (sid, first, last) that the counts of a group's pieces (sid, shift, n, bytes) tell, and the pieces to sort. Strings
+    of a group stand in no other group, and in a piece once: a piece that stands twice is repeated as a whole, and pieces
+    are sorted only for those that stand once and are not alone."""
+    runs = [(sid, 0, len(body) - length) for sid, _, n, body in members if n > 1]
+    return runs, [(sid, n, body) for sid, _, n, body in members] if 1 < len(members) != len(runs) else []
+
+
 def decide(distinct: DataFrame, length: int, width: int, group: int, shard: int) -> DataFrame:
     """Runs of repeated starts (sid, first, last) of each piece; or its parts (with bytes), where a group is too large."""
     narrower = max(1, width // 4)
@@ -229,16 +237,17 @@ def decide(distinct: DataFrame, length: int, width: int, group: int, shard: int)
         def sort():
             """One suffix array over all groups held."""
             nonlocal held, size
-            whole = [(sid, 0, len(b) - length) for sid, n, b in held if n > 1]
             found = [(held[o][0], f, l) for o, f, l in zip(*(x.tolist() for x in repeated([h[2] for h in held], length, Scratch())))
                      if held[o][1] == 1]
             held, size = [], 0
-            return [(*r, None, None, None, None, None) for r in whole + found]
+            return [(*r, None, None, None, None, None) for r in found]
 
         def close():
             nonlocal size
-            held.extend((sid, n, b) for sid, _, n, b in members)
-            size += sum(len(m[3]) for m in members)
+            runs, left = told_apart(members, length)
+            out.extend((*r, None, None, None, None, None) for r in runs)
+            held.extend(left)
+            size += sum(len(m[2]) for m in left)
 
         def cut(key, rows):
             for sid, shift, n, body in rows:

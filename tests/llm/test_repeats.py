@@ -84,3 +84,12 @@ def test_other_lengths_ids_and_empty_tables(spark):
     assert repeats.remove_repeats(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         repeats.remove_repeats(df, 10)
+
+
+def test_what_counts_tell_is_not_sorted():
+    one, two, three = (b"a", 3, 1, b"x" * 210), (b"b", 0, 2, b"y" * 205), (b"c", 1, 3, b"z" * 200)
+    assert repeats.told_apart([], 200) == ([], [])
+    assert repeats.told_apart([one], 200) == ([], [])
+    assert repeats.told_apart([two], 200) == ([(b"b", 0, 5)], [])
+    assert repeats.told_apart([two, three], 200) == ([(b"b", 0, 5), (b"c", 0, 0)], [])
+    assert repeats.told_apart([one, two], 200) == ([(b"b", 0, 5)], [(b"a", 1, one[3]), (b"b", 2, two[3])])
