@@ -279,10 +279,7 @@ select count(*) as passages, cast(max(n) as bigint) as max_tokens, round(avg(n),
 
 def hashed_grams(spark, sf):
     """Cell counts of the lexical embedding, hashed with a digest both engines have."""
-    grams = table(spark, sf, "documents").select("doc_id", F.explode(vectors.grams("text")).alias("g"))
-    per_gram = grams.groupBy("doc_id", "g").agg(F.count("*").alias("n"))
-    cell = F.pmod(F.conv(F.substring(F.md5("g"), 1, 8), 16, 10).cast("long"), F.lit(64)).cast("int")
-    return per_gram.groupBy("doc_id", cell.alias("cell")).agg(F.sum("n").alias("n"))
+    return vectors.gram_cells(table(spark, sf, "documents"), "doc_id")
 
 
 GRAM_SQL = r"""with t as (select doc_id, trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')) as t from documents),

@@ -184,3 +184,21 @@ def test_a_search_reads_passages_of_all_that_discovery_matches(spark, monkeypatc
     monkeypatch.setattr(retrieval.vi, "search", search)
     retrieval.read_path(spark, "")
     assert sizes == [1200]
+
+
+def test_gram_cells_count_where_texts_stand(spark, monkeypatch):
+    """Counts by the definition, for repeated and null keys, wide characters and texts counted in pieces; only cells move."""
+    texts = [*TEXTS, None, "a b  c", "x😀yz😀", "ab" * 40]
+    want = {}
+    for i, t in enumerate(texts):
+        norm = " ".join((t or "").lower().split())
+        for k in range(len(norm) - 2):
+            at = (None if i == 1 else i % 4, int.from_bytes(hashlib.md5(norm[k:k + 3].encode()).digest()[:4], "big") % 64)
+            want[at] = want.get(at, 0) + 1
+    rows = spark.createDataFrame([(None if i == 1 else i % 4, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = vf.gram_cells(rows, "doc_id")
+    assert {(r.doc_id, r.cell): r.n for r in got.collect()} == want
+    md5 = lambda gram: hashlib.md5(gram).digest()
+    whole = vf.GramCells(64, md5).counts([t or "" for t in texts])
+    monkeypatch.setattr(vf.GramCells, "CHARS", 7)
+    assert (vf.GramCells(64, md5).counts([t or "" for t in texts]) == whole).all() and whole.sum() > 300
