@@ -25,6 +25,8 @@ from .lexicon import is_latin, match_by_join
 
 #: Bytes of all alias rows that may become a machine, which is shipped to every worker and takes about 20 times as much.
 MOST_BYTES = 32_000_000
+#: Texts and mentions that a worker holds as objects at once.
+TEXTS, MENTIONS = 200, 20_000
 _LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
 _COLUMNS = ("dimension", "scope", "alias", "canonical")
 
@@ -95,6 +97,13 @@ def ship(table: DataFrame, most: int = MOST_BYTES) -> Shipped:
     return Shipped(table.sparkSession, [tuple(r) for r in table.select(*_COLUMNS).distinct().collect()])
 
 
+def few_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of at most TEXTS."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), TEXTS):
+            yield batch.slice(at, TEXTS)
+
+
 def match_by_automaton(texts: DataFrame, shipped: Shipped, key: str, text: str = "text",
                        scope: str | None = None) -> DataFrame:
     """Distinct (key, dimension, scope, alias, canonical) mentions, in one narrow pass over the texts. With `scope`,
@@ -105,7 +114,13 @@ def match_by_automaton(texts: DataFrame, shipped: Shipped, key: str, text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, meaning = shipped.open()
-        for batch in batches:
+
+        def told(batch, rows, out):
+            columns = list(zip(*out)) or [()] * 4
+            return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())),
+                                               *(pa.array(list(c), pa.string()) for c in columns)], names=["k", *_COLUMNS])
+
+        for batch in few_at_once(batches):
             rows, out = [], []
             for at, (t, s) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 for i in machine.find(t):
@@ -113,9 +128,10 @@ def match_by_automaton(texts: DataFrame, shipped: Shipped, key: str, text: str =
                         if not scoped or where == s:
                             rows.append(at)
                             out.append((dimension, where, machine.aliases[i], canonical))
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())),
-                                              *(pa.array(list(c), pa.string()) for c in columns)], names=["k", *_COLUMNS])
+                if len(out) >= MENTIONS:
+                    yield told(batch, rows, out)
+                    rows, out = [], []
+            yield told(batch, rows, out)
 
     schema = T.StructType([T.StructField("k", source.schema["k"].dataType), *(T.StructField(c, T.StringType()) for c in _COLUMNS)])
     return source.mapInArrow(run, schema).withColumnRenamed("k", key)
@@ -142,7 +158,7 @@ def with_facets(df: DataFrame, shipped: Shipped, text: str = "text", state: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, meaning = shipped.open()
-        for batch in batches:
+        for batch in few_at_once(batches):
             lists: list[list] = [[] for _ in names]
             for t, s in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
                 own: dict[str, set] = {}

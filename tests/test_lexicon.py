@@ -138,3 +138,12 @@ def test_plurals_do_not_match_and_digits_do_not_block(spark, lexicon):
     df = spark.createDataFrame([("lentils",), ("lentil2",), ("LENTIL",)], "text string")
     got = [r["subject_slugs"] for r in lx.with_mentions(df, lexicon).select("text", "subject_slugs").collect()]
     assert got == [[], ["lentil"], ["lentil"]]
+
+
+def test_the_machine_holds_few_rows_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2 * automaton.TEXTS + 5))], names=["k"])
+    found = list(automaton.few_at_once(iter([batch, batch.slice(0, 0)])))
+    assert [b.num_rows for b in found] == [automaton.TEXTS, automaton.TEXTS, 5, 0]
+    assert pa.Table.from_batches(found).column("k").to_pylist() == batch.column("k").to_pylist()
