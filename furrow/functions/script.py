@@ -58,6 +58,10 @@ def script_counts(c: Column | str, scripts=SCRIPTS) -> Column:
     ])
 
 
+def _any_script(scripts) -> str:
+    return _span(min(s[2] for s in scripts), max(s[3] for s in scripts))
+
+
 def detect(c: Column | str, settings, scripts=SCRIPTS) -> Column:
     """LanguageReading struct for one text.
 
@@ -65,7 +69,7 @@ def detect(c: Column | str, settings, scripts=SCRIPTS) -> Column:
     those blocks, so Latin text pays for one search.
     """
     text = F.regexp_replace(F.coalesce(col(c), F.lit("")), NEUTRAL, "")
-    any_script = _span(min(s[2] for s in scripts), max(s[3] for s in scripts))
+    any_script = _any_script(scripts)
 
     def measured(t):
         top = F.when(t.rlike(f"[{any_script}]"), F.array_max(script_counts(t, scripts)))
@@ -104,7 +108,10 @@ def _reading(measured: Column, settings) -> Column:
 
 
 def language(c: Column | str, settings) -> Column:
-    return detect(c, settings)["language"]
+    """The language that `detect` finds. A text without a character of any known script is English, and one search
+    settles that."""
+    found = col(c).rlike(f"[{_any_script(SCRIPTS)}]")
+    return F.when(found, detect(c, settings)["language"]).otherwise("en")
 
 
 def languages_of(texts: Column, settings) -> Column:

@@ -63,7 +63,7 @@ def segmented(pages: DataFrame, lexicon: Lexicon, settings: Settings,
         "document", "page", "state_code", F.col("ocr").alias("from_ocr"), "text",
         sections.page_heading(text, state, lexicon, rule).alias("_page_heading"),
         F.length(text).alias("chars"), stripped_length(text).alias("body_chars"),
-        script.devanagari_chars(text).alias("script_chars"),
+        F.when(~text.rlike(script.DEVANAGARI), 0).otherwise(script.devanagari_chars(text)).alias("script_chars"),
         F.when(text.rlike(script.DEVANAGARI), script.marker_hits(text)).otherwise(0).alias("marker_hits"),
     )
     return with_blocks(headed, lexicon, settings).drop("text").withColumn(

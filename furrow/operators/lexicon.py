@@ -276,6 +276,27 @@ def bounded_pattern(alias: str) -> str:
     return f"(?<![a-z]){_META.sub(r'\\\1', alias)}(?![a-z])"
 
 
+def _branches(words: list[str]) -> str:
+    """A pattern of exactly these words, letter by letter, the longest first: a place is left at the first letter that
+    no word goes on with, however many words there are."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    inner = "|".join(head + _branches(rest) for head, rest in sorted(heads.items()))
+    if not heads:
+        return ""
+    if "" in words:
+        return f"(?:{inner})?"
+    return f"(?:{inner})" if len(heads) > 1 else inner
+
+
+def runs_among(low: Column, words: list[str]) -> Column:
+    """Which of `words`, all of letters, are letter runs of a lower-cased text, each once. Only these are made strings."""
+    pattern = f"(?<![a-z]){_branches(sorted(set(words)))}(?![a-z])"
+    return F.array_distinct(F.regexp_extract_all(low, F.lit(pattern), F.lit(0)))
+
+
 class Matcher:
     """Mentions of a set of aliases, as one array-valued column expression."""
 
@@ -290,7 +311,7 @@ class Matcher:
         text = col(text)
         parts = []
         if self.runs:
-            parts.append(F.array_intersect(letter_runs(text), string_array(self.runs)))
+            parts.append(runs_among(F.lower(text), self.runs))
         if self.phrases:
             table = literal([{"a": a, "p": bounded_pattern(a)} for a in self.phrases],
                             "array<struct<a:string,p:string>>")
@@ -310,11 +331,11 @@ class Matcher:
         return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def per_part(parts: Column, candidates: Column) -> Column:
+def per_part(parts: Column, candidates: Column, words: list[str] | None = None) -> Column:
     """For each text of an array, which of the candidate aliases it mentions.
 
     `candidates` are the aliases of the whole text, so parts are only tested
-    against the handful that can occur.
+    against the handful that can occur. `words`, if known, are all that can be candidates and are of letters only.
     """
     def mentioned(a, part, low, runs):
         pattern = F.concat(
@@ -326,7 +347,8 @@ def per_part(parts: Column, candidates: Column) -> Column:
         )
 
     def one(part, among):
-        return let(F.lower(part), lambda low: let(F.split(low, "[^a-z]+"), lambda runs: F.filter(
+        found = lambda low: F.split(low, "[^a-z]+") if words is None else runs_among(low, words)
+        return let(F.lower(part), lambda low: let(found(low), lambda runs: F.filter(
             among, lambda a: mentioned(a, part, low, runs))))
 
     return let(candidates, lambda among: F.transform(parts, lambda part: one(part, among)))

@@ -64,6 +64,8 @@ def is_picture(text: Column | str, has_image: Column | str, settings: Settings)
 
 def _terms_found(text: Column, terms: list[str]) -> Column:
     """Terms contained in the text."""
+    if not terms:
+        return F.array().cast("array<string>")
     held = F.filter(string_array(terms), lambda t: F.contains(text, t))
     if any(t.isascii() for t in terms):
         return held

@@ -33,8 +33,7 @@ class HeadingRule:
 def heading_name(text: Column, rule: HeadingRule) -> Column:
     found = F.lit("")
     for g in reversed(rule.groups):
-        part = F.regexp_extract(text, rule.pattern, g)
-        found = F.when(part != "", part).otherwise(found)
+        found = let(F.regexp_extract(text, rule.pattern, g), lambda part, after=found: F.when(part != "", part).otherwise(after))
     return strip(found)
 
 
@@ -50,8 +49,9 @@ def heading_areas(text: Column, state: Column, lexicon: Lexicon, rule: HeadingRu
         )
         return F.when(name != "", F.array_distinct(F.flatten(by_part)))
 
-    # Most texts hold no heading, and one search settles that.
-    areas = F.when(text.rlike(rule.pattern), let(heading_name(text, rule), named))
+    # Most texts hold no heading, and one search settles that: that for the name, where there is one group.
+    areas = let(heading_name(text, rule), named)
+    areas = areas if len(rule.groups) == 1 else F.when(text.rlike(rule.pattern), areas)
     return F.coalesce(areas, F.array().cast("array<string>"))
 
 
@@ -61,9 +61,8 @@ def page_heading(text: Column, state: Column, lexicon: Lexicon, rule: HeadingRul
     All lines are read before the first block, so this heading governs even the
     blocks above it. Most pages have none, and one search settles that.
     """
-    lines = F.filter(lines_of(text), lambda line: line.rlike(rule.pattern))
     areas = F.filter(
-        F.transform(lines, lambda line: heading_areas(line, state, lexicon, rule)),
+        F.transform(lines_of(text), lambda line: heading_areas(line, state, lexicon, rule)),
         lambda a: F.size(a) > 0,
     )
     return F.when(text.rlike(rule.pattern), F.try_element_at(areas, F.lit(-1)))
@@ -72,12 +71,14 @@ def page_heading(text: Column, state: Column, lexicon: Lexicon, rule: HeadingRul
 def fill_blocks(heads: Column) -> Column:
     """For an array of heading area lists, the last non-empty one at or before
     each place, null where there is none yet."""
-    marked = F.filter(
-        F.transform(heads, lambda a, i: F.struct(i.alias("i"), a.alias("a"))),
-        lambda s: F.size(s["a"]) > 0,
-    )
-    return let(marked, lambda known: F.transform(
-        heads, lambda a, i: F.try_element_at(F.filter(known, lambda s: s["i"] <= i), F.lit(-1))["a"]))
+    kind = "array<string>"
+    zero = F.expr(f"named_struct('done', cast(array() as array<{kind}>), 'last', cast(null as {kind}))")
+
+    def after(s, a):
+        return let(F.when(F.size(a) > 0, a).otherwise(s["last"]).cast(kind), lambda own: F.struct(
+            F.array_append(s["done"], own).alias("done"), own.alias("last")))
+
+    return F.aggregate(heads, zero, after, lambda s: s["done"])
 
 
 def last_heading(heads: Column) -> Column:

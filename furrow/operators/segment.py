@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WS_CHARS, let, lines_of, strip
+from ..functions.text import WS, WS_CHARS, let, lines_of, strip
 from ..settings import Settings
 from .lexicon import Lexicon, Matcher, per_part, to_canonical
 
@@ -23,13 +23,13 @@ _NO_CROPS = "cast(array() as array<string>)"
 def line_crops(text: Column, lexicon: Lexicon) -> Column:
     """Crops named by each line, as arrays of slugs; null when the page names
     none, which spares such pages the per-line work."""
-    rows = lexicon.rows("subject")
+    rows, matcher = lexicon.rows("subject"), Matcher(lexicon.aliases("subject"))
 
     def by_line(hits):
-        slugs = F.transform(per_part(lines_of(text), hits), lambda found: to_canonical(found, rows))
+        slugs = F.transform(per_part(lines_of(text), hits, matcher.runs or None), lambda found: to_canonical(found, rows))
         return F.when(F.size(hits) > 0, slugs)
 
-    return let(Matcher(lexicon.aliases("subject")).mentions(text), by_line)
+    return let(matcher.mentions(text), by_line)
 
 
 def page_lines(text: Column, crops: Column) -> Column:
@@ -94,20 +94,21 @@ def pieces(of_runs: Column, least: int) -> Column:
 
 
 def slices(text: Column, most: int) -> Column:
-    """A text in parts of at most `most` characters, each ending at the last line end within reach if there is one."""
-    def step(s, _):
-        reach = F.substring(s["rest"], 1, most)
-        back = F.instr(F.reverse(reach), "\n")
-        end = F.when((back > 0) & (back < most), most - back).otherwise(F.lit(most))
-        cut = F.struct(F.array_append(s["done"], strip(F.substring(s["rest"], F.lit(1), end))).alias("done"),
-                       strip(F.substring(s["rest"], end + 1, F.length(s["rest"]))).alias("rest"))
-        return F.when(F.length(s["rest"]) > most, cut).otherwise(s)
-
-    zero = F.struct(F.expr(_NO_CROPS).alias("done"), text.alias("rest"))
-    # two cuts in a row take more than `most` characters
-    rounds = F.sequence(F.lit(1), (F.length(text) / F.lit(most)).cast("int") * 2 + 2)
-    cut = F.aggregate(rounds, zero, step, lambda s: F.array_append(s["done"], s["rest"]))
-    return F.when(F.length(text) > most, cut).otherwise(F.array(text))
+    """A text in parts of at most `most` characters, each ending at the last line end within reach if there is one.
+
+    The first cut is made by itself, since it is of a text not yet stripped. What is left is cut in one walk, whose time
+    is in proportion to the text: cutting one part off the rest at a time goes over the rest once for each part."""
+    reach = F.substring(text, 1, most)
+    back = F.instr(F.reverse(reach), "\n")
+    end = F.when((back > 0) & (back < most), most - back).otherwise(F.lit(most))
+
+    def cut(at):
+        rest = strip(F.substring(text, at + 1, F.length(text)))
+        part = f"(?s)[{WS}]*+(.{{1,{most}}}+\\z|" + (f".{{1,{most - 1}}}(?=\n)|" if most > 1 else "") + f".{{{most}}})"
+        return F.concat(F.array(strip(F.substring(text, F.lit(1), at))), let(rest, lambda r: F.when(r == "", F.array(r)).otherwise(
+            F.transform(F.regexp_extract_all(r, F.lit(part), F.lit(1)), strip))))
+
+    return F.when(F.length(text) > most, let(end, cut)).otherwise(F.array(text))
 
 
 def passages(texts: Column, least: int, most: int) -> Column:

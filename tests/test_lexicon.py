@@ -147,3 +147,16 @@ def test_the_machine_holds_few_rows_at_once(spark, monkeypatch):
     found = list(automaton.few_at_once(iter([batch, batch.slice(0, 0)])))
     assert [b.num_rows for b in found] == [automaton.TEXTS, automaton.TEXTS, 5, 0]
     assert pa.Table.from_batches(found).column("k").to_pylist() == batch.column("k").to_pylist()
+
+
+def test_runs_among_are_the_letter_runs_that_are_words(spark):
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.randint(1, 6))) for _ in range(40)})
+    texts = ["".join(rng.choice(["a", "b", "ab", " ", "-", "é", "1", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select("text", lx.runs_among(F.lower("text"), words).alias("got")).collect()
+    for text, got in rows:
+        assert sorted(got) == sorted(set(re.split("[^a-z]+", text)) & set(words))
+    # the machine that tells a place apart at its first letter is as long as its words, and no text is split
+    plan = df.select(lx.Matcher(words).mentions("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan

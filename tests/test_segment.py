@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -101,3 +102,11 @@ def test_on_pages_without_a_python_worker(spark, lexicon, settings, make_pages):
     assert [r["blocks"] for r in made.collect()] == [[A, B], [PLAIN], [], []]
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_time_of_slicing_is_in_proportion_to_the_text(spark):
+    text = "\n".join([f"{'x' * 300} {i}  " for i in range(3000)] + ["y" * 400_000])
+    started = time.perf_counter()
+    made = cut_all(spark, [text])[0]
+    assert time.perf_counter() - started < 30
+    assert made == expected(text, 80, 700)

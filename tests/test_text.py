@@ -85,3 +85,11 @@ def test_prose_and_formats(spark):
 def test_counts(spark):
     assert run(spark, ["a b  c", "", " x "], tx.token_count("text")) == [3, 0, 1]
     assert run(spark, ["aaaa", "abab"], tx.occurrences("text", "ab")) == [0, 2]
+
+
+def test_latin_text_is_english_after_one_search(spark, settings):
+    texts = ["abc", "", "é ß", "क" * 20, "क" * 20 + " abc", "।॥", "ಕ" * 30, "abc" * 20 + "क"]
+    assert run(spark, texts, script.language("text", settings)) == run(spark, texts, script.detect("text", settings)["language"])
+    assert spark.createDataFrame([(None,)], "text string").select(script.language("text", settings)).head()[0] == "en"
+    said = script.language("text", settings)._jc.toString()
+    assert said.startswith("CASE WHEN")
