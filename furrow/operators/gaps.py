@@ -7,6 +7,7 @@ expression over lines of one page; terms are combined map-side before shuffles.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,7 +51,9 @@ class GapRules:
         # search is linear in the line.
         names = "|".join(s.replace("-", "\\-") for s in self.stages)
         term = r"(?<![A-Z])([A-Z][a-z]+(?:[ /-]{1,2}[A-Z][a-z]+){0,2}[ /-]{0,2})"
-        return r"(?i)" + term + r"\s*[\(\-–—:]?\s*(?:" + names + r")(?![\p{L}\p{N}_])"
+        # What cannot begin a stage or what stands before one is told by one character.
+        first = r"(?=[\s(\-–—:" + "".join(sorted({re.escape(s[0]) for s in self.stages if s})) + "])" if all(self.stages) else ""
+        return r"(?i)" + term + first + r"\s*[\(\-–—:]?\s*(?:" + names + r")(?![\p{L}\p{N}_])"
 
     @property
     def stage_words(self) -> tuple[str, ...]:

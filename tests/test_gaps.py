@@ -63,3 +63,19 @@ def test_stage_search_is_linear_on_junk(spark, lexicon, make_pages):
 def test_clean(spark):
     df = spark.createDataFrame([("  sugar   CANE -(",), ("x",)], "t string")
     assert [r[0] for r in df.select(gaps.clean(F.col("t"))).collect()] == ["Sugar cane", "X"]
+
+
+def test_stages_begin_where_one_character_says_so(spark):
+    import random
+    import re
+
+    from pyspark.sql import functions as F
+    from furrow.operators.gaps import GapRules
+
+    rules, rng = GapRules(stages=("tion", "ing", "was", "pre-sowing")), random.Random(2)
+    ahead = re.search(r"\(\?=\[[^]]*\]\)", rules.stage_pattern).group()
+    parts = ["Sta", "tion", "ing", "was", "Was", "pre-sowing", " ", "-", "/", "(", "–", ":", "x", "é", "  ", "a1", "Rice"]
+    df = spark.createDataFrame([("".join(rng.choice(parts) for _ in range(rng.randint(0, 14))),) for _ in range(500)], "t string")
+    both = [F.regexp_extract_all("t", F.lit(p), F.lit(1)) for p in (rules.stage_pattern, rules.stage_pattern.replace(ahead, ""))]
+    rows = df.select(*both).collect()
+    assert all(a == b for a, b in rows) and any(a for a, _ in rows)
