@@ -6,6 +6,7 @@ the last kind by itself. Hashes are of the lower-cased characters.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,9 +73,17 @@ def tokens(texts: list[str]) -> Tokens:
 
 def prefix_hash(t: Tokens, length: int) -> np.ndarray:
     """Hash of each token's first `length` characters (of the token, if it is shorter)."""
+    return next(prefix_hashes(t, (length,)))
+
+
+def prefix_hashes(t: Tokens, lengths: tuple[int, ...], among: np.ndarray | None = None) -> Iterator[np.ndarray]:
+    """`prefix_hash` for ascending lengths, each going on from the sum of the one before, of the tokens `among` (all)."""
     _, _, value_of, _, powers = _tables()
-    out = np.full(len(t.starts), length, np.uint64)
-    for k in range(length):
-        at = np.minimum(t.starts + k, len(t.chars) - 1)
-        out += np.where(k < t.size, value_of[t.chars[at]] * powers[k], np.uint64(0))
-    return mix64(out)
+    starts, sizes = (t.starts, t.size) if among is None else (t.starts[among], t.size[among])
+    total, k = np.zeros(len(starts), np.uint64), 0
+    for length in lengths:
+        while k < length:
+            at = np.minimum(starts + k, len(t.chars) - 1)
+            total += np.where(k < sizes, value_of[t.chars[at]] * powers[k], np.uint64(0))
+            k += 1
+        yield mix64(total + np.uint64(length))

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from furrow.session import settle
 
 from .common import by_chars, fold, map_texts
-from .hashed import LETTER, prefix_hash, tokens
+from .hashed import LETTER, prefix_hashes, tokens
 from .training import fits, labelled, rounds, rows_of
 
 BITS, DIM, FILTERS, WIDTHS = 18, 8, 8, (1, 2, 3)
@@ -49,7 +49,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     t = tokens(texts)
     word = t.kind == LETTER
     mask = np.uint64((1 << BITS) - 1)
-    parts = [t.hash[word], t.hash[word] >> np.uint64(32), *(prefix_hash(t, k)[word] for k in (3, 4, 5))]
+    parts = [t.hash[word], t.hash[word] >> np.uint64(32), *prefix_hashes(t, (3, 4, 5), word)]
     salted = [((p + np.uint64(i << 12)) & mask).astype(np.int32) + 1 for i, p in enumerate(parts)]
     doc = t.doc[word]
     # row 0 of the table is the empty word: always zero
@@ -64,6 +64,16 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(len(texts)), counts), opens
 
 
+def features_of_each(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The table's rows and the starts of filters of each text, worked out for many texts at once."""
+    out = []
+    for part in by_chars(texts, 400_000):
+        rows, doc, opens = features(part)
+        ends = np.searchsorted(doc, np.arange(len(part)), "right").tolist()
+        out += [(rows[a:z], opens[a:z]) for a, z in zip([0, *ends], ends)]
+    return out
+
+
 class Model:
     """Parameters; `prior` is the answer where nothing could be learnt."""
 
@@ -121,7 +131,7 @@ class Model:
     def fit(self, texts: list[str], labels: np.ndarray, seed=7, epochs: int | None = None, state: list | None = None) -> None:
         """Passes over the texts; with `state`, from where it stands, which is changed."""
         rng = np.random.default_rng(seed)
-        held = [features([t]) for t in texts]
+        held = features_of_each(texts)
         state = self.state() if state is None else state
         self.take(state)
         half = len(state) // 2
@@ -138,7 +148,7 @@ class Model:
             order = rng.permutation(len(texts))
             for at in range(0, len(order), BATCH):
                 own = order[at: at + BATCH]
-                rows, opens = (np.concatenate([held[i][k] for i in own]) for k in (0, 2))
+                rows, opens = (np.concatenate([held[i][k] for i in own]) for k in (0, 1))
                 sizes = np.array([len(held[i][0]) for i in own])
                 begins = np.cumsum(sizes) - sizes
                 x, y = self.responses(rows, opens)

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from furrow.llm import quality, toxicity
+from furrow.llm import hashed, quality, toxicity
 
 TEXTS = ["You are a fine person, thank you.", "you vile VILE thing", "A short one", "", "1 2 3 ...", "Well written lines\nof text stand here.",
          "buy NOW now now!!! $$$", "el perro y la casa son buenos", "x", "vile words again, vile person"]
@@ -115,3 +115,18 @@ def test_toxicity_steps_down_the_gradient(monkeypatch):
                 checked += abs(slope) > 1e-6
     assert checked > 15
     assert (after["table"][0] == 0).all()
+
+
+def test_features_of_many_texts_are_those_of_each():
+    texts = [*TEXTS, " ", "x" * 500_000, "", "\U0001f600 a bc def ghij klmno pqrstu", *TEXTS]
+    for text, (rows, opens) in zip(texts, toxicity.features_of_each(texts), strict=True):
+        want, _, begins = toxicity.features([text])
+        assert (rows == want).all() and (opens == begins).all() and len(rows) == len(want)
+    assert toxicity.features_of_each([]) == []
+
+
+def test_prefix_hashes_go_on_from_each_other():
+    t = hashed.tokens(TEXTS)
+    word = t.kind == hashed.LETTER
+    for k, got in zip((1, 3, 4, 5), hashed.prefix_hashes(t, (1, 3, 4, 5), word)):
+        assert (got == hashed.prefix_hash(t, k)[word]).all()
