@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import string_array, strip
+from ..functions.text import let, string_array, strip
 from . import gap_words as words
 from .lexicon import Lexicon, Matcher, districts_of, is_latin
 
@@ -62,8 +62,8 @@ class GapRules:
 
 def clean(term: Column) -> Column:
     """White space folded, edge punctuation off, first letter upper, rest lower."""
-    t = strip(F.btrim(F.regexp_replace(term, r"\s+", " "), F.lit(" -/:()")))
-    return F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 2147483647)))
+    trimmed = strip(F.btrim(F.regexp_replace(term, r"\s+", " "), F.lit(" -/:()")))
+    return let(trimmed, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 2147483647))))
 
 
 def _in(word: Column, listed) -> Column:
@@ -72,28 +72,32 @@ def _in(word: Column, listed) -> Column:
 
 def plausible(term: Column, lexicon: Lexicon, rules: GapRules, state: Column | None = None) -> Column:
     """False for what is certainly no missing subject."""
-    low = F.lower(term)
-    parts = F.split(strip(low), r"\s+")
-    first, last = F.get(parts, F.lit(0)), F.try_element_at(parts, F.lit(-1))
     subjects = Matcher(lexicon.aliases("subject")).mentions(term)
     places = Matcher(lexicon.aliases("district")).mentions(term)
     placed = F.size(places) > 0
     if state is not None:
         placed = F.when(state.isNotNull(), F.size(districts_of(places, state, lexicon)) > 0).otherwise(placed)
     names = [s.name.lower() for s in lexicon.states]
+
+    def listed(low, parts):
+        first, last = F.get(parts, F.lit(0)), F.try_element_at(parts, F.lit(-1))
+        return (
+            ~_in(first, rules.leading_verbs) & ~_in(first, rules.stop)
+            & ~((F.size(parts) > 1) & _in(last, rules.stop))
+            & ~F.arrays_overlap(parts, string_array(rules.function_words))
+            & ~F.arrays_overlap(parts, string_array(rules.stage_words))
+            & ~_in(low, rules.not_a_subject) & ~_in(low, names)
+        )
+
+    # The cheap tests come first; the term is lower-cased and parted once for all that look at its parts.
     return (
         F.length(term).between(4, 32)
-        & ~_in(low, rules.stop)
-        & ~_in(first, rules.leading_verbs) & ~_in(first, rules.stop)
-        & ~((F.size(parts) > 1) & _in(last, rules.stop))
-        & ~F.arrays_overlap(parts, string_array(rules.function_words))
-        & ~F.arrays_overlap(parts, string_array(rules.stage_words))
-        & ~_in(low, rules.not_a_subject)
+        & let(F.lower(term), lambda low: ~_in(low, rules.stop) & let(
+            F.split(strip(low), r"\s+"), lambda parts: listed(low, parts)))
+        & term.rlike(rules.title)
         & ~term.rlike(rules.chemical)
         & (F.size(subjects) == 0)
-        & ~_in(low, names)
         & ~placed
-        & term.rlike(rules.title)
     )
 
 

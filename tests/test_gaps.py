@@ -79,3 +79,13 @@ def test_stages_begin_where_one_character_says_so(spark):
     both = [F.regexp_extract_all("t", F.lit(p), F.lit(1)) for p in (rules.stage_pattern, rules.stage_pattern.replace(ahead, ""))]
     rows = df.select(*both).collect()
     assert all(a == b for a, b in rows) and any(a for a, _ in rows)
+
+
+def test_a_term_is_parted_once(spark, lexicon):
+    from pyspark.sql import functions as F
+    from furrow.operators.gaps import GapRules, plausible
+
+    df = spark.createDataFrame([("Rice crop",), ("Spray rice",), ("Abcd",), ("Lentil",), ("Tomato the",), ("",)], "t string")
+    test = plausible(F.col("t"), lexicon, GapRules())
+    assert test._jc.toString().count("split(") == 1
+    assert [bool(r[0]) for r in df.select(test).collect()] == [False, False, True, False, False, False]
