@@ -1,14 +1,14 @@
 """Exact top-k inner products with a vector-approximation file.
 
-Each vector is kept twice: as cells (every component quantised into at most 2**BITS intervals between the block's
-smallest and largest value of that component) and exactly. A query scans the cells, which bound its score from both
-sides. Rows whose upper bound is below the k-th greatest lower bound of the query cannot enter its result; first within
-a block, then over all blocks. Only for the rest are exact vectors read.
+Each vector is kept in two parts: as cells (every component quantised into at most 2**BITS intervals between the block's
+smallest and largest value of that component) and as what is left of it within its cell. A query scans the cells, which
+bound its score from both sides. Rows whose upper bound is below the query's k-th best score so far, or the k-th greatest
+lower bound of the block, cannot enter its result. Only for the others is the second part read, which makes the score exact.
 
-Vectors are packed into blocks of BLOCK rows and queries into blocks of QUERIES rows. Each query block meets the cells of
-each vector block of its length once, as a row keyed by both numbers, so work spreads over pairs of blocks. Exact vectors
-take no part in that; those of candidates are picked from their blocks afterwards, once each, and meet the candidates
-by (block, place). `scan` gives the candidates, `top_k` the result.
+Vectors are packed into blocks of BLOCK rows and queries into blocks of QUERIES rows. A task streams stored vector blocks
+past one query block of their length (see `kbest`), so what it leaves is k candidates for each query: equal and nearly
+equal vectors, which bounds do not tell apart, leave no more. The vectors of the candidates are picked from their blocks
+afterwards, once each, and meet the candidates by (block, place). `scan` gives the candidates, `top_k` the result.
 
 Defined cases: a null vector, or one with a null or non-finite component, takes no part, neither as query nor as
 candidate, nor does an empty one; vectors of a different length than the query have no score with it; ties go to the
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 
 from furrow.session import settle
 
-BITS, BLOCK, QUERIES, SCALE = 8, 8192, 1024, 256
-FOUND = "asked long, place int, query_id long, data long, spot int, lower long, upper long"
+from .kbest import NONE, Best, blank, exact_type, kth, largest, matrix, meetings, narrow, pairs, reaching
+
+BITS, BLOCK, QUERIES, SLAB, SCALE = 8, 8192, 4096, 512, 256
+FOUND = "asked long, place int, query_id long, data long, spot int, vec_id long, score long"
 
 
 def integer_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -43,7 +45,7 @@ def integer_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
 
 
 def blocks(vectors: DataFrame, rows: int, label: str) -> DataFrame:
-    """Vectors packed into binary rows (`label`, n, dim, ids, body); a partition makes its own blocks."""
+    """Vectors packed into binary rows (`label`, dim, ids, cells, edges, rest); a partition makes its own blocks."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -51,34 +53,39 @@ def blocks(vectors: DataFrame, rows: int, label: str) -> DataFrame:
         part, made = TaskContext.get().partitionId(), 0
         held: dict[int, list] = {}  # by length of the vector
 
-        def out(dim: int, parts: list):
+        def out(dim: int, last: bool):
+            """Full blocks of what is held, at last also the one that is not full."""
             nonlocal made
-            ids, body = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            for at in range(0, len(ids), rows):
+            ids, body = (np.concatenate(x) for x in zip(*held.pop(dim)))
+            upto = len(ids) if last else len(ids) - len(ids) % rows
+            for at in range(0, upto, rows):
                 i, b = ids[at: at + rows], body[at: at + rows]
                 cells, low, width = cells_of(b)
+                rest = narrow(b - (low + cells * width))
                 yield pa.RecordBatch.from_pydict({
                     label: pa.array([part * 1_000_000 + made], pa.int64()), "dim": pa.array([dim], pa.int32()),
                     **{f"{label}_{name}": pa.array([x.tobytes()], pa.binary()) for name, x in (
-                        ("ids", i), ("cells", cells), ("edges", np.stack([low, width])), ("body", b))}})
+                        ("ids", i), ("cells", cells), ("edges", np.stack([low, width])), ("rest", rest))}})
                 made += 1
+            if upto < len(ids):
+                held[dim] = [(ids[upto:], body[upto:])]
 
         for batch in batches:
             ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
             sizes = np.diff(lists.offsets.to_numpy())
             values = lists.flatten().to_numpy(zero_copy_only=False)
             starts = np.cumsum(sizes) - sizes
-            for dim in np.unique(sizes):
+            for dim in np.unique(sizes).tolist():
                 at = np.nonzero(sizes == dim)[0]
                 body = values[starts[at][:, None] + np.arange(dim)] if dim else np.zeros((len(at), 0), np.int64)
-                held.setdefault(int(dim), []).append((ids[at], body))
-                if sum(len(p[0]) for p in held[int(dim)]) >= rows:
-                    yield from out(int(dim), held.pop(int(dim)))
-        for dim, parts in held.items():
-            yield from out(dim, parts)
+                held.setdefault(dim, []).append((ids[at], body))
+                if sum(len(p[0]) for p in held[dim]) >= rows:
+                    yield from out(dim, False)
+        for dim in list(held):
+            yield from out(dim, True)
 
     return vectors.mapInArrow(pack, f"{label} long, dim int, {label}_ids binary, {label}_cells binary, "
-                                    f"{label}_edges binary, {label}_body binary")
+                                    f"{label}_edges binary, {label}_rest binary")
 
 
 def cells_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,71 +95,100 @@ def cells_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ((v - low) // width).astype(np.uint8), low, width
 
 
-def block_candidates(q_ids, q, ids, cells, low, width, k: int):
-    """(query place, row, lower bound, upper bound) of the rows of a block that can be among the k best of a query."""
-    lower = low + cells.astype(np.int64) * width
-    widest = max(1, np.abs(lower).max() + width.max()) * max(1, np.abs(q).max()) * max(1, q.shape[1])
-    exact = np.float64 if widest < 2 ** 52 else np.int64
+def unpacked(r: dict, label: str) -> tuple:
+    """(ids, cells, smallest values, cell widths, rest) of a block."""
+    ids = np.frombuffer(r[f"{label}_ids"], np.int64)
+    low, width = np.frombuffer(r[f"{label}_edges"], np.int64).reshape(2, -1)
+    cells = np.frombuffer(r[f"{label}_cells"], np.uint8).reshape(len(ids), len(low))
+    return ids, cells, low, width, matrix(r[f"{label}_rest"], len(ids), len(low))
+
+
+def vectors_of(cells, low, width, rest) -> np.ndarray:
+    """The vectors themselves."""
+    return low + cells * width + rest
+
+
+def block_candidates(q_ids, q, ids, cells, low, width, k: int, floor=None):
+    """(query place, row, lower bound, upper bound) of the rows of a block that can be among the k best of a query, and
+    reach its `floor`, the k-th best score so far (NONE: there are fewer)."""
+    exact = exact_type((largest(low) + largest(width) * (1 << BITS)) * largest(q) * max(1, q.shape[1]))
     qf, spare = q.astype(exact), (width - 1).astype(exact)
-    base = qf @ lower.T.astype(exact)
+    base = qf @ (cells * width.astype(exact) + low.astype(exact)).T
     # within a cell a component adds between nothing and q * (width - 1), or the reverse if q is negative
     most, least = np.maximum(qf, 0) @ spare, np.minimum(qf, 0) @ spare
-    out = []
-    for j, own in enumerate(q_ids):
-        other = np.nonzero(ids != own)[0]
-        b = base[j, other]
-        if len(b) > k:
-            kth = np.partition(b, len(b) - k)[len(b) - k]
-            take = b + most[j] >= kth + least[j]
-            other, b = other[take], b[take]
-        out.append((np.full(len(b), j), other, (b + least[j]).astype(np.int64), (b + most[j]).astype(np.int64)))
-    return tuple(np.concatenate(c) for c in zip(*out))
+    floor = np.full(len(q_ids), NONE, np.int64) if floor is None else floor
+    cut, fresh = floor.astype(exact), np.nonzero(floor == NONE)[0]
+    if len(fresh):
+        known = base[fresh]
+        blank(known, q_ids[fresh], ids)
+        cut[fresh] = kth(known, k) + least[fresh]
+    place, spot = reaching(base, cut - most)
+    other = ids[spot] != q_ids[place]
+    place, spot = place[other], spot[other]
+    b = base[place, spot]
+    return place, spot, (b + least[place]).astype(np.int64), (b + most[place]).astype(np.int64)
+
+
+def exact_scores(q: np.ndarray, place: np.ndarray, spot: np.ndarray, cells, low, width, rest) -> np.ndarray:
+    """The scores of pairs. The second part of a vector is read only if the vector is in a pair."""
+    if len(spot) > q.shape[0] * len(cells) // 16:
+        v = vectors_of(cells, low, width, rest)
+        kind = exact_type(largest(v) * largest(q) * max(1, q.shape[1]))
+        return (q.astype(kind) @ v.T.astype(kind))[place, spot].astype(np.int64)
+    out = np.zeros(len(spot), np.int64)
+    for at in range(0, len(spot), 20_000):
+        i, j = place[at: at + 20_000], spot[at: at + 20_000]
+        out[at: at + 20_000] = np.einsum("ij,ij->i", q[i], vectors_of(cells[j], low, width, rest[j]))
+    return out
 
 
 def scan(asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
-    """Candidates from cells alone (see FOUND). Both frames are stored blocks."""
-    numbers = lambda df, of, name: df.groupBy("dim").agg(F.collect_list(of).alias(name))
-    cells = (data.select("data", "dim", "data_ids", "data_cells", "data_edges").join(numbers(asked, "asked", "with"), "dim")
-             .withColumn("asked", F.explode("with")).drop("with", "dim"))
-    ask = (asked.select("asked", "dim", "asked_ids", "asked_body").join(numbers(data, "data", "with"), "dim")
-           .withColumn("data", F.explode("with")).drop("with"))
+    """The k candidates of each query (see FOUND). Both frames are stored blocks."""
+    parts = ("ids", "cells", "edges", "rest")
+    names = ["asked", "data", *(f"{label}_{p}" for label in ("asked", "data") for p in parts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                dim, q_ids, ids = r["dim"], np.frombuffer(r["asked_ids"], np.int64), np.frombuffer(r["data_ids"], np.int64)
-                q = np.frombuffer(r["asked_body"], np.int64).reshape(len(q_ids), dim)
-                packed = np.frombuffer(r["data_cells"], np.uint8).reshape(len(ids), dim)
-                low, width = np.frombuffer(r["data_edges"], np.int64).reshape(2, dim)
-                place, spot, lower, upper = block_candidates(q_ids, q, ids, packed, low, width, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(place), r["asked"])), pa.array(place.astype(np.int32)), pa.array(q_ids[place]),
-                     pa.array(np.full(len(place), r["data"])), pa.array(spot.astype(np.int32)), pa.array(lower), pa.array(upper)],
-                    names=[f.split()[0] for f in FOUND.split(", ")])
-
-    found = settle(ask.join(cells, ["asked", "data"]).mapInArrow(run, FOUND), "va-bounds")
-    order = Window.partitionBy("asked", "place").orderBy(F.desc("lower"))
-    kth = (found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).groupBy("asked", "place")
-           .agg(F.when(F.count("*") == k, F.min("lower")).alias("kth")))
-    return found.join(kth, ["asked", "place"]).filter("kth is null or upper >= kth").drop("kth", "lower", "upper")
+        held: dict[int, tuple] = {}  # by query block
+        for r in pairs(batches, names):
+            if r["asked"] not in held:
+                q_ids, *kept = unpacked(r, "asked")
+                held[r["asked"]] = q_ids.copy(), vectors_of(*kept), Best(len(q_ids), k, 2)
+            q_ids, q, best = held[r["asked"]]
+            ids, cells, low, width, rest = unpacked(r, "data")
+            for lo in range(0, len(q_ids), SLAB):
+                own = slice(lo, lo + SLAB)
+                place, spot, _, _ = block_candidates(q_ids[own], q[own], ids, cells, low, width, k, best.floor(own))
+                score = exact_scores(q[own], place, spot, cells, low, width, rest)
+                best.add(lo + place, score, ids[spot], np.full(len(spot), r["data"], np.int64), spot)
+        for number, (q_ids, _, best) in held.items():
+            place, score, vec_id, block, spot = best.found()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(place), number)), pa.array(place.astype(np.int32)), pa.array(q_ids[place]),
+                 pa.array(block), pa.array(spot.astype(np.int32)), pa.array(vec_id), pa.array(score)],
+                names=[f.split()[0] for f in FOUND.split(", ")])
+
+    found = meetings(asked, data).select(*names).mapInArrow(run, FOUND)
+    order = Window.partitionBy("asked", "place").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).drop("nth", "vec_id", "score")
 
 
 def picked(blocks_: DataFrame, wanted: DataFrame, name: str, spot: str) -> DataFrame:
     """(block, place, id, vector bytes) of the wanted rows of stored blocks, each once."""
     places = wanted.groupBy(name).agg(F.collect_set(spot).alias("places"))  # at most the rows of a block
+    parts = [f"{name}_{p}" for p in ("ids", "cells", "edges", "rest")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(f"{name}_ids")[i].as_py(), np.int64)
-                body = np.frombuffer(batch.column(f"{name}_body")[i].as_py(), np.int64).reshape(len(ids), -1)
+                r = {c: batch.column(c)[i].as_py() for c in parts}
+                ids, cells, low, width, rest = unpacked(r, name)
                 at = batch.column("places")[i].values.to_numpy()
+                body = vectors_of(cells[at], low, width, rest[at])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), batch.column(name)[i].as_py())), pa.array(at), pa.array(ids[at]),
-                     pa.array([body[x].tobytes() for x in at], pa.binary())], names=[name, spot, "id", "v"])
+                     pa.array([x.tobytes() for x in body], pa.binary())], names=[name, spot, "id", "v"])
 
-    return blocks_.select(name, f"{name}_ids", f"{name}_body").join(places, name).mapInArrow(
+    return blocks_.select(name, *parts).join(places, name).mapInArrow(
         run, f"{name} long, {spot} int, id long, v binary")
 
 
