@@ -7,10 +7,10 @@ best k of each slot for its rows, a window over (anchor, slot) combines them, an
 one descending list of at most k rows for each slot: a window's rows are the suffix that begins with its own slot, cut
 at its lower limit and at k. That is exact, since a window takes whole slots from its upper limit down.
 
-Vectors are packed into blocks of BLOCK rows in the order of ids, anchors into blocks of ANCHORS rows. Each anchor block
-meets each vector block of the same length twice (positives, then negatives), as one row keyed by both numbers, so work
-spreads over pairs of blocks whatever the number of labels or lengths, and a task holds two blocks. A pair of blocks
-leaves at most k rows for each anchor and slot.
+Vectors are packed into blocks of BLOCK rows in the order of labels and ids, anchors into blocks of ANCHORS rows. A task
+streams stored vector blocks past one anchor block of their length (see `kbest`), twice: positives, for which only rows of
+one label are multiplied, then negatives. It holds what it has found so far, so it leaves at most k rows for each anchor and
+slot, and a score that is below the k-th best of an anchor's last slot is not looked at.
 
 Defined cases: rows with a null id or label, a null or empty vector, or one with a null or non-finite component take no
 part; vectors of another length have no score with an anchor; rows with an anchor's own id are neither its positives
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from furrow.session import settle
 
+from .kbest import NONE, Best, blank, exact_type, kth, largest, lowest, matrix, meetings, narrow, pairs, reaching
+
 SCALE, BLOCK, ANCHORS, SLAB = 256, 4096, 4096, 128
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 10, 30, 90
 _PACKED = "block long, dim int, ids binary, labels binary, body binary"
@@ -45,7 +47,7 @@ def labelled_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "em
 
 
 def packed(vectors: DataFrame, rows: int) -> DataFrame:
-    """Blocks of at most `rows` vectors of one length, in the order of ids within each; a partition makes its own."""
+    """Blocks of at most `rows` vectors of one length, in the order of labels and ids within each; a partition makes its own."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -53,17 +55,20 @@ def packed(vectors: DataFrame, rows: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         held: dict[int, list] = {}
 
-        def out(dim: int):
+        def out(dim: int, last: bool):
+            """Full blocks of what is held, at last also the one that is not full."""
             nonlocal number
             ids, labels, body = (np.concatenate(x) for x in zip(*held.pop(dim)))
-            order = np.argsort(ids, kind="stable")
-            for at in range(0, len(order), rows):
-                o = order[at: at + rows]
+            upto = len(ids) if last else len(ids) - len(ids) % rows
+            for at in range(0, upto, rows):
+                o = np.lexsort((ids[at: at + rows], labels[at: at + rows])) + at
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number], pa.int64()), pa.array([dim], pa.int32()),
-                     *(pa.array([x[o].tobytes()], pa.binary()) for x in (ids, labels, body))],
+                     *(pa.array([x.tobytes()], pa.binary()) for x in (ids[o], labels[o], narrow(body[o])))],
                     names=["block", "dim", "ids", "labels", "body"])
                 number += 1
+            if upto < len(ids):
+                held[dim] = [(ids[upto:], labels[upto:], body[upto:])]
 
         for batch in batches:
             ids, labels = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -75,64 +80,75 @@ def packed(vectors: DataFrame, rows: int) -> DataFrame:
                 at = np.nonzero(sizes == dim)[0]
                 held.setdefault(dim, []).append((ids[at], labels[at], values[starts[at][:, None] + np.arange(dim)]))
                 if sum(len(h[0]) for h in held[dim]) >= rows:
-                    yield from out(dim)
+                    yield from out(dim, False)
         for dim in list(held):
-            yield from out(dim)
+            yield from out(dim, True)
 
     return vectors.select("vec_id", "label", "v").mapInArrow(pack, _PACKED)
 
 
-def meetings(asked: DataFrame, data: DataFrame) -> DataFrame:
-    """Each anchor block beside each vector block of its length, one row for a pair, keyed by both numbers."""
-    numbers = lambda blocks, name: blocks.groupBy("dim").agg(F.collect_list("block").alias(name))
-    left = data.join(numbers(asked, "with"), "dim").withColumn("asked", F.explode("with")).drop("with", "dim")
-    right = asked.join(numbers(data, "with"), "dim").withColumn("data", F.explode("with")).drop("with")
-    left = left.toDF(*("data" if c == "block" else c if c == "asked" else f"d_{c}" for c in left.columns))
-    return right.withColumnRenamed("block", "asked").join(left, ["asked", "data"])
+def met(asked: DataFrame, data: DataFrame, told: list[str]) -> tuple[DataFrame, list[str]]:
+    """Anchor blocks beside vector blocks (d_...), and the names of the columns; `told` is carried beside the anchors."""
+    own = ["block", "ids", "labels", "body"]
+    left = data.select("dim", *(F.col(c).alias(f"d_{c}") for c in own[1:]))
+    names = [*own, *told, *(f"d_{c}" for c in own[1:]), "dim"]
+    return meetings(asked.select("dim", *own, *told), left).select(*names), names
 
 
-def matrices(r: dict) -> tuple:
-    dim = r["dim"]
-    a_ids, a_labels, d_ids, d_labels = (np.frombuffer(r[c], np.int64) for c in ("ids", "labels", "d_ids", "d_labels"))
-    a, d = (np.frombuffer(r[c], np.int64).reshape(-1, dim) for c in ("body", "d_body"))
-    reach = float(max(1, np.abs(a).max())) * float(max(1, np.abs(d).max())) * dim * len(d_ids)
-    exact = np.float64 if reach < 2 ** 52 else np.int64
-    return a_ids, a_labels, a.astype(exact), d_ids, d_labels, d.astype(exact)
+def rows_of(r: dict, dim: int, of: str = "") -> tuple:
+    """(ids, labels, vectors) of a block."""
+    ids, labels = (np.frombuffer(r[f"{of}{c}"], np.int64) for c in ("ids", "labels"))
+    return ids, labels, matrix(r[f"{of}body"], len(ids), dim)
 
 
-def best(scores: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """The k of `at` with the highest scores, ties to the smaller position; positions ascend."""
-    if len(at) > k:
-        s = scores[at]
-        least = np.partition(s, len(s) - k)[len(s) - k]
-        above = at[s > least]
-        at = np.concatenate([above, at[s == least][: k - len(above)]])
-    return at[np.argsort(-scores[at], kind="stable")]
+def alike_types(a: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in a type in which their products are exact."""
+    kind = exact_type(largest(a) * largest(d) * a.shape[1])
+    return a.astype(kind), d.astype(kind)
 
 
-def found_rows(rows: list, names: tuple) -> pa.RecordBatch:
-    """Rows are tuples of arrays, one tuple for each anchor and slot."""
-    columns = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * len(names)
+def found_rows(names: tuple, block: int, columns: list) -> pa.RecordBatch:
+    columns = [np.full(len(columns[0]), block), *columns]
     return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=list(names))
 
 
 def positives(asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
     """(asked, place, anchor_id, positive_id, positive_score): the k best rows of each anchor's label."""
     names = ("asked", "place", "anchor_id", "positive_id", "positive_score")
+    meet, columns = met(asked, data, [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                a_ids, a_labels, a, d_ids, d_labels, d = matrices(r)
-                out = []
-                for lo in range(0, len(a_ids), SLAB):
-                    scores = a[lo: lo + SLAB] @ d.T
-                    for i, s in enumerate(scores, lo):
-                        at = best(s, np.nonzero((d_labels == a_labels[i]) & (d_ids != a_ids[i]))[0], k)
-                        out.append((*(np.full(len(at), x) for x in (r["asked"], i, a_ids[i])), d_ids[at], s[at]))
-                yield found_rows(out, names)
-
-    found = meetings(asked, data).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+        held: dict[int, tuple] = {}  # by anchor block
+        for r in pairs(batches, columns):
+            if r["block"] not in held:
+                a_ids, a_labels, a = (x.copy() for x in rows_of(r, r["dim"]))
+                held[r["block"]] = a_ids, a_labels, a, Best(len(a_ids), k)
+            a_ids, a_labels, a, best = held[r["block"]]
+            d_ids, d_labels, d = rows_of(r, r["dim"], "d_")
+            a, d = alike_types(a, d)
+            got = []
+            for label in np.intersect1d(a_labels, d_labels).tolist():  # both blocks are in the order of labels
+                (b, e), (lo, hi) = ([int(np.searchsorted(x, label, side)) for side in ("left", "right")] for x in (a_labels, d_labels))
+                for at in range(b, e, SLAB):
+                    own = np.arange(at, min(at + SLAB, e))
+                    scores = a[own] @ d[lo:hi].T
+                    floor = best.floor(own)
+                    cut, fresh = floor.astype(scores.dtype), np.nonzero(floor == NONE)[0]
+                    if len(fresh):
+                        known = scores[fresh]
+                        blank(known, a_ids[own[fresh]], d_ids[lo:hi])
+                        cut[fresh] = kth(known, k)
+                    place, spot = reaching(scores, cut)
+                    got.append((own[place], scores[place, spot].astype(np.int64), d_ids[lo:hi][spot]))
+            if got:
+                place, score, ids = (np.concatenate(x) for x in zip(*got))
+                other = ids != a_ids[place]
+                best.add(place[other], score[other], ids[other])
+        for block, (a_ids, _, _, best) in held.items():
+            place, score, ids = best.found()
+            yield found_rows(names, block, [place, a_ids[place], ids, score])
+
+    found = meet.mapInArrow(run, ", ".join(f"{n} long" for n in names))
     order = Window.partitionBy("asked", "place").orderBy(F.desc("positive_score"), "positive_id")
     return found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
 
@@ -143,36 +159,78 @@ def limits(score: Column, low: int, high: int) -> tuple[Column, Column]:
     return -down(score * -low), down(score * high)
 
 
-def slots(asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
-    """(asked, place, slot, negative_id, score): the k best rows of another label in each slot of each anchor.
+def with_windows(asked: DataFrame, near: DataFrame) -> DataFrame:
+    """The anchor blocks with `lows`, the least limit of each of their rows, and `highs`, its upper limits, ascending and with
+    NONE before them where a row has fewer than another. Rows without windows have no upper limit."""
+    windows = near.groupBy(F.col("asked").alias("block")).agg(F.collect_list(F.struct("place", "low", "high")).alias("w"))
+    joined = asked.join(windows, "block").select("block", "dim", "ids", "labels", "body", "w.place", "w.low", "w.high")
 
-    `windows` of an anchor block holds (place, low, high) of the windows that can hold a score.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lows, highs = [], []
+            for i in range(batch.num_rows):
+                place, low, high = (batch.column(c)[i].values.to_numpy() for c in ("place", "low", "high"))
+                order = np.lexsort((-high, place))
+                place, low, high = place[order], low[order], high[order]
+                nth = np.arange(len(place)) - np.searchsorted(place, place)
+                n = len(batch.column("ids")[i].as_buffer()) // 8
+                least, upper = np.full(n, -NONE, np.int64), np.full((n, int(nth.max()) + 1), NONE, np.int64)
+                np.minimum.at(least, place, low)
+                upper[place, upper.shape[1] - 1 - nth] = high
+                lows.append(least.tobytes())
+                highs.append(upper.tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(lows, pa.binary()), pa.array(highs, pa.binary())],
+                                             names=[*batch.schema.names[:5], "lows", "highs"])
+
+    return joined.mapInArrow(run, f"{_PACKED}, lows binary, highs binary")
+
+
+def slots(asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
+    """(asked, place, slot, negative_id, score): the k best rows of another label in each slot of each anchor. `asked` is of
+    `with_windows`."""
     names = ("asked", "place", "slot", "negative_id", "score")
+    meet, columns = met(asked, data, ["lows", "highs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                a_ids, a_labels, a, d_ids, d_labels, d = matrices(r)
-                uppers: dict[int, list] = {}
-                lowest: dict[int, int] = {}
-                for w in r["windows"]:
-                    uppers.setdefault(w["place"], []).append(w["high"])
-                    lowest[w["place"]] = min(w["low"], lowest.get(w["place"], w["low"]))
-                places, out = np.array(sorted(uppers), np.int64), []
-                for lo in range(0, len(places), SLAB):
-                    own = places[lo: lo + SLAB]
-                    scores = a[own] @ d.T
-                    for i, s in zip(own.tolist(), scores):
-                        upper = np.sort(np.array(uppers[i], np.int64))
-                        at = np.nonzero((s <= upper[-1]) & (s >= lowest[i]) & (d_labels != a_labels[i]) & (d_ids != a_ids[i]))[0]
-                        slot = len(upper) - np.searchsorted(upper, s[at], "left")
-                        for j in np.unique(slot).tolist():
-                            top = best(s, at[slot == j], k)
-                            out.append((*(np.full(len(top), x) for x in (r["asked"], i, j)), d_ids[top], s[top]))
-                yield found_rows(out, names)
-
-    found = meetings(asked, data).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+        held: dict[int, tuple] = {}  # by anchor block
+        for r in pairs(batches, columns):
+            if r["block"] not in held:
+                a_ids, a_labels, a = rows_of(r, r["dim"])
+                lows, highs = np.frombuffer(r["lows"], np.int64), np.frombuffer(r["highs"], np.int64).reshape(len(a_ids), -1)
+                use = np.nonzero(highs[:, -1] > NONE)[0]
+                highs = highs[use]
+                count = (highs > NONE).sum(axis=1)
+                held[r["block"]] = (use, a_ids[use], a_labels[use], a[use], lows[use], highs, count,
+                                    Best(highs.size, k))
+            use, a_ids, a_labels, a, lows, highs, count, best = held[r["block"]]
+            d_ids, d_labels, d = rows_of(r, r["dim"], "d_")
+            a, d = alike_types(a, d)
+            many = highs.shape[1]
+            for at in range(0, len(use), SLAB):
+                own = np.arange(at, min(at + SLAB, len(use)))
+                scores = a[own] @ d.T
+                # the last slot holds all scores up to the least upper limit: once it is full, nothing below its k-th counts
+                floor = best.floor(own * many + count[own] - 1)
+                cut, fresh = np.maximum(floor, lows[own]).astype(scores.dtype), np.nonzero(floor == NONE)[0]
+                if len(fresh):
+                    i = own[fresh]
+                    last = highs[i, many - count[i]].astype(scores.dtype)
+                    none = np.array(lowest(scores.dtype), scores.dtype)
+                    known = np.where((scores[fresh] <= last[:, None]) & (d_labels != a_labels[i, None]), scores[fresh], none)
+                    blank(known, a_ids[i], d_ids)
+                    cut[fresh] = np.maximum(cut[fresh], kth(known, k))
+                place, spot = reaching(scores, cut)
+                score, place = scores[place, spot].astype(np.int64), own[place]
+                fits = (score <= highs[place, -1]) & (d_labels[spot] != a_labels[place]) & (d_ids[spot] != a_ids[place])
+                score, place, spot = score[fits], place[fits], spot[fits]
+                slot = (highs[place] >= score[:, None]).sum(axis=1)
+                best.add(place * many + slot - 1, score, d_ids[spot])
+        for block, (use, *_, highs, _, best) in held.items():
+            group, score, ids = best.found()
+            many = highs.shape[1]
+            yield found_rows(names, block, [use[group // many], group % many + 1, ids, score])
+
+    found = meet.mapInArrow(run, ", ".join(f"{n} long" for n in names))
     order = Window.partitionBy("asked", "place", "slot").orderBy(F.desc("score"), "negative_id")
     return found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
 
@@ -188,8 +246,7 @@ def hard_negatives(anchors: DataFrame, vectors: DataFrame, *, positive: int = PO
     near = settle(positives(asked, data, positive), "positives")
     least, most = limits(F.col("positive_score"), low, high)
     near = near.withColumns({"low": least, "high": most}).filter("low <= high")
-    windows = near.groupBy(F.col("asked").alias("block")).agg(F.collect_list(F.struct("place", "low", "high")).alias("windows"))
-    kept = slots(asked.join(windows, "block"), data, negative)
+    kept = slots(settle(with_windows(asked, near), "anchor-windows"), data, negative)
     # one descending list for each anchor: slots ascend as scores descend
     item = F.struct("slot", (-F.col("score")).alias("down"), "negative_id")
     lists = kept.groupBy("asked", "place").agg(F.sort_array(F.collect_list(item)).alias("found"))

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from furrow.llm import kbest, vafile
+from furrow.llm import kbest, negatives, vafile
 from furrow.session import settle
 
 
@@ -65,3 +65,18 @@ def test_blocks_are_not_repeated_for_each_pair(spark):
     data, asked = settle(vafile.blocks(vectors, 20, "data"), "d"), settle(vafile.blocks(vectors.limit(9), 4, "asked"), "a")
     plan = plan_of(vafile.scan(asked, data, 5))
     assert "Join" not in plan and "Broadcast" not in plan and plan.count("CartesianProduct") == 1
+
+
+def test_anchor_blocks_are_not_repeated_for_each_pair(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, int(i % 3), rng.integers(-50, 50, 6).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, label long, v array<long>").repartition(3)
+    data, asked = settle(negatives.packed(df, 20), "d"), settle(negatives.packed(df.limit(9), 4), "a")
+    near = negatives.positives(asked, data, 5)
+    assert "Join" not in plan_of(near) and plan_of(near).count("CartesianProduct") == 1
+    assert near.count() == 45
+    low, high = negatives.limits(near.positive_score, 30, 90)
+    near = near.withColumns({"low": low, "high": high}).filter("low <= high")
+    told = settle(negatives.with_windows(asked, near), "w")
+    kept = negatives.slots(told, data, 10)
+    assert "Join" not in plan_of(kept) and plan_of(kept).count("CartesianProduct") == 1
